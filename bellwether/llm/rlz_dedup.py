@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .tokens import Words, mix, sliding_min, window_hashes, words
+from .tokens import Words, mix, slices, sliding_min, window_hashes, words
 
 GRAM = 8
 KEY = ["doc_id", "text_hash"]
@@ -56,7 +56,7 @@ def parse(w: Words, width: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
 
 def _blocks(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for b in batches for part in slices(b)):
             w = words(b.column("text"))
             doc, first, runs, anchor, block = parse(w, width)
             yield pa.record_batch(
@@ -78,7 +78,7 @@ def _boundary_runs(docs: DataFrame, width: int) -> DataFrame:
     """Of each text, the runs of the blocks in its ``todo``: their place, hash and weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for b in batches for part in slices(b)):
             w = words(b.column("text"))
             runs = window_hashes(w.hashes, width)
             todo = b.column("todo")
@@ -128,7 +128,7 @@ def strip(docs: DataFrame, width: int = 35) -> DataFrame:
     marks = factors(docs, width).groupBy(*KEY).agg(F.collect_list(F.struct("start", "runs")).alias("marks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for b in batches for part in slices(b)):
             w = words(b.column("text"))
             out = []
             for k, marked in enumerate(b.column("marks").to_pylist()):

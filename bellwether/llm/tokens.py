@@ -6,6 +6,7 @@ end between words, so memory stays bounded for texts of any length.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -44,6 +45,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``most`` bytes of text, so that arrays by word stay small; a longer text is a part."""
+    if not batch.num_rows:
+        return
+    offsets, _ = utf8(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 class Words(NamedTuple):
     hashes: np.ndarray  # of each word, uint64
     first: np.ndarray  # of each text, the index of its first word; one more at the end
