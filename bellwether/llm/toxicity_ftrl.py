@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import LOWER, NOT_LETTER, mix, words
+from .tokens import LOWER, NOT_LETTER, mix, slices, words
 
 
 class Setup(NamedTuple):
@@ -89,7 +89,7 @@ def train(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> tuple[n
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
 
     def feature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for b in batches for part in slices(b)):
             doc, f = hashed(b.column("text"), setup.bits)
             key = np.unique((doc.astype(np.uint64) << np.uint64(32)) | f)
             bound = np.searchsorted(key >> np.uint64(32), np.arange(b.num_rows + 1))
@@ -98,13 +98,13 @@ def train(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> tuple[n
 
     def fit(t: pa.Table) -> pa.Table:
         order = sorted(range(t.num_rows), key=lambda k: (zlib.crc32(str(ids[k]).encode()), ids[k])) if (ids := t.column("doc_id").to_pylist()) else []
-        f, y = t.column("f").to_pylist(), t.column("toxic").to_pylist()
+        f, y = t.column("f"), t.column("toxic").to_pylist()
         seen: set[int] = set()
         rows = []
         for k in order:
             if ids[k] not in seen:
                 seen.add(ids[k])
-                rows.append((np.frombuffer(f[k], np.uint32), y[k]))
+                rows.append((np.frombuffer(f[k].as_buffer(), np.uint32), y[k]))
         at, w, bias = learn(rows, setup)
         return pa.table({"at": pa.array([at.astype(np.uint32).tobytes()], pa.binary()), "w": pa.array([w.tobytes()], pa.binary()), "bias": pa.array([bias], pa.float64())})
 
@@ -123,11 +123,13 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], setup: S
         at, w, bias = shared.value
         dense = np.zeros(1 << setup.bits)
         dense[at] = w
-        doc, f = hashed(pa.array(text, pa.string(), from_pandas=True), setup.bits)
-        some = np.flatnonzero(dense[f] != 0)
-        key = np.unique((doc[some].astype(np.uint64) << np.uint64(32)) | f[some])
-        total = bias + np.bincount((key >> np.uint64(32)).astype(np.int64), weights=dense[key & np.uint64(0xFFFFFFFF)], minlength=len(text))
-        return type(text)(1 / (1 + np.exp(-np.clip(total, -35, 35))))
+        total = []
+        for part in slices(pa.record_batch([pa.array(text, pa.string(), from_pandas=True)], names=["text"])):
+            doc, f = hashed(part.column("text"), setup.bits)
+            some = np.flatnonzero(dense[f] != 0)
+            key = np.unique((doc[some].astype(np.uint64) << np.uint64(32)) | f[some])
+            total.append(bias + np.bincount((key >> np.uint64(32)).astype(np.int64), weights=dense[key & np.uint64(0xFFFFFFFF)], minlength=part.num_rows))
+        return type(text)(1 / (1 + np.exp(-np.clip(np.concatenate(total) if total else np.zeros(0), -35, 35))))
 
     return docs.withColumn("score", rate("text")).withColumn("predicted", (F.col("score") >= setup.threshold).cast("int"))
 
