@@ -45,7 +45,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in parts of about ``most`` bytes of text, so that arrays by word stay small; a longer text is a part."""
     if not batch.num_rows:
         return

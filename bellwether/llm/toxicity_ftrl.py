@@ -31,7 +31,7 @@ class Setup(NamedTuple):
     l1: float = 8.0
     l2: float = 0.0
     passes: int = 4
-    most: int = 16_000
+    most: int = 10_000
     threshold: float = 0.7
 
 
@@ -89,7 +89,7 @@ def train(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> tuple[n
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
 
     def feature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (part for b in batches for part in slices(b)):
+        for b in (part for b in batches for part in slices(b, most=1 << 20)):
             doc, f = hashed(b.column("text"), setup.bits)
             key = np.unique((doc.astype(np.uint64) << np.uint64(32)) | f)
             bound = np.searchsorted(key >> np.uint64(32), np.arange(b.num_rows + 1))
@@ -115,23 +115,31 @@ def train(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> tuple[n
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], setup: Setup = Setup()) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted``; null and empty texts get the bias alone. All rows stay."""
+    """``docs`` with ``score`` (0 to 1) and ``predicted``; null and empty texts get the bias alone. All rows stay.
+
+    Columns of the result's names are replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def rate(text):  # noqa: ANN001, ANN202
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, w, bias = shared.value
         dense = np.zeros(1 << setup.bits)
         dense[at] = w
-        total = []
-        for part in slices(pa.record_batch([pa.array(text, pa.string(), from_pandas=True)], names=["text"])):
-            doc, f = hashed(part.column("text"), setup.bits)
-            some = np.flatnonzero(dense[f] != 0)
-            key = np.unique((doc[some].astype(np.uint64) << np.uint64(32)) | f[some])
-            total.append(bias + np.bincount((key >> np.uint64(32)).astype(np.int64), weights=dense[key & np.uint64(0xFFFFFFFF)], minlength=part.num_rows))
-        return type(text)(1 / (1 + np.exp(-np.clip(np.concatenate(total) if total else np.zeros(0), -35, 35))))
-
-    return docs.withColumn("score", rate("text")).withColumn("predicted", (F.col("score") >= setup.threshold).cast("int"))
+        for b in batches:
+            row = b.column("__row")
+            total = [np.zeros(0)]
+            for part in slices(pa.record_batch([row.field("text")], names=["text"]), most=1 << 20):
+                doc, f = hashed(part.column("text"), setup.bits)
+                some = np.flatnonzero(dense[f] != 0)
+                key = np.unique((doc[some].astype(np.uint64) << np.uint64(32)) | f[some])
+                total.append(bias + np.bincount((key >> np.uint64(32)).astype(np.int64), weights=dense[key & np.uint64(0xFFFFFFFF)], minlength=part.num_rows))
+            score_ = 1 / (1 + np.exp(-np.clip(np.concatenate(total), -35, 35)))
+            yield pa.record_batch([row, pa.array(score_)], names=["__row", "score"])
+
+    kept = [c for c in docs.columns if c not in ("score", "predicted")]
+    rows = docs.select(F.struct(*kept).alias("__row"))
+    out = rows.mapInArrow(rate, f"__row {rows.schema['__row'].dataType.simpleString()}, score double")
+    return out.select("__row.*", "score", (F.col("score") >= setup.threshold).cast("int").alias("predicted"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> DataFrame:
@@ -142,5 +150,5 @@ def classify(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> Data
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their own columns."""
-    keep = score(docs.select(F.struct(*docs.columns).alias("row"), "text"), train(docs, labels, setup), setup)
-    return keep.where("predicted = 0").select("row.*")
+    named = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return score(named, train(docs, labels, setup), setup).where("predicted = 0").select("row.*")
