@@ -150,5 +150,8 @@ def classify(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> Data
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their own columns."""
-    named = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return score(named, train(docs, labels, setup), setup).where("predicted = 0").select("row.*")
+    model = train(docs, labels, setup)
+    if {"score", "predicted"} & set(docs.columns):
+        named = docs.select(F.struct(*docs.columns).alias("row"), "text")
+        return score(named, model, setup).where("predicted = 0").select("row.*")
+    return score(docs, model, setup).where("predicted = 0").select(*docs.columns)
