@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=8)
+def _own_folder(application: str) -> str:
+    return f"file://{tempfile.mkdtemp(prefix=f'spark-shared-{application}-')}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
