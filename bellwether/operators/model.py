@@ -330,6 +330,56 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     return r.agg(F.try_divide(F.covar_pop("ra", "rb"), F.sqrt(F.var_pop("ra") * F.var_pop("rb"))).alias("spearman"))
 
 
+def mean_coverage(p: DataFrame, chosen: DataFrame, excluded: bool = False) -> DataFrame:
+    """Coverage by ticker of ``p``, with the number of tickers and of anchors among them; ``excluded`` leaves out the anchors' own."""
+    mine = chosen.select(F.col("ticker").alias("j")).distinct()
+    best = p.join(F.broadcast(mine), "j").groupBy("i").agg(F.max("p").alias("c"), F.max(F.when(F.col("i") == F.col("j"), 1).otherwise(0)).alias("own"))
+    n = p.agg(F.countDistinct("i").alias("n"))
+    total = best.agg(F.coalesce(F.sum(F.col("c").cast("decimal(38,18)")).cast("double"), F.lit(0.0)).alias("f"), F.coalesce(F.sum("own"), F.lit(0)).alias("k"))
+    share = adjusted_coverage(F.col("f"), F.col("k"), F.col("n")) if excluded else F.try_divide("f", "n")
+    return total.join(F.broadcast(n)).select("n", "k", share.alias("mean_f"))
+
+
+def cross_year(p_next: DataFrame, old_steps: DataFrame, new_steps: DataFrame) -> DataFrame:
+    """``(stale, direct, ratio)``: last window's anchors on the next window's similarity, against its own.
+
+    Anchors that are not in the next window's universe cover nothing.
+    """
+    stale = mean_coverage(p_next, old_steps).select(F.col("mean_f").alias("stale"))
+    direct = mean_coverage(p_next, new_steps).select(F.col("mean_f").alias("direct"))
+    return stale.join(F.broadcast(direct)).withColumn("ratio", F.try_divide("stale", "direct"))
+
+
+def compare_measures(p_a: DataFrame, p_b: DataFrame, unbiased: DataFrame, k: int) -> DataFrame:
+    """Two measures on one window: overlap of their anchors, mean coverages, rank correlation of coverage, mean U-statistic."""
+    a, b = greedy(p_a, k), greedy(p_b, k)
+    c = assign(p_a, a).select("ticker", F.col("c").alias("ca")).join(assign(p_b, b).select("ticker", F.col("c").alias("cb")), "ticker")
+    u = unbiased.where("i < j").agg(F.avg(F.col("p").cast("double")).alias("mean_u"))
+    means = mean_coverage(p_a, a).select(F.col("mean_f").alias("mean_f_a")).join(F.broadcast(mean_coverage(p_b, b).select(F.col("mean_f").alias("mean_f_b"))))
+    return jaccard(a, b).join(F.broadcast(means)).join(F.broadcast(spearman(c, "ca", "cb"))).join(F.broadcast(u))
+
+
+def zero_diagonal(p: DataFrame, k: int) -> DataFrame:
+    """Greedy on P and on P with a zero diagonal, step by step; ``diverged`` from the first step that differs on."""
+    zero = p.withColumn("p", F.when(F.col("i") == F.col("j"), F.lit(0).cast(P_TYPE)).otherwise(F.col("p")))
+    a, b = greedy(p, k), greedy(zero, k)
+    both = a.join(b.select("step", F.col("ticker").alias("ticker_zero"), F.col("gain").alias("gain_zero"), F.col("f").alias("f_zero")), "step")
+    first = both.agg(F.min(F.when(F.col("ticker") != F.col("ticker_zero"), F.col("step"))).alias("first"))
+    return both.join(F.broadcast(first)).withColumn("diverged", F.coalesce(F.col("step") >= F.col("first"), F.lit(False))).drop("first")
+
+
+def flag_sensitivity(p: DataFrame, masked: DataFrame, k: int) -> DataFrame:
+    """Selection on all sessions against unflagged ones: overlap, coverage without anchors' own, least pair length.
+
+    Pairs with too few unflagged sessions count as 0.
+    """
+    both = masked.select("i", "j", F.col("p").alias("q")).union(masked.select("j", "i", "p"))
+    again = p.join(both, ["i", "j"], "left").select("i", "j", F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.coalesce("q", F.lit(0.0))).cast(P_TYPE).alias("p"))
+    a, b = greedy(p, k), greedy(again, k)
+    before, after = mean_coverage(p, a, True).select(F.col("mean_f").alias("before")), mean_coverage(again, b, True).select(F.col("mean_f").alias("after"))
+    return jaccard(a, b).join(F.broadcast(before)).join(F.broadcast(after)).join(F.broadcast(masked.agg(F.min("t").alias("min_t"))))
+
+
 def concentration(assigned: DataFrame, stocks: DataFrame) -> DataFrame:
     """By group: dominant sector share, sum of squared shares, and what chance would give."""
     labelled = assigned.join(F.broadcast(stocks.select("ticker", "sector")), "ticker", "left")

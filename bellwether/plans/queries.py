@@ -412,6 +412,96 @@ def _(s, d):
     return validate.validate(head, universe, run["params"], run["steps"], run["assigned"], run["groups"], run["p"], content)
 
 
+# ---- comparisons of runs ----
+
+_MEANS = "(SELECT sum(c) / (SELECT count(DISTINCT i) FROM {sim}) FROM (SELECT i, CAST(max(p) AS DOUBLE) AS c FROM {sim} WHERE j IN (SELECT ticker FROM {steps}) GROUP BY i))"
+
+
+def _sim_sql(year: int) -> str:
+    """Similarity over the weekly bars of one year."""
+    line = LINE.replace("ON l_partkey = p_partkey", f"ON l_partkey = p_partkey WHERE year(date_trunc('week', l_shipdate)) = {year}")
+    return "(" + with_(line, *MODEL[1:], PAIRS) + "SELECT i, j, CAST(p AS DECIMAL(20,18)) AS p FROM sim)"
+
+
+def _steps_sql(sim: str, k: int = 3) -> str:
+    """Greedy steps on the CTE ``sim``."""
+    return "(WITH " + GREEDY.replace("FROM sim)", f"FROM {sim})", 1) + f" SELECT step, ticker, gain FROM steps WHERE step <= {k})"
+
+
+_YEARS = (1997, 1998, 1999)
+
+
+@query(
+    "cross_year",
+    "WITH "
+    + ", ".join(f"s{y} AS MATERIALIZED {_sim_sql(y)}, a{y} AS MATERIALIZED {_steps_sql(f's{y}', 2)}" for y in _YEARS)
+    + " SELECT from_year, to_year, round(stale, 6) AS stale, round(direct, 6) AS direct, round(stale / direct, 6) AS ratio FROM ("
+    + " UNION ALL ".join(f"SELECT {y} AS from_year, {y + 1} AS to_year, {_MEANS.format(sim=f's{y + 1}', steps=f'a{y}')} AS stale, {_MEANS.format(sim=f's{y + 1}', steps=f'a{y + 1}')} AS direct" for y in _YEARS[:-1])
+    + ")",
+)
+def _(s, d):
+    b, i, st = derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d)
+    runs = {y: model.train(b.where(F.year("bar_date") == y), i.where(F.year("bar_date") == y), st, 2, 2, 0.1) for y in _YEARS}
+    out = None
+    for y in _YEARS[:-1]:
+        one = model.cross_year(runs[y + 1]["p"], runs[y]["steps"], runs[y + 1]["steps"]).select(F.lit(y).alias("from_year"), F.lit(y + 1).alias("to_year"), "stale", "direct", "ratio")
+        out = one if out is None else out.union(one)
+    return r(out)
+
+
+def _measure_sql() -> str:
+    v = "SELECT x.i, x.j, CAST(CASE WHEN x.i = x.j THEN 1 ELSE least(1, greatest(0, x.g / sqrt(a.g * b.g))) END AS DECIMAL(20,18)) AS p FROM gram x JOIN gram a ON a.i = x.i AND a.j = x.i JOIN gram b ON b.i = x.j AND b.j = x.j"
+    u_dcor = DCOR.replace(
+        "SELECT *, d - avg(d) OVER (PARTITION BY ticker, s) - avg(d) OVER (PARTITION BY ticker, t) + avg(d) OVER (PARTITION BY ticker) AS c FROM far",
+        "SELECT *, CASE WHEN s = t THEN 0 ELSE d - sum(d) OVER (PARTITION BY ticker, s) / (n - 2) - sum(d) OVER (PARTITION BY ticker, t) / (n - 2) + sum(d) OVER (PARTITION BY ticker) / ((n - 1) * (n - 2)) END AS c FROM far, (SELECT count(DISTINCT bar_date) AS n FROM resid)",
+    )
+    u = "SELECT avg(x.g / sqrt(a.g * b.g)) AS mean_u FROM gram x JOIN gram a ON a.i = x.i AND a.j = x.i JOIN gram b ON b.i = x.j AND b.j = x.j WHERE x.i < x.j"
+    cover = "(SELECT i, max(p) AS c FROM {sim} WHERE j IN (SELECT ticker FROM {steps}) GROUP BY i)"
+    rank = "rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2"
+    return (
+        f"WITH sa AS MATERIALIZED ({with_(*MODEL, PAIRS, unit='quarter')} SELECT i, j, CAST(p AS DECIMAL(20,18)) AS p FROM sim), sb AS MATERIALIZED ({with_(*MODEL, DCOR, unit='quarter')} {v}), su AS ({with_(*MODEL, u_dcor, unit='quarter')} {u}), "
+        f"ta AS MATERIALIZED {_steps_sql('sa')}, tb AS MATERIALIZED {_steps_sql('sb')}, "
+        f"rk AS (SELECT {rank.format(c='x.c')} AS ra, {rank.format(c='y.c')} AS rb FROM {cover.format(sim='sa', steps='ta')} x JOIN {cover.format(sim='sb', steps='tb')} y USING (i)) "
+        "SELECT round((SELECT count(*) FROM ta JOIN tb USING (ticker)) / (SELECT count(*) FROM (SELECT ticker FROM ta UNION SELECT ticker FROM tb)), 6) AS jaccard, "
+        f"round({_MEANS.format(sim='sa', steps='ta')}, 6) AS mean_f_a, round({_MEANS.format(sim='sb', steps='tb')}, 6) AS mean_f_b, "
+        "(SELECT round(corr(ra, rb), 6) FROM rk) AS spearman, (SELECT round(mean_u, 6) FROM su) AS mean_u"
+    )
+
+
+@query("measure_comparison", _measure_sql())
+def _(s, d):
+    panel = _panel(s, d, "quarter")[0]
+    e = model.residuals(panel, model.fit(panel))
+    return r(model.compare_measures(model.rho2(e), model.dcor2(e, block=8), model.dcor2(e, unbiased=True, block=8), 3))
+
+
+@query(
+    "zero_diagonal",
+    with_(*MODEL, PAIRS, "sz AS (SELECT i, j, CASE WHEN i = j THEN 0 ELSE p END AS p FROM sim)")
+    + f""", ta AS MATERIALIZED {_steps_sql("sim")}, tz AS MATERIALIZED {_steps_sql("sz")},
+curves AS (SELECT a.step, a.ticker, z.ticker AS ticker_zero, sum(a.gain) OVER (ORDER BY a.step) AS f, sum(z.gain) OVER (ORDER BY a.step) AS f_zero FROM ta a JOIN tz z USING (step))
+SELECT step, ticker, ticker_zero, round(CAST(f AS DOUBLE), 8) AS f, round(CAST(f_zero AS DOUBLE), 8) AS f_zero, coalesce(step >= (SELECT min(step) FROM curves WHERE ticker <> ticker_zero), false) AS diverged FROM curves""",
+)
+def _(s, d):
+    return r(model.zero_diagonal(model.rho2(_resid(s, d)), 3), 8).drop("gain", "gain_zero")
+
+
+@query(
+    "flag_sensitivity",
+    with_(*MODEL, PAIRS)
+    + f""", ok AS (SELECT e.* FROM resid e JOIN rets r USING (ticker, bar_date) WHERE NOT abs(close / prev_close - 1) >= 0.5 - 0.003),
+mp AS (SELECT i, j, count(*) AS t, least(1, coalesce(pow(covar_pop(a, b), 2) / nullif(var_pop(a) * var_pop(b), 0), 0)) AS p FROM (SELECT x.ticker AS i, y.ticker AS j, x.e AS a, y.e AS b FROM ok x JOIN ok y USING (bar_date) WHERE x.ticker <> y.ticker) GROUP BY 1, 2 HAVING count(*) >= 3),
+sm AS (SELECT s.i, s.j, CASE WHEN s.i = s.j THEN 1 ELSE coalesce(m.p, 0) END AS p FROM sim s LEFT JOIN mp m ON m.i = s.i AND m.j = s.j),
+ta AS MATERIALIZED {_steps_sql("sim")}, tb AS MATERIALIZED {_steps_sql("sm")}, n AS (SELECT count(*) AS n FROM fitted)
+SELECT round((SELECT count(*) FROM ta JOIN tb USING (ticker)) / (SELECT count(*) FROM (SELECT ticker FROM ta UNION SELECT ticker FROM tb)), 6) AS jaccard,
+round((SELECT CAST(sum(gain) AS DOUBLE) - 3 FROM ta) / (n - 3), 6) AS before, round((SELECT CAST(sum(gain) AS DOUBLE) - 3 FROM tb) / (n - 3), 6) AS after, (SELECT min(t) FROM mp) AS min_t FROM n""",
+)
+def _(s, d):
+    flags = model.returns(derive.bars(s, d), band=0.5).select("ticker", "bar_date", F.col("at_limit").alias("flagged"))
+    e = _resid(s, d)
+    return r(model.flag_sensitivity(model.rho2(e), model.masked_rho2(e, flags), 3))
+
+
 # ---- indicators --------------------------------------------------------------------------------
 
 _W = "(PARTITION BY ticker ORDER BY bar_date ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
