@@ -7,7 +7,9 @@ up the same in any order and ties go to the smaller ticker.
 from __future__ import annotations
 
 import math
+import tempfile
 import uuid
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -141,16 +143,23 @@ def coverage(p: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """End the lineage in the shared folder that the session names; without one, keep it."""
+    """End the lineage in the folder of ``spark.checkpoint.dir``; a local session without one gets its own folder, a cluster keeps the lineage."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        return df
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            return df
+        folder = _own_folder(spark.sparkContext.applicationId)
     path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@lru_cache(maxsize=8)
+def _own_folder(application: str) -> str:
+    return f"file://{tempfile.mkdtemp(prefix=f'spark-model-{application}-')}"
+
+
 def greedy(p: DataFrame, k: int) -> DataFrame:
     """``(step, ticker, gain, f)`` of k rounds: the largest gain, the smaller ticker on ties.
 
@@ -345,6 +354,7 @@ def cross_year(p_next: DataFrame, old_steps: DataFrame, new_steps: DataFrame) ->
 
     Anchors that are not in the next window's universe cover nothing.
     """
+    p_next = _cut(p_next)
     stale = mean_coverage(p_next, old_steps).select(F.col("mean_f").alias("stale"))
     direct = mean_coverage(p_next, new_steps).select(F.col("mean_f").alias("direct"))
     return stale.join(F.broadcast(direct)).withColumn("ratio", F.try_divide("stale", "direct"))
@@ -352,6 +362,7 @@ def cross_year(p_next: DataFrame, old_steps: DataFrame, new_steps: DataFrame) ->
 
 def compare_measures(p_a: DataFrame, p_b: DataFrame, unbiased: DataFrame, k: int) -> DataFrame:
     """Two measures on one window: overlap of their anchors, mean coverages, rank correlation of coverage, mean U-statistic."""
+    p_a, p_b = _cut(p_a), _cut(p_b)
     a, b = greedy(p_a, k), greedy(p_b, k)
     c = assign(p_a, a).select("ticker", F.col("c").alias("ca")).join(assign(p_b, b).select("ticker", F.col("c").alias("cb")), "ticker")
     u = unbiased.where("i < j").agg(F.avg(F.col("p").cast("double")).alias("mean_u"))
@@ -361,6 +372,7 @@ def compare_measures(p_a: DataFrame, p_b: DataFrame, unbiased: DataFrame, k: int
 
 def zero_diagonal(p: DataFrame, k: int) -> DataFrame:
     """Greedy on P and on P with a zero diagonal, step by step; ``diverged`` from the first step that differs on."""
+    p = _cut(p)
     zero = p.withColumn("p", F.when(F.col("i") == F.col("j"), F.lit(0).cast(P_TYPE)).otherwise(F.col("p")))
     a, b = greedy(p, k), greedy(zero, k)
     both = a.join(b.select("step", F.col("ticker").alias("ticker_zero"), F.col("gain").alias("gain_zero"), F.col("f").alias("f_zero")), "step")
@@ -373,8 +385,9 @@ def flag_sensitivity(p: DataFrame, masked: DataFrame, k: int) -> DataFrame:
 
     Pairs with too few unflagged sessions count as 0.
     """
+    p, masked = _cut(p), _cut(masked)
     both = masked.select("i", "j", F.col("p").alias("q")).union(masked.select("j", "i", "p"))
-    again = p.join(both, ["i", "j"], "left").select("i", "j", F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.coalesce("q", F.lit(0.0))).cast(P_TYPE).alias("p"))
+    again = _cut(p.join(both, ["i", "j"], "left").select("i", "j", F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.coalesce("q", F.lit(0.0))).cast(P_TYPE).alias("p")))
     a, b = greedy(p, k), greedy(again, k)
     before, after = mean_coverage(p, a, True).select(F.col("mean_f").alias("before")), mean_coverage(again, b, True).select(F.col("mean_f").alias("after"))
     return jaccard(a, b).join(F.broadcast(before)).join(F.broadcast(after)).join(F.broadcast(masked.agg(F.min("t").alias("min_t"))))

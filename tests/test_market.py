@@ -140,6 +140,62 @@ def test_greedy_on_blocks_equals_exact(spark):
     assert model.groups(model.assign(p, model.greedy(p, 3))).count() == 3
 
 
+def random_p(spark, seed, n=9):
+    rng = np.random.default_rng(seed)
+    m = rng.random((n, n)).round(6)
+    m = np.maximum(m, m.T)
+    np.fill_diagonal(m, 1)
+    rows = [(f"T{i}", f"T{j}", float(m[i, j])) for i in range(n) for j in range(n)]
+    return m, spark.createDataFrame(rows, "i string, j string, p double").withColumn("p", F.col("p").cast(model.P_TYPE))
+
+
+def greedy_brute(m, k):
+    chosen, c = [], np.zeros(len(m))
+    for _ in range(k):
+        gain = np.maximum(0, m - c[:, None]).sum(axis=0)
+        gain[chosen] = -1
+        chosen.append(int(np.argmax(gain.round(9))))
+        c = np.maximum(c, m[:, chosen[-1]])
+    return chosen, c
+
+
+def test_runs_compared(spark):
+    m, p = random_p(spark, 1)
+    m2, p2 = random_p(spark, 2)
+    (a, _), (b, cb) = greedy_brute(m, 3), greedy_brute(m2, 3)
+    got = model.cross_year(p2, model.greedy(p, 3), model.greedy(p2, 3)).first()
+    assert got["stale"] == pytest.approx(m2[:, a].max(axis=1).mean()) and got["direct"] == pytest.approx(cb.mean())
+    assert got["ratio"] == pytest.approx(got["stale"] / got["direct"])
+    got = model.compare_measures(p, p2, p2, 3).first()
+    assert got["jaccard"] == pytest.approx(len(set(a) & set(b)) / len(set(a) | set(b)))
+    assert got["mean_u"] == pytest.approx(m2[np.triu_indices(9, 1)].mean()) and got["mean_f_b"] == pytest.approx(cb.mean())
+
+
+def test_zero_diagonal_and_flags(spark):
+    m, p = random_p(spark, 3)
+    zero = m.copy()
+    np.fill_diagonal(zero, 0)
+    a, b = greedy_brute(m, 4)[0], greedy_brute(zero, 4)[0]
+    got = model.zero_diagonal(p, 4).orderBy("step").collect()
+    assert [(r["ticker"], r["ticker_zero"]) for r in got] == [(f"T{x}", f"T{y}") for x, y in zip(a, b)]
+    first = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), 4)
+    assert [r["diverged"] for r in got] == [k >= first for k in range(4)]
+    masked = p.where("i < j and i <> 'T0'").select("i", "j", F.lit(5).cast("long").alias("t"), F.col("p").cast("double").alias("p"))
+    again = m.copy()
+    again[0, 1:] = again[1:, 0] = 0
+    (x, cx), (y, cy) = greedy_brute(m, 3), greedy_brute(again, 3)
+    got = model.flag_sensitivity(p, masked, 3).first()
+    assert got["before"] == pytest.approx((cx.sum() - 3) / 6) and got["after"] == pytest.approx((cy.sum() - 3) / 6) and got["min_t"] == 5
+    assert got["jaccard"] == pytest.approx(len(set(x) & set(y)) / len(set(x) | set(y)))
+
+
+def test_cross_year_without_common_anchors(spark):
+    m, p = random_p(spark, 4)
+    gone = spark.createDataFrame([("ZZ",)], "ticker string")
+    got = model.cross_year(p, gone, model.greedy(p, 2)).first()
+    assert got["stale"] == 0 and got["ratio"] == 0
+
+
 def run_tables(spark):
     p = block_p(spark, (3, 3))
     params = spark.createDataFrame([(f"T{k:02d}", 0.0, 1.0, 0.1, 0.5) for k in range(6)], "ticker string, alpha double, beta double, sigma double, r2 double")
