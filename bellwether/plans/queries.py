@@ -262,7 +262,16 @@ def _(s, d):
     return r(model.dcor2(model.residuals(panel, model.fit(panel)), block=8))
 
 
-@query("similarity_dcor2_u")
+DCOR_U = DCOR.replace(
+    "SELECT *, d - avg(d) OVER (PARTITION BY ticker, s) - avg(d) OVER (PARTITION BY ticker, t) + avg(d) OVER (PARTITION BY ticker) AS c FROM far",
+    "SELECT *, CASE WHEN s = t THEN 0 ELSE d - sum(d) OVER (PARTITION BY ticker, s) / (n - 2) - sum(d) OVER (PARTITION BY ticker, t) / (n - 2) + sum(d) OVER (PARTITION BY ticker) / ((n - 1) * (n - 2)) END AS c FROM far, (SELECT count(DISTINCT bar_date) AS n FROM resid)",
+)
+
+
+@query(
+    "similarity_dcor2_u",
+    with_(*MODEL, DCOR_U, unit="quarter") + "SELECT x.i, x.j, round(CASE WHEN x.i = x.j THEN 1 ELSE x.g / sqrt(a.g * b.g) END, 6) AS p FROM gram x JOIN gram a ON a.i = x.i AND a.j = x.i JOIN gram b ON b.i = x.j AND b.j = x.j",
+)
 def _(s, d):
     panel = _panel(s, d, "quarter")[0]
     return r(model.dcor2(model.residuals(panel, model.fit(panel)), unbiased=True, block=8))
@@ -378,18 +387,6 @@ def _(s, d):
     return model.trading_calendar(derive.index_bars(s, d))
 
 
-@query("anchor_frequency")
-def _(s, d):
-    """Anchors of each calendar year of weekly bars, and how often each ticker is one."""
-    b, i, st = derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d)
-    out = None
-    for year in (1996, 1997, 1998, 1999, 2000):
-        inside = F.year("bar_date") == year
-        steps = model.train(b.where(inside), i.where(inside), st, 2, 2, 0.1)["steps"].select(F.lit(year).alias("year"), "ticker")
-        out = steps if out is None else out.union(steps)
-    return model.anchor_frequency(out)
-
-
 @query("permutation_null")
 def _(s, d):
     return r(model.permutation_null(_resid(s, d), 3, 64))
@@ -428,6 +425,28 @@ def _steps_sql(sim: str, k: int = 3) -> str:
     return "(WITH " + GREEDY.replace("FROM sim)", f"FROM {sim})", 1) + f" SELECT step, ticker, gain FROM steps WHERE step <= {k})"
 
 
+_CALENDAR = (1996, 1997, 1998, 1999, 2000)
+
+
+@query(
+    "anchor_frequency",
+    "WITH "
+    + ", ".join(f"s{y} AS MATERIALIZED {_sim_sql(y)}, a{y} AS MATERIALIZED {_steps_sql(f's{y}', 2)}" for y in _CALENDAR)
+    + ", picks AS ("
+    + " UNION ALL ".join(f"SELECT {y} AS year, ticker FROM a{y}" for y in _CALENDAR)
+    + ") SELECT ticker, count(*) AS n_selected, string_agg(CAST(year AS VARCHAR), ',' ORDER BY year) AS years, (SELECT count(DISTINCT year) FROM picks) AS n_years, round(count(*) / (SELECT count(DISTINCT year) FROM picks), 6) AS share FROM picks GROUP BY 1",
+)
+def _(s, d):
+    """Anchors of each calendar year of weekly bars, and how often each ticker is one."""
+    b, i, st = derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d)
+    out = None
+    for year in _CALENDAR:
+        inside = F.year("bar_date") == year
+        steps = model.train(b.where(inside), i.where(inside), st, 2, 2, 0.1)["steps"].select(F.lit(year).alias("year"), "ticker")
+        out = steps if out is None else out.union(steps)
+    return r(model.anchor_frequency(out).withColumn("years", F.array_join(F.col("years").cast("array<string>"), ",")))
+
+
 _YEARS = (1997, 1998, 1999)
 
 
@@ -451,15 +470,11 @@ def _(s, d):
 
 def _measure_sql() -> str:
     v = "SELECT x.i, x.j, CAST(CASE WHEN x.i = x.j THEN 1 ELSE least(1, greatest(0, x.g / sqrt(a.g * b.g))) END AS DECIMAL(20,18)) AS p FROM gram x JOIN gram a ON a.i = x.i AND a.j = x.i JOIN gram b ON b.i = x.j AND b.j = x.j"
-    u_dcor = DCOR.replace(
-        "SELECT *, d - avg(d) OVER (PARTITION BY ticker, s) - avg(d) OVER (PARTITION BY ticker, t) + avg(d) OVER (PARTITION BY ticker) AS c FROM far",
-        "SELECT *, CASE WHEN s = t THEN 0 ELSE d - sum(d) OVER (PARTITION BY ticker, s) / (n - 2) - sum(d) OVER (PARTITION BY ticker, t) / (n - 2) + sum(d) OVER (PARTITION BY ticker) / ((n - 1) * (n - 2)) END AS c FROM far, (SELECT count(DISTINCT bar_date) AS n FROM resid)",
-    )
     u = "SELECT avg(x.g / sqrt(a.g * b.g)) AS mean_u FROM gram x JOIN gram a ON a.i = x.i AND a.j = x.i JOIN gram b ON b.i = x.j AND b.j = x.j WHERE x.i < x.j"
     cover = "(SELECT i, max(p) AS c FROM {sim} WHERE j IN (SELECT ticker FROM {steps}) GROUP BY i)"
     rank = "rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2"
     return (
-        f"WITH sa AS MATERIALIZED ({with_(*MODEL, PAIRS, unit='quarter')} SELECT i, j, CAST(p AS DECIMAL(20,18)) AS p FROM sim), sb AS MATERIALIZED ({with_(*MODEL, DCOR, unit='quarter')} {v}), su AS ({with_(*MODEL, u_dcor, unit='quarter')} {u}), "
+        f"WITH sa AS MATERIALIZED ({with_(*MODEL, PAIRS, unit='quarter')} SELECT i, j, CAST(p AS DECIMAL(20,18)) AS p FROM sim), sb AS MATERIALIZED ({with_(*MODEL, DCOR, unit='quarter')} {v}), su AS ({with_(*MODEL, DCOR_U, unit='quarter')} {u}), "
         f"ta AS MATERIALIZED {_steps_sql('sa')}, tb AS MATERIALIZED {_steps_sql('sb')}, "
         f"rk AS (SELECT {rank.format(c='x.c')} AS ra, {rank.format(c='y.c')} AS rb FROM {cover.format(sim='sa', steps='ta')} x JOIN {cover.format(sim='sb', steps='tb')} y USING (i)) "
         "SELECT round((SELECT count(*) FROM ta JOIN tb USING (ticker)) / (SELECT count(*) FROM (SELECT ticker FROM ta UNION SELECT ticker FROM tb)), 6) AS jaccard, "
@@ -572,7 +587,15 @@ def _(s, d):
     return ind.null_counts(_ind(s, d))
 
 
-@query("warm_up_audit")
+_FIRSTS = ", firsts AS (SELECT ticker, source, " + ", ".join(f"min(rn - 1) FILTER ({c} IS NOT NULL) AS {c}" for c in ind.WARM_UP) + " FROM ind GROUP BY 1, 2) "
+
+
+@query(
+    "warm_up_audit",
+    with_(LINE, BARS, WINDOWED, RECURSE)
+    + _FIRSTS
+    + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST(min({c}) AS INT) AS first_row, {n} AS expected, count(*) FILTER ({c} < {n}) AS n_early FROM firsts" for c, n in ind.WARM_UP.items()),
+)
 def _(s, d):
     return ind.warm_up_audit(_ind(s, d))
 
@@ -681,9 +704,13 @@ def _(s, d):
     return narrative(board.rounded(_base(s, d)))
 
 
-@query("rolling_rho2", with_(*FULL) + """, pr AS (SELECT a.ticker, b.ticker AS anchor, bar_date, a.e AS ea, b.e AS eb FROM resid a JOIN resid b USING (bar_date) WHERE b.ticker IN (SELECT ticker FROM steps)),
-ro AS (SELECT ticker, anchor, bar_date, count(*) OVER w AS k, covar_pop(ea, eb) OVER w AS c, var_pop(ea) OVER w AS va, var_pop(eb) OVER w AS vb FROM pr WINDOW w AS (PARTITION BY ticker, anchor ORDER BY bar_date ROWS BETWEEN 119 PRECEDING AND CURRENT ROW))
-SELECT ticker, anchor, bar_date, round(least(1, c * c / (va * vb)), 6) AS rho2 FROM ro WHERE k = 120""")
+ROLLING = """, pr AS (SELECT a.ticker, b.ticker AS anchor, bar_date, a.e AS ea, b.e AS eb FROM resid a JOIN resid b USING (bar_date) WHERE b.ticker IN (SELECT ticker FROM steps)),
+ro AS (SELECT ticker, anchor, bar_date, count(*) OVER w AS k, covar_pop(ea, eb) OVER w AS c, var_pop(ea) OVER w AS va, var_pop(eb) OVER w AS vb FROM pr WINDOW w AS (PARTITION BY ticker, anchor ORDER BY bar_date ROWS BETWEEN 119 PRECEDING AND CURRENT ROW)),
+rolled AS (SELECT ticker, anchor, bar_date, least(1, c * c / (va * vb)) AS rho2 FROM ro WHERE k = 120)
+"""
+
+
+@query("rolling_rho2", with_(*FULL) + ROLLING + "SELECT ticker, anchor, bar_date, round(rho2, 6) AS rho2 FROM rolled")
 def _(s, d):
     run = _run(s, d)
     return r(board.rolling_rho2(model.residuals(run["panel"], run["params"]), run["steps"]))
@@ -695,7 +722,13 @@ def _(s, d):
     return r(board.beta_drift(panel, model.fit(panel)))
 
 
-@query("coverage_drift")
+@query(
+    "coverage_drift",
+    with_(*FULL)
+    + ROLLING
+    + """, best_now AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, bar_date ORDER BY rho2 DESC, anchor) AS nn FROM rolled) WHERE nn = 1)
+SELECT b.bar_date, count(*) FILTER (b.anchor <> a.anchor) AS n_challenged, count(*) FILTER (rho2 < 0.1) AS n_under, round(avg(rho2), 6) AS mean_c FROM best_now b JOIN assigned a USING (ticker) GROUP BY 1""",
+)
 def _(s, d):
     run = _run(s, d)
     rolling = board.rolling_rho2(model.residuals(run["panel"], run["params"]), run["steps"])
@@ -721,7 +754,13 @@ def _(s, d):
     return b.join(n, ["event_type", "bar_date"]).select("event_type", "bar_date", F.round("open", 6).alias("open"), F.round("close", 6).alias("close"), F.round("volume", 4).alias("volume"), "n")
 
 
-@query("event_bars_stream")
+@query(
+    "event_bars_stream",
+    # a window is given out once the watermark, a day behind the newest event, has passed its end
+    """SELECT event_type, CAST(ts AS DATE) AS bar_date, round(first(value ORDER BY ts, event_id), 4) AS open, round(max(value), 4) AS high, round(min(value), 4) AS low,
+  round(last(value ORDER BY ts, event_id), 4) AS close, round(sum(value), 4) AS volume, count(*) AS n
+FROM events WHERE CAST(ts AS DATE) + INTERVAL 2 DAY <= (SELECT max(ts) FROM events) GROUP BY 1, 2""",
+)
 def _(s, d):
     return r(stream.run_once(stream.event_bars(stream.read_events(s, f"{d}/events.parquet*"))), 4)
 
