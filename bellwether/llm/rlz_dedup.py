@@ -106,13 +106,17 @@ def factors(docs: DataFrame, width: int = 35) -> DataFrame:
 
 
 def _classified(docs: DataFrame, width: int) -> DataFrame:
-    blocks = _blocks(docs, width)
-    index = blocks.groupBy("anchor", "block").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "start")).alias("first"))
-    anchors = index.groupBy("anchor").agg(F.sum("n").alias("all"), F.count("*").alias("kinds")).where("all > 1")
-    index = index.join(anchors, "anchor").select("anchor", "block", "n", "first", "kinds")
-    mine = F.struct(*KEY, "start") == F.col("first")
+    # a place is one number: of equal blocks the smallest place stands for all. Should two of them hash alike, both
+    # stand, each with weight 2 as before; different blocks have different smallest places
+    # never null; said here, so that the joins add no filters of their own and their exchanges stay alike
+    blocks, place = _blocks(docs, width).where("anchor is not null and block is not null"), F.xxhash64(*KEY, "start")
+    index = blocks.groupBy("anchor", "block").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    # reads both columns of the index, so that one exchange serves here and in the join
+    anchors = index.groupBy("anchor").agg(F.sum("n").alias("all"), (F.min("first") < F.max("first")).alias("several")).where("all > 1")
+    index = index.join(anchors, "anchor").select("anchor", "block", "n", "first", "several")
+    mine = place == F.col("first")
     return blocks.join(index, ["anchor", "block"]).select(
-        *KEY, "start", "runs", (F.col("n") > 1).alias("whole"), ((F.col("kinds") > 1) & ((F.col("n") == 1) | mine)).alias("boundary"), F.least("n", F.lit(2)).cast("int").alias("weight")
+        *KEY, "start", "runs", (F.col("n") > 1).alias("whole"), (F.col("several") & ((F.col("n") == 1) | mine)).alias("boundary"), F.least("n", F.lit(2)).cast("int").alias("weight")
     ).where("whole or boundary")
 
 
