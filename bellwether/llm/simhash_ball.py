@@ -20,7 +20,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize
+from .common import components, materialize, power_of_two
+
+NODES = 1 << 17  # most fingerprints whose variants one task makes
 
 
 def fingerprint(words: list[bytes], shingle: int = 3) -> int:
@@ -84,7 +86,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     named = nodes.where("node is not null")
     # a fingerprint of null ids alone still carries links: it gets an id after all others
     nodes = named.union(nodes.where("node is null").select("fp", F.lit(2**62).cast("long") + F.xxhash64("fp").bitwiseAND(F.lit(2**61 - 1)))).select("fp", "node")
-    found = components(links(nodes, radius))
+    # every node becomes many variants: tasks by number of nodes, not by bytes read
+    spread = nodes.repartition(power_of_two(nodes.count() / NODES, 16))
+    found = components(links(spread, radius))
     name = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     out = marked.join(name, "fp", "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("component_id") < 2**62, F.col("component_id")).alias("component_id"))
