@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bellwether.llm import mixing, pii_feistel, simhash_ball, sp_codec, toxicity_ftrl
+from bellwether.llm import mixing, pii_feistel, shingle_join, sp_codec, toxicity_ftrl
 from bellwether.llm.common import shared_folder, table
 from bellwether.llm.queries import model_bytes
 
@@ -17,8 +17,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id stays; parameters as in the contract of op6."""
-    return simhash_ball.keep_one(docs, shingle=3, radius=2)
+    """Of each group linked by a similarity of 0.8 or more (5-word shingles), the document with the smallest id stays."""
+    return shingle_join.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
