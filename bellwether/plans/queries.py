@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -425,6 +425,25 @@ def _steps_sql(sim: str, k: int = 3) -> str:
     return "(WITH " + GREEDY.replace("FROM sim)", f"FROM {sim})", 1) + f" SELECT step, ticker, gain FROM steps WHERE step <= {k})"
 
 
+def _anchor_frequency(b: DataFrame, i: DataFrame, st: DataFrame, years: Sequence[int]) -> DataFrame:
+    out = None
+    for year in years:
+        inside = F.year("bar_date") == year
+        steps = model.train(b.where(inside), i.where(inside), st, 2, 2, 0.1)["steps"].select(F.lit(year).alias("year"), "ticker")
+        out = steps if out is None else out.union(steps)
+    return model.anchor_frequency(out)
+
+
+def _cross_years(b: DataFrame, i: DataFrame, st: DataFrame, years: Sequence[int]) -> DataFrame:
+    """Each of ``years`` against the one before it in the list."""
+    runs = {y: model.train(b.where(F.year("bar_date") == y), i.where(F.year("bar_date") == y), st, 2, 2, 0.1) for y in years}
+    out = None
+    for y, to in zip(years, years[1:], strict=False):
+        one = model.cross_year(runs[to]["p"], runs[y]["steps"], runs[to]["steps"]).select(F.lit(y).alias("from_year"), F.lit(to).alias("to_year"), "stale", "direct", "ratio")
+        out = one if out is None else out.union(one)
+    return out
+
+
 _CALENDAR = (1996, 1997, 1998, 1999, 2000)
 
 
@@ -439,12 +458,7 @@ _CALENDAR = (1996, 1997, 1998, 1999, 2000)
 def _(s, d):
     """Anchors of each calendar year of weekly bars, and how often each ticker is one."""
     b, i, st = derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d)
-    out = None
-    for year in _CALENDAR:
-        inside = F.year("bar_date") == year
-        steps = model.train(b.where(inside), i.where(inside), st, 2, 2, 0.1)["steps"].select(F.lit(year).alias("year"), "ticker")
-        out = steps if out is None else out.union(steps)
-    return r(model.anchor_frequency(out).withColumn("years", F.array_join(F.col("years").cast("array<string>"), ",")))
+    return r(_anchor_frequency(b, i, st, _CALENDAR).withColumn("years", F.array_join(F.col("years").cast("array<string>"), ",")))
 
 
 _YEARS = (1997, 1998, 1999)
@@ -459,13 +473,26 @@ _YEARS = (1997, 1998, 1999)
     + ")",
 )
 def _(s, d):
+    return r(_cross_years(derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d), _YEARS))
+
+
+def _years(index: DataFrame) -> list[int]:
+    """All calendar years of the index: one row by year."""
+    return sorted(x["year"] for x in index.select(F.year("bar_date").alias("year")).distinct().collect())
+
+
+@query("anchor_frequency_all")
+def _(s, d):
+    """``anchor_frequency`` over every year of the data; no SQL, which lists its years."""
     b, i, st = derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d)
-    runs = {y: model.train(b.where(F.year("bar_date") == y), i.where(F.year("bar_date") == y), st, 2, 2, 0.1) for y in _YEARS}
-    out = None
-    for y in _YEARS[:-1]:
-        one = model.cross_year(runs[y + 1]["p"], runs[y]["steps"], runs[y + 1]["steps"]).select(F.lit(y).alias("from_year"), F.lit(y + 1).alias("to_year"), "stale", "direct", "ratio")
-        out = one if out is None else out.union(one)
-    return r(out)
+    return r(_anchor_frequency(b, i, st, _years(i)).withColumn("years", F.array_join(F.col("years").cast("array<string>"), ",")))
+
+
+@query("cross_year_all")
+def _(s, d):
+    """``cross_year`` over every pair of consecutive years of the data; no SQL, which lists its years."""
+    b, i, st = derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d)
+    return r(_cross_years(b, i, st, _years(i)))
 
 
 def _measure_sql() -> str:
