@@ -1,11 +1,10 @@
-"""Substring dedup by relative Lempel-Ziv parsing against every indexed reference block.
+"""Substring dedup by counting minimiser blocks and runs, in place of a relative Lempel-Ziv parse: no factor is extended or measured.
 
 Every run of ``width`` words has an anchor: its smallest ``gram``-word hash, the leftmost of equals.
 Consecutive runs with one anchor make a block, at most ``2 * width - gram`` words. All blocks of all
-documents are the reference, indexed by the hash of their anchor. A document is parsed into its blocks
-in order: a block that occurs elsewhere as a whole extends the current factor; a block whose anchor
-occurs elsewhere, but within other words, is a factor boundary, and each of its runs is looked up among
-the runs of the reference blocks with that anchor. Equal runs have equal anchors at equal places, so
+documents are the reference, indexed by the hash of their anchor. A block that
+occurs elsewhere as a whole is marked; of a block whose anchor occurs elsewhere, but within other words,
+each run is looked up among the runs of the reference blocks with that anchor. Equal runs have equal anchors at equal places, so
 this finds each run that occurs twice, and nothing else (up to collisions of 64-bit hashes).
 
 Blocks are aggregated before they are joined, one representative stands for all equal blocks, and
