@@ -1,39 +1,15 @@
-"""Pieces shared by the corpus operators: shared storage, sizing, components."""
+"""Pieces shared by the corpus operators: sizing, components of links."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import discard, materialize, shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it.
-
-    Only a local session without ``spark.checkpoint.dir`` gets one of its own.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _own_folder(spark.sparkContext.applicationId)
-
-
-@lru_cache(maxsize=8)
-def _own_folder(application: str) -> str:
-    return f"file://{tempfile.mkdtemp(prefix=f'spark-shared-{application}-')}"
-
+__all__ = ["HOT", "components", "discard", "materialize", "power_of_two", "shared_folder", "table", "text_bytes"]
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: the lineage ends there."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+HOT = 50_000  # most nodes whose minimum is broadcast
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,35 +29,45 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
+def _with_least(edges: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
+    """``edges(a, b)`` with ``m``, the smallest ``b`` of each ``a``; and the table of these minima.
+
+    Nodes of many edges (over ``2 * count / HOT``, so fewer than ``HOT`` of them whatever the input) get their
+    minimum from a broadcast and are never dealt out by key; all others meet theirs in a join.
+    """
+    low = materialize(edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+    most = max(100, 2 * count // HOT)
+    hot = low.where(F.col("n") > most).select("a", "m")
+    first = edges.join(F.broadcast(hot), "a", "left")
+    cold = low.where(F.col("n") <= most).select("a", F.col("m").alias("least"))
+    rest = first.where("m is null").select("a", "b").join(cold, "a").select("a", "b", F.col("least").alias("m"))
+    return first.where("m is not null").select("a", "b", "m").union(rest), low
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 
     ``edges(a, b)`` are undirected links between long ids. Returns ``(node, component)`` for every
-    node that has a link to another one; ``component`` is the smallest id reachable. Each round is a
-    few shuffles keyed by node with pre-aggregated minima, and is written to the shared folder, so
-    a lost executor costs one round at most. Self-links and repeated links are ignored; no edges
-    give no rows.
+    node that has a link to another one; ``component`` is the smallest id reachable. Each step is a few
+    shuffles with pre-aggregated minima and is written to the shared folder, so a lost executor costs one
+    step at most; tables of earlier steps are removed. Nodes of many links are never dealt out by key.
+    Self-links and repeated links are ignored; no edges give no rows.
     """
-    linked = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    linked = materialize(linked)
+    linked = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     for _ in range(max_rounds):
-        both = linked.union(linked.select("b", "a"))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            large.join(low, "a")
-            .where("b <> m")
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(low.select("a", F.col("m").alias("b")))
-            .distinct()
-        )
-        linked = materialize(small)
         now = linked.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        if now == before or not now[0]:
             break
         before = now
+        both = linked.union(linked.select("b", "a"))
+        met, low = _with_least(both, 2 * now[0])
+        large = materialize(met.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct())
+        met, least = _with_least(large, now[0])
+        small = met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).distinct()
+        after = materialize(small)
+        discard(linked, low, large, least)
+        linked = after
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     nodes = linked.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")

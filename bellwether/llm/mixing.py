@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import materialize
+from .survivors import KEY, column, free_name, row_key
 
 BLOCK = 128
 ONE = 1 << 24
@@ -33,36 +34,35 @@ def _hash32(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def targets(sources: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, rounds: int = 1000) -> DataFrame:
+def targets(sources: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """``sources(source, source_size)`` with ``target``: ``share`` of all words dealt by weight, no more than ``most`` times a source's own.
 
     Sources by code point, null last, weigh ``weights`` in turn. What a source cannot take is dealt
-    again among the rest by weight, until none is above its limit. One row by source: the ranking is
-    the only step that needs them all together.
+    again among the rest by weight: in order of limit by weight, the sources that are full are the first ones, so one
+    running sum finds the level of all others. One row by source: this order is the only step that needs them all together.
     """
     turn = (F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
     dealt = sources.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int")).cast("double")).withColumn("limit", most * F.col("source_size"))
     dealt = materialize(dealt)
     whole = share * (dealt.agg(F.sum("source_size")).first()[0] or 0)
-    level, full = None, -1
-    for _ in range(rounds):
-        above = F.lit(False) if level is None else F.col("weight") * level >= F.col("limit")
-        now = dealt.agg(F.count_if(above), F.sum(F.when(above, F.col("limit")).otherwise(0.0)), F.sum(F.when(above, 0.0).otherwise(F.col("weight")))).first()
-        if now[0] == full or not now[2]:
-            break
-        full, level = now[0], (whole - now[1]) / now[2]
-    level = 0.0 if level is None else level
-    return dealt.select("source", "source_size", F.least(F.col("limit"), F.col("weight") * level).alias("target"))
-
-
-def copies(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
-    """``(doc_id, row_hash, source, size, source_size, target, copies)`` of every row of ``docs``.
-
-    Null texts and ids, repeated ids and rows are rows of their own; equal rows are told apart by order
-    alone. A source of no words has target 0 and gives no copies. Other columns are ignored.
+    by_fill = W.orderBy(F.col("limit") / F.col("weight"), "source")
+    full = F.coalesce(F.sum("limit").over(by_fill.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    left = F.sum("weight").over(by_fill.rowsBetween(0, W.unboundedFollowing))
+    levels = dealt.select("weight", "limit", ((F.lit(whole) - full) / left).alias("level"))
+    level = levels.where("weight * level < limit").agg(F.max("level")).first()[0]
+    target = F.col("limit") if level is None else F.least(F.col("limit"), F.col("weight") * level)
+    return dealt.select("source", "source_size", target.alias("target"))
+
+
+def copies(docs: DataFrame, seed: str = "mix", keys: tuple[str, ...] = (), **shares) -> DataFrame:
+    """``(doc_id, source, size, source_size, target, copies)`` of every row of ``docs``, and its columns ``keys``.
+
+    Null texts and ids, repeated ids and rows are rows of their own; rows that are equal in all of these columns are told
+    apart by order alone. A source of no words has target 0 and gives no copies. Other columns are ignored.
     """
-    key = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    slim = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), F.md5(key).alias("order_key"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    key = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(text))
+    slim = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), F.md5(key).alias("order_key"), *keys)
     bits = F.length(F.bin("size"))
     steps = F.when(F.col("size") < 16, F.col("size")).otherwise(bits * 8 + F.expr("shiftright(size, length(bin(size)) - 4)") % 8 + 100)
     slim = materialize(slim.withColumn("class", steps.cast("int")).withColumn("u", F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long")))
@@ -88,10 +88,10 @@ def copies(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
         .join(blocks.alias("b"), F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.class") == F.col("b.class")) & (F.col("d.part") == F.col("b.part")))
         .select("d.*", "part_start")
     )
-    inside = F.row_number().over(W.partitionBy("source", "class", "part").orderBy("size", "order_key", "doc_id"))
+    inside = F.row_number().over(W.partitionBy("source", "class", "part").orderBy("size", "order_key", "doc_id", *keys))
     rows = rows.withColumn("place", F.col("class_start") + F.col("part_start") + inside)
     crossed = F.expr(f"(place * step + offset) div {ONE} - ((place - 1) * step + offset) div {ONE}")
-    return rows.select("doc_id", "source", "size", "source_size", "target", crossed.alias("copies"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", crossed.alias("copies"), *keys)
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
@@ -100,16 +100,24 @@ def taken(docs: DataFrame, **options) -> DataFrame:
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed rows of ``docs``: each as often as it was drawn. Ids must be distinct; of rows with one id the counts are added up and shared out evenly."""
-    drawn = copies(docs, **options).groupBy("doc_id").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows")).withColumnRenamed("doc_id", "__id")
-    times = F.expr("cast(ceil(__copies / __rows) as int)")
-    return docs.join(drawn, F.col("doc_id").eqNullSafe(F.col("__id"))).where("__copies > 0").withColumn("__k", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
+    """The mixed rows of ``docs``: each as often as it was drawn, with all its columns.
+
+    Rows are told apart by all their columns; of equal rows the draws are added up, and the row comes that often.
+    """
+    names = [free_name(docs, k) for k in KEY]
+    keyed = docs.select(*map(column, docs.columns), *(c.alias(n) for c, n in zip(row_key(docs), names, strict=True)))
+    plain = docs.select("doc_id", "source", "text", *row_key(docs))
+    times = free_name(docs, "times")
+    drawn = copies(plain, keys=tuple(KEY), **options).groupBy(*KEY).agg(F.sum("copies").cast("int").alias(times)).where(F.col(times) > 0)
+    drawn = drawn.select(*(F.col(k).alias(n) for k, n in zip(KEY, names, strict=True)), times)
+    again = F.explode(F.array_repeat(F.lit(1), F.col(times)))
+    return keyed.dropDuplicates(names).join(drawn, names).withColumn(times, again).select(*map(column, docs.columns))
 
 
 SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS order_key
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS order_key
   FROM documents
 ), slim AS (
   SELECT *, CASE WHEN size < 16 THEN size ELSE length(bin(size)) * 8 + (size >> CAST(length(bin(size)) - 4 AS BIGINT)) % 8 + 100 END AS class,

@@ -8,8 +8,10 @@ Jaccard similarity of 4/5 or more. Candidates come from two sides, and each is v
   any common order of the shingles their first n - ceil(4n/5) + 1 have one in common.
 
 The order puts shingles first that few texts have, by a count of fixed size (``SLOTS``); it decides the cost and not
-the pairs. Equal sets are folded first. In each group of one prefix shingle all members are compared with the smallest;
-only members that are still in different components are compared with each other.
+the pairs. Equal sets are folded first. Prefixes travel as a few packed rows by hash bucket, 12 bytes a shingle, and
+a bucket gives out the distinct lists of sets that share one. Verification goes in rounds: each set with the set it
+shares most with; then the smallest of each list with its members; then all members of a list that are still in
+different components. A set travels to the smallest member of its list, in parts if that has many, and not with each pair.
 """
 
 from __future__ import annotations
@@ -21,12 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize, power_of_two
+from . import packed
+from .common import HOT, components, discard, materialize, power_of_two, text_bytes
 from .simhash_ball import NODES, fingerprint, links
+from .survivors import KEY, keep_first, named_by_least, row_key
 from .tokens import LOWER, mix, slices, window_hashes, words
 
-SLOTS = 1 << 18  # counters of the order
-WANTED = 1 << 22  # slots of the filter that spares sets no pair asks for
+SLOTS = 1 << 20  # counters of the order
+PARTS = 16  # rows of counters that each task sends
+WANTED = 1 << 22  # slots of the filter that spares texts no pair asks for
+HELD = 1 << 20  # prefix shingles that a task holds before it sends them
 PAIRS = 1 << 20  # pairs compared at once in a group
 
 
@@ -55,93 +61,212 @@ def _keys(text: np.ndarray, h: np.ndarray, rows: int) -> tuple[np.ndarray, np.nd
     return mix(total[first[1:]] - total[first[:-1]] + np.diff(first).astype(np.uint64)).view(np.int64), first
 
 
-def _order(docs: DataFrame, width: int) -> np.ndarray:
-    """How many texts have a shingle of each slot."""
-    parts = 16
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(SLOTS, dtype=np.int64)
-        for b in (x for y in batches for x in slices(y)):
-            count += np.bincount((shingles(b.column("text"), width)[1] % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
-        yield pa.record_batch([pa.array(range(parts), pa.int32()), pa.array([x.tobytes() for x in count.reshape(parts, -1)], pa.binary())], names=["part", "counts"])
-
-    def add_up(t: pa.Table) -> pa.Table:
-        out = sum(np.frombuffer(x, np.int64) for x in t.column("counts").to_pylist())
-        return pa.table({"part": t.column("part")[:1], "counts": pa.array([out.tobytes()], pa.binary())})
-
-    rows = docs.select("text").mapInArrow(tally, "part int, counts binary").groupBy("part").applyInArrow(add_up, "part int, counts binary").collect()
-    out = np.zeros((parts, SLOTS // parts), dtype=np.int64)
-    for r in rows:
-        out[r["part"]] = np.frombuffer(r["counts"], np.int64)
-    return out.ravel()
+def _prefix(n: np.ndarray) -> np.ndarray:
+    """How many shingles of a set of each size any similar set must share one of."""
+    return np.where(n > 0, n - (4 * n + 4) // 5 + 1, 0)
 
 
-def _marked(docs: DataFrame, width: int) -> DataFrame:
-    """``(doc_id, key, fp, n, prefix)`` of every row: hash, fingerprint, size and first shingles of its set."""
-    shared = docs.sparkSession.sparkContext.broadcast(_order(docs, width))
+def _marked(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
+    """``KEY``, ``key``, ``fp`` and ``n`` of every row: hash, fingerprint and size of its set; and how many texts have a shingle of each slot."""
+    kind = "k_id long, k_null boolean, k_text long, k_rest long, key long, fp long, n long, part int, counts binary"
+    names = [c.split()[0] for c in kind.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(SLOTS, dtype=np.uint32)
         for b in (x for y in batches for x in slices(y)):
             text, h = shingles(b.column("text"), width)
+            count += np.bincount((h % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS).astype(np.uint32)
             key, first = _keys(text, h, b.num_rows)
-            h = h[np.lexsort((h, shared.value[(h % np.uint64(SLOTS)).astype(np.int64)], text))]
-            n = np.diff(first)
-            prefix = [h[i : i + k - (4 * k + 4) // 5 + 1].tobytes() if k else b"" for i, k in zip(first.tolist(), n.tolist(), strict=False)]
             fp = [fingerprint((x.as_buffer().to_pybytes() if x.is_valid else b"").lower().split(), width) for x in b.column("text")]
-            yield pa.record_batch(
-                [b.column("doc_id"), pa.array(key), pa.array(np.array(fp, dtype=np.uint64).view(np.int64), pa.int64()), pa.array(n.astype(np.int64)), pa.array(prefix, pa.binary())],
-                names=["doc_id", "key", "fp", "n", "prefix"],
-            )
+            none = pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())
+            yield pa.record_batch([*(b.column(k) for k in KEY), pa.array(key), pa.array(np.array(fp, dtype=np.uint64).view(np.int64), pa.int64()), pa.array(np.diff(first).astype(np.int64)), *none], names=names)
+        some = [k for k, x in enumerate(count.reshape(PARTS, -1)) if x.any()]
+        if some:
+            rows = [pa.nulls(len(some), t) for t in (pa.int64(), pa.bool_(), *[pa.int64()] * 5)]
+            yield pa.record_batch([*rows, pa.array(some, pa.int32()), pa.array([count.reshape(PARTS, -1)[k].tobytes() for k in some], pa.binary())], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, key long, fp long, n long, prefix binary")
+    def add_up(t: pa.Table) -> pa.Table:
+        out = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in t.column("counts").to_pylist())
+        return pa.table({"part": t.column("part")[:1], "counts": pa.array([out.tobytes()], pa.binary())})
 
+    both = materialize(docs.select(*row_key(docs), "text").mapInArrow(run, kind))
+    order = np.zeros((PARTS, SLOTS // PARTS), dtype=np.int64)
+    for r in both.where("part is not null").select("part", "counts").groupBy("part").applyInArrow(add_up, "part int, counts binary").collect():
+        order[r["part"]] = np.frombuffer(r["counts"], np.int64)
+    return both.where("part is null").select(*KEY, "key", "fp", "n"), np.minimum(order.ravel(), 2**32 - 1).astype(np.uint32)
+
+
+def _lists(docs: DataFrame, width: int, order: np.ndarray, buckets: int) -> DataFrame:
+    """``(list, members, weight)``: the distinct lists of two sets or more that share a prefix shingle, and how many shingles each shares."""
+    shared = docs.sparkSession.sparkContext.broadcast(order)
+    bits = buckets.bit_length() - 1
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        seen: set[int] = set()
+
+        def rows() -> pa.RecordBatch:
+            token, key = (np.concatenate(x) for x in zip(*held, strict=True))
+            at, bound = packed.cut(token, buckets)
+            # within a bucket 32 further bits tell shingles apart; a chance meeting is one more pair to verify
+            token, key = (mix(token[at]) >> np.uint64(32 - bits)).astype(np.uint32), key[at]
+            full = [k for k in range(buckets) if bound[k] < bound[k + 1]]
+            held.clear()
+            return pa.record_batch(
+                [pa.array(full, pa.int32()), *(pa.array([x[bound[k] : bound[k + 1]].tobytes() for k in full], pa.binary()) for x in (token, key))], names=["bucket", "tokens", "keys"]
+            )
 
-def _verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """The links ``(a, b)`` of ``pairs(a, b, ka, kb)`` whose sets (of the keys ka and kb) have a similarity of 4/5 or more."""
-    pairs = materialize(pairs)
-    slot = [F.col(k).bitwiseAND(F.lit(WANTED - 1)).alias("slot") for k in ("ka", "kb")]
-    asked = pairs.select(slot[0]).union(pairs.select(slot[1])).distinct().toArrow().column("slot").to_numpy()
+        for b in (x for y in batches for x in slices(y)):
+            text, h = shingles(b.column("text"), width)
+            key, first = _keys(text, h, b.num_rows)
+            new = np.zeros(b.num_rows, dtype=bool)
+            for k, x in enumerate(key.tolist()):
+                new[k] = x not in seen
+                seen.add(x)
+            h = h[np.lexsort((h, shared.value[(h % np.uint64(SLOTS)).astype(np.int64)], text))]
+            n = np.where(new, _prefix(np.diff(first)), 0)
+            at = np.repeat(first[:-1] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            held.append((h[at], np.repeat(key, n)))
+            if sum(len(x) for x, _ in held) > HELD:
+                yield rows()
+        if held and sum(len(x) for x, _ in held):
+            yield rows()
+
+    def meet(t: pa.Table) -> pa.Table:
+        token = np.concatenate([np.frombuffer(x, np.uint32) for x in t.column("tokens").to_pylist()])
+        key = np.concatenate([np.frombuffer(x, np.int64) for x in t.column("keys").to_pylist()])
+        at = np.lexsort((key, token))
+        token, key = token[at], key[at]
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+        token, key = token[new], key[new]
+        begin = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+        size = np.diff(np.append(begin, len(key)))
+        begin, size = begin[size > 1], size[size > 1]
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(key.view(np.uint64) ^ np.uint64(0x115)), dtype=np.uint64)))
+        name = mix(total[begin + size] - total[begin] + size.astype(np.uint64)).view(np.int64)
+        name, one, weight = np.unique(name, return_index=True, return_counts=True)
+        begin, size = begin[one], size[one]
+        flat = key[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        members = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size)))), pa.array(flat)).cast(pa.list_(pa.int64()))
+        return pa.table({"list": pa.array(name), "members": members, "weight": pa.array(weight.astype(np.int64))})
+
+    sent = docs.select("text").mapInArrow(send, "bucket int, tokens binary, keys binary")
+    met = sent.groupBy("bucket").applyInArrow(meet, "list long, members array<long>, weight long")
+    return materialize(met.groupBy("list").agg(F.any_value("members").alias("members"), F.sum("weight").alias("weight")))
+
+
+def _fit(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The distinct ``(ka, kb)`` of sizes that allow a similarity of 4/5."""
+    sizes = nodes.select("key", "n")
+    both = pairs.join(sizes.toDF("ka", "na"), "ka").join(sizes.toDF("kb", "nb"), "kb")
+    return both.where("5 * least(na, nb) >= 4 * greatest(na, nb)").select("ka", "kb")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """The links ``(a, b)`` of the distinct ``pairs(ka, kb)`` whose sets have a similarity of 4/5 or more; ``nodes`` name a row of each set."""
+    hubs = materialize(pairs.groupBy("ka").agg(F.count("*").alias("n")))
+    keys = materialize(pairs.select(F.col("kb").alias("key")).union(hubs.select("ka")).distinct().join(nodes.select("key", "row"), "key"))
+    slots = keys.select(F.col("row").bitwiseAND(F.lit(WANTED - 1)).alias("slot")).distinct().toArrow().column("slot").to_numpy()
     bits = np.zeros(WANTED, dtype=bool)
-    bits[asked] = True
+    bits[slots] = True
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value)
-        for b in (x for y in batches for x in slices(y)):
-            text, h = shingles(b.column("text"), width)
-            key, first = _keys(text, h, b.num_rows)
-            here = np.flatnonzero(wanted[key & (WANTED - 1)])
-            yield pa.record_batch([pa.array(key[here]), pa.array([h[first[k] : first[k + 1]].tobytes() for k in here], pa.binary())], names=["key", "set"])
+        wanted = np.unpackbits(shared.value).astype(bool)
+        for b in batches:
+            b = b.filter(pa.array(wanted[b.column("row").to_numpy() & (WANTED - 1)]))
+            for b in slices(b):  # noqa: PLW2901
+                text, h = shingles(b.column("text"), width)
+                key, first = _keys(text, h, b.num_rows)
+                # 40 bits of each shingle, in order
+                short = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:])
+                yield pa.record_batch([pa.array(key), b.column("row"), pa.array([short[x:y].tobytes() for x, y in zip(first, first[1:], strict=False)], pa.binary())], names=["key", "row", "set"])
+
+    def unpack(x: pa.Scalar) -> np.ndarray:
+        short = np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 5)
+        return np.pad(short, ((0, 0), (3, 0))).view("<u8").ravel()
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
             for x, y in zip(b.column("x"), b.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                x, y = unpack(x), unpack(y)
+                both = len(np.intersect1d(x, y))
                 keep.append(5 * both >= 4 * (len(x) + len(y) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = pairs.select(F.col("ka").alias("key")).union(pairs.select(F.col("kb").alias("key"))).distinct()
-    sets = materialize(docs.select("text").mapInArrow(sets_of, "key long, set binary").dropDuplicates(["key"]).join(wanted, "key", "left_semi"))
-    both = pairs.join(sets.select(F.col("key").alias("ka"), F.col("set").alias("x")), "ka").join(sets.select(F.col("key").alias("kb"), F.col("set").alias("y")), "kb")
-    return materialize(both.select("a", "b", "x", "y").mapInArrow(similar, "a long, b long"))
+    row = F.xxhash64(*row_key(docs)).alias("row")
+    sets = docs.select(row, "text").mapInArrow(sets_of, "key long, row long, set binary").join(keys, ["key", "row"], "left_semi").groupBy("key").agg(F.any_value("set").alias("set"))
+    count = pairs.count()
+    most = max(100, 2 * count // HOT)
+    hot = F.broadcast(hubs.where(F.col("n") > most).select("ka", F.ceil(F.col("n") / most).alias("salts")))
+    salts = F.coalesce("salts", F.lit(1))
+    members = pairs.join(hot, "ka", "left").withColumn("salt", F.pmod(F.xxhash64("kb"), salts)).join(sets.toDF("kb", "y"), "kb").select("ka", "salt", "kb", "y")
+    centres = hubs.join(hot, "ka", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).join(sets.toDF("ka", "x"), "ka").select("ka", "salt", "x")
+    both = members.join(centres, ["ka", "salt"]).select(F.col("ka").alias("a"), F.col("kb").alias("b"), "x", "y")
+    out = materialize(both.mapInArrow(similar, "a long, b long"))
+    discard(hubs, keys)
+    return out
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of members of a group that are in different components and of sizes that allow a similarity of 4/5."""
+    """All pairs of members of a list that are in different components and of sizes that allow a similarity of 4/5."""
     for b in batches:
         for members in b.column("members"):
             m = members.values
-            component, node, key, n = (m.field(k).to_numpy() for k in ("component", "node", "key", "n"))
+            component, key, n = (m.field(k).to_numpy() for k in ("component", "key", "n"))
             step = max(1, PAIRS // len(n))
             for at in range(0, len(n), step):
                 i, j = np.nonzero(component[at : at + step, None] != component[None, :])
                 i += at
-                use = (i < j) & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
-                i, j = i[use], j[use]
-                i, j = np.where(key[i] < key[j], i, j), np.where(key[i] < key[j], j, i)
-                yield pa.record_batch([pa.array(x) for x in (node[i], node[j], key[i], key[j])], names=["a", "b", "ka", "kb"])
+                use = (key[i] < key[j]) & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
+                yield pa.record_batch([pa.array(key[i[use]]), pa.array(key[j[use]])], names=["ka", "kb"])
+
+
+def _grouped(docs: DataFrame, width: int, radius: int) -> DataFrame:
+    """``KEY`` and ``label`` of every row: rows of one label are linked, directly or over others."""
+    marked, order = _marked(docs, width)
+    nodes = materialize(marked.groupBy("key").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min(F.xxhash64(*KEY)).alias("row")))
+
+    # the closest: sets of one fingerprint and fingerprints of one ball
+    least = materialize(nodes.groupBy("fp").agg(F.min("key").alias("ka")))
+    same = nodes.join(least, "fp").where("key <> ka").select("ka", F.col("key").alias("kb"), F.lit(1 << 40).alias("weight"))
+    spread = least.select("fp").repartition(power_of_two(least.count() / NODES, 16))
+    ball = links(spread, radius).toDF("fa", "fb").join(least.toDF("fa", "ka"), "fa").join(least.toDF("fb", "kb"), "fb").select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"), F.lit(1 << 40).alias("weight"))
+
+    # all others: the sets that share a prefix shingle
+    lists = _lists(docs, width, order, power_of_two(text_bytes(docs) / 12e6, 16))
+    hubs = lists.select(F.col("members")[0].alias("ka"), F.explode(F.expr("slice(members, 2, size(members) - 1)")).alias("kb"), "weight")
+    found = materialize(same.union(ball).union(hubs).groupBy("ka", "kb").agg(F.sum("weight").alias("weight")))
+    pairs = materialize(_fit(found, nodes).join(found, ["ka", "kb"]))
+    discard(found)
+    best = materialize(pairs.groupBy("kb").agg(F.max_by("ka", F.struct("weight", -F.col("ka"))).alias("ka")).select("ka", "kb"))
+    linked = _verified(docs, best, nodes, width)
+
+    def apart(some: DataFrame, labels: DataFrame) -> DataFrame:
+        ends = labels.toDF("ka", "ca"), labels.toDF("kb", "cb")
+        return some.join(ends[0], "ka", "left").join(ends[1], "kb", "left").where("coalesce(ca, ka) <> coalesce(cb, kb)").select("ka", "kb")
+
+    tried = best
+    labels = materialize(components(linked))
+    rest = materialize(apart(pairs.select("ka", "kb").join(tried, ["ka", "kb"], "left_anti"), labels))
+    if not rest.isEmpty():
+        linked = materialize(linked.union(_verified(docs, rest, nodes, width)))
+        labels = materialize(components(linked))
+        tried = materialize(tried.union(rest))
+
+    member = lists.where("size(members) > 2").select("list", F.explode("members").alias("key")).join(labels.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    several = member.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("list")
+    member = member.join(several, "list").join(nodes.select("key", "n"), "key")
+    across = member.groupBy("list").agg(F.collect_list(F.struct("component", "key", "n")).alias("members")).select("members").mapInArrow(_across, "ka long, kb long")
+    across = materialize(across.distinct().join(tried, ["ka", "kb"], "left_anti"))
+    if not across.isEmpty():
+        linked = materialize(linked.union(_verified(docs, across, nodes, width)))
+        labels = materialize(components(linked))
+    name = materialize(nodes.join(labels.toDF("key", "component"), "key", "left").select("key", F.coalesce("component", "key").alias("label")))
+    discard(lists, pairs, rest, across, tried, best)
+    return marked.select(*KEY, "key").join(name, "key").select(*KEY, "label")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, radius: int = 2) -> DataFrame:
@@ -149,43 +274,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, radius: int = 2) -> DataFra
 
     Rows, ids and nulls count as in ``simhash_ball.near_duplicates``; texts without words are equal.
     """
-    marked = materialize(_marked(docs, width))
-    nodes = marked.groupBy("key").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("prefix").alias("prefix"))
-    # a set of null ids alone still carries links: it gets an id after all others
-    nodes = materialize(nodes.withColumn("node", F.coalesce("node", F.lit(2**62).cast("long") + F.xxhash64("key").bitwiseAND(F.lit(2**61 - 1)))))
-
-    # the closest: copies of one fingerprint and fingerprints of one ball
-    least = materialize(nodes.groupBy("fp").agg(F.min(F.struct("node", "key")).alias("x")).select("fp", F.col("x.node").alias("node"), F.col("x.key").alias("key")))
-    same = nodes.join(least.select("fp", F.col("node").alias("a"), F.col("key").alias("ka")), "fp").where("key <> ka").select("a", F.col("node").alias("b"), "ka", F.col("key").alias("kb"))
-    spread = least.select(F.col("key").alias("node"), "fp").repartition(power_of_two(least.count() / NODES, 16))
-    ends = [least.select(F.col("key").alias(k), F.col("node").alias(n)) for k, n in (("ka", "a"), ("kb", "b"))]
-    ball = links(spread, radius).toDF("ka", "kb").join(ends[0], "ka").join(ends[1], "kb").select("a", "b", "ka", "kb")
-
-    # all others: a group for each shingle that is in two prefixes
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h = np.frombuffer(b"".join(b.column("prefix").to_pylist()), np.int64)
-            row = np.repeat(np.arange(b.num_rows), [len(x.as_buffer()) // 8 for x in b.column("prefix")])
-            yield pa.record_batch([pa.array(h), *(b.column(c).take(pa.array(row)) for c in ("node", "key", "n"))], names=["token", "node", "key", "n"])
-
-    listed = nodes.select("prefix", "node", "key", "n").mapInArrow(tokens, "token long, node long, key long, n long")
-    groups = listed.groupBy("token").agg(F.collect_list(F.struct("node", "key", "n")).alias("members")).where("size(members) > 1")
-    groups = materialize(groups.select("token", F.array_min("members").alias("hub"), F.explode("members").alias("m")))
-    fits = "5 * least(hub.n, m.n) >= 4 * greatest(hub.n, m.n) and hub.key <> m.key"
-    hubs = groups.where(fits).select(F.col("hub.node").alias("a"), F.col("m.node").alias("b"), F.col("hub.key").alias("ka"), F.col("m.key").alias("kb"))
-    linked = _verified(docs, same.union(ball).union(hubs).distinct(), width)
-
-    found = components(linked)
-    rest = groups.select("token", "m.*").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest = rest.groupBy("token").agg(F.collect_list(F.struct("component", "node", "key", "n")).alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    across = rest.select("members").mapInArrow(_across, "a long, b long, ka long, kb long").distinct()
-    found = components(linked.union(_verified(docs, across, width)))
-
-    name = nodes.join(found, "node", "left").select("key", F.coalesce("component", "node").alias("component_id"))
-    return marked.select("doc_id", "key").join(name, "key").select("doc_id", F.when(F.col("component_id") < 2**62, F.col("component_id")).alias("component_id"))
+    grouped = materialize(_grouped(docs.select("doc_id", "text"), width, radius))
+    out = grouped.join(materialize(named_by_least(grouped, "label")), "label")
+    return out.select(F.when(~F.col("k_null"), F.col("k_id")).alias("doc_id"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; null ids without a named one stay; repeated ids once."""
-    marked = near_duplicates(docs).where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(marked, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    """One row of ``docs`` for each component: the one with the smallest id (``survivors.keep_first``); all columns stay."""
+    return keep_first(docs, _grouped(docs, 5, 2), "label")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, materialize, power_of_two
+from .survivors import KEY, keep_first, named_by_least, row_key
 
 NODES = 1 << 17  # most fingerprints whose variants one task makes
 
@@ -42,36 +43,44 @@ def fingerprint(words: list[bytes], shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)``: the fingerprint of every whole text, lower-cased A-Z, as a signed long; null counts as empty."""
+    """``KEY`` of each row and ``fp``: the fingerprint of its whole text, lower-cased A-Z, as a signed long; null counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = [fingerprint((x.as_buffer().to_pybytes() if x.is_valid else b"").lower().split(), shingle) for x in b.column("text")]
-            yield pa.record_batch([b.column("doc_id"), pa.array(np.array(out, dtype=np.uint64).view(np.int64), pa.int64())], names=["doc_id", "fp"])
+            yield pa.record_batch([*(b.column(k) for k in KEY), pa.array(np.array(out, dtype=np.uint64).view(np.int64), pa.int64())], names=[*KEY, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(*row_key(docs), "text").mapInArrow(run, "k_id long, k_null boolean, k_text long, k_rest long, fp long")
 
 
-def masks(radius: int) -> tuple[list[int], int]:
-    """All changes of up to half the radius (rounded up) as signed longs, and how many of the first are within its floor."""
+def masks(radius: int) -> list[int]:
+    """All changes of up to half the radius (rounded up) as signed longs."""
     out = [0]
-    floor = 1
     for k in range(1, (radius + 1) // 2 + 1):
         out += [sum(1 << b for b in bits) for bits in combinations(range(64), k)]
-        if k <= radius // 2:
-            floor = len(out)
-    return [m - (1 << 64) if m >= 1 << 63 else m for m in out], floor
+    return [m - (1 << 64) if m >= 1 << 63 else m for m in out]
 
 
-def links(nodes: DataFrame, radius: int = 2) -> DataFrame:
-    """Links ``(a, b)`` between the nodes of ``nodes(node, fp)`` that connect all pairs within ``radius``; fp is distinct."""
-    changes, floor = masks(radius)
-    at = ", ".join(f"{m}L" if m != -(1 << 63) else "shiftleft(1L, 63)" for m in changes)
-    ball = nodes.select("node", "fp", F.posexplode(F.expr(f"transform(array({at}), m -> fp ^ m)")).alias("change", "variant"))
-    near = F.when(F.col("change") < floor, F.col("node"))
-    met = ball.groupBy("variant").agg(F.min(near).alias("hub"), F.collect_list(F.struct("node", "fp")).alias("members"), F.min_by("fp", near).alias("hub_fp")).where("size(members) > 1 and hub is not null")
-    pairs = met.select("hub", "hub_fp", F.explode("members").alias("m")).where("m.node <> hub")
-    return pairs.where(F.bit_count(F.col("hub_fp").bitwiseXOR(F.col("m.fp"))) <= radius).select(F.col("hub").alias("a"), F.col("m.node").alias("b")).distinct()
+def links(prints: DataFrame, radius: int = 2) -> DataFrame:
+    """Links ``(a, b)`` between fingerprints of ``prints(fp)``, which are distinct, that connect all pairs within ``radius``."""
+    at = ", ".join(f"{m}L" if m != -(1 << 63) else "shiftleft(1L, 63)" for m in masks(radius))
+    ball = prints.select("fp", F.explode(F.expr(f"transform(array({at}), m -> fp ^ m)")).alias("variant"))
+    near = F.when(F.bit_count(F.col("fp").bitwiseXOR(F.col("variant"))) <= radius // 2, F.col("fp"))
+    met = ball.groupBy("variant").agg(F.min(near).alias("hub"), F.collect_list("fp").alias("members")).where("size(members) > 1 and hub is not null")
+    pairs = met.select("hub", F.explode("members").alias("fp")).where("fp <> hub")
+    return pairs.where(F.bit_count(F.col("hub").bitwiseXOR(F.col("fp"))) <= radius).select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+
+
+def _grouped(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """``KEY``, ``fp`` and ``label`` of every row: rows of one label are linked, directly or over others."""
+    marked = materialize(fingerprints(docs, shingle))
+    prints = marked.select("fp").distinct()
+    # every print becomes many variants: tasks by number of prints, not by bytes read
+    prints = materialize(prints.repartition(power_of_two(prints.count() / NODES, 16)))
+    found = components(links(prints, radius))
+    name = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("label"))
+    # a written table, so that Spark can split the rows of a frequent print
+    return marked.join(materialize(name), "fp")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
@@ -79,22 +88,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
 
     Every row of ``docs`` gives a row; repeated ids and texts, empty and null texts (fingerprint zero)
     link like any other. Rows with a null id keep their fingerprint and take part in a component
-    without naming it; one of null ids alone has a null component. Other columns are ignored.
+    without naming it; one of null ids alone has a null component. Ids may be any long. Other columns are ignored.
     """
-    marked = materialize(fingerprints(docs, shingle))
-    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    named = nodes.where("node is not null")
-    # a fingerprint of null ids alone still carries links: it gets an id after all others
-    nodes = named.union(nodes.where("node is null").select("fp", F.lit(2**62).cast("long") + F.xxhash64("fp").bitwiseAND(F.lit(2**61 - 1)))).select("fp", "node")
-    # every node becomes many variants: tasks by number of nodes, not by bytes read
-    spread = nodes.repartition(power_of_two(nodes.count() / NODES, 16))
-    found = components(links(spread, radius))
-    name = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    out = marked.join(name, "fp", "left")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("component_id") < 2**62, F.col("component_id")).alias("component_id"))
+    grouped = materialize(_grouped(docs.select("doc_id", "text"), shingle, radius))
+    out = grouped.join(materialize(named_by_least(grouped, "label")), "label")
+    return out.select(F.when(~F.col("k_null"), F.col("k_id")).alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; null ids without a named one stay; repeated ids once."""
-    marked = near_duplicates(docs, shingle, radius).where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(marked, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    """One row of ``docs`` for each component: the one with the smallest id (``survivors.keep_first``); all columns stay."""
+    return keep_first(docs, _grouped(docs, shingle, radius), "label")

@@ -173,9 +173,10 @@ def test_ball_links_reach_all_pairs(spark, radius):
     rng = np.random.default_rng(radius)
     fp = sorted({int(x) ^ int(sum(1 << int(b) for b in rng.integers(0, 64, rng.integers(0, 4)))) for x in rng.integers(0, 1 << 62, 3) for _ in range(25)} | {0, 1 << 63})
     signed = [x - (1 << 64) if x >> 63 else x for x in fp]
-    nodes = spark.createDataFrame(list(enumerate(signed)), "node long, fp long")
-    found = {r["node"]: r["component"] for r in common.components(simhash_ball.links(nodes, radius)).collect()}
-    assert [found.get(k, k) for k in range(len(fp))] == brute_components(len(fp), lambda i, j: i != j and (fp[i] ^ fp[j]).bit_count() <= radius)
+    found = {r["node"]: r["component"] for r in common.components(simhash_ball.links(spark.createDataFrame([(x,) for x in signed], "fp long"), radius)).collect()}
+    label = brute_components(len(fp), lambda i, j: i != j and (fp[i] ^ fp[j]).bit_count() <= radius)
+    least = {k: min(x for x, m in zip(signed, label, strict=True) if m == k) for k in label}
+    assert [found.get(x, x) for x in signed] == [least[k] for k in label]
 
 
 def test_simhash_edges(spark):
