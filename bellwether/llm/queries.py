@@ -60,7 +60,7 @@ def op9_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rlz_dedup.strip(table(spark, sf_dir, "documents")).drop("kept", "spans")
+    return rlz_dedup.strip(table(spark, sf_dir, "documents")).drop("kept", "spans", "factors")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,11 +1,15 @@
-"""Substring dedup by counting minimiser blocks and runs, in place of a relative Lempel-Ziv parse: no factor is extended or measured.
+"""Substring dedup by a relative Lempel-Ziv parse against blocks of the whole corpus.
 
 Every run of ``width`` words has an anchor: its smallest ``gram``-word hash, the leftmost of equals.
 Consecutive runs with one anchor make a block, at most ``2 * width - gram`` words. All blocks of all
-documents are the reference, indexed by the hash of their anchor. A block that
-occurs elsewhere as a whole is marked; of a block whose anchor occurs elsewhere, but within other words,
-each run is looked up among the runs of the reference blocks with that anchor. Equal runs have equal anchors at equal places, so
-this finds each run that occurs twice, and nothing else (up to collisions of 64-bit hashes).
+documents are the reference: an index has each distinct block once, with the first and the last place it stands at.
+
+A document is parsed from left to right: a block of it that the index has at another place opens a factor that copies
+from there, and the factor is extended as long as the next block goes on at the next words of the same source. Every factor
+holds at least one run, so it is long enough to be a duplicate span. What lies between and at the ends of factors
+(blocks whose anchor occurs elsewhere, but within other words) is checked run by run: each of these runs is looked up among
+the runs of the reference blocks with that anchor, and found ones join the factors. Equal runs have equal anchors at equal places, so this
+finds each run that occurs twice. Blocks are told apart by two 64-bit hashes, and so are runs.
 
 Blocks are aggregated before they are joined, one representative stands for all equal blocks, and
 frequent anchors are split by Spark's skew join, so no passage makes a large group.
@@ -26,11 +30,15 @@ from .tokens import Words, mix, slices, sliding_min, window_hashes, words
 
 GRAM = 8
 KEY = ["doc_id", "text_hash"]
+NO_ID = -(2**63)
+#: A place as one number: 32 bits of a hash of the row, so that neighbours of one row sort alike, then the word.
+PLACE = "(xxhash64(doc_id, text_hash) & -4294967296) | start"
+WORD = 2**32 - 1
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
 def parse(w: Words, width: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -74,80 +82,125 @@ def _blocks(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _boundary_runs(docs: DataFrame, width: int) -> DataFrame:
-    """Of each text, the runs of the blocks in its ``todo``: their place, hash and weight."""
+    """Of each text, the runs of the blocks in its ``todo``: their place, two hashes and weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (part for b in batches for part in slices(b)):
             w = words(b.column("text"))
-            runs = window_hashes(w.hashes, width)
+            runs, second = window_hashes(w.hashes, width), window_hashes(mix(w.hashes ^ np.uint64(0x9D5)), width)
             todo = b.column("todo")
             doc = np.repeat(np.arange(b.num_rows), np.diff(todo.offsets.to_numpy()))
             start, n, weight = (todo.flatten().field(k).to_numpy().astype(np.int64) for k in range(3))
             row = np.repeat(np.arange(len(doc)), n)
             place = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             doc = doc[row]
+            at = w.first[doc] + place
             yield pa.record_batch(
-                [b.column("doc_id").take(pa.array(doc)), b.column("text_hash").take(pa.array(doc)), pa.array(place.astype(np.int32)), pa.array(runs[w.first[doc] + place].view(np.int64)), pa.array(weight[row].astype(np.int32))],
-                names=["doc_id", "text_hash", "start", "run", "weight"],
+                [*(b.column(k).take(pa.array(doc)) for k in KEY), pa.array(place.astype(np.int32)), pa.array(runs[at].view(np.int64)), pa.array(second[at].view(np.int64)), pa.array(weight[row].astype(np.int32))],
+                names=[*KEY, "start", "run", "second", "weight"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, start int, run long, weight int")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, start int, run long, second long, weight int")
+
+
+def _ends() -> list:
+    """The first and the last place of equal things, and the ids of their rows."""
+    return [F.min("place").alias("first"), F.max("place").alias("last"), F.min_by("doc_id", "place").alias("first_doc"), F.max_by("doc_id", "place").alias("last_doc")]
+
 
+def _source() -> list:
+    """The place to copy from: the first one, or for that one the last."""
+    me = F.col("place") == F.col("first")
+    return [F.when(me, F.col("last_doc")).otherwise(F.col("first_doc")).alias("source"), F.when(me, F.col("last")).otherwise(F.col("first")).bitwiseAND(F.lit(WORD)).cast("int").alias("source_start")]
 
-def factors(docs: DataFrame, width: int = 35) -> DataFrame:
-    """``(doc_id, text_hash, start, runs)``: each row says that ``runs`` runs from word ``start`` on occur elsewhere."""
+
+def matches(docs: DataFrame, width: int = 35) -> DataFrame:
+    """``(doc_id, text_hash, start, runs, source, source_start)``: ``runs`` runs from word ``start`` on also stand at word ``source_start`` of the row ``source``."""
     found = materialize(_classified(docs, width))
     todo = found.where("boundary").groupBy(*KEY).agg(F.collect_list(F.struct("start", "runs", "weight")).alias("todo"))
-    edges = _boundary_runs(docs.join(todo, KEY), width)
-    repeated = edges.groupBy("run").agg(F.sum("weight").alias("n")).where("n > 1").select("run")
-    single = edges.where("weight = 1").join(repeated, "run", "left_semi").select(*KEY, "start", F.lit(1).alias("runs"))
-    return found.where("whole").select(*KEY, "start", "runs").union(single)
+    edges = _boundary_runs(docs.join(todo, KEY), width).withColumn("place", F.expr(PLACE))
+    repeated = edges.groupBy("run", "second").agg(F.sum("weight").alias("n"), *_ends()).where("n > 1")
+    single = edges.where("weight = 1").join(repeated, ["run", "second"]).select(*KEY, "start", F.lit(1).alias("runs"), *_source())
+    return found.where("whole").select(*KEY, "start", "runs", "source", "source_start").union(single)
 
 
 def _classified(docs: DataFrame, width: int) -> DataFrame:
-    # a place is one number: of equal blocks the smallest place stands for all. Should two of them hash alike, both
-    # stand, each with weight 2 as before; different blocks have different smallest places
     # never null; said here, so that the joins add no filters of their own and their exchanges stay alike
-    blocks, place = _blocks(docs, width).where("anchor is not null and block is not null"), F.xxhash64(*KEY, "start")
-    index = blocks.groupBy("anchor", "block").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-    # reads both columns of the index, so that one exchange serves here and in the join
-    anchors = index.groupBy("anchor").agg(F.sum("n").alias("all"), (F.min("first") < F.max("first")).alias("several")).where("all > 1")
-    index = index.join(anchors, "anchor").select("anchor", "block", "n", "first", "several")
-    mine = place == F.col("first")
+    blocks = _blocks(docs, width).where("anchor is not null and block is not null").withColumn("place", F.expr(PLACE))
+    index = blocks.groupBy("anchor", "block").agg(F.count("*").alias("n"), *_ends())
+    # reads all columns of the index, so that one exchange serves here and in the join
+    read = F.max(F.xxhash64("first", "last", "first_doc", "last_doc")).alias("read")
+    anchors = index.groupBy("anchor").agg(F.sum("n").alias("all"), (F.count("*") > 1).alias("several"), read).where("all > 1 and read is not null")
+    index = index.join(anchors.drop("read"), "anchor")
+    # of equal blocks the first place stands for all, with weight 2
+    mine = F.col("place") == F.col("first")
     return blocks.join(index, ["anchor", "block"]).select(
-        *KEY, "start", "runs", (F.col("n") > 1).alias("whole"), (F.col("several") & ((F.col("n") == 1) | mine)).alias("boundary"), F.least("n", F.lit(2)).cast("int").alias("weight")
+        *KEY, "start", "runs", (F.col("n") > 1).alias("whole"), (F.col("several") & ((F.col("n") == 1) | mine)).alias("boundary"), F.least("n", F.lit(2)).cast("int").alias("weight"), *_source()
     ).where("whole or boundary")
 
 
+def chain(doc: np.ndarray, start: np.ndarray, runs: np.ndarray, source: np.ndarray, source_start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Greedy factors of matches: each is extended while the next match goes on in the text and in the source."""
+    at = np.lexsort((start, doc))
+    doc, start, runs, source, source_start = (x[at] for x in (doc, start, runs, source, source_start))
+    on = (doc[1:] == doc[:-1]) & (start[1:] == start[:-1] + runs[:-1]) & (source[1:] == source[:-1]) & (source_start[1:] == source_start[:-1] + runs[:-1])
+    begin = np.flatnonzero(np.concatenate((np.ones(min(1, len(doc)), bool), ~on)))
+    return doc[begin], start[begin], np.add.reduceat(runs, begin) if len(begin) else runs, source[begin], source_start[begin]
+
+
 def strip(docs: DataFrame, width: int = 35) -> DataFrame:
-    """``(doc_id, n_words, n_removed, kept_sha256, kept, spans)`` of every row.
+    """``(doc_id, n_words, n_removed, kept_sha256, kept, spans, factors)`` of every row.
 
     A word goes if a run of ``width`` words that covers it also starts elsewhere, in the same text or in
     any other row; a repeated row is another place. ``spans`` are the removed (begin, end) word ranges,
-    ``kept`` the other words joined by one space. Null texts count as empty; texts shorter than ``width``
+    ``kept`` the other words joined by one space, ``factors`` the parse: from word ``begin`` on, ``words`` words copy those
+    of document ``source`` from ``source_begin`` on (null: a row without id). Null texts count as empty; texts shorter than ``width``
     words stay whole; null ids come back as null. Other columns are ignored.
     """
     docs = _keyed(docs)
-    marks = factors(docs, width).groupBy(*KEY).agg(F.collect_list(F.struct("start", "runs")).alias("marks"))
+    marks = matches(docs, width).groupBy(*KEY).agg(F.collect_list(F.struct("start", "runs", "source", "source_start")).alias("marks"))
+    factor = pa.struct([(k, pa.int64()) for k in ("begin", "words", "source", "source_begin")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (part for b in batches for part in slices(b)):
-            w = words(b.column("text"))
-            out = []
-            for k, marked in enumerate(b.column("marks").to_pylist()):
-                n = int(w.first[k + 1] - w.first[k])
-                change = np.zeros(n + 1, dtype=np.int64)
-                for m in marked or ():
-                    change[m["start"]] += 1
-                    change[m["start"] + m["runs"] + width - 1] -= 1
-                gone = np.cumsum(change)[:n] > 0
-                edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
-                raw = w.data
-                kept = b" ".join(raw[w.begin[i] : w.end[i]].tobytes() for i in (np.flatnonzero(~gone) + w.first[k]).tolist())
-                out.append((n, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode(), edge.reshape(-1, 2).tolist()))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.list_(pa.int64())))
-            yield pa.record_batch([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "spans"])
-
-    out = docs.join(marks, KEY, "left").select("doc_id", "text", "marks").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, spans array<array<long>>")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") > -(2**63), F.col("doc_id")))
+            w, rows = words(b.column("text")), b.num_rows
+            marked = b.column("marks")
+            sizes = np.array([0 if x is None else x for x in marked.value_lengths().to_pylist()], dtype=np.int64)
+            fields = [marked.flatten().field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)]
+            doc, start, runs, source, source_start = chain(np.repeat(np.arange(rows), sizes), *fields)
+            # runs of a factor cover runs + width - 1 words; every text closes what it opens
+            change = np.zeros(len(w.hashes) + 1, dtype=np.int64)
+            np.add.at(change, w.first[doc] + start, 1)
+            np.add.at(change, w.first[doc] + start + runs + width - 1, -1)
+            gone = np.cumsum(change)[:-1] > 0
+            keep = np.flatnonzero(~gone)
+            size = w.end[keep] - w.begin[keep] + 1
+            at = np.cumsum(size) - size
+            text = w.data[np.minimum(np.repeat(w.begin[keep] - at, size) + np.arange(int(size.sum())), max(len(w.data) - 1, 0))] if len(keep) else np.zeros(0, np.uint8)
+            text[at + size - 1] = 32
+            bound = np.append(at, len(text))[np.searchsorted(keep, w.first)]
+            raw = text.tobytes()
+            kept = [raw[x : y - 1] if y > x else b"" for x, y in zip(bound.tolist(), bound[1:].tolist(), strict=False)]
+            total = np.concatenate(([0], np.cumsum(gone)))
+            edge = np.zeros(len(gone) + 2, dtype=bool)
+            edge[1:-1] = gone
+            opens, closes = edge[1:] & ~edge[:-1], edge[:-1] & ~edge[1:]
+            # a span ends where its text ends, even if the next text goes on with one
+            first_words = np.zeros(len(gone) + 1, dtype=bool)
+            first_words[w.first] = True
+            opens |= first_words & edge[1:]
+            closes |= first_words & edge[:-1]
+            opens, closes = np.flatnonzero(opens[:-1]), np.flatnonzero(closes)
+            span_doc = np.searchsorted(w.first, opens, "right") - 1
+            span_at = np.searchsorted(span_doc, np.arange(rows + 1)).astype(np.int32)
+            flat = np.stack((opens - w.first[span_doc], closes - w.first[span_doc]), axis=1).ravel()
+            spans = pa.ListArray.from_arrays(pa.array(span_at), pa.ListArray.from_arrays(pa.array(np.arange(len(opens) + 1, dtype=np.int32) * 2), pa.array(flat)))
+            factor_at = pa.array(np.searchsorted(doc, np.arange(rows + 1)).astype(np.int32))
+            named = pa.array(source, mask=source == NO_ID)
+            factors = pa.ListArray.from_arrays(factor_at, pa.StructArray.from_arrays([pa.array(start), pa.array(runs + width - 1), named, pa.array(source_start)], fields=list(factor)))
+            columns = [pa.array(np.diff(w.first)), pa.array(np.diff(total[w.first])), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array([x.decode() for x in kept], pa.string()), spans, factors]
+            yield pa.record_batch([b.column("doc_id"), *columns], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "spans", "factors"])
+
+    kind = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, spans array<array<long>>, factors array<struct<begin:long,words:long,source:long,source_begin:long>>"
+    out = docs.join(marks, KEY, "left").select("doc_id", "text", "marks").mapInArrow(run, kind)
+    return out.withColumn("doc_id", F.when(F.col("doc_id") > NO_ID, F.col("doc_id")))
