@@ -22,10 +22,15 @@ UNIT = 576
 
 def decode(raw: bytes) -> np.ndarray:
     """The samples of a P1-P6 Netpbm (maxval to 65535) or an uncompressed 8-, 24- or 32-bit BMP, (height, width[, 3])."""
-    return _bmp(raw) if raw[:2] == b"BM" else _netpbm(raw)
+    return decode_scaled(raw)[0]
 
 
-def _netpbm(raw: bytes) -> np.ndarray:
+def decode_scaled(raw: bytes) -> tuple[np.ndarray, int]:
+    """The samples and the value of full brightness. What is no such image, or shorter than it says, raises ValueError, IndexError or struct.error."""
+    return (_bmp(raw), 255) if raw[:2] == b"BM" else _netpbm(raw)
+
+
+def _netpbm(raw: bytes) -> tuple[np.ndarray, int]:
     kind = raw[:2]
     if len(raw) < 3 or kind[:1] != b"P" or kind[1:] not in b"123456":
         raise ValueError("not a Netpbm or BMP image")
@@ -36,13 +41,15 @@ def _netpbm(raw: bytes) -> np.ndarray:
         end = at
         while raw[end : end + 1].isdigit():
             end += 1
+        if end - at > 10:
+            raise ValueError("a number of the header is too large")
         numbers.append(int(raw[at:end]))
         at = end
     width, height, top = (*numbers, 1)[:3]
     bands = 3 if kind in (b"P3", b"P6") else 1
     n = width * height * bands
-    if not n or not 0 < top < 65536:
-        raise ValueError("empty image or bad maximum")
+    if not n or not 0 < top < 65536 or n > 8 * len(raw):
+        raise ValueError("empty or cut image, or bad maximum")
     if kind == b"P4":
         rows = np.frombuffer(raw, np.uint8, height * ((width + 7) // 8), at + 1).reshape(height, -1)
         flat = 1 - np.unpackbits(rows, axis=1)[:, :width].ravel()
@@ -51,22 +58,40 @@ def _netpbm(raw: bytes) -> np.ndarray:
     elif kind == b"P1":
         flat = 1 - np.array([c - 48 for c in raw[at:] if c in b"01"][:n], dtype=np.uint8)
     else:
-        flat = np.array(raw[at:].split()[:n], dtype=np.uint16 if top > 255 else np.uint8)
-    return flat.reshape((height, width, 3) if bands == 3 else (height, width))
+        words = raw[at:].split()[:n]
+        if any(len(x) > 10 or not x.isdigit() for x in words):
+            raise ValueError("a sample is no number")
+        values = np.array([int(x) for x in words], dtype=np.int64)
+        flat = values.astype(np.uint16 if top > 255 else np.uint8)
+        if (values != flat).any():
+            raise ValueError("a sample is too large")
+    if len(flat) and flat.max() > top:
+        raise ValueError("a sample is above the maximum")
+    return flat.reshape((height, width, 3) if bands == 3 else (height, width)), top
 
 
 def _bmp(raw: bytes) -> np.ndarray:
     start, size, width, height, _, bits, packing = struct.unpack_from("<I I i i H H I", raw, 10)
-    if bits not in (8, 24, 32) or packing not in (0, 3) or width < 1 or not height:
+    if bits not in (8, 24, 32) or packing not in (0, 3) or (packing == 3 and bits != 32) or width < 1 or not height:
         raise ValueError("this kind of BMP is not read")
     stride = (width * bits // 8 + 3) // 4 * 4
+    if stride * abs(height) > len(raw) - start or start > len(raw):
+        raise ValueError("cut image")
     rows = np.frombuffer(raw, np.uint8, stride * abs(height), start).reshape(abs(height), stride)
     rows = rows[::-1] if height > 0 else rows
     if bits == 8:
         used = struct.unpack_from("<I", raw, 46)[0] or 256
-        colours = np.frombuffer(raw, np.uint8, 4 * used, 14 + size).reshape(-1, 4)[:, 2::-1]
+        colours = np.frombuffer(raw, np.uint8, 4 * min(used, 256), 14 + size).reshape(-1, 4)[:, 2::-1]
         out = colours[rows[:, :width]]
         return out[:, :, 0] if (colours[:, 0] == colours[:, 1]).all() and (colours[:, 1] == colours[:, 2]).all() else out
+    if packing == 3:
+        # each colour lies where its mask says, and fills its mask when at its brightest
+        pixels = np.ascontiguousarray(rows[:, : width * 4]).view("<u4").astype(np.int64)
+        masks = struct.unpack_from("<III", raw, 54)
+        if not all(masks):
+            raise ValueError("a colour has no mask")
+        full = [m // (m & -m) for m in masks]
+        return np.stack([(((pixels & m) // (m & -m)) * 255 + f // 2) // f for m, f in zip(masks, full, strict=True)], axis=2).astype(np.uint8)
     return rows[:, : width * bits // 8].reshape(abs(height), width, bits // 8)[:, :, 2::-1]
 
 
@@ -97,10 +122,11 @@ def difference_hash(image: np.ndarray) -> str:
     return np.packbits(small[:, :-1] > small[:, 1:]).tobytes().hex()
 
 
-def tile(image: np.ndarray, side: int) -> bytes:
-    """The image reduced to ``side`` x ``side`` as the bytes of an NPY file."""
+def tile(image: np.ndarray, side: int, top: int = 255) -> bytes:
+    """The image reduced to ``side`` x ``side``, with ``top`` as 255, as the bytes of an NPY file of 8-bit samples."""
     out = io.BytesIO()
-    np.save(out, np.ascontiguousarray(np.clip(np.rint(resize(image, side, side)), 0, 255), dtype=np.uint8), allow_pickle=False)
+    scaled = resize(image, side, side) * (255 / top) if top != 255 else resize(image, side, side)
+    np.save(out, np.ascontiguousarray(np.clip(np.rint(scaled), 0, 255), dtype=np.uint8), allow_pickle=False)
     return out.getvalue()
 
 
@@ -127,12 +153,12 @@ def features(media: DataFrame, side: int = 24) -> DataFrame:
             for x in b.column("media"):
                 raw = x.as_buffer().to_pybytes() if x.is_valid else b""
                 try:
-                    image = decode(raw)
+                    image, top = decode_scaled(raw)
                 except (ValueError, IndexError, struct.error):
                     rows.append((None, None, None, len(raw), hashlib.sha256(raw).hexdigest(), None, None, None, None))
                     continue
                 data = image.tobytes()
-                npy = tile(image, side)
+                npy = tile(image, side, top)
                 rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-32:]), len(raw), hashlib.sha256(raw).hexdigest(), f"{difference_hash(image)}-{zlib.crc32(npy):08x}", *image.shape[:2], npy))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary())
             columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
