@@ -1,16 +1,18 @@
 """Probabilistic suffix tree: scoring texts with variable-length contexts.
 
-Training counts every word of the training texts. A context (state) is a run of one up to
-``depth`` words that makes up at least ``p_min`` of all training tokens; it is kept if its
-next-word distribution diverges from the one of its suffix without the oldest word. Each
+Training counts every word of the training texts. A context (state) is a run of words that ends before a word. Contexts are
+kept if their next-word distribution diverges from the one of their suffix without the oldest word. Each
 distribution is smoothed towards that of its suffix, down to add-one word frequencies, so it sums to
 one over the known words and one unknown word. A token is scored in the longest kept state that ends
 the text before it; states do not reach over the start of a text, which counts as an end mark.
 
-Counting is distributed and complete (``packed``). Because ``p_min`` is relative, at most
-``1 / p_min`` words, and as many state-word pairs of each length, are frequent: only these are
-broadcast, 20 bytes each. The counts of all other words stay in a table cut by hash, to which the
-scoring tasks send their rare words and from which they get sums by text.
+The tree has two parts. Contexts of up to ``depth`` words that make up at least ``p_min`` of all training tokens are
+its top: there are at most ``1 / p_min`` of each length, and as many pairs of one and a next word, so only
+these are broadcast, 20 bytes each. All other contexts hang below the top: the shortest part of a context that is
+not in the top, of up to ``reach`` words, is a state of its own from ``tail_least`` occurrences on, whatever the size of the input, so what is learnt grows
+with the text. No table of them is broadcast: each position goes to the bucket of its context's hash, which
+counts the training positions, tests the divergence and sends back sums by text. Such a context is rare by
+definition, so a bucket never gets a large group. The counts of all words are cut by hash in the same way.
 """
 
 from __future__ import annotations
@@ -28,17 +30,19 @@ from pyspark.sql import functions as F
 
 from . import packed
 from .common import materialize, power_of_two, text_bytes
-from .tokens import LOWER, slices, words
+from .tokens import LOWER, mix, slices, words
 
 END = np.uint64(0x656E64)  # the hash of the end mark; words cannot have it but by chance
 
 
 class Setup(NamedTuple):
-    """``p_min`` bounds the model; ``divergence`` (nats, and a share of the count) keeps a state; ``kappa`` smooths."""
+    """``p_min`` bounds the top; ``divergence`` (nats, and a share of the count) keeps a state; ``kappa`` smooths."""
 
-    depth: int = 2
+    depth: int = 4
     p_min: float = 2e-7
     least: int = 2
+    reach: int = 2
+    tail_least: int = 2
     kappa: float = 0.5
     divergence: float = 12.0
     divergence_share: float = 0.02
@@ -230,13 +234,51 @@ def train(docs: DataFrame, setup: Setup = Setup()) -> tuple[Model, DataFrame, in
     return model, counted.select("bucket", "keys", "counts"), buckets
 
 
-def score(docs: DataFrame, model: Model, counted: DataFrame, buckets: int) -> DataFrame:
+def _tail_roots(tokens: np.ndarray, first: np.ndarray, states: list[np.ndarray], reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """The positions whose context leaves the top within ``reach`` words, and a hash of the shortest part that does."""
+    left = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first)) + 1  # words before the token within its text, the end mark too
+    root, inside = np.zeros(len(tokens), dtype=np.uint64), np.ones(len(tokens), dtype=bool)
+    hashed, found = np.zeros(len(tokens), dtype=np.uint64), np.zeros(len(tokens), dtype=bool)
+    for d in range(1, reach + 1):
+        before = np.concatenate((np.full(min(d, len(tokens)), END, dtype=np.uint64), tokens[: max(len(tokens) - d, 0)]))
+        hashed = mix(hashed * np.uint64(3) + before + np.uint64(d))
+        here = inside & (left >= d) & (states[d - 1] < 0)
+        root[here], found[here] = hashed[here], True
+        inside &= (left >= d) & (states[d - 1] >= 0)
+    at = np.flatnonzero(found)
+    return at, root[at]
+
+
+def _tail_gains(context: np.ndarray, word: np.ndarray, p: np.ndarray, train: np.ndarray, setup: Setup) -> np.ndarray:
+    """Of each position, log10 of its probability in the state of its context over ``p``, that of the top; 0 if it is no state."""
+    ids, at = np.unique(context, return_inverse=True)
+    total = np.bincount(at[train], minlength=len(ids))
+    learnt = train & (word >= 0)
+    seen = np.bincount(at[learnt], minlength=len(ids))
+    pair = at.astype(np.int64) << 32 | np.maximum(word, 0)
+    keys, counts = np.unique(pair[learnt], return_counts=True)
+    found = _find(pair, keys)
+    c = np.where((found >= 0) & (word >= 0), counts[found] if len(counts) else 0, 0)
+    gain = np.bincount(at[learnt], weights=np.log(c[learnt] / total[at[learnt]] / p[learnt]), minlength=len(ids))
+    kept = (total >= setup.tail_least) & (gain >= np.maximum(setup.divergence, setup.divergence_share * total))
+    back = (total - seen + setup.kappa)[at]
+    whole = total[at] + setup.kappa
+    out = np.where(word >= 0, np.log10((c + back * p) / whole / p), np.log10(back / whole))
+    return np.where(kept[at], out, 0.0)
+
+
+WORDS, RARE, TEXTS, TAIL = range(4)  # kinds of rows that meet in a bucket
+POSITION = np.dtype([("context", "<u4"), ("word", "<i4"), ("p", "<f4")])
+
+
+def score(docs: DataFrame, model: Model, counted: DataFrame, buckets: int, setup: Setup = Setup()) -> DataFrame:
     """Score every text. Null texts are empty; rows stay apart even if ids repeat; other columns are dropped."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    bits = buckets.bit_length() - 1
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for seq, b in enumerate(part for b in batches for part in slices(b)):
+        for seq, b in enumerate(part for b in batches for part in slices(b, most=1 << 20)):
             tokens, first = _tokens(b)
             doc = np.repeat(np.arange(b.num_rows), np.diff(first))
             word = _find(tokens, m.vocab)
@@ -245,14 +287,16 @@ def score(docs: DataFrame, model: Model, counted: DataFrame, buckets: int) -> Da
             # a rare word keeps its place as the factor before its own frequency, which is added later
             base = np.log10(p)
             p = np.where(known, p, 1e-12)
+            states = []
             for d, (key, state) in enumerate(_ids(tokens, first, m, len(m.levels)), 1):
                 p = _step(m, d, state, key, p, m.kappa)
-            with np.errstate(divide="ignore"):
-                value = np.where(known, np.log10(p), np.log10(p) + 12 - np.log10(m.n + m.v + 1))
+                states.append(state)
+            value = np.where(known, np.log10(p), np.log10(p) + 12 - np.log10(m.n + m.v + 1))
             ids = b.column("doc_id").to_pylist()
+            held = np.array([held_out(i) for i in ids], dtype=bool)
             here = {
                 "ids": ids,
-                "held": [held_out(i) for i in ids],
+                "held": held.tolist(),
                 "tokens": np.diff(first),
                 "known": np.bincount(doc[known], minlength=len(ids)),
                 "base": np.bincount(doc, weights=base, minlength=len(ids)),
@@ -262,49 +306,60 @@ def score(docs: DataFrame, model: Model, counted: DataFrame, buckets: int) -> Da
             key = TaskContext.get().partitionId() << 24 | seq
             order, bound = packed.cut(tokens[rare], buckets)
             rare = rare[order]
-            full = [k for k in range(buckets) if bound[k] < bound[k + 1]]
-            rows = [(tokens[r := rare[bound[k] : bound[k + 1]]].tobytes(), doc[r].astype(np.uint32).tobytes()) for k in full]
+            out = [(k, RARE, tokens[r := rare[bound[k] : bound[k + 1]]].tobytes(), doc[r].astype(np.uint32).tobytes()) for k in range(buckets) if bound[k] < bound[k + 1]]
+            at, context = _tail_roots(tokens, first, states, min(setup.reach, len(states)))
+            order, bound = packed.cut(context, buckets)
+            at, context = at[order], context[order]
+            rows = np.empty(len(at), dtype=POSITION)
+            # within a bucket 32 further bits tell contexts apart
+            rows["context"], rows["word"], rows["p"] = mix(context) >> np.uint64(32 - bits) & np.uint64(0xFFFFFFFF), word[at], p[at]
+            text = (doc[at] << 1 | ~held[doc[at]]).astype(np.uint32)
+            out += [(k, TAIL, rows[bound[k] : bound[k + 1]].tobytes(), text[bound[k] : bound[k + 1]].tobytes()) for k in range(buckets) if bound[k] < bound[k + 1]]
+            out.append((key % buckets, TEXTS, pickle.dumps(here), b""))
+            bucket, kind, keys, counts = zip(*out, strict=True)
             yield pa.record_batch(
-                [
-                    pa.array([*full, key % buckets], pa.int32()),
-                    pa.array([key] * (len(full) + 1), pa.int64()),
-                    pa.array([*(x for x, _ in rows), pickle.dumps(here)], pa.binary()),
-                    pa.array([*(x for _, x in rows), b""], pa.binary()),
-                ],
-                names=["bucket", "sender", "keys", "counts"],
+                [pa.array(bucket, pa.int32()), pa.array([key] * len(out), pa.int64()), pa.array(kind, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())],
+                names=["bucket", "sender", "kind", "keys", "counts"],
             )
 
     def look_up(t: pa.Table) -> pa.Table:
-        sender = t.column("sender").to_pylist()
-        keys, counts = t.column("keys").to_pylist(), t.column("counts").to_pylist()
+        rows: list[list[tuple[int, bytes, bytes]]] = [[], [], [], []]
+        for k, *row in zip(t.column("kind").to_pylist(), t.column("sender").to_pylist(), t.column("keys").to_pylist(), t.column("counts").to_pylist(), strict=True):
+            rows[k].append(tuple(row))
         known, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for s, k, c in zip(sender, keys, counts, strict=True):
-            if s is None:
-                known, count = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
-        out = []
-        for s, k, c in zip(sender, keys, counts, strict=True):
-            if s is not None and not c:
-                out.append((s, k, b""))
-            elif s is not None:
-                at = _find(np.frombuffer(k, np.uint64), known)
-                c = np.frombuffer(c, np.uint32)
-                docs_, where = np.unique(c, return_inverse=True)
-                got = np.where(at >= 0, count[at] if len(count) else 0, 0)
-                out.append((s, docs_.tobytes(), np.concatenate((np.bincount(where, weights=np.log10(got + 1.0)), np.bincount(where, weights=at >= 0))).tobytes()))
+        for _, k, c in rows[WORDS]:
+            known, count = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
+        out = [(s, k, b"") for s, k, _ in rows[TEXTS]]
+        for s, k, c in rows[RARE]:
+            at = _find(np.frombuffer(k, np.uint64), known)
+            docs_, where = np.unique(np.frombuffer(c, np.uint32), return_inverse=True)
+            got = np.where(at >= 0, count[at] if len(count) else 0, 0)
+            out.append((s, docs_.tobytes(), np.concatenate((np.bincount(where, weights=np.log10(got + 1.0)), np.bincount(where, weights=at >= 0), np.zeros(len(docs_)))).tobytes()))
+        if rows[TAIL]:
+            x = np.concatenate([np.frombuffer(k, POSITION) for _, k, _ in rows[TAIL]])
+            text = np.concatenate([np.frombuffer(c, np.uint32) for *_, c in rows[TAIL]])
+            gain = _tail_gains(x["context"], x["word"].astype(np.int64), x["p"].astype(np.float64), (text & 1).astype(bool), setup)
+            bound = np.cumsum([0, *(len(c) // 4 for *_, c in rows[TAIL])])
+            for (s, *_), i, j in zip(rows[TAIL], bound, bound[1:], strict=False):
+                use = i + np.flatnonzero(gain[i:j])
+                if len(use):
+                    docs_, where = np.unique(text[use] >> 1, return_inverse=True)
+                    out.append((s, docs_.tobytes(), np.concatenate((np.zeros(2 * len(docs_)), np.bincount(where, weights=gain[use]))).tobytes()))
         return pa.table({"sender": pa.array([x[0] for x in out], pa.int64()), "keys": pa.array([x[1] for x in out], pa.binary()), "sums": pa.array([x[2] for x in out], pa.binary())})
 
     def gather(t: pa.Table) -> pa.Table:
         here, parts = [], []
         for k, c in zip(t.column("keys").to_pylist(), t.column("sums").to_pylist(), strict=True):
             if c:
-                parts.append((np.frombuffer(k, np.uint32), np.frombuffer(c, np.float64).reshape(2, -1)))
+                parts.append((np.frombuffer(k, np.uint32), np.frombuffer(c, np.float64).reshape(3, -1)))
             else:
                 here.append(pickle.loads(k))
         (x,) = here
-        log, known = np.zeros(len(x["ids"])), np.zeros(len(x["ids"]))
-        for d, (a, b) in parts:
+        log, known, gain = np.zeros((3, len(x["ids"])))
+        for d, (a, b, c) in parts:
             log[d] += a
             known[d] += b
+            gain[d] += c
         return pa.table(
             {
                 "doc_id": pa.array(x["ids"], pa.int64()),
@@ -312,12 +367,12 @@ def score(docs: DataFrame, model: Model, counted: DataFrame, buckets: int) -> Da
                 "n_tokens": pa.array(x["tokens"], pa.int64()),
                 "n_known": pa.array(x["known"] + known.astype(np.int64), pa.int64()),
                 "base_score": pa.array(x["base"] + log, pa.float64()),
-                "score": pa.array(x["score"] + log, pa.float64()),
+                "score": pa.array(x["score"] + log + gain, pa.float64()),
             }
         )
 
-    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(send, "bucket int, sender long, keys binary, counts binary")
-    table = counted.select("bucket", F.lit(None).cast("long").alias("sender"), "keys", "counts")
+    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(send, "bucket int, sender long, kind int, keys binary, counts binary")
+    table = counted.select("bucket", F.lit(None).cast("long").alias("sender"), F.lit(WORDS).alias("kind"), "keys", "counts")
     sums = asked.union(table).groupBy("bucket").applyInArrow(look_up, "sender long, keys binary, sums binary")
     return sums.groupBy("sender").applyInArrow(gather, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double").withColumn("train_tokens", F.lit(model.n).cast("long"))
 
@@ -325,4 +380,4 @@ def score(docs: DataFrame, model: Model, counted: DataFrame, buckets: int) -> Da
 def score_documents(docs: DataFrame, setup: Setup = Setup()) -> DataFrame:
     """Train on the rows that are not held out and score all rows; an empty table gives no rows."""
     model, counted, buckets = train(docs, setup)
-    return score(docs, model, counted, buckets)
+    return score(docs, model, counted, buckets, setup)

@@ -30,54 +30,76 @@ def contexts(tokens, t, depth):
 
 
 def plain_tree(texts, setup):
-    count, follow = Counter(), [None, defaultdict(Counter), defaultdict(Counter)]
+    """The tree by dictionaries: the top of frequent contexts, and below it the states of the first context that leaves it."""
+    depths = range(1, max(setup.depth, setup.reach) + 1)
+    count, follow = Counter(), {d: defaultdict(Counter) for d in depths}
     for text in texts:
         tokens = plain_tokens(text)
         count.update(tokens)
         for t, w in enumerate(tokens):
-            for d in (1, 2):
+            for d in depths:
                 if (c := contexts(tokens, t, d)) is not None:
                     follow[d][c][w] += 1
     n, v = sum(count.values()), len(count)
     least = max(setup.least, math.ceil(setup.p_min * n))
-    states = {}
+
+    def total(context):
+        return count[context[0]] if len(context) == 1 else follow[len(context) - 1][context[:-1]][context[-1]]
+
+    def frequent(context):
+        return all(count[x] >= least for x in context) and total(context) >= least and (len(context) == 1 or frequent(context[:-1]))
+
+    top, tail = {}, {}
 
     def probability(context, w):
         """In the longest kept state that ends the context."""
         p = (count[w] + 1) / (n + v + 1)
         for d in range(1, len(context) + 1):
-            if context[-d:] in states:
-                total, back, seen = states[context[-d:]]
-                p = (seen.get(w, 0) + back * p) / (total + setup.kappa)
+            state = top.get(context[-d:]) if d <= setup.depth else None
+            if state is None:
+                state = tail.get(context[-d:])
+            if state is not None:
+                size, back, seen = state
+                p = (seen.get(w, 0) + back * p) / (size + setup.kappa)
         return p
 
-    for d in (1, 2):
+    def fill(kept, context, words, size):
+        gain = sum(c * math.log(c / size / probability(context[1:], w)) for w, c in words.items())
+        if words and gain >= max(setup.divergence, setup.divergence_share * size):
+            kept[context] = (size, size - sum(words.values()) + setup.kappa, words)
+
+    for d in range(1, setup.depth + 1):
         new = {}
         for context, words in follow[d].items():
-            total = count[context[0]] if d == 1 else follow[1][context[:1]][context[1]]
-            if total < least or any(count[x] < least for x in context):
-                continue
-            seen = {w: c for w, c in words.items() if c >= least and count[w] >= least}
-            gain = sum(c * math.log(c / total / probability(context[1:], w)) for w, c in seen.items())
-            if seen and gain >= max(setup.divergence, setup.divergence_share * total):
-                new[context] = (total, total - sum(seen.values()) + setup.kappa, seen)
-        states.update(new)
+            if frequent(context):
+                fill(new, context, {w: c for w, c in words.items() if c >= least and count[w] >= least}, total(context))
+        top.update(new)
+    new = {}
+    for d in range(1, min(setup.reach, setup.depth) + 1):
+        for context, words in follow[d].items():
+            size = sum(words.values())
+            if not frequent(context) and (d == 1 or frequent(context[1:])) and size >= setup.tail_least:
+                fill(new, context, {w: c for w, c in words.items() if count[w] >= least}, size)
+    tail.update(new)
 
     def score(text):
         tokens = plain_tokens(text)
-        return sum(math.log10(probability(contexts(tokens, t, 2) or contexts(tokens, t, 1), w)) for t, w in enumerate(tokens))
+        reach = max(setup.depth, setup.reach)
+        return sum(math.log10(probability(next(c for d in range(reach, 0, -1) if (c := contexts(tokens, t, d)) is not None), w)) for t, w in enumerate(tokens))
 
-    return score, states
+    return score, top, tail
 
 
-def test_suffix_tree_against_plain_form(spark):
+@pytest.mark.parametrize("setup", [lm_pst.Setup(), lm_pst.Setup(depth=3, p_min=0.004, divergence=4.0), lm_pst.Setup(depth=2, p_min=0.02, divergence=3.0, reach=1), lm_pst.Setup(depth=5)])
+def test_suffix_tree_against_plain_form(spark, setup):
     rng = np.random.default_rng(3)
-    rows = [(k, " ".join(rng.choice(["a", "b", "C d e", "f g h", "f x", "d y z", f"rare{k}"], 40)), "en", "s", 0) for k in range(120)]
+    rows = [(k, " ".join(rng.choice(["a", "b", "C d e i j k", "f g h", "f x", "d y z", f"rare{k}", f"few{k // 6} more{k // 6} b"], 40)), "en", "s", 0) for k in range(120)]
     rows += [(120, None, "en", "s", 0), (121, "", "en", "s", 0), (122, "never seen", "en", "s", 0), (5, rows[5][1], "en", "s", 0)]
-    got = lm_pst.score_documents(spark.createDataFrame(rows, DOCS)).collect()
-    score, states = plain_tree([t for k, t, *_ in rows if zlib.crc32(str(k).encode()) % 7 != 2], lm_pst.Setup())
-    assert {len(s) for s in states} == {1, 2}
-    assert sorted((r["doc_id"], round(r["score"], 6)) for r in got) == sorted((k, round(score(t), 6)) for k, t, *_ in rows)
+    got = lm_pst.score_documents(spark.createDataFrame(rows, DOCS), setup).collect()
+    score, top, tail = plain_tree([t for k, t, *_ in rows if zlib.crc32(str(k).encode()) % 7 != 2], setup)
+    assert {len(s) for s in top} >= set(range(1, min(setup.depth, 3) + 1)) if setup.p_min < 0.001 else len(top) > 3
+    assert not tail if setup.p_min < 0.001 else {len(s) for s in tail} == set(range(1, setup.reach + 1))
+    assert sorted((r["doc_id"], round(r["score"], 4)) for r in got) == sorted((k, round(score(t), 4)) for k, t, *_ in rows)
 
 
 def features(text):
