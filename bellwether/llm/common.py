@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import discard, materialize, shared_folder
 
-__all__ = ["HOT", "components", "discard", "materialize", "power_of_two", "shared_folder", "table", "text_bytes"]
+__all__ = ["HOT", "components", "lean", "discard", "materialize", "power_of_two", "shared_folder", "table", "text_bytes"]
 
+BATCH = "4m"
 HOT = 50_000  # most nodes whose minimum is broadcast
 
 
@@ -16,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lean(spark: SparkSession) -> None:
+    """Let Arrow batches hold ``BATCH`` of data, unless the session says otherwise: a batch of long texts then costs a task no more memory than one of short ones."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864", "67108864b", "64m"):  # Spark's own value
+        spark.conf.set(key, BATCH)
+
+
 def power_of_two(n: float, least: int) -> int:
     """The smallest power of two not below ``n`` and ``least``."""
     out = least

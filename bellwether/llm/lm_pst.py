@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import packed
-from .common import materialize, power_of_two, text_bytes
+from .common import lean, materialize, power_of_two, text_bytes
 from .tokens import LOWER, mix, slices, words
 
 END = np.uint64(0x656E64)  # the hash of the end mark; words cannot have it but by chance
@@ -215,6 +215,7 @@ def train(docs: DataFrame, setup: Setup = Setup()) -> tuple[Model, DataFrame, in
 
     Returns the broadcastable model, the table of all word counts and its number of buckets.
     """
+    lean(docs.sparkSession)
     buckets = power_of_two(text_bytes(docs) / 12e6, 16)
     counted = materialize(_count(docs, buckets, lambda b: _tokens(b)[0], 1, True))
     n, v = (x or 0 for x in counted.agg(F.sum("total"), F.sum("kinds")).first())
@@ -273,6 +274,7 @@ POSITION = np.dtype([("context", "<u4"), ("word", "<i4"), ("p", "<f4")])
 
 def score(docs: DataFrame, model: Model, counted: DataFrame, buckets: int, setup: Setup = Setup()) -> DataFrame:
     """Score every text. Null texts are empty; rows stay apart even if ids repeat; other columns are dropped."""
+    lean(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     bits = buckets.bit_length() - 1
 

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 UNIT = 576
 
 
@@ -164,6 +166,7 @@ def features(media: DataFrame, side: int = 24) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
             yield pa.record_batch([b.column("doc_id"), b.column("n_bytes"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[c.split()[0] for c in OUT.split(", ")])
 
+    lean(media.sparkSession)
     return media.select("doc_id", "n_bytes", "media").mapInArrow(run, OUT)
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from .common import lean
 from .survivors import column, free_name
 
 ROUNDS = 10
@@ -266,6 +267,7 @@ def pseudonymise(docs: DataFrame, key: str = "corpus key", undo: bool = False) -
     Works row by row on whole texts. Null texts stay null with no spans, empty ones empty; rows, order of
     columns and other columns stay, but for a column named ``pii``, which is replaced.
     """
+    lean(docs.sparkSession)
     secret = hashlib.sha256(key.encode()).digest()
     kind = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())]))
     kept = [c for c in docs.columns if c != "pii"]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lean, materialize
 from .tokens import Words, mix, slices, sliding_min, window_hashes, words
 
 GRAM = 8
@@ -157,6 +157,7 @@ def strip(docs: DataFrame, width: int = 35) -> DataFrame:
     of document ``source`` from ``source_begin`` on (null: a row without id). Null texts count as empty; texts shorter than ``width``
     words stay whole; null ids come back as null. Other columns are ignored.
     """
+    lean(docs.sparkSession)
     docs = _keyed(docs)
     marks = matches(docs, width).groupBy(*KEY).agg(F.collect_list(F.struct("start", "runs", "source", "source_start")).alias("marks"))
     factor = pa.struct([(k, pa.int64()) for k in ("begin", "words", "source", "source_begin")])

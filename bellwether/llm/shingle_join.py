@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import packed
-from .common import HOT, components, discard, materialize, power_of_two, text_bytes
+from .common import HOT, components, discard, lean, materialize, power_of_two, text_bytes
 from .simhash_ball import NODES, fingerprint, links
 from .survivors import KEY, keep_first, named_by_least, row_key
 from .tokens import LOWER, mix, slices, window_hashes, words
@@ -226,6 +226,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _grouped(docs: DataFrame, width: int, radius: int) -> DataFrame:
     """``KEY`` and ``label`` of every row: rows of one label are linked, directly or over others."""
+    lean(docs.sparkSession)
     marked, order = _marked(docs, width)
     nodes = materialize(marked.groupBy("key").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min(F.xxhash64(*KEY)).alias("row")))
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize, power_of_two
+from .common import components, lean, materialize, power_of_two
 from .survivors import KEY, keep_first, named_by_least, row_key
 
 NODES = 1 << 17  # most fingerprints whose variants one task makes
@@ -45,6 +45,8 @@ def fingerprint(words: list[bytes], shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``KEY`` of each row and ``fp``: the fingerprint of its whole text, lower-cased A-Z, as a signed long; null counts as empty."""
 
+    lean(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = [fingerprint((x.as_buffer().to_pybytes() if x.is_valid else b"").lower().split(), shingle) for x in b.column("text")]
