@@ -20,7 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import lean
+from .survivors import column, free_name
 from .tokens import LOWER, NOT_LETTER, mix, slices, words
 
 
@@ -76,8 +79,10 @@ def learn(rows: list[tuple[np.ndarray, int]], setup: Setup) -> tuple[np.ndarray,
 def train(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights learnt from labelled rows that are not held out. No labels, or labels of one kind, give that share as bias.
 
-    Labels of one id that disagree count as toxic if any does; null labels and ids do not count.
+    Labels of one id that disagree count as toxic if any does; null labels and ids do not count. Of the texts of one
+    id the smallest is learnt from, whatever the order of rows.
     """
+    lean(docs.sparkSession)
     sample = (
         labels.where(~held_out("doc_id") & F.col("toxic").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -87,6 +92,7 @@ def train(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> tuple[n
     )
     # at most setup.most rows of two numbers
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def feature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (part for b in batches for part in slices(b, most=1 << 20)):
@@ -99,13 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> tuple[n
     def fit(t: pa.Table) -> pa.Table:
         order = sorted(range(t.num_rows), key=lambda k: (zlib.crc32(str(ids[k]).encode()), ids[k])) if (ids := t.column("doc_id").to_pylist()) else []
         f, y = t.column("f"), t.column("toxic").to_pylist()
-        seen: set[int] = set()
-        rows = []
-        for k in order:
-            if ids[k] not in seen:
-                seen.add(ids[k])
-                rows.append((np.frombuffer(f[k].as_buffer(), np.uint32), y[k]))
-        at, w, bias = learn(rows, setup)
+        at, w, bias = learn([(np.frombuffer(f[k].as_buffer(), np.uint32), y[k]) for k in order], setup)
         return pa.table({"at": pa.array([at.astype(np.uint32).tobytes()], pa.binary()), "w": pa.array([w.tobytes()], pa.binary()), "bias": pa.array([bias], pa.float64())})
 
     got = texts.mapInArrow(feature, "doc_id long, toxic int, f binary").withColumn("task", F.lit(0)).groupBy("task").applyInArrow(fit, "at binary, w binary, bias double").first()
@@ -119,6 +119,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], setup: S
 
     Columns of the result's names are replaced.
     """
+    lean(docs.sparkSession)
+    name = free_name(docs, "row")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +128,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], setup: S
         dense = np.zeros(1 << setup.bits)
         dense[at] = w
         for b in batches:
-            row = b.column("__row")
+            row = b.column(name)
             total = [np.zeros(0)]
             for part in slices(pa.record_batch([row.field("text")], names=["text"]), most=1 << 20):
                 doc, f = hashed(part.column("text"), setup.bits)
@@ -134,12 +136,12 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], setup: S
                 key = np.unique((doc[some].astype(np.uint64) << np.uint64(32)) | f[some])
                 total.append(bias + np.bincount((key >> np.uint64(32)).astype(np.int64), weights=dense[key & np.uint64(0xFFFFFFFF)], minlength=part.num_rows))
             score_ = 1 / (1 + np.exp(-np.clip(np.concatenate(total), -35, 35)))
-            yield pa.record_batch([row, pa.array(score_)], names=["__row", "score"])
+            yield pa.record_batch([row, pa.array(score_)], names=[name, "score"])
 
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(F.struct(*kept).alias("__row"))
-    out = rows.mapInArrow(rate, f"__row {rows.schema['__row'].dataType.simpleString()}, score double")
-    return out.select("__row.*", "score", (F.col("score") >= setup.threshold).cast("int").alias("predicted"))
+    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+    rows = docs.select(F.struct(*map(column, kept)).alias(name))
+    out = rows.mapInArrow(rate, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
+    return out.select(f"{name}.*", "score", (F.col("score") >= setup.threshold).cast("int").alias("predicted"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> DataFrame:
@@ -151,7 +153,7 @@ def classify(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> Data
 def drop_toxic(docs: DataFrame, labels: DataFrame, setup: Setup = Setup()) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their own columns."""
     model = train(docs, labels, setup)
-    if {"score", "predicted"} & set(docs.columns):
-        named = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    if {"score", "predicted"} & {c.lower() for c in docs.columns}:
+        named = docs.select(F.struct(*map(column, docs.columns)).alias("row"), "text")
         return score(named, model, setup).where("predicted = 0").select("row.*")
-    return score(docs, model, setup).where("predicted = 0").select(*docs.columns)
+    return score(docs, model, setup).where("predicted = 0").select(*map(column, docs.columns))

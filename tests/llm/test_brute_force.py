@@ -128,6 +128,26 @@ def plain_ftrl(rows, setup):
     return lambda text: 1 / (1 + math.exp(-bias - sum(weight(f) for f in features(text))))
 
 
+def test_toxicity_scores_against_plain_form(spark):
+    rows, labels = fixture_rows()
+    rows = [(k, t, lang) for k, t, lang, *_ in rows] + [(None, rows[6][1], "en"), (1, None, "en"), (1, "a second text of one id", "en"), (2, "", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 AS `x y`", "'own' AS Score").repartition(5)
+    setup, toxic = toxicity_ftrl.Setup(l1=1.0), dict(labels)
+    texts = {}
+    for k, t, _ in rows:
+        if t is not None:
+            texts[k] = min(t, texts.get(k, t))
+    score = plain_ftrl([(k, t, toxic[k]) for k, t in texts.items() if k in toxic and zlib.crc32(str(k).encode()) % 3 != 1], setup)
+    model = toxicity_ftrl.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), setup)
+    assert len(model[0]) > 100
+    got = toxicity_ftrl.score(docs, model, setup)
+    assert got.columns == ["doc_id", "text", "lang", "x y", "score", "predicted"]
+    # the operator hashes its features, so a few of them share a weight
+    want = sorted((str(k), t or "", score(t or "")) for k, t, _ in rows)
+    for r, (k, t, s) in zip(sorted(got.collect(), key=lambda r: (str(r["doc_id"]), r["text"] or "")), want, strict=True):
+        assert (str(r["doc_id"]), r["text"] or "") == (k, t) and abs(r["score"] - s) < 0.005
+
+
 def plain_fingerprint(text):
     w = [x.encode() for x in plain_tokens(text)[:-1]]
     h = [xxhash.xxh64_intdigest(b" ".join(w[i : i + 3]), 42) for i in range(max(1, len(w) - 2))] if w else []

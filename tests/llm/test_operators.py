@@ -136,7 +136,7 @@ def test_ego_join_brute_force(spark):
 
 def test_sentencepiece_parity_and_round_trip(spark):
     raw = queries.model_bytes()
-    out = sp_codec.encode(odd_docs(spark).withColumn("ids", F.lit("own")), raw, check_every=1)
+    out = sp_codec.encode(odd_docs(spark).withColumn("ids", F.lit("own")), raw)
     rows = out.collect()
     assert len(rows) == 10 and all(r["round_trip"] and r["parity"] for r in rows)
     back = sp_codec.decode(out, raw).collect()
@@ -144,9 +144,10 @@ def test_sentencepiece_parity_and_round_trip(spark):
     assert sp_codec.encode(empty(spark), raw).count() == 0
 
 
-def test_sentencepiece_refuses_other_normalisers():
-    with pytest.raises(ValueError):
-        sp_codec.build({"map": b"x", "squeeze": False, "escape": True, "pieces": [], "kind": 2})
+def test_sentencepiece_refuses_models_that_it_would_read_otherwise():
+    for model in ({"escape": False, "pieces": [], "kind": 2}, {"escape": True, "pieces": [("x", 0.0, sp_codec.USER)], "kind": 1}, {"escape": True, "pieces": [], "kind": 3}):
+        with pytest.raises(ValueError):
+            sp_codec.build(model)
 
 
 def brute_fingerprint(text):
