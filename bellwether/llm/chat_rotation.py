@@ -3,7 +3,8 @@
 For every participant of a conversation (a role that is not the system's), the dialogue is rendered
 with that speaker as the assistant and all others as named users, with a training mask over exactly the
 assistant's words. A conversation may be of any length, so a rendering is a sequence of pages of at most
-``PAGE`` turn numbers each, in order; only the first page of a conversation has the opening text.
+``PAGE`` turn numbers each, in order. Every page can be read by itself: it begins with the system messages that the conversation
+opens with and the last ``CONTEXT`` turns before it, outside the mask; each message is trained on in one page only.
 
 Messages meet the participants of their conversation in a join on its id, whose long side Spark's skew
 join splits; pages are grouped by (conversation, participant, page), so no conversation needs one task.
@@ -15,29 +16,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PAGE = 32
+CONTEXT = 4
 
 
-def rotate(turns: DataFrame, system: str = "system", page: int = PAGE) -> DataFrame:
+def _pages(turns: DataFrame, page: int) -> DataFrame:
+    """``(conv_id, turn, role, text, page)`` of every message. Those without a turn number have no order: they are dealt by hash to pages -1, -2 and so on."""
+    said = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    placed = said.where("turn is not null").withColumn("page", F.expr(f"turn div {page} - if(turn % {page} < 0, 1, 0)"))
+    loose = said.where("turn is null")
+    parts = loose.groupBy(F.col("conv_id").alias("of")).agg(F.ceil(F.count("*") / page).alias("parts"))
+    dealt = F.conv(F.substring(F.md5(F.concat_ws(":", "role", "text")), 1, 8), 16, 10).cast("long")
+    loose = loose.join(parts, F.col("conv_id").eqNullSafe(F.col("of"))).select("conv_id", "turn", "role", "text", (-(2**40) - dealt % F.col("parts")).alias("page"))
+    return placed.union(loose)
+
+
+def rotate(turns: DataFrame, system: str = "system", page: int = PAGE, context: int = CONTEXT) -> DataFrame:
     """``(conv_id, speaker, page, n_turns, text, mask, n_trained)`` of every page of every perspective.
 
-    ``mask`` has the (begin, end) character ranges of ``text`` to train on: what the speaker says, and the
-    end mark after it. Null texts are empty messages; a null role is the participant "unknown"; null ids are
-    one conversation; null turn numbers come last, in page -1. Ties in the turn number are put in order of
+    ``page`` is the turn number divided by ``page``; below ``-2**40`` for messages without one. ``mask`` has the (begin, end) character ranges of ``text`` to train on: what the speaker says on this page, and the
+    end mark after it; ``n_turns`` counts the messages of the page without its opening and context. Null texts are empty messages; a null role is the participant "unknown"; null ids are
+    one conversation. Ties in the turn number are put in order of
     role and text, repeated rows stay. A conversation of system messages alone has no perspective; an empty
     table gives no rows. Other columns are ignored.
     """
-    said = turns.select(
-        "conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    ).withColumn("page", F.coalesce(F.expr(f"cast(floor(turn / {page}) as long)"), F.lit(-1).cast("long")))
+    said = _pages(turns, page)
     speakers = said.where(F.col("role") != system).select(F.col("conv_id").alias("of"), F.col("role").alias("speaker")).distinct()
-    both = said.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+    pages = said.groupBy(F.col("conv_id").alias("of"), F.col("page").alias("at")).agg(F.count("*").alias("n"))
+    # the first page is the lowest with turn numbers; messages without any come after all others
+    starts = said.groupBy(F.col("conv_id").alias("first_of")).agg(F.min(F.when(F.col("turn").isNotNull(), F.col("page"))).alias("first"))
+    own = said.select("conv_id", "page", F.lit(2).alias("kind"), "turn", "role", "text")
+    fields = ["kind", "turn", "role", "text"]
+    opens = said.where(F.col("role") == system).join(starts, F.col("conv_id").eqNullSafe(F.col("first_of")) & (F.col("page") == F.col("first")))
+    opening = opens.join(pages, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("page") != F.col("at"))).select("conv_id", F.col("at").alias("page"), F.lit(0).alias("kind"), "turn", "role", "text")
+    # the last turns of the page before; what opens the conversation is there already
+    late = said.where(F.col("turn").isNotNull() & (F.pmod("turn", F.lit(page)) >= page - context))
+    late = late.join(starts, F.col("conv_id").eqNullSafe(F.col("first_of"))).where((F.col("role") != system) | (F.col("page") != F.col("first")))
+    before = late.join(pages, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("page") + 1 == F.col("at"))).select("conv_id", F.col("at").alias("page"), F.lit(1).alias("kind"), "turn", "role", "text")
+    both = own.union(opening).union(before).join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
     mine = F.col("role") == F.col("speaker")
     head = F.when(F.col("role") == system, F.lit("<|system|>\n")).when(mine, F.lit("<|assistant|>\n")).otherwise(F.concat(F.lit("<|user name="), F.col("role"), F.lit("|>\n")))
-    message = F.struct("turn", "role", F.col("text").alias("body"), head.alias("head"), mine.alias("mine"))
-    # null turn numbers sort first, but are alone on their page
-    pages = both.groupBy("conv_id", "speaker", "page").agg(F.sort_array(F.collect_list(message)).alias("m"))
+    message = F.struct(*fields[:-1], F.col("text").alias("body"), head.alias("head"), (mine & (F.col("kind") == 2)).alias("mine"))
+    rendered = both.groupBy("conv_id", "speaker", "page").agg(F.sort_array(F.collect_list(message)).alias("m"))
     end = "<|end|>\n"
-    pages = pages.withColumn("text", F.array_join(F.transform("m", lambda x: F.concat(x["head"], x["body"], F.lit(end))), ""))
+    rendered = rendered.withColumn("text", F.array_join(F.transform("m", lambda x: F.concat(x["head"], x["body"], F.lit(end))), ""))
     # running position: each step appends (begin, end) where the speaker talks
     walk = F.aggregate(
         "m",
@@ -48,27 +69,43 @@ def rotate(turns: DataFrame, system: str = "system", page: int = PAGE) -> DataFr
         ),
     )
     trained = F.aggregate("mask", F.lit(0).cast("long"), lambda s, x: s + x[1] - x[0])
-    return pages.withColumn("mask", walk["mask"]).select("conv_id", "speaker", "page", F.size("m").cast("long").alias("n_turns"), "text", "mask", trained.alias("n_trained"))
+    n = F.size(F.filter("m", lambda x: x["kind"] == 2)).cast("long")
+    return rendered.withColumn("mask", walk["mask"]).select("conv_id", "speaker", "page", n.alias("n_turns"), "text", "mask", trained.alias("n_trained"))
 
 
 SQL = f"""
-WITH said AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-         coalesce(CAST(floor(turn / {PAGE}) AS BIGINT), -1) AS page
-  FROM conversations
+WITH raw AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+), said AS (
+  SELECT *, CASE WHEN turn IS NOT NULL THEN CAST(floor(turn / {PAGE}) AS BIGINT)
+    ELSE -1099511627776 - CAST('0x' || substr(md5(role || ':' || text), 1, 8) AS BIGINT)
+         % CAST(ceil(count(*) FILTER (turn IS NULL) OVER (PARTITION BY conv_id) / {PAGE}.0) AS BIGINT) END AS page
+  FROM raw
+), marked AS (
+  SELECT *, min(page) FILTER (turn IS NOT NULL) OVER (PARTITION BY conv_id) AS first FROM said
+), pages AS (
+  SELECT DISTINCT conv_id, page FROM said
 ), speakers AS (
   SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role <> 'system'
+), shown AS (
+  SELECT conv_id, page, 2 AS kind, turn, role, text FROM marked
+  UNION ALL
+  SELECT m.conv_id, p.page, 0, turn, role, text FROM marked m JOIN pages p ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.page <> p.page
+  WHERE role = 'system' AND m.page = first
+  UNION ALL
+  SELECT m.conv_id, p.page, 1, turn, role, text FROM marked m JOIN pages p ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND p.page = m.page + 1
+  WHERE turn - m.page * {PAGE} >= {PAGE - CONTEXT} AND (role <> 'system' OR m.page <> first)
 ), parts AS (
-  SELECT a.*, speaker, role = speaker AS mine,
+  SELECT a.*, speaker, role = speaker AND kind = 2 AS mine,
          CASE WHEN role = 'system' THEN '<|system|>' || chr(10) WHEN role = speaker THEN '<|assistant|>' || chr(10)
               ELSE '<|user name=' || role || '|>' || chr(10) END AS head
-  FROM said a JOIN speakers b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
+  FROM shown a JOIN speakers b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
 ), placed AS (
   SELECT *, row_number() OVER w AS k,
          coalesce(sum(length(head) + length(text) + 8) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM parts WINDOW w AS (PARTITION BY conv_id, speaker, page ORDER BY turn, role, text)
+  FROM parts WINDOW w AS (PARTITION BY conv_id, speaker, page ORDER BY kind, turn, role, text)
 )
-SELECT conv_id, speaker, page, count(*) AS n_turns,
+SELECT conv_id, speaker, page, count(*) FILTER (kind = 2) AS n_turns,
        string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY k) AS text,
        coalesce(string_agg(CASE WHEN mine THEN CAST(CAST(start + length(head) AS BIGINT) AS VARCHAR) || '-' ||
                 CAST(CAST(start + length(head) + length(text) + 7 AS BIGINT) AS VARCHAR) END, ',' ORDER BY k), '') AS mask,

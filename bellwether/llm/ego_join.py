@@ -21,20 +21,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize
+from .common import components, lean, materialize
 
 
 class Setup(NamedTuple):
     threshold: float = 0.9
-    block: int = 2048
+    block: int = 4096
     leaf: int = 256
     axes: int = 16
     cells: int = 8
+    keys: int = 2
     sample: int = 4096
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.float64)
+    # the largest component first, so that no square leaves the range of doubles
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -121,6 +124,7 @@ def near_duplicates(vectors: DataFrame, setup: Setup = Setup()) -> DataFrame:
     labels among them, are ignored; an empty table gives no rows.
     """
     spark = vectors.sparkSession
+    lean(spark)
     inf = float("inf")
     fine = F.coalesce(
         F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < inf)) & F.exists("embedding", lambda x: x != 0), F.lit(False)
@@ -192,25 +196,34 @@ def _links(distinct: DataFrame, count: int, setup: Setup) -> DataFrame:
         )
 
     blocks = materialize(ordered.mapInArrow(cut, "block long, low array<double>, high array<double>, nodes binary, weights binary, vectors binary"))
-    first, last = F.floor(F.col("low")[0] / epsilon), F.floor(F.col("high")[0] / epsilon)
-    left = blocks.select(F.col("block").alias("a"), F.col("low").alias("al"), F.col("high").alias("ah"), F.explode(F.sequence(first - 1, last + 1)).alias("cell"))
-    right = blocks.select(F.col("block").alias("b"), F.col("low").alias("bl"), F.col("high").alias("bh"), F.explode(F.sequence(first, last)).alias("cell"))
+    # blocks meet in the cells of the leading axes that they touch: one side with the neighbouring cells
+    left = blocks.select(F.col("block").alias("a"), F.col("low").alias("al"), F.col("high").alias("ah"))
+    right = blocks.select(F.col("block").alias("b"), F.col("low").alias("bl"), F.col("high").alias("bh"))
+    keys = [f"cell{k}" for k in range(min(setup.keys, direction.shape[1]))]
+    for k, name in enumerate(keys):
+        left = left.withColumn(name, F.explode(F.sequence(F.floor(F.col("al")[k] / epsilon) - 1, F.floor(F.col("ah")[k] / epsilon) + 1)))
+        right = right.withColumn(name, F.explode(F.sequence(F.floor(F.col("bl")[k] / epsilon), F.floor(F.col("bh")[k] / epsilon))))
     gap = F.zip_with(F.zip_with("al", "bh", lambda x, y: x - y), F.zip_with("bl", "ah", lambda x, y: x - y), lambda x, y: F.greatest(F.lit(0.0), x, y))
     near = F.aggregate(gap, F.lit(0.0), lambda s, x: s + x * x) <= epsilon * epsilon + 1e-9
-    pairs = left.join(right, "cell").where((F.col("a") <= F.col("b")) & near).select("a", "b").distinct()
+    pairs = left.join(right, keys).where((F.col("a") <= F.col("b")) & near).select("a", "b").distinct()
     side = lambda s: blocks.select(F.col("block").alias(s), F.col("nodes").alias(f"n{s}"), F.col("weights").alias(f"w{s}"), F.col("vectors").alias(f"v{s}"))
-    work = pairs.join(side("a"), "a").join(side("b"), "b")
+    pairs = materialize(pairs)
+    alone = blocks.select(F.col("block").alias("a"), F.col("block").alias("b"), F.col("nodes").alias("na"), F.col("weights").alias("wa"), F.col("vectors").alias("va"))
+    nothing = F.lit(None).cast("binary")
+    work = pairs.where("a < b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "wa", "va", "nb", "wb", "vb")
+    work = work.union(alone.select("*", nothing.alias("nb"), nothing.alias("wb"), nothing.alias("vb")))
     dtype = np.float64 if "double" in kind else np.float32
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = len(shared.value)
         for batch in batches:
-            for r in batch.to_pylist():
-                same = r["a"] == r["b"]
-                na, nb = np.frombuffer(r["na"], np.int64), np.frombuffer(r["nb"], np.int64)
-                la, lb, label = join_blocks(
-                    np.frombuffer(r["va"], dtype).reshape(-1, width), np.frombuffer(r["vb"], dtype).reshape(-1, width), np.frombuffer(r["wa"], np.int64), np.frombuffer(r["wb"], np.int64), shared.value, setup, same
-                )
+            for k in range(batch.num_rows):
+                same = batch.column("a")[k] == batch.column("b")[k]
+                (na, wa), va = (np.frombuffer(batch.column(c)[k].as_buffer(), np.int64) for c in ("na", "wa")), np.frombuffer(batch.column("va")[k].as_buffer(), dtype).reshape(-1, width)
+                nb, wb, vb = na, wa, va
+                if not same:
+                    (nb, wb), vb = (np.frombuffer(batch.column(c)[k].as_buffer(), np.int64) for c in ("nb", "wb")), np.frombuffer(batch.column("vb")[k].as_buffer(), dtype).reshape(-1, width)
+                la, lb, label = join_blocks(va, vb, wa, wb, shared.value, setup, same)
                 node = na if same else np.concatenate((na, nb))
                 links = la + lb if same else np.concatenate((la, lb))
                 hit = np.flatnonzero(links)

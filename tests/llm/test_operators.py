@@ -131,6 +131,10 @@ def test_ego_join_brute_force(spark):
     for k in range(150):
         assert (got[k]["n_links"], got[k]["component_id"], got[k]["kept"]) == (g[k].sum(), label[k], label[k] == k)
     assert [got[k]["n_links"] for k in (150, 151, 152, 153, 154, 155, 156, None)] == [0, 0, 0, 0, 1, 1, 0, 0]
+    # components whose squares leave the range of doubles
+    far = [(k, [float(v) * scale for v in x[0]]) for k, scale in enumerate((1e200, 1e-200, 1.0, 1e-300))] + [(9, [1e300, -1e-300] + [0.0] * 10)]
+    wide = {r["vec_id"]: r["n_links"] for r in ego_join.near_duplicates(spark.createDataFrame(far, "vec_id long, embedding array<double>")).collect()}
+    assert wide == {0: 3, 1: 3, 2: 3, 3: 3, 9: 0}
     assert ego_join.near_duplicates(df.limit(0)).count() == 0
 
 
