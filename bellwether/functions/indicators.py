@@ -65,18 +65,17 @@ def true_range(high: Column, low: Column, close: Column) -> Column:
 
 def year_to_date(bars: DataFrame) -> DataFrame:
     """``ret_ytd``: over the last close before January 1; null in a ticker's first year."""
-    last = bars.groupBy(*KEY, F.year("bar_date").alias("y")).agg(F.max_by("close", "bar_date").alias("base"), F.max("bar_date").alias("at"))
-    # the last earlier year with bars, whichever it is
-    w = W.partitionBy(*KEY).orderBy("y")
-    base = last.withColumn("base", F.lag("base").over(w)).select(*KEY, "y", "base")
-    return bars.withColumn("y", F.year("bar_date")).join(base, [*KEY, "y"], "left").withColumn("ret_ytd", F.when(F.col("base") > 0, F.col("close") / F.col("base") - 1)).drop("y", "base")
+    # the last bar of the last earlier year with bars, whichever year it is
+    before = W.partitionBy(*KEY).orderBy("y").rangeBetween(W.unboundedPreceding, -1)
+    out = bars.withColumn("y", F.year("bar_date")).withColumn("base", F.max_by("close", "bar_date").over(before))
+    return out.withColumn("ret_ytd", F.when(F.col("base") > 0, F.col("close") / F.col("base") - 1)).drop("y", "base")
 
 
 def windowed(bars: DataFrame) -> DataFrame:
     """All bounded-window indicators; one shuffle by (ticker, source), one sort, several window passes."""
     c, h, lo, v = (F.col(x) for x in ("close", "high", "low", "volume"))
     out = year_to_date(bars)
-    out = out.withColumns({"log_ret": F.log(F.when(F.lag(c).over(by()) > 0, c / F.lag(c).over(by()))), "stoch_k": stochastic_k(h, lo, c), "true_range": true_range(h, lo, c), "prev": F.lag(c).over(by())})
+    out = out.withColumns({"log_ret": F.log(F.when(F.lag(c).over(by()) > 0, c / F.lag(c).over(by()))), "stoch_k_14": stochastic_k(h, lo, c), "true_range": true_range(h, lo, c), "prev": F.lag(c).over(by())})
     signed = F.signum(c - F.col("prev")) * v
     run = by().rowsBetween(W.unboundedPreceding, 0)
     unknown = F.sum(F.when(F.col("prev").isNotNull() & signed.isNull(), 1).otherwise(0)).over(run)
@@ -86,20 +85,20 @@ def windowed(bars: DataFrame) -> DataFrame:
             "sma_50": sma(c, 50),
             "sma_200": sma(c, 200),
             "volume_sma_20": sma(v, 20),
-            "high_252": rolling_max(c, YEAR),
-            "low_252": rolling_min(c, YEAR),
-            "stoch_d": sma(F.col("stoch_k"), 3),
+            "high_252d": rolling_max(c, YEAR),
+            "low_252d": rolling_min(c, YEAR),
+            "stoch_d_14": sma(F.col("stoch_k_14"), 3),
             "bb_sd": full(20, F.stddev_pop(c).over(rows(20)), c),
             "obv": F.when(F.col("prev").isNotNull() & (unknown == 0), F.sum(signed).over(run)),
-            "vol_20": realised_vol(F.col("log_ret"), 20),
-            "vol_60": realised_vol(F.col("log_ret"), 60),
-            "turnover": c * v,
+            "realized_vol_20d": realised_vol(F.col("log_ret"), 20),
+            "realized_vol_60d": realised_vol(F.col("log_ret"), 60),
+            "turnover_value": c * v,
             **{f"ret_{n}d": trailing_return(c, n) for n in (1, 5, 20, 60, 252)},
         }
     )
-    out = out.withColumns({"bb_upper": F.col("sma_20") + 2 * F.col("bb_sd"), "bb_lower": F.col("sma_20") - 2 * F.col("bb_sd"), "dist_sma_200": F.try_divide(c, F.col("sma_200")) - 1, "drawdown_252": F.try_divide(c, F.col("high_252")) - 1})
-    out = out.withColumn("bb_width", F.when(F.col("sma_20") > 0, (F.col("bb_upper") - F.col("bb_lower")) / F.col("sma_20")))
-    return out.withColumnRenamed("sma_20", "bb_mid").withColumn("sma_20", F.col("bb_mid")).drop("prev", "log_ret", "bb_sd")
+    out = out.withColumns({"bb_upper_20": F.col("sma_20") + 2 * F.col("bb_sd"), "bb_lower_20": F.col("sma_20") - 2 * F.col("bb_sd"), "dist_from_sma_200_pct": F.try_divide(c, F.col("sma_200")) - 1, "drawdown_from_252d_high": F.try_divide(c, F.col("high_252d")) - 1})
+    out = out.withColumn("bb_width_20", F.when(F.col("sma_20") > 0, (F.col("bb_upper_20") - F.col("bb_lower_20")) / F.col("sma_20")))
+    return out.withColumnRenamed("sma_20", "bb_mid_20").withColumn("sma_20", F.col("bb_mid_20")).drop("prev", "log_ret", "bb_sd")
 
 
 def ema(x: np.ndarray, n: int, alpha: float | None = None) -> np.ndarray:
@@ -131,23 +130,28 @@ def rsi(close: np.ndarray, n: int = 14) -> np.ndarray:
 RECURSIVE = ("ema_12", "ema_26", "macd", "macd_signal", "macd_hist", "rsi_14", "atr_14")
 
 
-def recursive(rows_: DataFrame) -> DataFrame:
-    """R1-R5 by one grouped pass over each series of ``rows_(ticker, source, bar_date, close, true_range)``."""
+def _recursive_columns(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
+    """R1-R5 of one series in order of session."""
+    c = pdf["close"].to_numpy(dtype=float)
+    out = {"ema_12": ema(c, 12), "ema_26": ema(c, 26)}
+    out["macd"] = out["ema_12"] - out["ema_26"]
+    out["macd_signal"] = ema(out["macd"], 9)
+    out["macd_hist"] = out["macd"] - out["macd_signal"]
+    out["rsi_14"] = rsi(c)
+    out["atr_14"] = wilder(pdf["true_range"].to_numpy(dtype=float), 14)
+    return out
+
+
+def recursive(rows_: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """R1-R5 by one grouped pass over each series of ``rows_(ticker, source, bar_date, close, true_range)``; ``carried`` columns come along."""
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bar_date")
-        c = pdf["close"].to_numpy(dtype=float)
-        out = pdf[["ticker", "source", "bar_date"]].copy()
-        out["ema_12"], out["ema_26"] = ema(c, 12), ema(c, 26)
-        out["macd"] = out["ema_12"] - out["ema_26"]
-        out["macd_signal"] = ema(out["macd"].to_numpy(), 9)
-        out["macd_hist"] = out["macd"] - out["macd_signal"]
-        out["rsi_14"] = rsi(c)
-        out["atr_14"] = wilder(pdf["true_range"].to_numpy(dtype=float), 14)
-        return out
+        return pdf[["ticker", "source", "bar_date", *carried]].assign(**_recursive_columns(pdf))
 
-    schema = "ticker string, source string, bar_date date, " + ", ".join(f"{c} double" for c in RECURSIVE)
-    return rows_.select(*KEY, "bar_date", "close", "true_range").groupBy(*KEY).applyInPandas(kernel, schema)
+    kinds = dict(rows_.dtypes)
+    schema = ", ".join(["ticker string, source string, bar_date date", *(f"{c} {kinds[c]}" for c in carried), *(f"{c} double" for c in RECURSIVE)])
+    return rows_.select(*KEY, "bar_date", *dict.fromkeys(("close", "true_range", *carried))).groupBy(*KEY).applyInPandas(kernel, schema)
 
 
 def long_ema(rows_: DataFrame, n: int, block: int = 4096, column: str = "close") -> DataFrame:
@@ -170,25 +174,28 @@ def long_ema(rows_: DataFrame, n: int, block: int = 4096, column: str = "close")
     return replay.select(*KEY, F.explode(out).alias("o")).select(*KEY, "o.bar_date", "o.ema").union(first)
 
 
+#: The output columns, in their fixed order.
 COLUMNS = (
-    "sma_20", "sma_50", "sma_200", "ema_12", "ema_26", "macd", "macd_signal", "macd_hist", "rsi_14", "stoch_k", "stoch_d", "atr_14", "bb_mid", "bb_upper", "bb_lower", "bb_width",
-    "obv", "volume_sma_20", "vol_20", "vol_60", "high_252", "low_252", "dist_sma_200", "drawdown_252", "turnover", "ret_1d", "ret_5d", "ret_20d", "ret_60d", "ret_252d", "ret_ytd",
+    "sma_20", "sma_50", "sma_200", "ema_12", "ema_26", "macd", "macd_signal", "macd_hist", "rsi_14", "stoch_k_14", "stoch_d_14", "atr_14", "bb_mid_20", "bb_upper_20", "bb_lower_20", "bb_width_20",
+    "realized_vol_20d", "realized_vol_60d", "obv", "volume_sma_20", "turnover_value", "ret_1d", "ret_5d", "ret_20d", "ret_60d", "ret_252d", "ret_ytd", "dist_from_sma_200_pct", "high_252d", "low_252d", "drawdown_from_252d_high",
 )
 
 #: First row, counted from 0, on which a column has a value; the year to date depends on the calendar.
 WARM_UP = {
-    "sma_20": 19, "sma_50": 49, "sma_200": 199, "ema_12": 11, "ema_26": 25, "macd": 25, "macd_signal": 33, "macd_hist": 33, "rsi_14": 14, "stoch_k": 13, "stoch_d": 15, "atr_14": 14,
-    "bb_mid": 19, "bb_upper": 19, "bb_lower": 19, "bb_width": 19, "obv": 1, "volume_sma_20": 19, "vol_20": 20, "vol_60": 60, "high_252": 251, "low_252": 251, "dist_sma_200": 199,
-    "drawdown_252": 251, "turnover": 0, "ret_1d": 1, "ret_5d": 5, "ret_20d": 20, "ret_60d": 60, "ret_252d": 252,
+    "sma_20": 19, "sma_50": 49, "sma_200": 199, "ema_12": 11, "ema_26": 25, "macd": 25, "macd_signal": 33, "macd_hist": 33, "rsi_14": 14, "stoch_k_14": 13, "stoch_d_14": 15, "atr_14": 14,
+    "bb_mid_20": 19, "bb_upper_20": 19, "bb_lower_20": 19, "bb_width_20": 19, "obv": 1, "volume_sma_20": 19, "realized_vol_20d": 20, "realized_vol_60d": 60, "high_252d": 251, "low_252d": 251, "dist_from_sma_200_pct": 199,
+    "drawdown_from_252d_high": 251, "turnover_value": 0, "ret_1d": 1, "ret_5d": 5, "ret_20d": 20, "ret_60d": 60, "ret_252d": 252,
 }
 
 
 def indicators(bars: DataFrame) -> DataFrame:
-    """One row by session, warm-up included, with the 31 columns; NaN and infinities become null once, here."""
-    w = windowed(bars)
-    joined = w.join(recursive(w), [*KEY, "bar_date"])
+    """One row by session, warm-up included, with the 31 columns; NaN and infinities become null once, here.
+
+    The bars are read and dealt out by series once: windows, then one grouped pass for the recursions that carries the others along.
+    """
+    out = recursive(windowed(bars), tuple(c for c in COLUMNS if c not in RECURSIVE))
     clean = [F.when(~F.isnan(c) & (F.abs(F.col(c)) < float("inf")), F.col(c)).alias(c) for c in COLUMNS]
-    return joined.select(*KEY, "bar_date", *clean)
+    return out.select(*KEY, "bar_date", *clean)
 
 
 def warm_up_audit(ind: DataFrame) -> DataFrame:

@@ -62,13 +62,25 @@ def ingest_report(rows: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("written") == 0, "empty").when(F.col("written") < F.col("fetched"), "degraded").otherwise("ok"))
 
 
-def check_report(rows: DataFrame, scope: str) -> DataFrame:
-    """Rows (scope, check, passed, severity, n_bad, details): the first 20 offenders by key as JSON (Q6)."""
-    bad = rows.where("reason is not null").groupBy(F.col("reason").alias("check")).agg(
-        F.count("*").alias("n_bad"), F.to_json(F.slice(F.array_sort(F.collect_set(F.struct("ticker", "bar_date"))), 1, 20)).alias("details")
-    )
-    all_checks = rows.sparkSession.range(3).select(F.element_at(F.array(*map(F.lit, ("sanity", "duplicates", "window"))), (F.col("id") + 1).cast("int")).alias("check"))
-    out = all_checks.join(bad, "check", "left")
+def null_report(rows: DataFrame) -> DataFrame:
+    """How many values are missing, which is no fault (Q1)."""
+    return rows.agg(*(F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in ("open", "high", "low", "volume")))
+
+
+def check_report(rows: DataFrame, scope: str, most: int = 20) -> DataFrame:
+    """Rows (scope, check, passed, severity, n_bad, details): the first ``most`` offenders by key as JSON (Q6).
+
+    Tasks keep their own first offenders by hash part before those of a check meet, so no list is longer than a few hundred.
+    """
+    checks = ("sanity", "duplicates", "window")
+    bad = rows.where("reason is not null").select(F.col("reason").alias("check"), "ticker", "bar_date")
+    counted = bad.groupBy("check").agg(F.count("*").alias("n_bad"))
+    distinct = bad.distinct().withColumn("part", F.pmod(F.xxhash64("ticker", "bar_date"), F.lit(16)))
+    first = lambda *by: F.row_number().over(W.partitionBy("check", *by).orderBy("ticker", "bar_date"))
+    some = distinct.withColumn("k", first("part")).where(F.col("k") <= most).withColumn("k", first()).where(F.col("k") <= most)
+    listed = some.groupBy("check").agg(F.to_json(F.array_sort(F.collect_list(F.struct("ticker", "bar_date")))).alias("details"))
+    every = rows.sparkSession.range(len(checks)).select(F.element_at(F.array(*map(F.lit, checks)), (F.col("id") + 1).cast("int")).alias("check"))
+    out = every.join(counted, "check", "left").join(listed, "check", "left")
     return out.select(F.lit(scope).alias("scope"), "check", F.col("n_bad").isNull().alias("passed"), F.lit("error").alias("severity"), F.coalesce("n_bad", F.lit(0)).alias("n_bad"), F.coalesce("details", F.lit("[]")).alias("details"))
 
 

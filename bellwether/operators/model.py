@@ -7,16 +7,19 @@ up the same in any order and ties go to the smaller ticker.
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize
 from .clean import usable
 
 P_TYPE = "decimal(20,18)"
@@ -142,31 +145,13 @@ def coverage(p: DataFrame, chosen: DataFrame) -> DataFrame:
     return best.agg(F.coalesce(F.sum(F.col("c").cast("decimal(38,18)")), F.lit(0).cast("decimal(38,18)")).alias("f"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """End the lineage in the folder of ``spark.checkpoint.dir``; a local session without one gets its own folder, a cluster keeps the lineage."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            return df
-        folder = _own_folder(spark.sparkContext.applicationId)
-    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@lru_cache(maxsize=8)
-def _own_folder(application: str) -> str:
-    return f"file://{tempfile.mkdtemp(prefix=f'spark-model-{application}-')}"
-
-
 def greedy(p: DataFrame, k: int) -> DataFrame:
     """``(step, ticker, gain, f)`` of k rounds: the largest gain, the smaller ticker on ties.
 
     Each round is one aggregate over p with the small cover vector joined in; one row comes back.
     """
     spark = p.sparkSession
-    p = _cut(p).cache()
+    p = materialize(p).cache()
     picks: list[tuple[int, str, object, object]] = []
     cover = p.select("i").distinct().select("i", F.lit(0).cast(P_TYPE).alias("c"))
     total = 0
@@ -179,7 +164,7 @@ def greedy(p: DataFrame, k: int) -> DataFrame:
         total += best["gain"]
         picks.append((step, best["j"], best["gain"], total))
         mine = p.where(F.col("j") == best["j"]).select("i", F.col("p").alias("q"))
-        cover = _cut(cover.join(mine, "i").select("i", F.greatest("c", "q").alias("c")))
+        cover = materialize(cover.join(mine, "i").select("i", F.greatest("c", "q").alias("c")))
     p.unpersist()
     return spark.createDataFrame(picks, "step int, ticker string, gain decimal(38,18), f decimal(38,18)")
 
@@ -212,9 +197,9 @@ def adjusted_coverage(f: Column, k: Column, n: Column) -> Column:
 def train(bars: DataFrame, index: DataFrame, universe: DataFrame, k: int, k_max: int, tau: float, measure: str = "rho2") -> dict[str, DataFrame]:
     """A run: params, similarity, steps to k_max, assignment on the first k, groups, those under tau."""
     panel, report = align(returns(bars), index_returns(index), universe)
-    panel = _cut(panel)
+    panel = materialize(panel)
     params = fit(panel)
-    p = _cut(similarity(residuals(panel, params), measure))
+    p = materialize(similarity(residuals(panel, params), measure))
     steps = greedy(p, k_max)
     assigned = assign(p, steps, k)
     return {"panel": panel, "report": report, "params": params, "p": p, "steps": steps, "assigned": assigned, "groups": groups(assigned), "under": under(assigned, [tau])}
@@ -289,35 +274,48 @@ def swaps(p: DataFrame, steps: DataFrame) -> DataFrame:
     return each.groupBy("out", "into").agg(F.sum(F.greatest("q", held).cast("decimal(38,18)")).alias("f"))
 
 
-def permutation_null(e: DataFrame, k: int, replicates: int, seed: int = 7) -> DataFrame:
-    """Percentiles of non-anchor coverage when each column is shuffled in itself, one task row by replicate.
+PANEL_CELLS = 50_000_000  # most numbers of one study window that are sent to the tasks
 
-    The panel (N x T, one study window) goes to each replicate; replicates are spread over the cluster.
-    """
-    wide = e.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("bar_date", "e"))).alias("v")).select("ticker", F.transform("v", lambda x: x["e"]).alias("v"))
-    work = e.sparkSession.range(replicates).join(F.broadcast(wide))
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ticker")
-        rng = np.random.default_rng([seed, int(pdf["id"].iloc[0])])
-        x = np.stack([rng.permutation(np.asarray(v, dtype=float)) for v in pdf["v"]])
-        x = x - x.mean(axis=1, keepdims=True)
-        norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
-        z = np.divide(x, norm, out=np.zeros_like(x), where=norm > 1e-15)
-        p = np.minimum(1, (z @ z.T) ** 2)
-        np.fill_diagonal(p, 1)
-        c, chosen = np.zeros(len(p)), []
-        for _ in range(min(k, len(p))):
-            gain = np.maximum(0, p - c[:, None]).sum(axis=0)
-            gain[chosen] = -1
-            chosen.append(int(gain.argmax()))
-            c = np.maximum(c, p[:, chosen[-1]])
-        return pd.DataFrame({"c": np.delete(c, chosen)})
-
-    pooled = work.groupBy("id").applyInPandas(one, "c double")
+def permutation_null(e: DataFrame, k: int, replicates: int = 1000, seed: int = 7) -> DataFrame:
+    """Percentiles of non-anchor coverage when each column is shuffled in itself.
+
+    The panel of one study window (N x T, at most ``PANEL_CELLS`` numbers, else an error) is broadcast once; each task works through
+    its share of the replicates, whatever their number, and only the coverages are pooled.
+    """
+    spark = e.sparkSession
+    size = e.agg(F.count("*")).first()[0]
+    if size > PANEL_CELLS:
+        raise ValueError(f"a study window of {size} returns is more than {PANEL_CELLS}")
+    series = e.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("bar_date", "e"))).alias("v")).orderBy("ticker").select(F.transform("v", lambda x: x["e"]).alias("v"))
+    shared = spark.sparkContext.broadcast([np.asarray(r["v"], dtype=float) for r in series.collect()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in b.column("id").to_pylist():
+                rng = np.random.default_rng([seed, i])
+                yield pa.record_batch([pa.array(null_coverage(np.stack([rng.permutation(v) for v in shared.value]), k))], names=["c"])
+
+    pooled = spark.range(0, replicates, 1, min(replicates, spark.sparkContext.defaultParallelism)).mapInArrow(run, "c double")
     return pooled.agg(F.count("*").alias("n"), *(F.percentile("c", F.lit(q)).alias(name) for q, name in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))))
 
 
+def null_coverage(x: np.ndarray, k: int) -> np.ndarray:
+    """Coverage of the tickers that greedy selection of ``k`` leaves out, on the squared correlations of the rows of ``x``."""
+    x = x - x.mean(axis=1, keepdims=True)
+    norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
+    z = np.divide(x, norm, out=np.zeros_like(x), where=norm > 1e-15)
+    p = np.minimum(1, (z @ z.T) ** 2)
+    np.fill_diagonal(p, 1)
+    c, chosen = np.zeros(len(p)), []
+    for _ in range(min(k, len(p))):
+        gain = np.maximum(0, p - c[:, None]).sum(axis=0)
+        gain[chosen] = -1
+        chosen.append(int(gain.argmax()))
+        c = np.maximum(c, p[:, chosen[-1]])
+    return np.delete(c, chosen)
+
+
 def anchor_frequency(runs: DataFrame) -> DataFrame:
     """``runs(year, ticker)``: years in which a ticker was chosen."""
     years = runs.agg(F.countDistinct("year").alias("n_years"))
@@ -354,7 +352,7 @@ def cross_year(p_next: DataFrame, old_steps: DataFrame, new_steps: DataFrame) ->
 
     Anchors that are not in the next window's universe cover nothing.
     """
-    p_next = _cut(p_next)
+    p_next = materialize(p_next)
     stale = mean_coverage(p_next, old_steps).select(F.col("mean_f").alias("stale"))
     direct = mean_coverage(p_next, new_steps).select(F.col("mean_f").alias("direct"))
     return stale.join(F.broadcast(direct)).withColumn("ratio", F.try_divide("stale", "direct"))
@@ -362,7 +360,7 @@ def cross_year(p_next: DataFrame, old_steps: DataFrame, new_steps: DataFrame) ->
 
 def compare_measures(p_a: DataFrame, p_b: DataFrame, unbiased: DataFrame, k: int) -> DataFrame:
     """Two measures on one window: overlap of their anchors, mean coverages, rank correlation of coverage, mean U-statistic."""
-    p_a, p_b = _cut(p_a), _cut(p_b)
+    p_a, p_b = materialize(p_a), materialize(p_b)
     a, b = greedy(p_a, k), greedy(p_b, k)
     c = assign(p_a, a).select("ticker", F.col("c").alias("ca")).join(assign(p_b, b).select("ticker", F.col("c").alias("cb")), "ticker")
     u = unbiased.where("i < j").agg(F.avg(F.col("p").cast("double")).alias("mean_u"))
@@ -372,7 +370,7 @@ def compare_measures(p_a: DataFrame, p_b: DataFrame, unbiased: DataFrame, k: int
 
 def zero_diagonal(p: DataFrame, k: int) -> DataFrame:
     """Greedy on P and on P with a zero diagonal, step by step; ``diverged`` from the first step that differs on."""
-    p = _cut(p)
+    p = materialize(p)
     zero = p.withColumn("p", F.when(F.col("i") == F.col("j"), F.lit(0).cast(P_TYPE)).otherwise(F.col("p")))
     a, b = greedy(p, k), greedy(zero, k)
     both = a.join(b.select("step", F.col("ticker").alias("ticker_zero"), F.col("gain").alias("gain_zero"), F.col("f").alias("f_zero")), "step")
@@ -385,9 +383,9 @@ def flag_sensitivity(p: DataFrame, masked: DataFrame, k: int) -> DataFrame:
 
     Pairs with too few unflagged sessions count as 0.
     """
-    p, masked = _cut(p), _cut(masked)
+    p, masked = materialize(p), materialize(masked)
     both = masked.select("i", "j", F.col("p").alias("q")).union(masked.select("j", "i", "p"))
-    again = _cut(p.join(both, ["i", "j"], "left").select("i", "j", F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.coalesce("q", F.lit(0.0))).cast(P_TYPE).alias("p")))
+    again = materialize(p.join(both, ["i", "j"], "left").select("i", "j", F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.coalesce("q", F.lit(0.0))).cast(P_TYPE).alias("p")))
     a, b = greedy(p, k), greedy(again, k)
     before, after = mean_coverage(p, a, True).select(F.col("mean_f").alias("before")), mean_coverage(again, b, True).select(F.col("mean_f").alias("after"))
     return jaccard(a, b).join(F.broadcast(before)).join(F.broadcast(after)).join(F.broadcast(masked.agg(F.min("t").alias("min_t"))))
@@ -409,23 +407,20 @@ def tightness(p: DataFrame, assigned: DataFrame) -> DataFrame:
 
 
 def spectrum(panel: DataFrame, value: str = "x") -> DataFrame:
-    """Correlation eigenvalues against the Marchenko-Pastur edge (1 + sqrt(N/T))^2.
+    """Correlation eigenvalues, largest first, against the Marchenko-Pastur edge (1 + sqrt(N/T))^2.
 
-    Pair sums are distributed; the N x N result of one study window (N tickers) is decomposed in one task.
+    They are the squared singular values of the standardised sessions over T, by MLlib's distributed row matrix: one row
+    by session, products added up by the executors. Of fewer sessions than tickers the remaining values are zero.
     """
     m = panel.groupBy("ticker").agg(F.avg(value).alias("m"), F.stddev_pop(value).alias("sd"))
     z = panel.join(F.broadcast(m), "ticker").select("ticker", "bar_date", F.coalesce(F.try_divide(F.col(value) - F.col("m"), F.when(F.col("sd") > 0, F.col("sd"))), F.lit(0.0)).alias("z"))
-    t = panel.select("bar_date").distinct().agg(F.count("*").alias("t"))
-    pairs = _pairs(z, "z").join(F.broadcast(t)).withColumn("one", F.lit(1))
-
-    def eigen(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(set(pdf["i"]))
-        at = {n: k for k, n in enumerate(names)}
-        c = np.zeros((len(names), len(names)))
-        i, j = pdf["i"].map(at), pdf["j"].map(at)
-        c[i, j] = c[j, i] = pdf["s"] / pdf["t"]
-        values = np.linalg.eigvalsh(c)[::-1]
-        edge = (1 + math.sqrt(len(names) / int(pdf["t"].iloc[0]))) ** 2
-        return pd.DataFrame({"rank": range(1, len(values) + 1), "eigenvalue": values, "above": values > edge})
-
-    return pairs.groupBy("one").applyInPandas(eigen, "rank int, eigenvalue double, above boolean")
+    sessions = materialize(z.groupBy("bar_date").agg(F.sort_array(F.collect_list(F.struct("ticker", "z"))).alias("v")).select(F.transform("v", lambda x: x["z"]).alias("v")))
+    t, n = sessions.agg(F.count("*"), F.max(F.size("v"))).first()
+    spark = panel.sparkSession
+    if not t:
+        return spark.createDataFrame([], "rank int, eigenvalue double, above boolean")
+    rows = MLUtils.convertVectorColumnsFromML(sessions.select(array_to_vector("v").alias("v")), "v")
+    found = [float(x) ** 2 / t for x in RowMatrix(rows, t, n).computeSVD(n).s]
+    edge = (1 + math.sqrt(n / t)) ** 2
+    values = [*found, *[0.0] * (n - len(found))]
+    return spark.createDataFrame([(k + 1, x, x > edge) for k, x in enumerate(values)], "rank int, eigenvalue double, above boolean")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 HORIZONS = {"1d": "ret_1d", "5d": "ret_5d", "1m": "ret_20d", "3m": "ret_60d", "1y": "ret_252d"}
 RANGES = {"1m": 20, "3m": 60, "6m": 126, "1y": 252}
-RATIOS = ("ret_1d", "ret_5d", "ret_20d", "ret_60d", "ret_252d", "ret_ytd", "vol_20", "vol_60", "drawdown_252", "dist_sma_200", "bb_width")
+RATIOS = ("ret_1d", "ret_5d", "ret_20d", "ret_60d", "ret_252d", "ret_ytd", "realized_vol_20d", "realized_vol_60d", "drawdown_from_252d_high", "dist_from_sma_200_pct", "bb_width_20")
 
 
 def latest_session(bars: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def overview(bars: DataFrame, ind: DataFrame, index: DataFrame) -> DataFrame:
     rows = ind.join(F.broadcast(day), ind["bar_date"] == day["session_date"])
     r = F.col("ret_1d")
     facts = rows.agg(
-        F.count("*").alias("n_tickers"), F.count(r).alias("n_with_return"), F.coalesce(F.sum("turnover"), F.lit(0.0)).alias("turnover"),
+        F.count("*").alias("n_tickers"), F.count(r).alias("n_with_return"), F.coalesce(F.sum("turnover_value"), F.lit(0.0)).alias("turnover"),
         F.count_if(r > 0).alias("advancers"), F.count_if(r < 0).alias("decliners"), F.count_if(r == 0).alias("unchanged"),
     )
     volume = bars.join(F.broadcast(day), bars["bar_date"] == day["session_date"]).agg(F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume"))
@@ -40,7 +40,8 @@ def sectors(bars: DataFrame, ind: DataFrame, stocks: DataFrame) -> DataFrame:
     """By sector on the latest session; an unknown sector is a group, labelled at output only."""
     day = latest_session(bars)
     rows = ind.join(F.broadcast(day), ind["bar_date"] == day["session_date"]).join(F.broadcast(stocks), "ticker", "left")
-    return rows.groupBy("sector").agg(F.count("*").alias("n"), F.count("ret_1d").alias("n_with_return"), F.avg("ret_1d").alias("mean_return"), F.sum("turnover").alias("turnover")).withColumn("label", F.coalesce("sector", F.lit("other")))
+    rows = rows.join(bars.select("ticker", "bar_date", "source", "volume"), ["ticker", "bar_date", "source"], "left")
+    return rows.groupBy("sector").agg(F.count("*").alias("n"), F.count("ret_1d").alias("n_with_return"), F.avg("ret_1d").alias("mean_return"), F.coalesce(F.sum("turnover_value"), F.lit(0.0)).alias("turnover"), F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume")).withColumn("label", F.coalesce("sector", F.lit("other")))
 
 
 def movers_base(bars: DataFrame, ind: DataFrame, stocks: DataFrame) -> DataFrame:
@@ -60,7 +61,7 @@ def movers(base: DataFrame, horizon: str = "1d", direction: str = "up", limit: i
 
 
 def liquidity(base: DataFrame, limit: int = 10) -> DataFrame:
-    return base.orderBy(F.col("turnover").desc_nulls_last(), "ticker").limit(limit)
+    return base.orderBy(F.col("turnover_value").desc_nulls_last(), "ticker").limit(limit)
 
 
 def index_history(index: DataFrame) -> DataFrame:
@@ -121,7 +122,7 @@ def anchors(steps: DataFrame, groups: DataFrame, stocks: DataFrame, n: DataFrame
 
 def group_detail(assigned: DataFrame, base: DataFrame) -> DataFrame:
     """Members by coverage, best first, with their latest moves if any."""
-    return assigned.join(base.select("ticker", "sector", "close", "ret_1d", "ret_20d", "turnover"), "ticker", "left")
+    return assigned.join(base.select("ticker", "sector", "close", "ret_1d", "ret_20d", "turnover_value"), "ticker", "left")
 
 
 def composition(assigned: DataFrame, stocks: DataFrame) -> DataFrame:

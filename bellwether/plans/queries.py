@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import indicators as ind
 from ..operators import clean, model
 from ..sources import derive, store
+from ..sources.stored import stored
 from ..streaming import stream
 from . import board, validate
 from .narrative import RULES, narrative
@@ -81,6 +82,21 @@ def r(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*(F.round(F.col(c).cast("double"), digits).alias(c) if k == "double" or k.startswith("decimal") else F.col(c) for c, k in df.dtypes))
 
 
+# ---- stored tables: written once in a session, read by all questions below ---------------------
+
+
+def _bars(s: SparkSession, d: str, unit: str = "week") -> DataFrame:
+    return stored(s, d, f"bars {unit}", lambda: derive.bars(s, d, unit))
+
+
+def _index(s: SparkSession, d: str, unit: str = "week") -> DataFrame:
+    return stored(s, d, f"index {unit}", lambda: derive.index_bars(s, d, unit))
+
+
+def _ind(s: SparkSession, d: str) -> DataFrame:
+    return stored(s, d, "indicators", lambda: ind.indicators(_bars(s, d)))
+
+
 # ---- bars, cleaning, storage -------------------------------------------------------------------
 
 
@@ -132,7 +148,7 @@ def _reasoned(s: SparkSession, d: str) -> DataFrame:
 
 @query("normalise_drops", with_(LINE, BARS, FAULTS) + "SELECT ticker, coalesce(dropped, 'kept') AS outcome, count(*) AS n FROM judged GROUP BY 1, 2")
 def _(s, d):
-    rows = clean.normalise(derive.raw_bars(derive.bars(s, d)), derive.SOURCE)
+    rows = clean.normalise(derive.raw_bars(_bars(s, d)), derive.SOURCE)
     return rows.groupBy("ticker", F.coalesce("dropped", F.lit("kept")).alias("outcome")).agg(F.count("*").alias("n"))
 
 
@@ -141,9 +157,22 @@ def _(s, d):
     return _reasoned(s, d).select("ticker", "bar_date", "position", F.round("close", 6).alias("close"), F.coalesce("reason", F.lit("kept")).alias("reason"))
 
 
-@query("quality_report", with_(LINE, BARS, FAULTS) + "SELECT c.\"check\", count(reason) AS n_bad, count(reason) = 0 AS passed FROM (VALUES ('sanity'), ('duplicates'), ('window')) c(\"check\") LEFT JOIN reasoned ON reason = c.\"check\" GROUP BY 1")
+@query(
+    "quality_report",
+    with_(LINE, BARS, FAULTS)
+    + """, offenders AS (
+  SELECT *, row_number() OVER (PARTITION BY reason ORDER BY ticker, bar_date) AS k FROM (SELECT DISTINCT reason, ticker, bar_date FROM reasoned WHERE reason IS NOT NULL)
+), listed AS (
+  SELECT reason, '[' || string_agg('{"ticker":"' || ticker || '","bar_date":"' || bar_date || '"}', ',' ORDER BY k) || ']' AS details FROM offenders WHERE k <= 20 GROUP BY 1
+), blanks AS (
+  SELECT count(*) FILTER (open IS NULL) AS n_open, count(*) FILTER (high IS NULL) AS n_high, count(*) FILTER (low IS NULL) AS n_low, count(*) FILTER (volume IS NULL) AS n_volume FROM reasoned
+)
+SELECT 'bars' AS scope, c."check", 'error' AS severity, (SELECT count(*) FROM reasoned WHERE reason = c."check") AS n_bad, details IS NULL AS passed, coalesce(details, '[]') AS details, n_open, n_high, n_low, n_volume
+FROM (VALUES ('sanity'), ('duplicates'), ('window')) c("check") LEFT JOIN listed ON reason = c."check", blanks""",
+)
 def _(s, d):
-    return clean.check_report(_reasoned(s, d), "bars").select("check", "n_bad", "passed")
+    rows = _reasoned(s, d)
+    return clean.check_report(rows, "bars").join(F.broadcast(clean.null_report(rows)))
 
 
 @query(
@@ -159,20 +188,20 @@ def _(s, d):
 ) SELECT *, CASE WHEN written = 0 THEN 'empty' WHEN written < fetched THEN 'degraded' ELSE 'ok' END AS status FROM summed""".replace(", all_rows", ", all_rows"),
 )
 def _(s, d):
-    rows = clean.normalise(derive.raw_bars(derive.bars(s, d)), derive.SOURCE)
+    rows = clean.normalise(derive.raw_bars(_bars(s, d)), derive.SOURCE)
     good = clean.with_reason(rows.where("dropped is null"), store.KEYS["bars"], *WINDOW)
     return clean.ingest_report(good.unionByName(rows.where("dropped is not null").withColumn("reason", F.lit(None).cast("string"))))
 
 
 @query("coverage_check", with_(LINE, BARS) + "SELECT ticker, count(DISTINCT bar_date) AS n_rows, (SELECT count(*) FROM idx) AS n_expected, round(count(DISTINCT bar_date) / (SELECT count(*) FROM idx), 6) AS ratio, count(DISTINCT bar_date) / (SELECT count(*) FROM idx) >= 0.5 AS passed FROM bars GROUP BY 1")
 def _(s, d):
-    return r(clean.coverage(derive.bars(s, d), derive.index_bars(s, d)))
+    return r(clean.coverage(_bars(s, d), _index(s, d)))
 
 
 @query("high_water_marks", with_(LINE, BARS, STOCKS) + "SELECT s.ticker, max(bar_date) AS last_date FROM stocks s LEFT JOIN bars b ON b.ticker = s.ticker AND bar_date < DATE '1998-01-01' AND sector IS NOT NULL GROUP BY 1")
 def _(s, d):
     st = derive.stocks(s, d)
-    known = derive.bars(s, d).join(F.broadcast(st.where("sector is not null").select("ticker")), "ticker", "left_semi").where("bar_date < date'1998-01-01'")
+    known = _bars(s, d).join(F.broadcast(st.where("sector is not null").select("ticker")), "ticker", "left_semi").where("bar_date < date'1998-01-01'")
     return store.high_water_marks(known, st)
 
 
@@ -182,7 +211,7 @@ def _(s, d):
     + ", old AS (SELECT ticker, bar_date, close, 1 AS ingested FROM bars WHERE bar_date < DATE '2000-01-01'), new AS (SELECT ticker, bar_date, close + 1 AS close, 2 AS ingested FROM bars WHERE bar_date >= DATE '1999-01-01') SELECT ticker, bar_date, round(coalesce(n.close, o.close), 6) AS close, coalesce(o.ingested, n.ingested) AS ingested FROM old o FULL JOIN new n USING (ticker, bar_date)",
 )
 def _(s, d):
-    b = derive.bars(s, d)
+    b = _bars(s, d)
     old = b.where("bar_date < date'2000-01-01'").select("ticker", "bar_date", "close", F.lit(1).alias("ingested"))
     new = b.where("bar_date >= date'1999-01-01'").select("ticker", "bar_date", (F.col("close") + 1).alias("close"), F.lit(2).alias("ingested"))
     return r(store.upsert(old, new, ["ticker", "bar_date"], keep=("ingested",)))
@@ -190,7 +219,7 @@ def _(s, d):
 
 @query("mirror_report", with_(LINE, BARS, STOCKS) + "SELECT s.ticker, count(b.ticker) AS n_rows FROM stocks s LEFT JOIN bars b ON b.ticker = s.ticker AND s.sector IS NOT NULL GROUP BY 1")
 def _(s, d):
-    st, b = derive.stocks(s, d), derive.bars(s, d)
+    st, b = derive.stocks(s, d), _bars(s, d)
     known = b.join(F.broadcast(st.where("sector is not null").select("ticker")), "ticker", "left_semi")
     return store.mirror(known, b.limit(0), st, store.KEYS["bars"])[1]
 
@@ -200,16 +229,16 @@ def _(s, d):
 
 @query("returns", with_(LINE, BARS, RETS) + "SELECT ticker, bar_date, round(x, 8) AS x, at_limit, zero_volume FROM rets")
 def _(s, d):
-    return r(model.returns(derive.bars(s, d)).select("ticker", "bar_date", "x", "at_limit", "zero_volume"), 8)
+    return r(model.returns(_bars(s, d)).select("ticker", "bar_date", "x", "at_limit", "zero_volume"), 8)
 
 
 @query("index_returns", with_(LINE, BARS, RETS) + "SELECT bar_date, round(f, 8) AS f FROM idxret")
 def _(s, d):
-    return r(model.index_returns(derive.index_bars(s, d)).select("bar_date", "f"), 8)
+    return r(model.index_returns(_index(s, d)).select("bar_date", "f"), 8)
 
 
 def _panel(s: SparkSession, d: str, unit: str = "week") -> tuple[DataFrame, DataFrame]:
-    return model.align(model.returns(derive.bars(s, d, unit)), model.index_returns(derive.index_bars(s, d, unit)), derive.stocks(s, d))
+    return model.align(model.returns(_bars(s, d, unit)), model.index_returns(_index(s, d, unit)), derive.stocks(s, d))
 
 
 @query(
@@ -290,7 +319,7 @@ FULL = (*MODEL, PAIRS, GREEDY)
 
 
 def _run(s: SparkSession, d: str, unit: str = "week", k: int = 3, k_max: int = 3) -> dict[str, DataFrame]:
-    return model.train(derive.bars(s, d, unit), derive.index_bars(s, d, unit), derive.stocks(s, d), k, k_max, 0.1)
+    return model.train(_bars(s, d, unit), _index(s, d, unit), derive.stocks(s, d), k, k_max, 0.1)
 
 
 @query("greedy_steps", with_(*FULL) + "SELECT step, ticker, round(CAST(gain AS DOUBLE), 8) AS gain, round(CAST(sum(gain) OVER (ORDER BY step) AS DOUBLE), 8) AS f FROM steps")
@@ -365,7 +394,7 @@ def _(s, d):
 @query("masked_rho2", with_(*MODEL) + """, ok AS (SELECT e.* FROM resid e JOIN rets r USING (ticker, bar_date) WHERE NOT at_limit)
 SELECT i, j, count(*) AS t, round(least(1, coalesce(pow(covar_pop(a, b), 2) / nullif(var_pop(a) * var_pop(b), 0), 0)), 6) AS p FROM (SELECT x.ticker AS i, y.ticker AS j, x.e AS a, y.e AS b FROM ok x JOIN ok y USING (bar_date) WHERE x.ticker < y.ticker) GROUP BY 1, 2 HAVING count(*) >= 3""")
 def _(s, d):
-    flags = model.returns(derive.bars(s, d)).select("ticker", "bar_date", F.col("at_limit").alias("flagged"))
+    flags = model.returns(_bars(s, d)).select("ticker", "bar_date", F.col("at_limit").alias("flagged"))
     return r(model.masked_rho2(_resid(s, d), flags))
 
 
@@ -373,7 +402,7 @@ def _(s, d):
 SELECT t.ticker, coalesce(string_agg(CASE WHEN coalesce(have, 0) < need THEN CAST(n.y AS VARCHAR) END, ',' ORDER BY n.y), '') AS failing_years, count(*) FILTER (coalesce(have, 0) < need) = 0 AS complete
 FROM (SELECT DISTINCT ticker FROM rets) t CROSS JOIN need n LEFT JOIN have h ON h.ticker = t.ticker AND h.y = n.y GROUP BY 1""")
 def _(s, d):
-    out = model.full_coverage_universe(model.returns(derive.bars(s, d)), model.index_returns(derive.index_bars(s, d)))
+    out = model.full_coverage_universe(model.returns(_bars(s, d)), model.index_returns(_index(s, d)))
     return out.withColumn("failing_years", F.array_join(F.col("failing_years").cast("array<string>"), ","))
 
 
@@ -384,12 +413,12 @@ def _(s, d):
 
 @query("trading_calendar", with_(LINE, BARS) + "SELECT bar_date, CAST(row_number() OVER (ORDER BY bar_date) - 1 AS INT) AS session_seq FROM idx")
 def _(s, d):
-    return model.trading_calendar(derive.index_bars(s, d))
+    return model.trading_calendar(_index(s, d))
 
 
 @query("permutation_null")
 def _(s, d):
-    return r(model.permutation_null(_resid(s, d), 3, 64))
+    return r(model.permutation_null(_resid(s, d), 3, 1000))
 
 
 @query("spectrum")
@@ -404,7 +433,7 @@ def _(s, d):
     universe = run["params"].select("ticker").withColumn("position", F.row_number().over(board.W.orderBy("ticker")) - 1)
     content = validate.fingerprint({"params": run["params"], "steps": run["steps"]})
     panel = run["panel"].agg(F.countDistinct("ticker").alias("n"), F.countDistinct("bar_date").alias("t"), F.min("bar_date").alias("window_start"), F.max("bar_date").alias("window_end"))
-    prior = derive.index_bars(s, d).agg(F.min("bar_date").alias("prior_close_date"))
+    prior = _index(s, d).agg(F.min("bar_date").alias("prior_close_date"))
     head = panel.join(F.broadcast(prior)).join(F.broadcast(content)).select("*", F.lit(validate.VERSION).alias("version"), (F.col("n") / F.col("t")).alias("q"), F.lit(3).alias("k"), F.lit(3).alias("k_max"))
     return validate.validate(head, universe, run["params"], run["steps"], run["assigned"], run["groups"], run["p"], content)
 
@@ -457,7 +486,7 @@ _CALENDAR = (1996, 1997, 1998, 1999, 2000)
 )
 def _(s, d):
     """Anchors of each calendar year of weekly bars, and how often each ticker is one."""
-    b, i, st = derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d)
+    b, i, st = _bars(s, d), _index(s, d), derive.stocks(s, d)
     return r(_anchor_frequency(b, i, st, _CALENDAR).withColumn("years", F.array_join(F.col("years").cast("array<string>"), ",")))
 
 
@@ -473,7 +502,7 @@ _YEARS = (1997, 1998, 1999)
     + ")",
 )
 def _(s, d):
-    return r(_cross_years(derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d), _YEARS))
+    return r(_cross_years(_bars(s, d), _index(s, d), derive.stocks(s, d), _YEARS))
 
 
 def _years(index: DataFrame) -> list[int]:
@@ -484,14 +513,14 @@ def _years(index: DataFrame) -> list[int]:
 @query("anchor_frequency_all")
 def _(s, d):
     """``anchor_frequency`` over every year of the data; no SQL, which lists its years."""
-    b, i, st = derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d)
+    b, i, st = _bars(s, d), _index(s, d), derive.stocks(s, d)
     return r(_anchor_frequency(b, i, st, _years(i)).withColumn("years", F.array_join(F.col("years").cast("array<string>"), ",")))
 
 
 @query("cross_year_all")
 def _(s, d):
     """``cross_year`` over every pair of consecutive years of the data; no SQL, which lists its years."""
-    b, i, st = derive.bars(s, d), derive.index_bars(s, d), derive.stocks(s, d)
+    b, i, st = _bars(s, d), _index(s, d), derive.stocks(s, d)
     return r(_cross_years(b, i, st, _years(i)))
 
 
@@ -539,7 +568,7 @@ SELECT round((SELECT count(*) FROM ta JOIN tb USING (ticker)) / (SELECT count(*)
 round((SELECT CAST(sum(gain) AS DOUBLE) - 3 FROM ta) / (n - 3), 6) AS before, round((SELECT CAST(sum(gain) AS DOUBLE) - 3 FROM tb) / (n - 3), 6) AS after, (SELECT min(t) FROM mp) AS min_t FROM n""",
 )
 def _(s, d):
-    flags = model.returns(derive.bars(s, d), band=0.5).select("ticker", "bar_date", F.col("at_limit").alias("flagged"))
+    flags = model.returns(_bars(s, d), band=0.5).select("ticker", "bar_date", F.col("at_limit").alias("flagged"))
     e = _resid(s, d)
     return r(model.flag_sensitivity(model.rho2(e), model.masked_rho2(e, flags), 3))
 
@@ -558,22 +587,22 @@ WINDOWED = f"""pre AS (
   SELECT *, lag(close) OVER o AS prev, ln(close / lag(close) OVER o) AS lr FROM bars WINDOW o AS (PARTITION BY ticker ORDER BY bar_date)
 ), w1 AS (
   SELECT *, {_full(20, 'avg(close) @')} AS sma_20, {_full(50, 'avg(close) @')} AS sma_50, {_full(200, 'avg(close) @')} AS sma_200, {_full(20, 'avg(volume) @', 'volume')} AS volume_sma_20,
-    {_full(252, 'max(close) @')} AS high_252, {_full(252, 'min(close) @')} AS low_252, {_full(20, 'stddev_pop(close) @')} AS sd,
-    {_full(20, 'stddev_samp(lr) @', 'lr')} * sqrt(252) AS vol_20, {_full(60, 'stddev_samp(lr) @', 'lr')} * sqrt(252) AS vol_60,
+    {_full(252, 'max(close) @')} AS high_252d, {_full(252, 'min(close) @')} AS low_252d, {_full(20, 'stddev_pop(close) @')} AS sd,
+    {_full(20, 'stddev_samp(lr) @', 'lr')} * sqrt(252) AS realized_vol_20d, {_full(60, 'stddev_samp(lr) @', 'lr')} * sqrt(252) AS realized_vol_60d,
     {_full(14, 'max(high) @', 'high')} AS hh, {_full(14, 'min(low) @', 'low')} AS ll,
-    CASE WHEN prev IS NOT NULL THEN greatest(high - low, abs(high - prev), abs(low - prev)) END AS true_range, close * volume AS turnover,
+    CASE WHEN prev IS NOT NULL THEN greatest(high - low, abs(high - prev), abs(low - prev)) END AS true_range, close * volume AS turnover_value,
     {', '.join(f'close / lag(close, {n}) OVER (PARTITION BY ticker ORDER BY bar_date) - 1 AS ret_{n}d' for n in (1, 5, 20, 60, 252))},
     CASE WHEN prev IS NOT NULL AND sum(CASE WHEN prev IS NOT NULL AND volume IS NULL THEN 1 ELSE 0 END) OVER r = 0 THEN sum(sign(close - prev) * volume) OVER r END AS obv
   FROM pre WINDOW r AS (PARTITION BY ticker ORDER BY bar_date ROWS UNBOUNDED PRECEDING)
 ), w2 AS (
-  SELECT *, CASE WHEN hh = ll THEN 50 ELSE 100 * (close - ll) / (hh - ll) END AS stoch_k, sma_20 AS bb_mid, sma_20 + 2 * sd AS bb_upper, sma_20 - 2 * sd AS bb_lower, 4 * sd / sma_20 AS bb_width,
-    close / sma_200 - 1 AS dist_sma_200, close / high_252 - 1 AS drawdown_252 FROM w1
+  SELECT *, CASE WHEN hh = ll THEN 50 ELSE 100 * (close - ll) / (hh - ll) END AS stoch_k_14, sma_20 AS bb_mid_20, sma_20 + 2 * sd AS bb_upper_20, sma_20 - 2 * sd AS bb_lower_20, 4 * sd / sma_20 AS bb_width_20,
+    close / sma_200 - 1 AS dist_from_sma_200_pct, close / high_252d - 1 AS drawdown_from_252d_high FROM w1
 ), ye AS (
   SELECT ticker, year(bar_date) AS y, max_by(close, bar_date) AS last_close FROM bars GROUP BY 1, 2
 ), yb AS (
   SELECT ticker, y, lag(last_close) OVER (PARTITION BY ticker ORDER BY y) AS base FROM ye
 ), win AS (
-  SELECT w2.*, {_full(3, 'avg(stoch_k) @', 'stoch_k')} AS stoch_d, close / base - 1 AS ret_ytd FROM w2 LEFT JOIN yb ON yb.ticker = w2.ticker AND yb.y = year(bar_date)
+  SELECT w2.*, {_full(3, 'avg(stoch_k_14) @', 'stoch_k_14')} AS stoch_d_14, close / base - 1 AS ret_ytd FROM w2 LEFT JOIN yb ON yb.ticker = w2.ticker AND yb.y = year(bar_date)
 )""".replace("SELECT w2.*, CASE", "SELECT w2.*, CASE").replace("OVER (PARTITION BY ticker ORDER BY bar_date ROWS BETWEEN 2 PRECEDING", "OVER (PARTITION BY w2.ticker ORDER BY bar_date ROWS BETWEEN 2 PRECEDING")
 RECURSE = """num AS (
   SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY bar_date) AS rn, greatest(close - prev, 0) AS up, greatest(prev - close, 0) AS down FROM win
@@ -597,16 +626,13 @@ RECURSE = """num AS (
   FROM num JOIN rec USING (ticker, rn) LEFT JOIN msig USING (ticker, rn)
 )"""
 #: obv and turnover are sums of large numbers: fewer digits
-_DIGITS = {c: 4 if c in ("obv", "volume_sma_20") else 8 if c == "turnover" else 6 for c in ind.COLUMNS}
-
-
-def _ind(s: SparkSession, d: str) -> DataFrame:
-    return ind.indicators(derive.bars(s, d))
+_DIGITS = {c: 4 if c in ("obv", "volume_sma_20") else 8 if c == "turnover_value" else 6 for c in ind.COLUMNS}
 
 
 @query("indicators", with_(LINE, BARS, WINDOWED, RECURSE) + "SELECT ticker, source, bar_date, " + ", ".join(f"round({c}, {n}) AS {c}" for c, n in _DIGITS.items()) + " FROM ind")
 def _(s, d):
-    return _ind(s, d).select("ticker", "source", "bar_date", *(F.round(c, n).alias(c) for c, n in _DIGITS.items()))
+    """Computed anew from the stored bars."""
+    return ind.indicators(_bars(s, d)).select("ticker", "source", "bar_date", *(F.round(c, n).alias(c) for c, n in _DIGITS.items()))
 
 
 @query("indicator_nulls", with_(LINE, BARS, WINDOWED, RECURSE) + "SELECT " + ", ".join(f"count(*) FILTER ({c} IS NULL) AS {c}" for c in ind.COLUMNS) + " FROM ind")
@@ -629,7 +655,7 @@ def _(s, d):
 
 @query("long_series_ema", with_(LINE, BARS, WINDOWED, RECURSE) + "SELECT ticker, source, bar_date, round(ema_12, 6) AS ema FROM ind WHERE ema_12 IS NOT NULL")
 def _(s, d):
-    return r(ind.long_ema(derive.bars(s, d).select("ticker", "source", "bar_date", "close"), 12, block=50))
+    return r(ind.long_ema(_bars(s, d).select("ticker", "source", "bar_date", "close"), 12, block=50))
 
 
 # ---- board -------------------------------------------------------------------------------------
@@ -639,21 +665,21 @@ BOARD = (LINE, BARS, STOCKS, WINDOWED, RECURSE, NEWEST)
 
 
 @query("market_overview", with_(*BOARD) + """, h AS (SELECT bar_date, close, close / lag(close) OVER (ORDER BY bar_date) - 1 AS sr FROM idx)
-SELECT session_date, count(i.ticker) AS n_tickers, count(ret_1d) AS n_with_return, round(coalesce(sum(turnover), 0), 4) AS turnover, count(*) FILTER (ret_1d > 0) AS advancers, count(*) FILTER (ret_1d < 0) AS decliners,
+SELECT session_date, count(i.ticker) AS n_tickers, count(ret_1d) AS n_with_return, round(coalesce(sum(turnover_value), 0), 4) AS turnover, count(*) FILTER (ret_1d > 0) AS advancers, count(*) FILTER (ret_1d < 0) AS decliners,
   count(*) FILTER (ret_1d = 0) AS unchanged, coalesce(sum(volume), 0) AS volume, round(max(h.close), 6) AS index_close, round(max(sr), 6) AS index_return FROM day LEFT JOIN ind i ON i.bar_date = session_date LEFT JOIN h ON h.bar_date = session_date GROUP BY 1""")
 def _(s, d):
-    o = board.overview(derive.bars(s, d), _ind(s, d), derive.index_bars(s, d))
+    o = board.overview(_bars(s, d), _ind(s, d), _index(s, d))
     return o.withColumns({"turnover": F.round("turnover", 4), "index_close": F.round("index_close", 6), "index_return": F.round("index_return", 6)})
 
 
-@query("market_sectors", with_(*BOARD) + "SELECT sector, coalesce(sector, 'other') AS label, count(*) AS n, count(ret_1d) AS n_with_return, round(avg(ret_1d), 6) AS mean_return, round(sum(turnover), 4) AS turnover FROM ind JOIN day ON bar_date = session_date LEFT JOIN stocks USING (ticker) GROUP BY 1")
+@query("market_sectors", with_(*BOARD) + "SELECT sector, coalesce(sector, 'other') AS label, count(*) AS n, count(ret_1d) AS n_with_return, round(avg(ret_1d), 6) AS mean_return, round(coalesce(sum(turnover_value), 0), 4) AS turnover, coalesce(sum(volume), 0) AS volume FROM ind JOIN day ON bar_date = session_date LEFT JOIN stocks USING (ticker) GROUP BY 1")
 def _(s, d):
-    o = board.sectors(derive.bars(s, d), _ind(s, d), derive.stocks(s, d))
+    o = board.sectors(_bars(s, d), _ind(s, d), derive.stocks(s, d))
     return o.withColumns({"mean_return": F.round("mean_return", 6), "turnover": F.round("turnover", 4)})
 
 
 def _base(s: SparkSession, d: str) -> DataFrame:
-    return board.movers_base(derive.bars(s, d), _ind(s, d), derive.stocks(s, d))
+    return board.movers_base(_bars(s, d), _ind(s, d), derive.stocks(s, d))
 
 
 for _h, _col in board.HORIZONS.items():
@@ -668,16 +694,16 @@ def _(s, d):
     return r(board.movers(_base(s, d), "1m", "down", 5).select("ticker", F.col("ret_20d").alias("move")))
 
 
-@query("liquidity", with_(*BOARD) + "SELECT ticker, round(turnover, 4) AS turnover FROM newest ORDER BY newest.turnover DESC NULLS LAST, ticker LIMIT 10")
+@query("liquidity", with_(*BOARD) + "SELECT ticker, round(turnover_value, 4) AS turnover_value FROM newest ORDER BY newest.turnover_value DESC NULLS LAST, ticker LIMIT 10")
 def _(s, d):
-    return board.liquidity(_base(s, d)).select("ticker", F.round("turnover", 4).alias("turnover"))
+    return board.liquidity(_base(s, d)).select("ticker", F.round("turnover_value", 4).alias("turnover_value"))
 
 
 HIST = "hist AS (SELECT bar_date, close, close / lag(close) OVER (ORDER BY bar_date) - 1 AS simple_return FROM idx)"
 
 
 def _history(s: SparkSession, d: str) -> DataFrame:
-    return board.index_history(derive.index_bars(s, d)).select("bar_date", "close", "simple_return")
+    return board.index_history(_index(s, d)).select("bar_date", "close", "simple_return")
 
 
 @query("index_history", with_(LINE, BARS, HIST) + "SELECT bar_date, round(close, 6) AS close, round(simple_return, 6) AS simple_return FROM hist")
@@ -702,7 +728,7 @@ def _(s, d):
 
 @query("ticker_detail", with_(*BOARD, *FULL[2:3], PANEL, FIT, PAIRS, GREEDY) + "SELECT n.ticker, sector, n.bar_date, round(close, 6) AS close, round(rsi_14, 6) AS rsi_14, anchor, round(CAST(c AS DOUBLE), 8) AS c FROM newest n LEFT JOIN stocks USING (ticker) LEFT JOIN assigned USING (ticker)")
 def _(s, d):
-    out = board.ticker_detail(derive.bars(s, d), _ind(s, d), derive.stocks(s, d), _run(s, d)["assigned"])
+    out = board.ticker_detail(_bars(s, d), _ind(s, d), derive.stocks(s, d), _run(s, d)["assigned"])
     return out.select("ticker", "sector", "bar_date", F.round("close", 6).alias("close"), F.round("rsi_14", 6).alias("rsi_14"), "anchor", F.round(F.col("c").cast("double"), 8).alias("c"))
 
 
@@ -714,7 +740,7 @@ def _(s, d):
 
 @query("ticker_history", with_(*BOARD) + "SELECT bar_date, round(close, 6) AS close, round(sma_20, 6) AS sma_20 FROM ind WHERE ticker = 'Brand#11' ORDER BY bar_date DESC LIMIT 252")
 def _(s, d):
-    return r(board.ticker_history(derive.bars(s, d), _ind(s, d).drop("close"), "Brand#11").select("bar_date", "close", "sma_20"))
+    return r(board.ticker_history(_bars(s, d), _ind(s, d).drop("close"), "Brand#11").select("bar_date", "close", "sma_20"))
 
 
 _RULE_INPUTS = sorted({i for _, inputs, _ in RULES for i in inputs})
@@ -726,7 +752,18 @@ def _(s, d):
     return out.select("ticker", "n_statements", (F.col("n_statements") + F.col("n_skipped")).alias("n_total"))
 
 
-@query("narrative_text")
+def _narrative_sql() -> str:
+    """The statements over the rounded newest rows."""
+    ratios = set(board.RATIOS)
+    inputs = ", ".join(f"CAST({c} AS BIGINT) AS volume" if c == "volume" else f"round_even({c}, {6 if c in ratios else 2}) AS {c}" for c in _RULE_INPUTS)
+    known = {code: " AND ".join(f"{i} IS NOT NULL" for i in inputs_) for code, inputs_, _ in RULES}
+    said = ", ".join(f"CASE WHEN {known[code]} THEN concat('{code}: ', {text}) END" for code, _, text in RULES)
+    left = ", ".join(f"CASE WHEN NOT ({known[code]}) THEN concat('{code}: ', concat_ws('+', " + ", ".join(f"CASE WHEN {i} IS NULL THEN '{i}' END" for i in inputs_) + ")) END" for code, inputs_, _ in RULES)
+    n = " + ".join(f"CASE WHEN {known[code]} THEN 1 ELSE 0 END" for code, *_ in RULES)
+    return with_(*BOARD) + f", rounded AS (SELECT ticker, {inputs} FROM newest) SELECT ticker, concat_ws('; ', {said}) AS statements, concat_ws('; ', {left}) AS skipped, {n} AS n_statements, 13 - ({n}) AS n_skipped FROM rounded"
+
+
+@query("narrative_text", _narrative_sql())
 def _(s, d):
     return narrative(board.rounded(_base(s, d)))
 
@@ -765,7 +802,7 @@ def _(s, d):
 @query("serving_run", with_(LINE, BARS) + """, runs AS (SELECT 'run-' || y AS run_id, make_date(y, 1, 1) AS effective FROM (SELECT DISTINCT CAST(year(bar_date) AS INT) AS y FROM idx)), nb AS (SELECT bar_date, row_number() OVER (ORDER BY bar_date) AS seq FROM idx),
 b AS (SELECT run_id, min(seq) + 4 AS s0 FROM runs JOIN nb ON bar_date >= effective GROUP BY 1) SELECT bar_date, (SELECT max_by(run_id, s0) FROM b WHERE s0 <= seq) AS run_id FROM nb""")
 def _(s, d):
-    i = derive.index_bars(s, d)
+    i = _index(s, d)
     runs = i.select(F.year("bar_date").alias("y")).distinct().select(F.concat(F.lit("run-"), "y").alias("run_id"), F.make_date("y", F.lit(1), F.lit(1)).alias("effective"))
     return board.serving_run(i.select("bar_date"), runs, 4)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.clean import normalise, with_reason
+from ..sources.scratch import shared_folder
 from ..sources.store import upsert
 
 
@@ -23,7 +24,7 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 def run_once(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Process all that is there, to Parquet in the shared folder, and give it back as a batch frame."""
     spark = stream.sparkSession
-    base = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}".rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     q = stream.writeStream.format("parquet").outputMode(mode).option("path", f"{base}/out").option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")

@@ -35,7 +35,7 @@ def test_ramp_and_constant_series(spark):
     assert out[14]["atr_14"] == pytest.approx(2.0)
     assert out[0]["obv"] is None and out[39]["obv"] == pytest.approx(390)
     flat = ind.indicators(series(spark, [5] * 40, spread=0.0)).orderBy("bar_date").collect()
-    assert flat[20]["stoch_k"] == 50 and flat[20]["rsi_14"] == 100 and flat[39]["vol_20"] == 0
+    assert flat[20]["stoch_k_14"] == 50 and flat[20]["rsi_14"] == 100 and flat[39]["realized_vol_20d"] == 0
 
 
 def test_ema_seed_and_long_form(spark):
