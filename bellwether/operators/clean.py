@@ -21,6 +21,42 @@ def usable(c: Column | str) -> Column:
     return F.coalesce((x > 0) & ~F.isnan(x) & (x < float("inf")), F.lit(False))
 
 
+def json_safe(df: DataFrame) -> DataFrame:
+    """Dates and times as ISO text, numbers that are not finite as null."""
+    safe = []
+    for c, kind in df.dtypes:
+        if kind in ("double", "float"):
+            safe.append(F.when(~F.isnan(c) & (F.abs(F.col(c)) < float("inf")), F.col(c)).alias(c))
+        elif kind == "date":
+            safe.append(F.date_format(c, "yyyy-MM-dd").alias(c))
+        elif kind.startswith("timestamp"):
+            safe.append(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c))
+        else:
+            safe.append(F.col(c))
+    return df.select(*safe)
+
+
+def raw_records(rows: DataFrame, symbol: str, day: str, fetched_at: str, bar_type: str = "1D") -> DataFrame:
+    """Rows as they are kept raw: symbol, date and the whole row as JSON, with one ``fetched_at`` for a run; rows without a date that can be read are left out."""
+    fine = json_safe(rows)
+    parsed = F.to_date(F.try_to_timestamp(F.substring(F.col(day).cast("string"), 1, 10), F.lit("yyyy-MM-dd")))
+    out = fine.select(F.col(symbol).alias("symbol"), F.lit(bar_type).alias("bar_type"), parsed.alias("bar_date"), F.to_json(F.struct(*(c for c in fine.columns if c != symbol))).alias("payload"))
+    return out.where("bar_date is not null").withColumn("fetched_at", F.lit(fetched_at).cast("timestamp"))
+
+
+def trimmed(rows: DataFrame, start: str, end: str) -> DataFrame:
+    """By symbol, rows before, inside and after a window."""
+    first, last = F.to_date(F.lit(start)), F.to_date(F.lit(end))
+    return rows.groupBy("ticker").agg(
+        F.count_if(F.col("bar_date") < first).alias("n_leading"), F.count_if(F.col("bar_date").between(first, last)).alias("n_inside"), F.count_if(F.col("bar_date") > last).alias("n_trailing")
+    )
+
+
+def normalise_index(raw: DataFrame, source: str) -> DataFrame:
+    """Index rows from payloads: as bars, but no ``is_adjusted`` (P5)."""
+    return normalise(raw, source).drop("is_adjusted").withColumnRenamed("ticker", "index_symbol")
+
+
 def normalise(raw: DataFrame, source: str) -> DataFrame:
     """Typed bars from payload rows with ``dropped``: ``no_date``, ``no_close`` or null."""
     p = F.from_json("payload", PAYLOAD, {"mode": "FAILFAST"})
@@ -52,6 +88,8 @@ def ingest_report(rows: DataFrame) -> DataFrame:
     kept = F.col("dropped").isNull() & F.col("reason").isNull()
     out = rows.groupBy("ticker").agg(
         F.count("*").alias("fetched"),
+        F.count_if(F.col("dropped").isNull()).alias("normalised"),
+        F.count_if(F.col("reason") == "window").alias("trimmed"),
         F.count_if(F.col("dropped") == "no_date").alias("no_date"),
         F.count_if(F.col("dropped") == "no_close").alias("no_close"),
         F.count_if(F.col("dropped").isNull() & F.col("reason").isNotNull()).alias("quarantined"),

@@ -51,6 +51,54 @@ def align(rets: DataFrame, index: DataFrame, universe: DataFrame) -> tuple[DataF
     return panel, report
 
 
+def window_alignment(rets: DataFrame, index: DataFrame, index_bars: DataFrame, universe: DataFrame, start: str, end: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Panel, report by ticker and one summary row of a study window (M3): sessions T, tickers N, q, first and last session, prior close, losses.
+
+    The prior close is the last index session within 45 days before the first day (J12).
+    """
+    inside = F.col("bar_date").between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
+    panel, report = align(rets.where(inside), index.where(inside), universe)
+    day = F.to_date(F.lit(start))
+    prior = index_bars.where(usable("close") & (F.col("bar_date") < day) & (F.col("bar_date") >= F.date_sub(day, 45))).agg(F.max("bar_date").alias("prior_close_date"))
+    sessions = index.where(inside).agg(F.countDistinct("bar_date").alias("n_index_sessions"))
+    lost = report.agg(F.count_if(F.col("dropped") == "no_overlap").alias("n_no_overlap"), F.count_if(F.col("dropped") == "incomplete").alias("n_incomplete"))
+    size = panel.agg(F.countDistinct("bar_date").alias("t"), F.countDistinct("ticker").alias("n"), F.min("bar_date").alias("first_session"), F.max("bar_date").alias("last_session"))
+    summary = size.join(F.broadcast(prior)).join(F.broadcast(sessions)).join(F.broadcast(lost))
+    q = F.when(F.col("t") > 0, F.round(F.col("n") / F.col("t"), 4)).otherwise(0.0)
+    return panel, report, summary.withColumn("q", q).withColumn("n_dropped_sessions", F.when(F.col("n") > 0, F.col("n_index_sessions") - F.col("t")).otherwise(F.col("n_index_sessions")))
+
+
+def missing_sessions(rets: DataFrame, index: DataFrame, universe: DataFrame) -> DataFrame:
+    """Index sessions on which some requested ticker has no return, with how many."""
+    grid = index.select("bar_date").distinct().join(F.broadcast(universe.select("ticker").distinct()))
+    return grid.join(rets.select("ticker", "bar_date"), ["ticker", "bar_date"], "left_anti").groupBy("bar_date").agg(F.count("*").alias("n_missing"))
+
+
+def assert_ready(summary: DataFrame) -> None:
+    """No run without tickers, sessions or a prior close (M4)."""
+    row = summary.first()
+    for name, what in (("n", "tickers"), ("t", "sessions"), ("prior_close_date", "session before the window")):
+        if not row[name]:
+            raise ValueError(f"the window has no {what}")
+
+
+def assert_full_coverage(report: DataFrame, frozen: DataFrame) -> None:
+    """Every ticker of a frozen universe has to be kept (M4)."""
+    lost = [r["ticker"] for r in report.where("dropped is not null").join(frozen.select("ticker"), "ticker", "left_semi").orderBy("ticker").limit(20).collect()]
+    if lost:
+        raise ValueError(f"dropped although the universe is frozen: {lost}")
+
+
+def assert_rectangular(panel: DataFrame) -> None:
+    """One finite return by ticker and session, and no cell missing (M4)."""
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
+    n, cells, tickers, sessions, bad = panel.agg(
+        F.count("*"), F.countDistinct("ticker", "bar_date"), F.countDistinct("ticker"), F.countDistinct("bar_date"), F.count_if(~(finite("x") & finite("f")))
+    ).first()
+    if bad or n != cells or n != tickers * sessions:
+        raise ValueError(f"{bad} values are not finite, {n} rows fill {cells} of {tickers * sessions} cells")
+
+
 def fit(panel: DataFrame) -> DataFrame:
     """Alpha, beta, sigma (T-2 degrees of freedom) and R2 by ticker; a constant factor gives beta 0 (M5)."""
     m = panel.groupBy("ticker").agg(
@@ -205,6 +253,49 @@ def train(bars: DataFrame, index: DataFrame, universe: DataFrame, k: int, k_max:
     return {"panel": panel, "report": report, "params": params, "p": p, "steps": steps, "assigned": assigned, "groups": groups(assigned), "under": under(assigned, [tau])}
 
 
+def selection(p: DataFrame, k: int, taus: list[float]) -> DataFrame:
+    """Greedy, assignment and how many fall under each threshold."""
+    assigned = assign(p, greedy(p, k))
+    each = assigned.withColumn("tau", F.explode(F.array(*map(F.lit, taus))))
+    return each.groupBy("tau").agg(F.count("*").alias("n"), F.count_if(F.col("c") < F.col("tau")).alias("n_under"), F.sum(F.col("c").cast("decimal(38,18)")).alias("f"))
+
+
+def run_row(run: dict[str, DataFrame], index_bars: DataFrame, run_id: str, scope_label: str, measure: str, k: int, k_max: int, tau: float) -> DataFrame:
+    """The row of a run with its scalars."""
+    size = run["panel"].agg(F.countDistinct("bar_date").alias("n_sessions"), F.countDistinct("ticker").alias("n_tickers"), F.min("bar_date").alias("window_start"), F.max("bar_date").alias("window_end"))
+    cover = run["assigned"].agg(F.sum(F.col("c").cast("decimal(38,18)")).cast("double").alias("coverage_f"), F.count_if(F.col("c") < tau).alias("n_under_tau"))
+    closes = index_bars.where(usable("close")).select(F.col("bar_date").alias("d"))
+    prior = size.join(F.broadcast(closes), (F.col("d") < F.col("window_start")) & (F.col("d") >= F.date_sub("window_start", 45)), "left").agg(F.max("d").alias("prior_close_date"))
+    out = size.join(F.broadcast(cover)).join(F.broadcast(prior))
+    return out.select(
+        F.lit(run_id).alias("run_id"), F.lit(scope_label).alias("scope_label"), F.lit(measure).alias("measure"), "window_start", "window_end", "prior_close_date", "n_sessions", "n_tickers",
+        F.round(F.col("n_tickers") / F.col("n_sessions"), 4).alias("q"), F.lit(k).alias("k"), F.lit(k_max).alias("k_max"), F.lit(tau).alias("tau"), "coverage_f", (F.col("coverage_f") / F.col("n_tickers")).alias("coverage_fbar"), "n_under_tau",
+    )
+
+
+def anchor_columns(p: DataFrame, steps: DataFrame) -> DataFrame:
+    """The columns of the similarity that belong to chosen tickers, N x k rows."""
+    return p.join(F.broadcast(steps.select(F.col("ticker").alias("j"))), "j", "left_semi")
+
+
+def gain_floor(p: DataFrame, steps: DataFrame) -> DataFrame:
+    """Each step's gain as what the ticker adds for itself, 1 less its coverage before, and the rest."""
+    s = steps.select("step", "ticker", F.col("gain").cast("double").alias("gain"))
+    earlier = s.select(F.col("step").alias("before"), F.col("ticker").alias("j"))
+    pairs = s.join(F.broadcast(earlier), F.col("before") < F.col("step")).join(p, (F.col("i") == F.col("ticker")) & (p["j"] == earlier["j"]))
+    held = pairs.groupBy("step").agg(F.max(F.col("p").cast("double")).alias("c"))
+    out = s.join(held, "step", "left").withColumn("own", 1 - F.coalesce("c", F.lit(0.0)))
+    return out.select("step", "ticker", "gain", "own", (F.col("gain") - F.col("own")).alias("rest"))
+
+
+def swap_shares(swapped: DataFrame, total: DataFrame) -> DataFrame:
+    """How many exchanges stay within 1 and 2 per cent of the coverage, plain and adjusted (G12). ``total(f, k, n)``."""
+    rows = swapped.select(F.col("f").cast("double").alias("g")).join(F.broadcast(total.select(F.col("f").cast("double").alias("f"), "k", "n")))
+    plain, adjusted = F.col("g") / F.col("f"), adjusted_coverage(F.col("g"), F.col("k"), F.col("n")) / adjusted_coverage(F.col("f"), F.col("k"), F.col("n"))
+    share = lambda x, least: F.avg(F.when(x >= least, 1.0).otherwise(0.0))
+    return rows.agg(F.count("*").alias("n_swaps"), share(plain, 0.99).alias("within_1"), share(plain, 0.98).alias("within_2"), share(adjusted, 0.99).alias("adjusted_1"), share(adjusted, 0.98).alias("adjusted_2"))
+
+
 def noise_floor(n: Column, t: Column) -> Column:
     """The largest squared correlation to expect of noise."""
     pairs = n * (n - 1) / 2
@@ -391,9 +482,9 @@ def flag_sensitivity(p: DataFrame, masked: DataFrame, k: int) -> DataFrame:
     return jaccard(a, b).join(F.broadcast(before)).join(F.broadcast(after)).join(F.broadcast(masked.agg(F.min("t").alias("min_t"))))
 
 
-def concentration(assigned: DataFrame, stocks: DataFrame) -> DataFrame:
-    """By group: dominant sector share, sum of squared shares, and what chance would give."""
-    labelled = assigned.join(F.broadcast(stocks.select("ticker", "sector")), "ticker", "left")
+def concentration(assigned: DataFrame, stocks: DataFrame, label: str = "sector") -> DataFrame:
+    """By group: dominant share of a label (sector or industry), sum of squared shares, and what chance would give."""
+    labelled = assigned.join(F.broadcast(stocks.select("ticker", F.col(label).alias("sector"))), "ticker", "left")
     base = labelled.groupBy("sector").count().agg(F.sum(F.pow(F.col("count"), 2)).alias("sq"), F.sum("count").alias("n")).select((F.col("sq") / (F.col("n") * F.col("n"))).alias("chance"))
     each = labelled.groupBy("anchor", "sector").count()
     g = each.groupBy("anchor").agg(F.sum("count").alias("n"), F.max("count").alias("top"), F.sum(F.pow(F.col("count"), 2)).alias("sq"))

@@ -181,7 +181,7 @@ def _(s, d):
     + """, all_rows AS (
   SELECT j.ticker, j.bar_date, j.dropped, r.reason FROM judged j LEFT JOIN reasoned r ON j.ticker = r.ticker AND j.bar_date = r.bar_date AND j.position = r.position AND j.dropped IS NULL
 ), summed AS (
-  SELECT ticker, count(*) AS fetched, count(*) FILTER (dropped = 'no_date') AS no_date, count(*) FILTER (dropped = 'no_close') AS no_close,
+  SELECT ticker, count(*) AS fetched, count(*) FILTER (dropped IS NULL) AS normalised, count(*) FILTER (dropped IS NULL AND reason = 'window') AS trimmed, count(*) FILTER (dropped = 'no_date') AS no_date, count(*) FILTER (dropped = 'no_close') AS no_close,
          count(*) FILTER (dropped IS NULL AND reason IS NOT NULL) AS quarantined, count(*) FILTER (dropped IS NULL AND reason IS NULL) AS written,
          min(bar_date) FILTER (dropped IS NULL AND reason IS NULL) AS first_bar, max(bar_date) FILTER (dropped IS NULL AND reason IS NULL) AS last_bar
   FROM all_rows GROUP BY 1
@@ -319,12 +319,25 @@ FULL = (*MODEL, PAIRS, GREEDY)
 
 
 def _run(s: SparkSession, d: str, unit: str = "week", k: int = 3, k_max: int = 3) -> dict[str, DataFrame]:
+    """A run as its stored tables; trained once in a session."""
+    made: dict[str, DataFrame] = {}
+
+    def part(name: str) -> DataFrame:
+        if not made:
+            made.update(_train(s, d, unit, k, k_max))
+        return made[name]
+
+    return {name: stored(s, d, f"run {unit} {k} {k_max} {name}", lambda name=name: part(name)) for name in ("panel", "report", "params", "p", "steps", "assigned", "groups", "under")}
+
+
+def _train(s: SparkSession, d: str, unit: str, k: int, k_max: int) -> dict[str, DataFrame]:
     return model.train(_bars(s, d, unit), _index(s, d, unit), derive.stocks(s, d), k, k_max, 0.1)
 
 
 @query("greedy_steps", with_(*FULL) + "SELECT step, ticker, round(CAST(gain AS DOUBLE), 8) AS gain, round(CAST(sum(gain) OVER (ORDER BY step) AS DOUBLE), 8) AS f FROM steps")
 def _(s, d):
-    return r(_run(s, d)["steps"], 8)
+    """Trained anew."""
+    return r(_train(s, d, "week", 3, 3)["steps"], 8)
 
 
 @query("assignment", with_(*FULL) + "SELECT ticker, anchor, round(CAST(c AS DOUBLE), 8) AS c FROM assigned")

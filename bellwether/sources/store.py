@@ -32,9 +32,19 @@ def between(df: DataFrame, start: str | None, end: str | None, column: str = "ba
     return df if end is None else df.where(F.col(column) <= F.to_date(F.lit(end)))
 
 
+def daily_bars(df: DataFrame) -> DataFrame:
+    """The columns that models read of bars (S2); only these reach the scan."""
+    return df.select("ticker", "bar_date", "close", "volume")
+
+
+def of_tickers(df: DataFrame, tickers: DataFrame, key: str = "ticker") -> DataFrame:
+    """Rows of the given tickers, however many, by a semi join (S3)."""
+    return df.join(tickers.select(key).distinct(), key, "left_semi")
+
+
 def write_bars(df: DataFrame, path: str) -> None:
-    """Partitioned by year, clustered by ticker inside a file; only the years written are replaced."""
-    out = df.withColumn("year", F.year("bar_date")).repartition("year").sortWithinPartitions("ticker", "bar_date")
+    """Partitioned by year, clustered by ticker inside a file; a year is spread over tasks by ticker; only the years written are replaced."""
+    out = df.withColumn("year", F.year("bar_date")).repartitionByRange("year", "ticker").sortWithinPartitions("year", "ticker", "bar_date")
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
 
 
@@ -42,9 +52,11 @@ def write_raw(df: DataFrame, path: str) -> None:
     df.sortWithinPartitions("symbol").write.mode("overwrite").option("compression", "gzip").json(path)
 
 
-def scan_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw payload rows; a line that cannot be read is an error."""
-    return spark.read.schema("symbol string, payload string, fetched_at timestamp, position int").option("mode", "FAILFAST").json(path)
+def scan_raw(spark: SparkSession, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Raw payload rows fetched in a span; a line that cannot be read is an error."""
+    rows = spark.read.schema("symbol string, payload string, fetched_at timestamp, position int").option("mode", "FAILFAST").json(path)
+    rows = rows if since is None else rows.where(F.col("fetched_at") >= F.lit(since).cast("timestamp"))
+    return rows if until is None else rows.where(F.col("fetched_at") <= F.lit(until).cast("timestamp"))
 
 
 def scan_sectors(spark: SparkSession, path: str) -> DataFrame:
@@ -59,11 +71,36 @@ def write_sectors(df: DataFrame, path: str) -> None:
     df.orderBy("ticker").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def parse_universe(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tickers of a text column ``value``: comments cut, upper-cased, distinct, sorted; and the lines refused."""
-    said = lines.select(F.upper(F.trim(F.split("value", "#", 2)[0])).alias("ticker"), "value").where("ticker <> ''")
-    good = F.col("ticker").rlike("^[A-Z0-9]+(#[0-9]+)?$")
-    return said.where(good).select("ticker").distinct().orderBy("ticker"), said.where(~good)
+TICKER = "^[A-Z0-9]+$"
+
+
+def parse_universe(text: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tickers of whole universe files (a column ``value``, one small file a row): comments cut, upper-cased, distinct, sorted; and ``(line, value)`` of what is refused."""
+    lines = text.select(F.posexplode(F.split("value", "\r?\n")).alias("line", "value")).withColumn("line", F.col("line") + 1)
+    said = lines.select("line", "value", F.upper(F.trim(F.split("value", "#", 2)[0])).alias("ticker")).where("ticker <> ''")
+    good = F.col("ticker").rlike(TICKER)
+    return said.where(good).select("ticker").distinct().orderBy("ticker"), said.where(~good).select("line", "value").orderBy("line")
+
+
+def universe(spark: SparkSession, tickers: list[str] | None = None, path: str | None = None) -> DataFrame:
+    """An explicit list first, else the file; neither, or a bad line, is an error."""
+    if tickers is not None:
+        text = spark.createDataFrame([("\n".join(tickers),)], "value string")
+    elif path is not None:
+        text = spark.read.text(path, wholetext=True)
+    else:
+        raise ValueError("name tickers or a universe file")
+    good, bad = parse_universe(text)
+    refused = bad.limit(10).collect()
+    if refused:
+        raise ValueError("refused: " + "; ".join(f"line {r['line']}: {r['value']!r}" for r in refused))
+    return good
+
+
+def with_sector(stocks: DataFrame, mapping: DataFrame) -> DataFrame:
+    """``sector`` from the ``mapping(industry, sector)``; an unknown industry has none and the label ``missing``."""
+    out = stocks.drop("sector").join(F.broadcast(mapping.select("industry", "sector")), "industry", "left")
+    return out.withColumn("label_source", F.when(F.col("sector").isNull(), "missing").otherwise("industry"))
 
 
 def upsert(existing: DataFrame, batch: DataFrame, keys: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -79,14 +116,18 @@ def upsert(existing: DataFrame, batch: DataFrame, keys: list[str], keep: tuple[s
 
 
 def fill_upsert(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """A null never takes back a known value."""
+    """A null never takes back a known value; of a batch's rows for one key the largest known value counts, column by column."""
     rest = [c for c in existing.columns if c not in keys]
-    both = existing.alias("o").join(batch.alias("n"), keys, "full_outer")
+    new = batch.groupBy(*keys).agg(*(F.max(c).alias(c) for c in rest))
+    both = existing.alias("o").join(new.alias("n"), keys, "full_outer")
     return both.select(*keys, *(F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c) for c in rest)).select(*existing.columns)
 
 
 def insert_absent(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    return existing.unionByName(batch.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti"))
+    """Rows of new keys; of several for one key the smallest by content, so input order never matters."""
+    rest = [c for c in existing.columns if c not in keys]
+    one = batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("new")).select(*keys, "new.*")
+    return existing.unionByName(one.join(existing.select(*keys), keys, "left_anti"))
 
 
 def replace_slice(existing: DataFrame, rows: DataFrame, version: str) -> DataFrame:
@@ -131,3 +172,8 @@ def activate(runs: DataFrame, run_id: str) -> DataFrame:
 def compare(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of one table that the other lacks, by side."""
     return a.exceptAll(b.select(*a.columns)).withColumn("side", F.lit("left")).unionByName(b.select(*a.columns).exceptAll(a).withColumn("side", F.lit("right")))
+
+
+def run_listing(runs: DataFrame) -> DataFrame:
+    """All runs in order of scope, measure and id."""
+    return runs.select("scope_label", "measure", "run_id", "is_active").distinct().orderBy("scope_label", "measure", "run_id")

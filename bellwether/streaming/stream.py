@@ -51,12 +51,8 @@ def quarantine_into(stream: DataFrame, source: str, start: str, end: str, keys:
     def step(batch: DataFrame, n: int) -> None:
         rows = with_reason(normalise(batch, source).where("dropped is null"), keys, start, end)
         new = rows.where("reason is null").drop("reason", "dropped", "position", "fetched_at")
-        try:
-            old = spark.read.parquet(f"{good}/{n - 1}")
-        except Exception as e:  # the first batch has nothing before it
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = new.limit(0)
+        # only the first batch has nothing before it; a lost table of a later one is an error
+        old = spark.read.schema(new.schema).parquet(f"{good}/{n - 1}") if n else new.limit(0)
         upsert(old, new, keys).write.mode("overwrite").parquet(f"{good}/{n}")
         rows.where("reason is not null").write.mode("overwrite").parquet(f"{bad}/{n}")
 
@@ -71,23 +67,27 @@ def frozen_residuals(returns: DataFrame, params: DataFrame) -> DataFrame:
 
 
 class Ema(StatefulProcessor):
-    """Running EMA by key, seeded with the mean of the first ``n`` values."""
+    """Running EMA by key, seeded with the mean of the first ``n`` values (T6). The rows of a batch are put in order of
+    date whatever chunks they come in; a batch must not hold dates before those of an earlier one, else it is an error."""
 
     def __init__(self, n: int):
         self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("ema", "seen int, value double")
+        self.state = handle.getValueState("ema", "seen int, value double, last date")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
-        seen, value = self.state.get() if self.state.exists() else (0, 0.0)
+        seen, value, last = self.state.get() if self.state.exists() else (0, 0.0, None)
+        ordered = pd.concat(list(rows))[["bar_date", "close"]].sort_values("bar_date")
+        if last is not None and len(ordered) and ordered["bar_date"].iloc[0] <= last:
+            raise ValueError(f"{key[0]}: a date up to {last} came again")
         out = []
-        for pdf in sorted((p for p in rows), key=lambda p: p["bar_date"].min()):
-            for day, x in pdf.sort_values("bar_date")[["bar_date", "close"]].itertuples(index=False):
-                seen += 1
-                value = value + x / self.n if seen <= self.n else value + (x - value) * 2 / (self.n + 1)
-                out.append((key[0], day, value if seen >= self.n else None))
-        self.state.update((seen, value))
+        for day, x in ordered.itertuples(index=False):
+            seen += 1
+            value = value + x / self.n if seen <= self.n else value + (x - value) * 2 / (self.n + 1)
+            out.append((key[0], day, value if seen >= self.n else None))
+            last = day
+        self.state.update((seen, value, last))
         yield pd.DataFrame(out, columns=["ticker", "bar_date", "ema"])
 
     def close(self) -> None:
@@ -96,3 +96,17 @@ class Ema(StatefulProcessor):
 
 def streaming_ema(stream: DataFrame, n: int = 12) -> DataFrame:
     return stream.groupBy("ticker").transformWithStateInPandas(Ema(n), "ticker string, bar_date date, ema double", "Append", "None")
+
+
+def run_complete(stream: DataFrame) -> DataFrame:
+    """Process all that is there and give back the last full result, windows that are still open included."""
+    spark = stream.sparkSession
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    last: list[int] = []
+
+    def step(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/{n}")
+        last[:] = [n]
+
+    stream.writeStream.outputMode("complete").option("checkpointLocation", f"{base}/log").foreachBatch(step).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{base}/{last[0]}") if last else spark.createDataFrame([], stream.schema)
