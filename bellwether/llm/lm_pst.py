@@ -141,7 +141,12 @@ def _frequent(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
                 k, c = k[c >= least], c[c >= least]
                 yield pa.record_batch([pa.array([k.tobytes()], pa.binary()), pa.array([c.tobytes()], pa.binary())], names=["keys", "counts"])
 
-    got = counted.select("keys", "counts").mapInArrow(keep, "keys binary, counts binary").toArrow()
+    return _all(counted.select("keys", "counts").mapInArrow(keep, "keys binary, counts binary"))
+
+
+def _all(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of rows that hold only frequent ones, in order, and their counts."""
+    got = counted.select("keys", "counts").toArrow()
     keys = np.frombuffer(b"".join(got.column("keys").to_pylist()), np.uint64)
     counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), np.int64)
     order = np.argsort(keys)
@@ -229,7 +234,7 @@ def train(docs: DataFrame, setup: Setup = Setup()) -> tuple[Model, DataFrame, in
             *_, (key, _) = _ids(*_tokens(b), shared.value, d)
             return key[key >= 0].astype(np.uint64)
 
-        keys, counts = _frequent(_count(docs, buckets, keys_of, least, False), least)
+        keys, counts = _all(_count(docs, buckets, keys_of, least, False))
         keys = keys.astype(np.int64)
         model.levels.append((_keep_states(model, d, keys, counts, setup), (keys, counts)))
     return model, counted.select("bucket", "keys", "counts"), buckets
