@@ -133,11 +133,12 @@ def rho2(e: DataFrame) -> DataFrame:
     return _mirror(p)
 
 
-def dcor2(e: DataFrame, unbiased: bool = False, block: int = 64) -> DataFrame:
+def dcor2(e: DataFrame, unbiased: bool = False, block: int = 64, tile: int = 64) -> DataFrame:
     """Squared distance correlations ``(i, j, p)``, V-statistics, or U-statistics for diagnosis (M8, M9).
 
-    Row means of each ticker's distance matrix come from sorted prefix sums in windows; inner products are
-    added up over blocks of rows s, each a small dense product in a grouped task, never a T x T x N array.
+    Row means of each ticker's distance matrix come from sorted prefix sums in windows. Inner products are added up over
+    blocks of rows s and pairs of tiles of tickers: a task holds ``2 * tile`` x ``block`` x T distances and the series of two tiles,
+    whatever the number of tickers.
     """
     w = W.partitionBy("ticker").orderBy("e", "bar_date")
     every = W.partitionBy("ticker")
@@ -145,10 +146,12 @@ def dcor2(e: DataFrame, unbiased: bool = False, block: int = 64) -> DataFrame:
     rows = e.withColumn("s", F.dense_rank().over(W.partitionBy("ticker").orderBy("bar_date")) - 1).withColumn("r", r).withColumn("below", F.sum("e").over(w.rowsBetween(W.unboundedPreceding, 0))).withColumn("total", F.sum("e").over(every)).withColumn("t", F.count("*").over(every))
     rows = rows.withColumn("d", F.col("e") * (2 * F.col("r") - F.col("t")) - 2 * F.col("below") + F.col("total"))
     rows = rows.withColumn("all_d", F.sum("d").over(every))
-    # each block of rows s needs all columns: the whole panel of a block pair, T x N numbers, is sent with it
     series = rows.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("s", "e", "d"))).alias("v"), F.first("t").alias("t"), F.first("all_d").alias("all_d"))
-    blocks = rows.select("s").agg(F.max("s").alias("top")).select(F.explode(F.sequence(F.lit(0), F.coalesce((F.col("top") / block).cast("int"), F.lit(0)))).alias("part"))
-    work = series.join(F.broadcast(blocks))
+    # tickers in order, one row each, dealt to tiles
+    tiles = e.select("ticker").distinct().withColumn("mine", F.floor((F.row_number().over(W.orderBy("ticker")) - 1) / tile))
+    blocks = rows.agg(F.coalesce(F.floor(F.max("s") / block), F.lit(0)).alias("top_part")).join(F.broadcast(tiles.agg(F.coalesce(F.max("mine"), F.lit(0)).alias("top_tile"))))
+    work = series.join(F.broadcast(tiles), "ticker").join(F.broadcast(blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("top_tile")))).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("top_part"))))
+    work = work.select(F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "part", "mine", "ticker", "v", "t", "all_d")
 
     def gram(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ticker")
@@ -164,13 +167,13 @@ def dcor2(e: DataFrame, unbiased: bool = False, block: int = 64) -> DataFrame:
             else:
                 far = far - d[lo : lo + block, None] / t - d[None, :] / t + total / (t * t)
             flat.append(far.ravel())
-        m = np.stack(flat)
-        g = m @ m.T
-        names = pdf["ticker"].to_numpy()
-        i, j = np.triu_indices(len(names))
-        return pd.DataFrame({"i": names[i], "j": names[j], "s": g[i, j]})
+        m, names, mine = np.stack(flat), pdf["ticker"].to_numpy(), pdf["mine"].to_numpy()
+        first, second = mine == pdf["a"].iloc[0], mine == pdf["b"].iloc[0]
+        g = m[first] @ m[second].T
+        i, j = np.triu_indices(len(g)) if pdf["a"].iloc[0] == pdf["b"].iloc[0] else (x.ravel() for x in np.indices(g.shape))
+        return pd.DataFrame({"i": names[first][i], "j": names[second][j], "s": g[i, j]})
 
-    g = work.groupBy("part").applyInPandas(gram, "i string, j string, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    g = work.groupBy("a", "b", "part").applyInPandas(gram, "i string, j string, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
     own = g.where("i = j").select(F.col("i").alias("k"), F.col("s").alias("own"))
     both = g.join(F.broadcast(own.toDF("i", "own_i")), "i").join(F.broadcast(own.toDF("j", "own_j")), "j")
     ratio = F.coalesce(F.try_divide("s", F.sqrt(F.col("own_i") * F.col("own_j"))), F.lit(0.0))

@@ -92,10 +92,19 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*(F.bround(c, 6 if c in RATIOS else 2).alias(c) if kinds[c] == "double" and c != "volume" else F.col(c).cast("long").alias(c) if c == "volume" else F.col(c) for c in df.columns))
 
 
+def iso(df: DataFrame) -> DataFrame:
+    """Dates as ISO text (P10)."""
+    return df.select(*(F.date_format(c, "yyyy-MM-dd").alias(c) if kind == "date" else F.col(c) for c, kind in df.dtypes))
+
+
 def in_millions(thousands: Column) -> Column:
     return thousands / 1000
 
 
+def in_billions(thousands: Column) -> Column:
+    return thousands / 1_000_000
+
+
 def ticker_history(bars: DataFrame, ind: DataFrame, ticker: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Bars with indicators of one ticker, ascending: the last 252, or up to 2000 of a range."""
     if not bars.where(F.col("ticker") == ticker).limit(1).count():
@@ -117,12 +126,12 @@ def anchors(steps: DataFrame, groups: DataFrame, stocks: DataFrame, n: DataFrame
 
     g = groups.withColumnRenamed("anchor", "ticker").drop("f")
     out = steps.join(F.broadcast(g), "ticker", "left").join(F.broadcast(stocks), "ticker", "left").join(F.broadcast(n))
-    return out.withColumn("adjusted", adjusted_coverage(F.col("f").cast("double"), F.col("step"), F.col("n_universe")))
+    return out.withColumn("adjusted", adjusted_coverage(F.col("f").cast("double"), F.col("step"), F.col("n_universe"))).orderBy("step")
 
 
 def group_detail(assigned: DataFrame, base: DataFrame) -> DataFrame:
     """Members by coverage, best first, with their latest moves if any."""
-    return assigned.join(base.select("ticker", "sector", "close", "ret_1d", "ret_20d", "turnover_value"), "ticker", "left")
+    return assigned.join(base.select("ticker", "sector", "close", "ret_1d", "ret_20d", "turnover_value"), "ticker", "left").orderBy("anchor", F.desc("c"), "ticker")
 
 
 def composition(assigned: DataFrame, stocks: DataFrame) -> DataFrame:

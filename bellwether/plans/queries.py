@@ -291,6 +291,15 @@ def _(s, d):
     return r(model.dcor2(model.residuals(panel, model.fit(panel)), block=8))
 
 
+@query(
+    "similarity_dcor2_weekly",
+    with_(*MODEL, DCOR) + "SELECT x.i, x.j, round(CASE WHEN x.i = x.j THEN 1 ELSE least(1, greatest(0, x.g / sqrt(a.g * b.g))) END, 6) AS p FROM gram x JOIN gram a ON a.i = x.i AND a.j = x.i JOIN gram b ON b.i = x.j AND b.j = x.j",
+)
+def _(s, d):
+    """Over the sessions that the other similarities take."""
+    return r(model.dcor2(_resid(s, d)))
+
+
 DCOR_U = DCOR.replace(
     "SELECT *, d - avg(d) OVER (PARTITION BY ticker, s) - avg(d) OVER (PARTITION BY ticker, t) + avg(d) OVER (PARTITION BY ticker) AS c FROM far",
     "SELECT *, CASE WHEN s = t THEN 0 ELSE d - sum(d) OVER (PARTITION BY ticker, s) / (n - 2) - sum(d) OVER (PARTITION BY ticker, t) / (n - 2) + sum(d) OVER (PARTITION BY ticker) / ((n - 1) * (n - 2)) END AS c FROM far, (SELECT count(DISTINCT bar_date) AS n FROM resid)",
@@ -712,6 +721,14 @@ def _(s, d):
     return board.liquidity(_base(s, d)).select("ticker", F.round("turnover_value", 4).alias("turnover_value"))
 
 
+@query("ticker_output", with_(*BOARD) + "SELECT ticker, strftime(bar_date, '%Y-%m-%d') AS bar_date, round_even(close, 2) AS close, round_even(ret_1d, 6) AS ret_1d, round_even(rsi_14, 2) AS rsi_14, CAST(volume AS BIGINT) AS volume, round(turnover_value / 1000, 6) AS millions, round(turnover_value / 1000000, 6) AS billions FROM newest")
+def _(s, d):
+    """The newest row of each ticker as it is given out; turnover counted in thousands."""
+    base = _base(s, d)
+    units = base.select("ticker", F.round(board.in_millions(F.col("turnover_value")), 6).alias("millions"), F.round(board.in_billions(F.col("turnover_value")), 6).alias("billions"))
+    return board.iso(board.rounded(base.select("ticker", "bar_date", "close", "ret_1d", "rsi_14", "volume"))).join(units, "ticker")
+
+
 HIST = "hist AS (SELECT bar_date, close, close / lag(close) OVER (ORDER BY bar_date) - 1 AS simple_return FROM idx)"
 
 
@@ -729,6 +746,18 @@ def _(s, d):
     return r(board.index_range(_history(s, d), "3m").select("bar_date", "close"))
 
 
+for _span in ("1m", "6m", "1y"):
+
+    @query(f"index_range_{_span}", with_(LINE, BARS, HIST) + f"SELECT bar_date, round(close, 6) AS close FROM hist ORDER BY bar_date DESC LIMIT {board.RANGES[_span]}")
+    def _(s, d, span=_span):
+        return r(board.index_range(_history(s, d), span).select("bar_date", "close"))
+
+
+@query("index_range_all", with_(LINE, BARS, HIST) + "SELECT bar_date, round(close, 6) AS close FROM hist")
+def _(s, d):
+    return r(board.index_range(_history(s, d), "all").select("bar_date", "close"))
+
+
 @query("index_range_ytd", with_(LINE, BARS, HIST) + "SELECT bar_date, round(close, 6) AS close FROM hist WHERE bar_date >= date_trunc('year', (SELECT max(bar_date) FROM hist))")
 def _(s, d):
     return r(board.index_range(_history(s, d), "ytd").select("bar_date", "close"))
