@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from bellwether.llm import mixing, pii_feistel, shingle_join, sp_codec, toxicity_ftrl
-from bellwether.llm.common import shared_folder, table
+from bellwether.llm.common import discard, materialize, table
 from bellwether.llm.queries import model_bytes
 
 
@@ -17,7 +15,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by a similarity of 0.8 or more (5-word shingles), the document with the smallest id stays."""
+    """Of each group linked by a similarity of 0.8 or more (5-word shingles), one document stays: that with the smallest id, null ids last."""
     return shingle_join.keep_one(docs)
 
 
@@ -40,10 +38,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result goes to the shared folder and is read as the next one's input."""
+    """All stages over ``documents``; each result is written to the shared folder and read as the next one's input, which then goes."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for _, stage in STAGES:
+        before, docs = docs, materialize(stage(spark, docs, sf_dir))
+        discard(before)
     return docs
