@@ -277,6 +277,15 @@ WORDS, RARE, TEXTS, TAIL = range(4)  # kinds of rows that meet in a bucket
 POSITION = np.dtype([("context", "<u4"), ("word", "<i4"), ("p", "<f4")])
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones and so on: the shuffle's compression finds the many equal ones."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes() if len(x) else b""
+
+
+def _values(raw: bytes, kind: np.dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
 def score(docs: DataFrame, model: Model, counted: DataFrame, buckets: int, setup: Setup = Setup()) -> DataFrame:
     """Score every text. Null texts are empty; rows stay apart even if ids repeat; other columns are dropped."""
     lean(docs.sparkSession)
@@ -321,7 +330,7 @@ def score(docs: DataFrame, model: Model, counted: DataFrame, buckets: int, setup
             # within a bucket 32 further bits tell contexts apart
             rows["context"], rows["word"], rows["p"] = mix(context) >> np.uint64(32 - bits) & np.uint64(0xFFFFFFFF), word[at], p[at]
             text = (doc[at] << 1 | ~held[doc[at]]).astype(np.uint32)
-            out += [(k, TAIL, rows[bound[k] : bound[k + 1]].tobytes(), text[bound[k] : bound[k + 1]].tobytes()) for k in range(buckets) if bound[k] < bound[k + 1]]
+            out += [(k, TAIL, _planes(rows[bound[k] : bound[k + 1]]), _planes(text[bound[k] : bound[k + 1]])) for k in range(buckets) if bound[k] < bound[k + 1]]
             out.append((key % buckets, TEXTS, pickle.dumps(here), b""))
             bucket, kind, keys, counts = zip(*out, strict=True)
             yield pa.record_batch(
@@ -343,8 +352,8 @@ def score(docs: DataFrame, model: Model, counted: DataFrame, buckets: int, setup
             got = np.where(at >= 0, count[at] if len(count) else 0, 0)
             out.append((s, docs_.tobytes(), np.concatenate((np.bincount(where, weights=np.log10(got + 1.0)), np.bincount(where, weights=at >= 0), np.zeros(len(docs_)))).tobytes()))
         if rows[TAIL]:
-            x = np.concatenate([np.frombuffer(k, POSITION) for _, k, _ in rows[TAIL]])
-            text = np.concatenate([np.frombuffer(c, np.uint32) for *_, c in rows[TAIL]])
+            x = np.concatenate([_values(k, POSITION) for _, k, _ in rows[TAIL]])
+            text = np.concatenate([_values(c, np.dtype(np.uint32)) for *_, c in rows[TAIL]])
             gain = _tail_gains(x["context"], x["word"].astype(np.int64), x["p"].astype(np.float64), (text & 1).astype(bool), setup)
             bound = np.cumsum([0, *(len(c) // 4 for *_, c in rows[TAIL])])
             for (s, *_), i, j in zip(rows[TAIL], bound, bound[1:], strict=False):
