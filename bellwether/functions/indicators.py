@@ -154,13 +154,13 @@ def recursive(rows_: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     return rows_.select(*KEY, "bar_date", *dict.fromkeys(("close", "true_range", *carried))).groupBy(*KEY).applyInPandas(kernel, schema)
 
 
-def long_ema(rows_: DataFrame, n: int, block: int = 4096, column: str = "close") -> DataFrame:
-    """EMA of series too long for one task: fold blocks, carry over block rows, replay blocks.
+def long_ema(rows_: DataFrame, n: int, block: int = 4096, column: str = "close", alpha: float | None = None) -> DataFrame:
+    """EMA (or with another ``alpha``) of the known values of series too long for one task: fold blocks, carry over block rows, replay blocks.
 
     y = a*y + b composes: a block is the pair (decay, sum), and only one row by block is ordered by series.
     """
-    a = 1 - 2 / (n + 1)
-    numbered = rows_.withColumn("rn", F.row_number().over(by())).withColumn("block", F.floor((F.col("rn") - 1 - n) / block))
+    a = 1 - (alpha or 2 / (n + 1))
+    numbered = rows_.where(F.col(column).isNotNull()).withColumn("rn", F.row_number().over(by())).withColumn("block", F.floor((F.col("rn") - 1 - n) / block))
     seed = numbered.where(f"rn <= {n}").groupBy(*KEY).agg(F.avg(column).alias("seed"), F.count("*").alias("n0"))
     tail = numbered.where(f"rn > {n}")
     folded = tail.groupBy(*KEY, "block").agg(F.sort_array(F.collect_list(F.struct("rn", "bar_date", F.col(column).alias("x")))).alias("v"))
@@ -174,6 +174,21 @@ def long_ema(rows_: DataFrame, n: int, block: int = 4096, column: str = "close")
     return replay.select(*KEY, F.explode(out).alias("o")).select(*KEY, "o.bar_date", "o.ema").union(first)
 
 
+def long_atr(bars: DataFrame, n: int = 14, block: int = 4096) -> DataFrame:
+    """Wilder's mean of the true range of long series, as ``ema``."""
+    ranges = bars.withColumn("true_range", true_range(F.col("high"), F.col("low"), F.col("close")))
+    return long_ema(ranges.select(*KEY, "bar_date", "true_range"), n, block, "true_range", 1 / n)
+
+
+def long_rsi(bars: DataFrame, n: int = 14, block: int = 4096) -> DataFrame:
+    """RSI of long series from Wilder's means of gains and losses, as ``rsi``."""
+    change = F.col("close") - F.lag("close").over(by())
+    moves = bars.select(*KEY, "bar_date", F.greatest(change, F.lit(0.0) * change).alias("up"), F.greatest(-change, F.lit(0.0) * change).alias("down"))
+    gain, loss = (long_ema(moves.select(*KEY, "bar_date", c), n, block, c, 1 / n).withColumnRenamed("ema", c) for c in ("up", "down"))
+    value = F.when(F.col("down") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.try_divide("up", "down")))
+    return gain.join(loss, [*KEY, "bar_date"]).select(*KEY, "bar_date", value.alias("rsi"))
+
+
 #: The output columns, in their fixed order.
 COLUMNS = (
     "sma_20", "sma_50", "sma_200", "ema_12", "ema_26", "macd", "macd_signal", "macd_hist", "rsi_14", "stoch_k_14", "stoch_d_14", "atr_14", "bb_mid_20", "bb_upper_20", "bb_lower_20", "bb_width_20",

@@ -185,7 +185,7 @@ def _(s, d):
          count(*) FILTER (dropped IS NULL AND reason IS NOT NULL) AS quarantined, count(*) FILTER (dropped IS NULL AND reason IS NULL) AS written,
          min(bar_date) FILTER (dropped IS NULL AND reason IS NULL) AS first_bar, max(bar_date) FILTER (dropped IS NULL AND reason IS NULL) AS last_bar
   FROM all_rows GROUP BY 1
-) SELECT *, CASE WHEN written = 0 THEN 'empty' WHEN written < fetched THEN 'degraded' ELSE 'ok' END AS status FROM summed""".replace(", all_rows", ", all_rows"),
+) SELECT *, CASE WHEN written = 0 THEN 'empty' WHEN written < fetched THEN 'degraded' ELSE 'ok' END AS status FROM summed""",
 )
 def _(s, d):
     rows = clean.normalise(derive.raw_bars(_bars(s, d)), derive.SOURCE)
@@ -359,7 +359,7 @@ def _(s, d):
     return r(_run(s, d)["groups"])
 
 
-@query("under_threshold", with_(*FULL) + "SELECT tau, ticker, round(CAST(c AS DOUBLE), 8) AS c FROM assigned, (VALUES (0.005), (0.01), (0.1)) t(tau) WHERE c < tau".replace("(VALUES (0.005), (0.01), (0.1)) t(tau)", "(SELECT unnest([0.005::DOUBLE, 0.01::DOUBLE, 0.1::DOUBLE]) AS tau)"))
+@query("under_threshold", with_(*FULL) + "SELECT tau, ticker, round(CAST(c AS DOUBLE), 8) AS c FROM assigned, (SELECT unnest([0.005::DOUBLE, 0.01::DOUBLE, 0.1::DOUBLE]) AS tau) WHERE c < tau")
 def _(s, d):
     return r(model.under(_run(s, d)["assigned"], [0.005, 0.01, 0.1]), 8)
 
@@ -625,7 +625,7 @@ WINDOWED = f"""pre AS (
   SELECT ticker, y, lag(last_close) OVER (PARTITION BY ticker ORDER BY y) AS base FROM ye
 ), win AS (
   SELECT w2.*, {_full(3, 'avg(stoch_k_14) @', 'stoch_k_14')} AS stoch_d_14, close / base - 1 AS ret_ytd FROM w2 LEFT JOIN yb ON yb.ticker = w2.ticker AND yb.y = year(bar_date)
-)""".replace("SELECT w2.*, CASE", "SELECT w2.*, CASE").replace("OVER (PARTITION BY ticker ORDER BY bar_date ROWS BETWEEN 2 PRECEDING", "OVER (PARTITION BY w2.ticker ORDER BY bar_date ROWS BETWEEN 2 PRECEDING")
+)""".replace("OVER (PARTITION BY ticker ORDER BY bar_date ROWS BETWEEN 2 PRECEDING", "OVER (PARTITION BY w2.ticker ORDER BY bar_date ROWS BETWEEN 2 PRECEDING")
 RECURSE = """num AS (
   SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY bar_date) AS rn, greatest(close - prev, 0) AS up, greatest(prev - close, 0) AS down FROM win
 ), seeds AS (
@@ -680,6 +680,16 @@ def _(s, d):
     return r(ind.long_ema(_bars(s, d).select("ticker", "source", "bar_date", "close"), 12, block=50))
 
 
+@query("long_series_atr", with_(LINE, BARS, WINDOWED, RECURSE) + "SELECT ticker, source, bar_date, round(atr_14, 6) AS atr FROM ind WHERE atr_14 IS NOT NULL")
+def _(s, d):
+    return r(ind.long_atr(_bars(s, d), block=50).withColumnRenamed("ema", "atr"))
+
+
+@query("long_series_rsi", with_(LINE, BARS, WINDOWED, RECURSE) + "SELECT ticker, source, bar_date, round(rsi_14, 6) AS rsi FROM ind WHERE rsi_14 IS NOT NULL")
+def _(s, d):
+    return r(ind.long_rsi(_bars(s, d), block=50))
+
+
 # ---- board -------------------------------------------------------------------------------------
 
 NEWEST = "newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY bar_date DESC) AS nn FROM ind) WHERE nn = 1), day AS (SELECT max(bar_date) AS session_date FROM bars)"

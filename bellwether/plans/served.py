@@ -253,7 +253,7 @@ def _(s, d):
     return model.with_trading_flag(days, model.trading_calendar(_index(s, d)).withColumn("is_trading", F.lit(True)))
 
 
-@query("listing", with_(STOCKS) + "SELECT replace(ticker, '#', '') AS ticker, 'EX' || (CAST(split_part(industry, ' ', 2) AS INT) % 3) AS exchange, 'name of ' || ticker AS name FROM stocks".replace("replace(ticker, '#', '')", "upper(replace(ticker, '#', ''))"))
+@query("listing", with_(STOCKS) + "SELECT upper(replace(ticker, '#', '')) AS ticker, 'EX' || (CAST(split_part(industry, ' ', 2) AS INT) % 3) AS exchange, 'name of ' || ticker AS name FROM stocks")
 def _(s, d):
     """Registered names: every one twice, with spaces and other cases (Q11)."""
     st = derive.stocks(s, d).select(F.regexp_replace("ticker", "#", "").alias("ticker"), F.concat(F.lit("ex"), (F.split("industry", " ")[1].cast("int") % 3).cast("string")).alias("exchange"), F.concat(F.lit("name of "), "ticker").alias("name"))
@@ -409,6 +409,11 @@ def _(s, d):
     folder = f"{shared_folder(s)}/ema-{uuid.uuid4().hex}"
     b.where("bar_date < date'1998-01-01'").coalesce(1).write.parquet(f"{folder}/part=1")
     b.where("bar_date >= date'1998-01-01'").coalesce(1).write.parquet(f"{folder}/part=2")
-    s.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     found = s.readStream.schema(b.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
-    return r(stream.run_once(stream.streaming_ema(found, 12)).where("ema is not null"))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = s.conf.get(key)
+    s.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # this kind of state asks for it
+    try:
+        return r(stream.run_once(stream.streaming_ema(found, 12)).where("ema is not null"))
+    finally:
+        s.conf.set(key, before)
