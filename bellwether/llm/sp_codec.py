@@ -5,9 +5,10 @@ scores, metaspace marker and byte fallback. Both model kinds are rebuilt: unigra
 scores, pair-merge models by ranking the merges that the scores imply. ``Normaliser`` does what the model's own does: its character
 map, squeezing of spaces, the marker for spaces and before or after the text.
 
-If no piece has the marker after another character, no merge and no best path crosses such a place, so texts are cut
-there first; equal stretches are then encoded once in a batch, by the library's threads. The same stretches are given to the sentencepiece
-library, and each text's ids are compared with what that library gives for its stretches. (Of two ways to cut a text that score
+If no piece has the marker after another character, no merge and no best path crosses such a place. If the normaliser then changes nothing but
+spaces, raw texts are cut at spaces first, and equal raw stretches are encoded once in a batch, by the library's threads, several joined to one input.
+The sentencepiece library gets the same raw stretches, before our normaliser has seen them; models of other kinds get whole raw texts on both sides.
+``parity`` compares each text's ids with what that library gives, so a wrong normaliser, merge or score shows. (Of two ways to cut a text that score
 exactly the same, a unigram model may take another one there; ``parity`` tells.)
 """
 
@@ -23,6 +24,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +36,10 @@ from .survivors import column, free_name
 
 MARK = "▁"
 _SPACES = re.compile(" {2,}")
-KNOWN = 150_000  # stretches that a worker remembers within a task
+KNOWN = 400_000  # stretches that a worker remembers within a task
+JOINED = 32  # stretches that make one input of the backend
 NEW = 8192  # stretches encoded at once: each has an object in the backend
-TEXTS = 256  # texts encoded at once
+TEXTS = 1024  # texts encoded at once
 #: Fixed values of the public model format: piece kinds and model kinds.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, PAIRS = 1, 2
@@ -204,6 +207,23 @@ class _Ids:
         self.begin = np.cumsum(self.size) - self.size
 
 
+def raw_stretches(text: str, lead: str = "") -> list[str]:
+    """The text cut at spaces: each stretch keeps all but one of the spaces before it (``lead`` stands for that one); those at the end stay with the last one."""
+    parts = text.split(" ")
+    if "" not in parts:
+        return parts if not lead else [parts[0], *(lead + p for p in parts[1:])]
+    out, run = [], 0
+    for p in parts:
+        if p:
+            out.append((lead if out else "") + " " * run + p)
+            run = 0
+        else:
+            run += 1
+    if run:
+        out[-1:] = [out[-1] + " " * run] if out else [text] if text else []
+    return out
+
+
 class Codec:
     """Encodes and decodes batches of whole texts."""
 
@@ -211,39 +231,27 @@ class Codec:
         self.model = read_model(raw)
         self.tokenizer = build(self.model)
         self.normal = Normaliser(self.model)
-        # without the marker in front, squeezing would take the space before a stretch away
-        self.apart = separable(self.model) and (self.model["prefix"] or not self.model["squeeze"])
+        # the normaliser works on each stretch as on the whole text
+        self.apart = separable(self.model) and not self.model["map"] and not self.model["squeeze"]
         self.plain = sentencepiece.SentencePieceProcessor(model_proto=raw)
         self.unknown = self.model.get("unknown", 0)
         self.bytes = {p: i for i, (p, _, k) in enumerate(self.model["pieces"]) if k == BYTE}
         self.by_byte = self.model["kind"] == UNIGRAM and self.model["byte_fallback"]
         # what the backend's decoder reads for each id
         self.shown = ["" if k == CONTROL else " \u2047 " if k == UNKNOWN else p for p, _, k in self.model["pieces"]]
+        self.opens = np.array([p.startswith(MARK) and k == NORMAL for p, _, k in self.model["pieces"]])
         self.forget()
 
     def stretches(self, text: str) -> list[str]:
-        """The text with its markers, cut before each run of markers; joined they give it again."""
-        text = self.normal(text)
-        if not self.apart or not text:
+        """The raw text in parts that are encoded apart."""
+        if not self.apart:
             return [text] if text else []
-        parts = text.split(MARK)
-        if not parts[0] and all(parts[1:]):  # no two markers together, none at the end
-            return [MARK + p for p in parts[1:]]
-        out, run = ([parts[0]] if parts[0] else []), 1
-        for p in parts[1:]:
-            if p:
-                out.append(MARK * run + p)
-                run = 1
-            else:
-                run += 1
-        if run > 1:  # markers at the end stay with what is before them
-            out[-1:] = ["".join([*out[-1:], MARK * (run - 1)])]
-        return out
+        return raw_stretches(text, "" if self.model["prefix"] else " ") if text else []
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.own, self.library = _Ids(), _Ids()
-        self.back, self.hits = np.zeros(0, bool), np.zeros(0, np.int64)
+        self.own = _Ids()
+        self.back, self.agrees, self.hits = np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, np.int64)
         self.last: tuple[list[str], list[np.ndarray]] | None = None
 
     def _forget_rare(self) -> None:
@@ -255,38 +263,90 @@ class Codec:
         names = list(self.place)
         self.place = {names[k]: n for n, k in enumerate(kept.tolist())}
         self.own.keep(kept)
-        self.library.keep(kept)
-        self.back, self.hits = self.back[kept], self.hits[kept] // 2
+        self.back, self.agrees, self.hits = self.back[kept], self.agrees[kept], self.hits[kept] // 2
 
     def rows(self, texts: list[str]) -> list[np.ndarray]:
         """Of each text the numbers of its stretches. New stretches are encoded and compared once; rare ones are forgotten when ``KNOWN`` are held."""
         if self.last is not None and self.last[0] is texts:
             return self.last[1]
-        if len(self.place) > KNOWN:
+        if not self.apart:  # whole texts are not worth remembering
+            self.forget()
+        elif len(self.place) > KNOWN:
             self._forget_rare()
         place, old = self.place, len(self.place)
-        cut = [self.stretches(t) for t in texts]
         # of the stretches of a batch, each is looked up once
-        coded = pa.array(list(chain.from_iterable(cut)), pa.string()).dictionary_encode()
+        coded, sizes = self._coded(texts)
         number = np.fromiter((place.setdefault(s, len(place)) for s in coded.dictionary.to_pylist()), dtype=np.int64, count=len(coded.dictionary))
-        out = np.split(number[coded.indices.to_numpy()] if len(coded) else number, np.cumsum([len(c) for c in cut])[:-1])
+        out = np.split(number[coded.indices.to_numpy()] if len(coded) else number, np.cumsum(sizes)[:-1])
         fresh = list(islice(place, old, None)) if len(place) > old else []
         for k in range(0, len(fresh), NEW):
-            new = fresh[k : k + NEW]
-            done = self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if not self.by_byte else self.tokenizer.encode_batch(new, add_special_tokens=False)
-            ids = [self._bytes(e, s) for e, s in zip(done, new, strict=True)] if self.by_byte else [e.ids for e in done]
+            ids, back, agrees = self._learn(fresh[k : k + NEW])
             self.own.add(ids)
-            self.library.add(self.plain.encode([self._raw(s) for s in new], num_threads=1))
-            self.back = np.concatenate((self.back, self._decoded(ids, new)))
+            self.back, self.agrees = np.concatenate((self.back, back)), np.concatenate((self.agrees, agrees))
         self.hits = np.bincount(np.concatenate([*out, np.zeros(0, np.int64)]), minlength=len(place)) + np.pad(self.hits, (0, len(place) - len(self.hits)))
         self.last = texts, out
         return out
 
-    def _raw(self, stretch: str) -> str:
-        """The text that the sentencepiece library reads as this stretch: markers stay, as it would squeeze spaces."""
+    def _coded(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The stretches of all texts, one text after the other, and how many each has."""
+        column = pa.array(texts, pa.large_string())
+        if self.apart and self.model["prefix"]:
+            # with single spaces between words only, words are the stretches
+            plain = pc.invert(pc.or_(pc.match_substring(column, "  "), pc.or_(pc.starts_with(column, " "), pc.ends_with(column, " "))))
+            plain = np.asarray(pc.and_(plain, pc.not_equal(column, "")))
+        else:
+            plain = np.zeros(len(texts), bool)
+        words = pc.split_pattern(column.filter(pa.array(plain)), " ")
+        others = [self.stretches(texts[k]) for k in np.flatnonzero(~plain).tolist()]
+        sizes = np.zeros(len(texts), np.int64)
+        sizes[plain] = words.value_lengths().to_numpy()
+        sizes[~plain] = [len(x) for x in others]
+        both = pa.chunked_array([words.flatten(), pa.array(list(chain.from_iterable(others)), pa.large_string())])
+        if others and plain.any():
+            begin = np.empty(len(texts), np.int64)
+            begin[plain] = np.cumsum(sizes[plain]) - sizes[plain]
+            begin[~plain] = len(words.flatten()) + np.cumsum(sizes[~plain]) - sizes[~plain]
+            both = both.take(pa.array(np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))))
+        return both.combine_chunks().dictionary_encode(), sizes
+
+    def _learn(self, raw: list[str]) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
+        """Of new stretches the ids, whether they decode to the stretch, and whether the sentencepiece library gives the same.
+
+        ``JOINED`` stretches that have the marker in front only are one input of the backend, of its decoder and of the library; where the
+        whole differs, or its pieces do not tell the stretches apart, each is taken by itself.
+        """
+        normal = [self.normal(s) for s in raw]
+        ids: list[list[int]] = [[] for _ in raw]
+        back, agrees = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
+        simple = [k for k, s in enumerate(normal) if s.rfind(MARK) == 0] if self.apart and self.model["prefix"] and not self.by_byte else []
+        groups = [simple[k : k + JOINED] for k in range(0, len(simple), JOINED)]
+        done = self.tokenizer.encode_batch_fast(["".join([normal[k] for k in g]) for g in groups], add_special_tokens=False)
+        flat = [e.ids for e in done]
+        texts = self._decoded(flat)
+        library = self.plain.encode([" ".join([raw[k] for k in g]) for g in groups], num_threads=1)
+        single = sorted(set(range(len(raw))).difference(simple))
+        for g, found, text, theirs in zip(groups, flat, texts, library, strict=True):
+            at = np.flatnonzero(self.opens[found]).tolist()
+            if len(at) != len(g):
+                single += g
+                continue
+            for k, x, y in zip(g, at, [*at[1:], len(found)], strict=True):
+                ids[k] = found[x:y]
+            back[g] = text == self._readable("".join([normal[k] for k in g]))
+            agrees[g] = found == theirs
+            single += [k for k in g if not (back[k] and agrees[k])]
+        some = [normal[k] for k in single]
+        done = self.tokenizer.encode_batch_fast(some, add_special_tokens=False) if not self.by_byte else self.tokenizer.encode_batch(some, add_special_tokens=False)
+        alone = [self._bytes(e, s) for e, s in zip(done, some, strict=True)] if self.by_byte else [e.ids for e in done]
+        for k, found, text, theirs in zip(single, alone, self._decoded(alone), self.plain.encode([raw[k] for k in single], num_threads=1), strict=True):
+            ids[k], back[k], agrees[k] = found, text == self._readable(normal[k]), found == theirs
+        return ids, back, agrees
+
+    def _readable(self, normal: str) -> str:
+        """What decoding should give for a normalised stretch."""
         if self.model["prefix"]:
-            stretch = stretch.removesuffix(MARK) if self.normal.suffix else stretch.removeprefix(MARK)
-        return stretch
+            normal = normal.removesuffix(MARK) if self.normal.suffix else normal.removeprefix(MARK)
+        return normal.replace(MARK, " ")
 
     def _bytes(self, encoding, stretch: str) -> list[int]:  # noqa: ANN001
         """The ids with the bytes of what is unknown."""
@@ -297,21 +357,19 @@ class Codec:
             out += [self.bytes[f"<0x{x:02X}>"] for x in stretch[a:b].encode()] if i == self.unknown else [i]
         return out
 
-    def _decoded(self, ids: list[list[int]], stretches: list[str]) -> list[bool]:
-        """Whether decoding gives each stretch back."""
+    def _decoded(self, ids: list[list[int]]) -> list[str]:
+        """The texts of these ids, by the backend's decoder."""
         if self.model["kind"] == PAIRS:  # its pieces have their own names in the backend, which then decodes all at once
-            got = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        else:
-            got = [self.tokenizer.decoder.decode([self.shown[i] for i in x]) for x in ids]
-        return [x == self._raw(s).replace(MARK, " ") for x, s in zip(got, stretches, strict=True)]
+            return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return [self.tokenizer.decoder.decode([self.shown[i] for i in x]) for x in ids]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         return [self.own.of(r) for r in self.rows(texts)]
 
     def checks(self, texts: list[str], ids: list[np.ndarray]) -> list[tuple[bool, bool]]:
-        """Of each text, whether its stretches decode to themselves, and whether its ids are those of the sentencepiece library."""
-        return [(bool(self.back[r].all()), np.array_equal(self.library.of(r), x)) for r, x in zip(self.rows(texts), ids, strict=True)]
+        """Of each text, whether its stretches decode to themselves, and whether ``ids`` are those that the sentencepiece library gives for its raw stretches."""
+        return [(bool(self.back[r].all()), bool(self.agrees[r].all()) and np.array_equal(self.own.of(r), x)) for r, x in zip(self.rows(texts), ids, strict=True)]
 
     def decode(self, ids: np.ndarray) -> str:
         return self.tokenizer.decoder.decode([self.shown[i] for i in ids.tolist()])
@@ -336,7 +394,7 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
     """``docs`` with the ids of each whole text and checks on them.
 
     ``round_trip``: decoding gives the normalised text back (a text with the marker itself gives spaces for it).
-    ``parity``: equal to the sentencepiece library's ids, of every stretch of every text. Null and empty texts have no ids. All rows and columns stay;
+    ``parity``: equal to the sentencepiece library's ids for every raw stretch of every text. Null and empty texts have no ids. All rows and columns stay;
     columns of the result's names are replaced. ``model`` (about 0.5 MB) goes to the tasks with the code.
     """
     lean(docs.sparkSession)

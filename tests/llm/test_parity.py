@@ -23,3 +23,28 @@ def test_parity_is_that_of_whole_texts():
     texts = [" ", "   two  spaces ", "▁mark ▁▁ in it", "tab\tand\nline", "日本語 текст 🙂 é", "<s> </s> <unk> <0x41>", "a" * 3000]
     for t, ids in zip(texts, c.encode(texts), strict=True):
         assert ids.tolist() == c.plain.encode(t) and c.decode(ids) == t.replace("▁", " ") == c.plain.decode(ids.tolist())
+
+
+def test_a_wrong_normaliser_is_reported():
+    c = sp_codec.Codec(queries.model_bytes())
+    right = c.normal
+
+    class Dropping(sp_codec.Normaliser):
+        def readable(self, text):
+            return super().readable(text).replace("a", "")
+
+    c.normal = Dropping(c.model)
+    texts = ["no such letter: bcd", "an apple", "", "two  spaces and a tail  ", "one\ntwo"]
+    told = [parity for _, parity in c.checks(texts, c.encode(texts))]
+    assert told == [True, False, True, False, True]
+    c.forget()
+    c.normal = right
+    assert all(parity for _, parity in c.checks(list(texts), c.encode(texts)))
+
+
+def test_raw_stretches_join_to_the_text():
+    for text in ["", " ", "   ", "a", " a", "a ", "  a  b c   ", "a b", "▁ a▁▁b"]:
+        for lead in ("", " "):
+            parts = sp_codec.raw_stretches(text, lead) if text else []
+            assert ("" if lead else " ").join(parts) == text
+            assert not text.strip(" ") or not any(p.strip(" ") == "" for p in parts)
