@@ -7,11 +7,21 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import discard, materialize, shared_folder
 
-__all__ = ["HOT", "components", "lean", "discard", "materialize", "power_of_two", "shared_folder", "table", "text_bytes"]
+__all__ = ["CRC_TABLE", "HOT", "components", "crc_sql", "lean", "discard", "materialize", "power_of_two", "shared_folder", "table", "text_bytes"]
 
 BATCH = "4m"
 HOT = 50_000  # most nodes whose minimum is broadcast
 
+#: CRC-32 of an ASCII string ``s`` in DuckDB, which has none: the table of the remainders of all bytes, then a fold.
+CRC_TABLE = """crc_table AS (
+  SELECT list(v ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v FROM range(256) r(b))
+)"""
+
+
+def crc_sql(s: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({s}) + 1), lambda i: ascii(({s})[i]))), lambda x, c: xor(x >> 8, t[1 + (xor(x, c) & 255)])), 4294967295)"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

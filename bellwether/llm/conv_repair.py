@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import discard, lean, materialize
+from .common import CRC_TABLE, crc_sql, discard, lean, materialize
 
 SEGMENT = 512  # rows in a segment of a conversation that is cut
 LONG = 4096  # most rows of a conversation that one task holds
@@ -414,17 +414,6 @@ def repair(damaged: DataFrame) -> DataFrame:
     return passed.where("result is not null").select("conv_id", "result.*").select("conv_id", *fields).union(of_cut.select("conv_id", *fields))
 
 
-#: CRC-32 of an ASCII string ``s`` in DuckDB, which has none: the table of the remainders of all bytes, then a fold.
-CRC_TABLE = """crc_table AS (
-  SELECT list(v ORDER BY b) AS t FROM (
-    SELECT b, list_reduce(list_prepend(b, range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v FROM range(256) r(b))
-)"""
-
-
-def crc_sql(s: str) -> str:
-    return f"xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({s}) + 1), lambda i: ascii(({s})[i]))), lambda x, c: xor(x >> 8, t[1 + (xor(x, c) & 255)])), 4294967295)"
-
-
 def _sql() -> str:
     one = lambda state, cost, letter: f"{{'cost': best[{state}].cost + {cost}, 'audit': best[{state}].audit || '{letter}'}}"
     free = "fault IN ('', 'truncated')"

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_rotation, conv_repair, ego_join, lm_pst, media_tiles, mixing, pii_feistel, rlz_dedup, simhash_ball, sp_codec, toxicity_ftrl
+from . import chat_rotation, conv_repair, ego_join, lm_pst, media_tiles, merkle, mixing, pii_feistel, rlz_dedup, secret_scan, simhash_ball, sp_codec, toxicity_ftrl
 from .common import table
 
 #: Where the model file of the SentencePiece operator lies.
@@ -67,9 +67,17 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conv_repair.repair(conv_repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_pst_scoring, op2_chat_rotation, op3_toxicity_ftrl, op4_ego_join, op5_sentencepiece, op6_simhash_ball, op7_pii_feistel, op8_media_tiles, op9_systematic_mix, op10_rlz_dedup, op11_conversation_repair)
+    for f in (op1_pst_scoring, op2_chat_rotation, op3_toxicity_ftrl, op4_ego_join, op5_sentencepiece, op6_simhash_ball, op7_pii_feistel, op8_media_tiles, op9_systematic_mix, op10_rlz_dedup, op11_conversation_repair, op12_merkle_manifest, op13_secret_scan)
 }
 
 OP4_SQL = """
@@ -110,4 +118,4 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN summed USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op2_chat_rotation": chat_rotation.SQL, "op4_ego_join": OP4_SQL, "op9_systematic_mix": mixing.SQL, "op10_rlz_dedup": OP10_SQL, "op11_conversation_repair": conv_repair.SQL}
+SQL: dict[str, str] = {"op2_chat_rotation": chat_rotation.SQL, "op4_ego_join": OP4_SQL, "op9_systematic_mix": mixing.SQL, "op10_rlz_dedup": OP10_SQL, "op11_conversation_repair": conv_repair.SQL, "op12_merkle_manifest": merkle.SQL, "op13_secret_scan": secret_scan.SQL}
