@@ -61,7 +61,7 @@ MORE = (
 )
 RULES = BASE + MORE
 
-# ---- queries: a trigram is bytes; ("and", [...]) and ("or", [...]) join them; an empty "and" holds for every text
+# ---- queries: a trigram is bytes; ("and", (...)) and ("or", (...)) join them; an empty "and" holds for every text
 
 
 def _all(parts: Iterable) -> tuple:
@@ -70,22 +70,26 @@ def _all(parts: Iterable) -> tuple:
         for x in p[1] if isinstance(p, tuple) and p[0] == "and" else [p]:
             if x not in out:
                 out.append(x)
-    return ("and", out)
+    return ("and", tuple(out))
 
 
 def _any(parts: Iterable) -> tuple:
     out = []
     for p in parts:
-        if p == ("and", []):
+        if p == ("and", ()):
             return p
+        p = p[1][0] if p[0] == "and" and len(p[1]) == 1 else p
         if p not in out:
             out.append(p)
-    return out[0] if len(out) == 1 else ("or", out)
+    # an alternative that asks for more than another one adds nothing
+    asked = [set(p[1]) if p[0] == "and" else {p} for p in out]
+    out = [p for k, p in enumerate(out) if not any(other < asked[k] for other in asked)]
+    return out[0] if len(out) == 1 else ("or", tuple(out))
 
 
 def _grams(strings: set[bytes]) -> tuple:
     """What holds wherever one of these strings stands."""
-    return _any(_all(s[k : k + 3] for k in range(len(s) - 2)) for s in sorted(strings)) if strings else ("and", [])
+    return _any(_all(s[k : k + 3] for k in range(len(s) - 2)) for s in sorted(strings)) if strings else ("and", ())
 
 
 def _fold(c: int) -> bytes:
@@ -243,7 +247,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...], grams: list[bytes]) -> DataFrame:
     """``(doc_id, k1, k2, grams, spans)`` of each row: the trigrams it has, and the spans of ``rules`` that have no query."""
-    full = [(k, r) for k, r in enumerate(rules) if trigram_query(r.pattern) == ("and", [])]
+    full = [(k, r) for k, r in enumerate(rules) if trigram_query(r.pattern) == ("and", ())]
     wanted = [number(g) for g in grams]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,7 +297,7 @@ def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     gives no rows.
     """
     lean(docs.sparkSession)
-    queries = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.pattern)) != ("and", [])}
+    queries = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.pattern)) != ("and", ())}
     grams = sorted(set().union(*map(needed, queries.values()))) if queries else []
     scanned = materialize(scan(docs, rules, grams))
     if not queries:
