@@ -29,16 +29,17 @@ from .common import lean, materialize
 from .tokens import Words, mix, slices, sliding_min, window_hashes, words
 
 GRAM = 8
-KEY = ["doc_id", "text_hash"]
-NO_ID = -(2**63)
+#: A row: whether it has no id, its id (0 then), a hash of its text. Equal rows have one key.
+KEY = ["no_id", "doc_id", "text_hash"]
 #: A place as one number: 32 bits of a hash of the row, so that neighbours of one row sort alike, then the word.
-PLACE = "(xxhash64(doc_id, text_hash) & -4294967296) | start"
+PLACE = "(xxhash64(no_id, doc_id, text_hash) & -4294967296) | start"
 WORD = 2**32 - 1
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    own = F.col("doc_id").cast("long")
+    return docs.select(own.isNull().alias("no_id"), F.coalesce(own, F.lit(0)).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
 def parse(w: Words, width: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -68,17 +69,16 @@ def _blocks(docs: DataFrame, width: int) -> DataFrame:
             doc, first, runs, anchor, block = parse(w, width)
             yield pa.record_batch(
                 [
-                    b.column("doc_id").take(pa.array(doc)),
-                    b.column("text_hash").take(pa.array(doc)),
+                    *(b.column(k).take(pa.array(doc)) for k in KEY),
                     pa.array((first - w.first[doc]).astype(np.int32)),
                     pa.array(runs.astype(np.int32)),
                     pa.array(anchor.view(np.int64)),
                     pa.array(block.view(np.int64)),
                 ],
-                names=["doc_id", "text_hash", "start", "runs", "anchor", "block"],
+                names=[*KEY, "start", "runs", "anchor", "block"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, start int, runs int, anchor long, block long")
+    return docs.mapInArrow(run, "no_id boolean, doc_id long, text_hash long, start int, runs int, anchor long, block long")
 
 
 def _boundary_runs(docs: DataFrame, width: int) -> DataFrame:
@@ -100,12 +100,13 @@ def _boundary_runs(docs: DataFrame, width: int) -> DataFrame:
                 names=[*KEY, "start", "run", "second", "weight"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, start int, run long, second long, weight int")
+    return docs.mapInArrow(run, "no_id boolean, doc_id long, text_hash long, start int, run long, second long, weight int")
 
 
 def _ends() -> list:
     """The first and the last place of equal things, and the ids of their rows."""
-    return [F.min("place").alias("first"), F.max("place").alias("last"), F.min_by("doc_id", "place").alias("first_doc"), F.max_by("doc_id", "place").alias("last_doc")]
+    named = F.when(~F.col("no_id"), F.col("doc_id"))
+    return [F.min("place").alias("first"), F.max("place").alias("last"), F.min_by(named, "place").alias("first_doc"), F.max_by(named, "place").alias("last_doc")]
 
 
 def _source() -> list:
@@ -115,9 +116,9 @@ def _source() -> list:
 
 
 def matches(docs: DataFrame, width: int = 35) -> DataFrame:
-    """``(doc_id, text_hash, start, runs, source, source_start)``: ``runs`` runs from word ``start`` on also stand at word ``source_start`` of the row ``source``."""
+    """``(<KEY>, start, runs, source, source_start)``, once for equal rows: ``runs`` runs from word ``start`` on also stand at word ``source_start`` of the row ``source``."""
     found = materialize(_classified(docs, width))
-    todo = found.where("boundary").groupBy(*KEY).agg(F.collect_list(F.struct("start", "runs", "weight")).alias("todo"))
+    todo = found.where("boundary").groupBy(*KEY).agg(F.collect_set(F.struct("start", "runs", "weight")).alias("todo"))
     edges = _boundary_runs(docs.join(todo, KEY), width).withColumn("place", F.expr(PLACE))
     repeated = edges.groupBy("run", "second").agg(F.sum("weight").alias("n"), *_ends()).where("n > 1")
     single = edges.where("weight = 1").join(repeated, ["run", "second"]).select(*KEY, "start", F.lit(1).alias("runs"), *_source())
@@ -159,7 +160,7 @@ def strip(docs: DataFrame, width: int = 35) -> DataFrame:
     """
     lean(docs.sparkSession)
     docs = _keyed(docs)
-    marks = matches(docs, width).groupBy(*KEY).agg(F.collect_list(F.struct("start", "runs", "source", "source_start")).alias("marks"))
+    marks = matches(docs, width).groupBy(*KEY).agg(F.collect_set(F.struct("start", "runs", "source", "source_start")).alias("marks"))
     factor = pa.struct([(k, pa.int64()) for k in ("begin", "words", "source", "source_begin")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +168,9 @@ def strip(docs: DataFrame, width: int = 35) -> DataFrame:
             w, rows = words(b.column("text")), b.num_rows
             marked = b.column("marks")
             sizes = np.array([0 if x is None else x for x in marked.value_lengths().to_pylist()], dtype=np.int64)
-            fields = [marked.flatten().field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)]
+            start, runs, named, source_start = marked.flatten().flatten()
+            named = named.dictionary_encode(null_encoding="encode")  # a row without id is a source as well
+            fields = [x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (start, runs, named.indices, source_start)]
             doc, start, runs, source, source_start = chain(np.repeat(np.arange(rows), sizes), *fields)
             # runs of a factor cover runs + width - 1 words; every text closes what it opens
             change = np.zeros(len(w.hashes) + 1, dtype=np.int64)
@@ -197,11 +200,11 @@ def strip(docs: DataFrame, width: int = 35) -> DataFrame:
             flat = np.stack((opens - w.first[span_doc], closes - w.first[span_doc]), axis=1).ravel()
             spans = pa.ListArray.from_arrays(pa.array(span_at), pa.ListArray.from_arrays(pa.array(np.arange(len(opens) + 1, dtype=np.int32) * 2), pa.array(flat)))
             factor_at = pa.array(np.searchsorted(doc, np.arange(rows + 1)).astype(np.int32))
-            named = pa.array(source, mask=source == NO_ID)
+            named = named.dictionary.take(pa.array(source))
             factors = pa.ListArray.from_arrays(factor_at, pa.StructArray.from_arrays([pa.array(start), pa.array(runs + width - 1), named, pa.array(source_start)], fields=list(factor)))
             columns = [pa.array(np.diff(w.first)), pa.array(np.diff(total[w.first])), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array([x.decode() for x in kept], pa.string()), spans, factors]
-            yield pa.record_batch([b.column("doc_id"), *columns], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "spans", "factors"])
+            yield pa.record_batch([b.column("id"), *columns], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "spans", "factors"])
 
     kind = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, spans array<array<long>>, factors array<struct<begin:long,words:long,source:long,source_begin:long>>"
-    out = docs.join(marks, KEY, "left").select("doc_id", "text", "marks").mapInArrow(run, kind)
-    return out.withColumn("doc_id", F.when(F.col("doc_id") > NO_ID, F.col("doc_id")))
+    own = F.when(~F.col("no_id"), F.col("doc_id")).alias("id")
+    return docs.join(marks, KEY, "left").select(own, "text", "marks").mapInArrow(run, kind)
