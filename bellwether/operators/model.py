@@ -6,21 +6,17 @@ up the same in any order and ties go to the smaller ticker.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
+from . import gram
 from .clean import usable
+from .cover import exact_cover  # noqa: F401
+from .gram import permutation_null, spectra, spectrum  # noqa: F401  (named here before they had a module)
 
 P_TYPE = "decimal(20,18)"
 
@@ -114,22 +110,16 @@ def residuals(panel: DataFrame, fitted: DataFrame) -> DataFrame:
     return panel.join(F.broadcast(fitted.select("ticker", "alpha", "beta")), "ticker").select("ticker", "bar_date", (F.col("x") - F.col("alpha") - F.col("beta") * F.col("f")).alias("e"))
 
 
-def _pairs(e: DataFrame, value: str) -> DataFrame:
-    """Sums of products over sessions for i <= j, by one equi join on the session."""
-    a, b = e.select(F.col("ticker").alias("i"), "bar_date", F.col(value).alias("a")), e.select(F.col("ticker").alias("j"), "bar_date", F.col(value).alias("b"))
-    return a.join(b, "bar_date").where("i <= j").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("s"))
-
-
 def _mirror(p: DataFrame) -> DataFrame:
     p = p.withColumn("p", F.col("p").cast(P_TYPE))
     return p.union(p.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "p"))
 
 
 def rho2(e: DataFrame) -> DataFrame:
-    """Squared residual correlations ``(i, j, p)``: symmetric, clipped, diagonal 1, constant columns 0 elsewhere (M7)."""
+    """Squared residual correlations ``(i, j, p)``: symmetric, clipped, diagonal 1, constant columns 0 elsewhere (M7); by products of tiles."""
     mean = e.groupBy("ticker").agg(F.avg("e").alias("m"), F.sqrt(F.var_pop("e") * F.count("e")).alias("norm"))
     z = e.join(F.broadcast(mean), "ticker").select("ticker", "bar_date", F.coalesce(F.try_divide(F.col("e") - F.col("m"), F.when(F.col("norm") > 1e-15, F.col("norm"))), F.lit(0.0)).alias("z"))
-    p = _pairs(z, "z").select("i", "j", F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.least(F.lit(1.0), F.col("s") * F.col("s"))).alias("p"))
+    p = gram.pair_sums(gram.series(z, "z"), gram.products, ["s"]).select("i", "j", F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.least(F.lit(1.0), F.col("s") * F.col("s"))).alias("p"))
     return _mirror(p)
 
 
@@ -315,9 +305,14 @@ def equal_weight_factor(panel: DataFrame, leave_one_out: bool = False) -> DataFr
 def masked_rho2(e: DataFrame, flags: DataFrame) -> DataFrame:
     """Pairs over sessions on which neither side is flagged, with the count of each, 3 at least."""
     ok = e.join(flags, ["ticker", "bar_date"], "left").where(~F.coalesce(F.col("flagged"), F.lit(False)))
-    a, b = ok.select(F.col("ticker").alias("i"), "bar_date", F.col("e").alias("a")), ok.select(F.col("ticker").alias("j"), "bar_date", F.col("e").alias("b"))
-    m = a.join(b, "bar_date").where("i < j").groupBy("i", "j").agg(F.count("*").alias("t"), F.covar_pop("a", "b").alias("c"), F.var_pop("a").alias("va"), F.var_pop("b").alias("vb"))
-    return m.where("t >= 3").select("i", "j", "t", F.coalesce(F.least(F.lit(1.0), F.try_divide(F.col("c") * F.col("c"), F.col("va") * F.col("vb"))), F.lit(0.0)).alias("p"))
+    mean = ok.groupBy("ticker").agg(F.avg("e").alias("m"))  # moments about a value near the mean do not cancel
+    near = ok.join(F.broadcast(mean), "ticker").select("ticker", "bar_date", (F.col("e") - F.col("m")).alias("e"))
+    m = gram.pair_sums(gram.series(near, "e"), gram.masked_products, ["t", "sx", "sy", "xx", "yy", "xy"]).where("i < j and t >= 3")
+    over = lambda c: F.col(c) / F.col("t")
+    cov, vx, vy = over("xy") - over("sx") * over("sy"), over("xx") - over("sx") * over("sx"), over("yy") - over("sy") * over("sy")
+    flat = (vx <= 1e-14 * over("xx")) | (vy <= 1e-14 * over("yy"))  # a constant side, but for rounding
+    p = F.when(flat, 0.0).otherwise(F.coalesce(F.least(F.lit(1.0), F.try_divide(cov * cov, vx * vy)), F.lit(0.0)))
+    return m.select("i", "j", F.round("t").cast("long").alias("t"), p.alias("p"))
 
 
 def full_coverage_universe(rets: DataFrame, index: DataFrame) -> DataFrame:
@@ -344,19 +339,6 @@ def with_trading_flag(days: DataFrame, calendar: DataFrame) -> DataFrame:
     return days.join(calendar.select("bar_date", "is_trading"), "bar_date", "left").withColumn("is_trading", F.coalesce("is_trading", F.weekday("bar_date") < 5))
 
 
-def exact_cover(p: DataFrame, k: int = 2) -> DataFrame:
-    """The best pair or triple and its coverage, by joining candidates in order (G11; k of 2 or 3)."""
-    if k not in (2, 3):
-        raise ValueError("k is 2 or 3")
-    rows = p.select("i", F.col("j").alias("j1"), F.col("p").alias("p1"))
-    subset = ["j1"]
-    for n in range(2, k + 1):
-        rows = rows.join(p.select("i", F.col("j").alias(f"j{n}"), F.col("p").alias(f"p{n}")), "i").where(f"j{n - 1} < j{n}")
-        subset.append(f"j{n}")
-    best = F.sum(F.greatest(*(F.col(f"p{n}") for n in range(1, k + 1))).cast("decimal(38,18)"))
-    return rows.groupBy(*subset).agg(best.alias("f")).orderBy(F.desc("f"), *subset).limit(1)
-
-
 def swaps(p: DataFrame, steps: DataFrame) -> DataFrame:
     """``(out, into, f)``: coverage after each exchange of one chosen ticker, from best and second best."""
     chosen = steps.select(F.col("ticker").alias("j"))
@@ -368,48 +350,6 @@ def swaps(p: DataFrame, steps: DataFrame) -> DataFrame:
     return each.groupBy("out", "into").agg(F.sum(F.greatest("q", held).cast("decimal(38,18)")).alias("f"))
 
 
-PANEL_CELLS = 50_000_000  # most numbers of one study window that are sent to the tasks
-
-
-def permutation_null(e: DataFrame, k: int, replicates: int = 1000, seed: int = 7) -> DataFrame:
-    """Percentiles of non-anchor coverage when each column is shuffled in itself.
-
-    The panel of one study window (N x T, at most ``PANEL_CELLS`` numbers, else an error) is broadcast once; each task works through
-    its share of the replicates, whatever their number, and only the coverages are pooled.
-    """
-    spark = e.sparkSession
-    size = e.agg(F.count("*")).first()[0]
-    if size > PANEL_CELLS:
-        raise ValueError(f"a study window of {size} returns is more than {PANEL_CELLS}")
-    series = e.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("bar_date", "e"))).alias("v")).orderBy("ticker").select(F.transform("v", lambda x: x["e"]).alias("v"))
-    shared = spark.sparkContext.broadcast([np.asarray(r["v"], dtype=float) for r in series.collect()])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in b.column("id").to_pylist():
-                rng = np.random.default_rng([seed, i])
-                yield pa.record_batch([pa.array(null_coverage(np.stack([rng.permutation(v) for v in shared.value]), k))], names=["c"])
-
-    pooled = spark.range(0, replicates, 1, min(replicates, spark.sparkContext.defaultParallelism)).mapInArrow(run, "c double")
-    return pooled.agg(F.count("*").alias("n"), *(F.percentile("c", F.lit(q)).alias(name) for q, name in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))))
-
-
-def null_coverage(x: np.ndarray, k: int) -> np.ndarray:
-    """Coverage of the tickers that greedy selection of ``k`` leaves out, on the squared correlations of the rows of ``x``."""
-    x = x - x.mean(axis=1, keepdims=True)
-    norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
-    z = np.divide(x, norm, out=np.zeros_like(x), where=norm > 1e-15)
-    p = np.minimum(1, (z @ z.T) ** 2)
-    np.fill_diagonal(p, 1)
-    c, chosen = np.zeros(len(p)), []
-    for _ in range(min(k, len(p))):
-        gain = np.maximum(0, p - c[:, None]).sum(axis=0)
-        gain[chosen] = -1
-        chosen.append(int(gain.argmax()))
-        c = np.maximum(c, p[:, chosen[-1]])
-    return np.delete(c, chosen)
-
-
 def anchor_frequency(runs: DataFrame) -> DataFrame:
     """``runs(year, ticker)``: years in which a ticker was chosen."""
     years = runs.agg(F.countDistinct("year").alias("n_years"))
@@ -498,23 +438,3 @@ def tightness(p: DataFrame, assigned: DataFrame) -> DataFrame:
     """Mean similarity of members other than the anchor to it."""
     rows = assigned.where("ticker <> anchor").join(p, (F.col("ticker") == F.col("i")) & (F.col("anchor") == F.col("j")))
     return rows.groupBy("anchor").agg(F.count("*").alias("n_members"), F.avg(F.col("p").cast("double")).alias("mean_p"))
-
-
-def spectrum(panel: DataFrame, value: str = "x") -> DataFrame:
-    """Correlation eigenvalues, largest first, against the Marchenko-Pastur edge (1 + sqrt(N/T))^2.
-
-    They are the squared singular values of the standardised sessions over T, by MLlib's distributed row matrix: one row
-    by session, products added up by the executors. Of fewer sessions than tickers the remaining values are zero.
-    """
-    m = panel.groupBy("ticker").agg(F.avg(value).alias("m"), F.stddev_pop(value).alias("sd"))
-    z = panel.join(F.broadcast(m), "ticker").select("ticker", "bar_date", F.coalesce(F.try_divide(F.col(value) - F.col("m"), F.when(F.col("sd") > 0, F.col("sd"))), F.lit(0.0)).alias("z"))
-    sessions = materialize(z.groupBy("bar_date").agg(F.sort_array(F.collect_list(F.struct("ticker", "z"))).alias("v")).select(F.transform("v", lambda x: x["z"]).alias("v")))
-    t, n = sessions.agg(F.count("*"), F.max(F.size("v"))).first()
-    spark = panel.sparkSession
-    if not t:
-        return spark.createDataFrame([], "rank int, eigenvalue double, above boolean")
-    rows = MLUtils.convertVectorColumnsFromML(sessions.select(array_to_vector("v").alias("v")), "v")
-    found = [float(x) ** 2 / t for x in RowMatrix(rows, t, n).computeSVD(n).s]
-    edge = (1 + math.sqrt(n / t)) ** 2
-    values = [*found, *[0.0] * (n - len(found))]
-    return spark.createDataFrame([(k + 1, x, x > edge) for k, x in enumerate(values)], "rank int, eigenvalue double, above boolean")

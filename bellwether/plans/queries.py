@@ -364,9 +364,19 @@ def _(s, d):
     return r(model.under(_run(s, d)["assigned"], [0.005, 0.01, 0.1]), 8)
 
 
-@query("exact_cover_2", with_(*MODEL, PAIRS, "sim18 AS (SELECT i, j, CAST(p AS DECIMAL(20,18)) AS p FROM sim)") + "SELECT a.j AS j1, b.j AS j2, round(CAST(sum(greatest(a.p, b.p)) AS DOUBLE), 8) AS f FROM sim18 a JOIN sim18 b USING (i) WHERE a.j < b.j GROUP BY 1, 2 ORDER BY sum(greatest(a.p, b.p)) DESC, 1, 2 LIMIT 1")
-def _(s, d):
-    return r(model.exact_cover(model.rho2(_resid(s, d)), 2), 8)
+def _cover_sql(k: int) -> str:
+    """All subsets of k tickers."""
+    rows = " ".join(f"JOIN sim18 x{m} ON x{m}.i = x1.i AND x{m - 1}.j < x{m}.j" for m in range(2, k + 1))
+    names, best = ", ".join(f"x{m}.j AS j{m}" for m in range(1, k + 1)), f"sum(greatest({', '.join(f'x{m}.p' for m in range(1, k + 1))}))"
+    keys = ", ".join(map(str, range(1, k + 1)))
+    return f"SELECT {names}, round(CAST({best} AS DOUBLE), 8) AS f FROM sim18 x1 {rows} GROUP BY {keys} ORDER BY {best} DESC, {keys} LIMIT 1"
+
+
+for _k in (2, 3, 4, 5):
+
+    @query(f"exact_cover_{_k}", with_(*MODEL, PAIRS, "sim18 AS (SELECT i, j, CAST(p AS DECIMAL(20,18)) AS p FROM sim)") + _cover_sql(_k))
+    def _(s, d, k=_k):
+        return r(model.exact_cover(model.rho2(_resid(s, d)), k), 8)
 
 
 @query("anchor_steps", with_(*FULL) + ", g AS (SELECT anchor AS ticker, count(*) AS size FROM assigned GROUP BY 1), s2 AS (SELECT step, ticker, sum(gain) OVER (ORDER BY step) AS f FROM steps) SELECT step, ticker, size, sector, round((CAST(f AS DOUBLE) - step) / ((SELECT count(*) FROM fitted) - step), 6) AS adjusted FROM s2 LEFT JOIN g USING (ticker) LEFT JOIN stocks USING (ticker)")
@@ -443,11 +453,23 @@ def _(s, d):
     return r(model.permutation_null(_resid(s, d), 3, 1000))
 
 
+@query("permutation_null_dcor2")
+def _(s, d):
+    return r(model.permutation_null(_resid(s, d), 3, 1000, measure="dcor2"))
+
+
 @query("spectrum")
 def _(s, d):
     return r(model.spectrum(_panel(s, d)[0]))
 
 
+@query("spectra")
+def _(s, d):
+    """Of the returns and of the residuals, what stands above the edge."""
+    panel = _panel(s, d)[0]
+    return r(model.spectra({"x": (panel, "x"), "e": (model.residuals(panel, model.fit(panel)), "e")}))
+
+
 @query("run_validation")
 def _(s, d):
     """All 14 checks over a freshly trained run."""
