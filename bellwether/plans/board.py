@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.moments import trailing_moments
+
 HORIZONS = {"1d": "ret_1d", "5d": "ret_5d", "1m": "ret_20d", "3m": "ret_60d", "1y": "ret_252d"}
 RANGES = {"1m": 20, "3m": 60, "6m": 126, "1y": 252}
 RATIOS = ("ret_1d", "ret_5d", "ret_20d", "ret_60d", "ret_252d", "ret_ytd", "realized_vol_20d", "realized_vol_60d", "drawdown_from_252d_high", "dist_from_sma_200_pct", "bb_width_20")
@@ -153,16 +155,15 @@ def rolling_rho2(e: DataFrame, anchors_: DataFrame, n: int = 120) -> DataFrame:
     """Squared correlation of each ticker with each anchor over trailing sessions."""
     a = e.select(F.col("ticker").alias("anchor"), "bar_date", F.col("e").alias("ea")).join(F.broadcast(anchors_.select(F.col("ticker").alias("anchor"))), "anchor", "left_semi")
     both = e.join(a, "bar_date")
-    w = W.partitionBy("ticker", "anchor").orderBy("bar_date").rowsBetween(-(n - 1), 0)
-    c, va, vb, k = F.covar_pop("e", "ea").over(w), F.var_pop("e").over(w), F.var_pop("ea").over(w), F.count("*").over(w)
-    return both.select("ticker", "anchor", "bar_date", F.when(k == n, F.least(F.lit(1.0), F.coalesce(F.try_divide(c * c, va * vb), F.lit(0.0)))).alias("rho2")).where("rho2 is not null")
+    both = trailing_moments(both, ["ticker", "anchor"], "e", "ea", n).where("m is not null")
+    c, va, vb = F.col("m.c"), F.col("m.vx"), F.col("m.vy")
+    return both.select("ticker", "anchor", "bar_date", F.least(F.lit(1.0), F.coalesce(F.try_divide(c * c, va * vb), F.lit(0.0))).alias("rho2"))
 
 
 def beta_drift(panel: DataFrame, params: DataFrame, n: int = 120) -> DataFrame:
     """Rolling beta less the frozen one."""
-    w = W.partitionBy("ticker").orderBy("bar_date").rowsBetween(-(n - 1), 0)
-    beta = F.when(F.count("*").over(w) == n, F.try_divide(F.covar_pop("x", "f").over(w), F.var_pop("f").over(w)))
-    return panel.withColumn("rolling", beta).where("rolling is not null").join(F.broadcast(params.select("ticker", "beta")), "ticker").select("ticker", "bar_date", (F.col("rolling") - F.col("beta")).alias("drift"))
+    rolled = trailing_moments(panel, ["ticker"], "x", "f", n).withColumn("rolling", F.try_divide("m.c", "m.vy"))
+    return rolled.where("rolling is not null").join(F.broadcast(params.select("ticker", "beta")), "ticker").select("ticker", "bar_date", (F.col("rolling") - F.col("beta")).alias("drift"))
 
 
 def coverage_drift(rolling: DataFrame, assigned: DataFrame, tau: float) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators import clean, model
 from ..sources import derive, store
 from ..sources.stored import stored
 from ..streaming import stream
-from . import board, validate
+from . import board
 from .narrative import RULES, narrative
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -470,18 +470,6 @@ def _(s, d):
     return r(model.spectra({"x": (panel, "x"), "e": (model.residuals(panel, model.fit(panel)), "e")}))
 
 
-@query("run_validation")
-def _(s, d):
-    """All 14 checks over a freshly trained run."""
-    run = _run(s, d)
-    universe = run["params"].select("ticker").withColumn("position", F.row_number().over(board.W.orderBy("ticker")) - 1)
-    content = validate.fingerprint({"params": run["params"], "steps": run["steps"]})
-    panel = run["panel"].agg(F.countDistinct("ticker").alias("n"), F.countDistinct("bar_date").alias("t"), F.min("bar_date").alias("window_start"), F.max("bar_date").alias("window_end"))
-    prior = _index(s, d).agg(F.min("bar_date").alias("prior_close_date"))
-    head = panel.join(F.broadcast(prior)).join(F.broadcast(content)).select("*", F.lit(validate.VERSION).alias("version"), (F.col("n") / F.col("t")).alias("q"), F.lit(3).alias("k"), F.lit(3).alias("k_max"))
-    return validate.validate(head, universe, run["params"], run["steps"], run["assigned"], run["groups"], run["p"], content)
-
-
 # ---- comparisons of runs ----
 
 _MEANS = "(SELECT sum(c) / (SELECT count(DISTINCT i) FROM {sim}) FROM (SELECT i, CAST(max(p) AS DOUBLE) AS c FROM {sim} WHERE j IN (SELECT ticker FROM {steps}) GROUP BY i))"

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, model
-from ..sources import derive, store
+from ..sources import derive, merge, runs, store
 from ..sources.scratch import materialize, shared_folder
 from ..streaming import stream
-from . import board, serving
+from . import board, serving, validate
 from .queries import _MEANS, BARS, BOARD, FAULTS, FIT, FULL, GREEDY, LINE, MODEL, PAIRS, PANEL, RECURSE, RETS, STOCKS, WINDOWED, _bars, _base, _index, _resid, _run, _sim_sql, _steps_sql, _years, query, r, with_
 
 TAU = 0.1
@@ -155,6 +155,54 @@ def _(s, d):
     return r(store.compare(a, b))
 
 
+def _stored_run(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The weekly run, written with its row and read back."""
+    run, path = _run(s, d), f"{shared_folder(s)}/run-{uuid.uuid4().hex}"
+    tables = {k: run[k] for k in ("params", "steps", "assigned", "groups", "p")}
+    tables["universe"] = run["params"].select("ticker").withColumn("position", F.row_number().over(board.W.orderBy("ticker")) - 1)
+    head = model.run_row(run, _index(s, d), "", "week", "rho2", 3, 3, TAU).drop("run_id").join(F.broadcast(validate.fingerprint(tables)))
+    runs.write_run(tables, head.withColumn("version", F.lit(validate.VERSION)), path)
+    return runs.read_run(s, path)
+
+
+def _validated(run: dict[str, DataFrame]) -> DataFrame:
+    """The 14 checks of a stored run; its content is hashed again from its tables."""
+    content = validate.fingerprint({k: v for k, v in run.items() if k != "run"})
+    head = run["run"].withColumn("n", F.col("n_tickers")).withColumn("t", F.col("n_sessions")).withColumn("q", F.col("n") / F.col("t"))
+    return validate.validate(head, run["universe"], run["params"], run["steps"], run["assigned"], run["groups"], run["p"], content)
+
+
+@query("run_validation", "SELECT run, name AS \"check\", run = 'as stored' OR name NOT IN ('V02 content', 'V08 params') AS passed FROM (SELECT unnest(['V01 version', 'V02 content', 'V03 id', 'V04 positions', 'V05 dimensions', 'V06 window', 'V07 k', 'V08 params', 'V09 coverage', 'V10 steps', 'V11 gains', 'V12 totals', 'V13 matrix', 'V14 groups']) AS name), (SELECT unnest(['as stored', 'changed']) AS run)")
+def _(s, d):
+    """All 14 checks over a run read back from storage, and over the same with one parameter changed after it was written (Q12)."""
+    run = _stored_run(s, d)
+    first = run["params"].agg(F.min("ticker").alias("ticker"))
+    changed = run["params"].join(F.broadcast(first.withColumn("hit", F.lit(True))), "ticker", "left").withColumn("sigma", F.when(F.col("hit"), -F.col("sigma")).otherwise(F.col("sigma"))).drop("hit")
+    out = _validated(run).withColumn("run", F.lit("as stored")).union(_validated(run | {"params": changed}).withColumn("run", F.lit("changed")))
+    return out.select("run", "check", "passed")
+
+
+@query(
+    "run_field_compare",
+    with_(*MODEL, "size AS (SELECT count(*) AS n, count(*) FILTER (sector IS NULL) AS u, least(3, count(*)) AS k FROM fitted JOIN stocks USING (ticker))")
+    + """SELECT "table", field, CASE "table" WHEN 'p' THEN n * n WHEN 'steps' THEN k WHEN 'groups' THEN k ELSE n END - d - l AS n_equal, d AS n_differs, l AS n_left, 0 AS n_right FROM (
+  SELECT "table", field, n, k, CASE WHEN field = 'beta' THEN u WHEN "table" = 'p' AND field = 'p' THEN n ELSE 0 END AS d, CASE "table" WHEN 'steps' THEN 1 ELSE 0 END AS l
+  FROM size, (SELECT 'params' AS "table", unnest(['*', 't', 'alpha', 'beta', 'sigma', 'r2']) AS field UNION ALL SELECT 'steps', unnest(['*', 'ticker', 'gain', 'f']) UNION ALL SELECT 'assigned', unnest(['*', 'anchor', 'c'])
+    UNION ALL SELECT 'groups', unnest(['*', 'size', 'f', 'mean_c', 'min_c', 'share']) UNION ALL SELECT 'p', unnest(['*', 'p']) UNION ALL SELECT 'universe', unnest(['*', 'position'])))""",
+)
+def _(s, d):
+    """A stored run against one with planted changes, counted by field: betas of tickers without sector, the diagonal in its 18th decimal, a step that is missing."""
+    run = _stored_run(s, d)
+    unknown = derive.stocks(s, d).where("sector is null").select("ticker", F.lit(1.0).alias("u"))
+    beta = (F.col("beta") + F.coalesce("u", F.lit(0.0))).alias("beta")
+    other = run | {
+        "params": run["params"].join(F.broadcast(unknown), "ticker", "left").select(*(beta if c == "beta" else c for c in run["params"].columns)),
+        "p": run["p"].withColumn("p", F.when(F.col("i") == F.col("j"), F.col("p") - F.lit("0.000000000000000001").cast(model.P_TYPE)).otherwise(F.col("p")).cast(model.P_TYPE)),
+        "steps": run["steps"].where("step < 3"),
+    }
+    return runs.by_field(runs.difference(run, other))
+
+
 @query("anchor_columns", with_(*FULL) + "SELECT i, j, round(CAST(p AS DOUBLE), 8) AS p FROM sim18 WHERE j IN (SELECT ticker FROM steps)")
 def _(s, d):
     run = _run(s, d)
@@ -371,7 +419,7 @@ def _(s, d):
     found = s.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
     started = stream.quarantine_into(found, derive.SOURCE, "1996-01-01", "2000-12-31", store.KEYS["bars"], f"{base}/good", f"{base}/bad").option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start()
     started.awaitTermination()
-    return r(s.read.parquet(f"{base}/good/{started.lastProgress['batchId']}").select("ticker", "bar_date", "close", "volume"))
+    return r(merge.read(s, f"{base}/good").select("ticker", "bar_date", "close", "volume"))
 
 
 @query("repeated_events_stream", "SELECT event_id, user_id, round(value, 6) AS value FROM events")

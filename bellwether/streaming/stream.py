@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.clean import normalise, with_reason
+from ..sources.merge import merge
 from ..sources.scratch import shared_folder
-from ..sources.store import upsert
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -45,15 +45,15 @@ def event_bars(stream: DataFrame, key: str = "event_type", span: str = "1 day",
 
 
 def quarantine_into(stream: DataFrame, source: str, start: str, end: str, keys: list[str], good: str, bad: str):  # noqa: ANN201
-    """A query that normalises raw rows, splits them and upserts the good ones, batch by batch."""
-    spark = stream.sparkSession
+    """A query that normalises raw rows, splits them and upserts the good ones, batch by batch.
+
+    ``good`` is a table of ``sources.merge``, by year: a batch writes the years it has rows of, whatever the table's size. A batch that comes again changes nothing.
+    """
 
     def step(batch: DataFrame, n: int) -> None:
         rows = with_reason(normalise(batch, source).where("dropped is null"), keys, start, end)
         new = rows.where("reason is null").drop("reason", "dropped", "position", "fetched_at")
-        # only the first batch has nothing before it; a lost table of a later one is an error
-        old = spark.read.schema(new.schema).parquet(f"{good}/{n - 1}") if n else new.limit(0)
-        upsert(old, new, keys).write.mode("overwrite").parquet(f"{good}/{n}")
+        merge(good, new, keys, F.year("bar_date"), number=n)
         rows.where("reason is not null").write.mode("overwrite").parquet(f"{bad}/{n}")
 
     return stream.writeStream.foreachBatch(step)

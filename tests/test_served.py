@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from bellwether.operators import clean, model
 from bellwether.plans import board, serving, validate
 from bellwether.plans.narrative import RULES, narrative
-from bellwether.sources import scratch, store, stored
+from bellwether.sources import merge, runs, scratch, store, stored
 from bellwether.streaming import stream
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -179,9 +179,9 @@ def test_a_lost_table_of_a_stream_is_an_error(spark, tmp_path):
     one = go(f"{tmp_path}/good")
     one.awaitTermination()
     last = one.lastProgress["batchId"]
-    assert spark.read.parquet(f"{tmp_path}/good/{last}").count() == 3 and last > 0
+    assert merge.read(spark, f"{tmp_path}/good").count() == 3 and last > 0
     raw.withColumn("symbol", F.lit("B")).write.mode("append").parquet(f"{tmp_path}/raw")
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(Exception, match="no version of a table"):
         go(f"{tmp_path}/elsewhere").awaitTermination()
 
 
@@ -209,7 +209,7 @@ def test_unknown_ticker_is_an_error_and_an_empty_one_is_not(spark):
     assert spark.range(1).select(board.in_millions(F.lit(2500.0)).alias("x")).first()["x"] == 2.5
 
 
-@pytest.mark.parametrize("state", ["gone", "broken"])
+@pytest.mark.parametrize("state", ["gone", "broken", "misspelt"])
 def test_market_queries_work_without_the_corpus_package(tmp_path, state):
     for name in ("__spark_entry__.py", "corpus_pipeline.py", "bellwether"):
         (shutil.copytree if (ROOT / name).is_dir() else shutil.copy)(ROOT / name, tmp_path / name)
@@ -219,6 +219,88 @@ def test_market_queries_work_without_the_corpus_package(tmp_path, state):
     else:
         (tmp_path / "bellwether/llm").mkdir()
         (tmp_path / "bellwether/llm/__init__.py").write_text("")
-        (tmp_path / "bellwether/llm/queries.py").write_text("import a_module_that_is_not_there\n")
+        (tmp_path / "bellwether/llm/queries.py").write_text("import a_module_that_is_not_there\n" if state == "broken" else "def (:\n")
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()) > 90, [q for q in e.queries() if q.startswith('op') or q == 'pipeline'], set(e.oracle_sql()) <= set(e.queries()))"], cwd=tmp_path, capture_output=True, text=True, check=True)
     assert said.stdout.split("\n")[-2] == "True [] True"
+
+
+def test_stored_tables_follow_their_inputs(spark, tmp_path):
+    made = []
+
+    def build():
+        made.append(1)
+        return spark.range(len(made))
+
+    ask = lambda: stored.stored(spark, str(tmp_path), "t", build).count()
+    spark.range(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [ask(), ask()] == [1, 1]
+    spark.range(4).write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+    assert [ask(), ask()] == [2, 2] and len(made) == 2
+    stored.forget(spark, str(tmp_path))
+
+
+def days(spark, rows):
+    return spark.createDataFrame([(t, DAY.replace(year=y) + datetime.timedelta(k), v) for t, y, k, v in rows], "ticker string, bar_date date, close double")
+
+
+def folders(base):
+    return sorted(p.name + "/" + q.name for p in (base / "data").iterdir() for q in p.iterdir() if q.is_dir())
+
+
+def test_a_batch_rewrites_its_partitions_only(spark, tmp_path):
+    base = tmp_path / "t"
+    go = lambda rows, **more: merge.merge(str(base), days(spark, rows), ["ticker", "bar_date"], F.year("bar_date"), **more)
+    read = lambda **more: sorted((r["ticker"], r["bar_date"].year, r["close"]) for r in merge.read(spark, str(base), **more).collect())
+    with pytest.raises(FileNotFoundError):
+        read()
+    assert go([("A", 2018, 1, 1.0), ("A", 2019, 1, 2.0), ("B", 2019, 1, 3.0), ("A", 2020, 1, 4.0)]) == 0
+    before = merge.manifest(spark, str(base))["parts"]
+    assert go([("A", 2019, 1, 5.0), ("C", 2021, 1, 6.0)]) == 1
+    after = merge.manifest(spark, str(base))["parts"]
+    assert {k for k in after if after[k] != before.get(k)} == {"2019", "2021"}
+    assert read() == [("A", 2018, 1.0), ("A", 2019, 5.0), ("A", 2020, 4.0), ("B", 2019, 3.0), ("C", 2021, 6.0)]
+    assert read(version=0)[1] == ("A", 2019, 2.0) and read(parts={"2021"}) == [("C", 2021, 6.0)]
+    assert go([]) == 1
+    merge.vacuum(spark, str(base))
+    assert len(folders(base)) == 4 and len(read()) == 5 and merge.versions(spark, str(base)) == [1]
+
+
+def test_a_batch_that_fails_or_comes_again_changes_nothing(spark, tmp_path):
+    base = str(tmp_path / "t")
+    go = lambda rows, n: merge.merge(base, days(spark, rows), ["ticker", "bar_date"], F.year("bar_date"), number=n)
+    with pytest.raises(FileNotFoundError):
+        go([("A", 2018, 1, 1.0)], 3)
+    assert go([("A", 2018, 1, 1.0)], 0) == 0 and go([("A", 2018, 1, 9.0)], 0) == 0 and go([], 1) == 1
+    bad = days(spark, [("A", 2018, 1, 2.0)]).withColumn("close", F.raise_error(F.lit("broken on the way")).cast("double"))
+    with pytest.raises(Exception, match="broken on the way"):
+        merge.merge(base, bad, ["ticker", "bar_date"], F.year("bar_date"), number=2)
+    assert [r["close"] for r in merge.read(spark, base).collect()] == [1.0] and merge.versions(spark, base) == [0, 1]
+    assert go([("A", 2018, 1, 2.0)], 2) == 2 and merge.read(spark, base).first()["close"] == 2.0
+
+
+def test_runs_are_compared_by_field(spark):
+    a = {"params": spark.createDataFrame([("A", 1.0, [1.0]), ("B", 2.0, None), ("C", None, None)], "ticker string, beta double, v array<double>"), "steps": spark.createDataFrame([(1, "A")], "step int, ticker string")}
+    b = {"params": spark.createDataFrame([("A", 1.0 + 1e-12, [1.0]), ("B", 2.5, [2.0]), ("D", 1.0, None)], "ticker string, beta double, v array<double>"), "steps": spark.createDataFrame([(1, "A")], "step long, ticker string").select(F.col("step").cast("int").alias("step"), F.col("ticker").cast("binary").alias("ticker"))}
+    told = lambda tol: {(r["table"], r["field"]): tuple(r)[2:] for r in runs.by_field(runs.difference(a, b, tolerance=tol)).collect()}
+    assert told(0.0) == {("params", "*"): (2, 0, 1, 1), ("params", "beta"): (0, 2, 1, 1), ("params", "v"): (1, 1, 1, 1), ("steps", "*"): (1, 0, 0, 0), ("steps", "ticker"): (0, 1, 0, 0)}
+    assert told(1e-9)["params", "beta"] == (1, 1, 1, 1)
+    one = [r for r in runs.difference(a, b).collect() if r["key"] == '{"ticker":"B"}' and r["field"] == "beta"]
+    assert [(r["left"], r["right"], r["verdict"]) for r in one] == [("2.0", "2.5", "differs")]
+
+
+@pytest.mark.parametrize("n", [2, 5, 40, 200])
+def test_trailing_moments(spark, n):
+    from bellwether.functions.moments import trailing_moments
+
+    rng = np.random.default_rng(n)
+    x, y = rng.normal(size=(2, 130)) + 1e6
+    x[:60] = 7.0  # constant at first
+    rows = spark.createDataFrame([(k, DAY + datetime.timedelta(t), float(x[t]), float(y[t])) for t in range(130) for k in ("A", "B")], "ticker string, bar_date date, x double, y double")
+    got = trailing_moments(rows, ["ticker"], "x", "y", n).where("ticker = 'B'").orderBy("bar_date").collect()
+    for t, r in enumerate(got):
+        if t < n - 1:
+            assert r["m"] is None
+            continue
+        u, v = x[t - n + 1 : t + 1], y[t - n + 1 : t + 1]
+        assert r["m"]["k"] == n and r["m"]["mx"] == pytest.approx(u.mean())
+        assert [r["m"]["vx"], r["m"]["vy"], r["m"]["c"]] == pytest.approx([u.var(), v.var(), np.cov(u, v, bias=True)[0, 1]], rel=1e-6, abs=1e-9)
