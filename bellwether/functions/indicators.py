@@ -189,6 +189,30 @@ def long_rsi(bars: DataFrame, n: int = 14, block: int = 4096) -> DataFrame:
     return gain.join(loss, [*KEY, "bar_date"]).select(*KEY, "bar_date", value.alias("rsi"))
 
 
+def long_macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, block: int = 4096) -> DataFrame:
+    """``macd, macd_signal, macd_hist`` of long series: the signal is a scan over the difference of two scans."""
+    closes = bars.select(*KEY, "bar_date", "close")
+    one, two = (long_ema(closes, n, block).withColumnRenamed("ema", name) for n, name in ((fast, "fast"), (slow, "slow")))
+    both = one.join(two, [*KEY, "bar_date"]).select(*KEY, "bar_date", (F.col("fast") - F.col("slow")).alias("macd"))
+    line = long_ema(both, signal, block, "macd").withColumnRenamed("ema", "macd_signal")
+    return both.join(line, [*KEY, "bar_date"], "left").withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+
+
+def long_obv(bars: DataFrame, block: int = 4096) -> DataFrame:
+    """On-balance volume of long series: sums within blocks of rows, and what the blocks before add up to; null from the first unknown step on."""
+    before = F.lag("close").over(by())
+    step = F.signum(F.col("close") - before) * F.col("volume")
+    rows = bars.select(*KEY, "bar_date", before.isNotNull().alias("begun"), step.alias("step"), F.floor((F.row_number().over(by()) - 1) / block).alias("block"))
+    rows = rows.withColumn("unknown", F.when(F.col("begun") & F.col("step").isNull(), 1).otherwise(0))
+    inside = W.partitionBy(*KEY, "block").orderBy("bar_date").rowsBetween(W.unboundedPreceding, 0)
+    earlier = W.partitionBy(*KEY).orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    totals = rows.groupBy(*KEY, "block").agg(F.sum("step").alias("total"), F.sum("unknown").alias("lost"))
+    carried = totals.select(*KEY, "block", F.coalesce(F.sum("total").over(earlier), F.lit(0.0)).alias("carry"), F.coalesce(F.sum("lost").over(earlier), F.lit(0)).alias("lost"))
+    at = rows.withColumns({"part": F.coalesce(F.sum("step").over(inside), F.lit(0.0)), "here": F.sum("unknown").over(inside)}).join(carried, [*KEY, "block"])
+    known = F.col("begun") & (F.col("here") + F.col("lost") == 0)
+    return at.select(*KEY, "bar_date", F.when(known, F.col("carry") + F.col("part")).alias("obv"))
+
+
 #: The output columns, in their fixed order.
 COLUMNS = (
     "sma_20", "sma_50", "sma_200", "ema_12", "ema_26", "macd", "macd_signal", "macd_hist", "rsi_14", "stoch_k_14", "stoch_d_14", "atr_14", "bb_mid_20", "bb_upper_20", "bb_lower_20", "bb_width_20",

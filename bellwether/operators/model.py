@@ -6,13 +6,15 @@ up the same in any order and ties go to the smaller ticker.
 
 from __future__ import annotations
 
+from decimal import Decimal, localcontext
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import discard, materialize
 from . import gram
 from .clean import usable
 from .cover import exact_cover  # noqa: F401
@@ -186,27 +188,46 @@ def coverage(p: DataFrame, chosen: DataFrame) -> DataFrame:
     return best.agg(F.coalesce(F.sum(F.col("c").cast("decimal(38,18)")), F.lit(0).cast("decimal(38,18)")).alias("f"))
 
 
+LAZY = 16  # candidates that are looked at again at once
+
+
 def greedy(p: DataFrame, k: int) -> DataFrame:
     """``(step, ticker, gain, f)`` of k rounds: the largest gain, the smaller ticker on ties.
 
-    Each round is one aggregate over p with the small cover vector joined in; one row comes back.
+    Lazy: what a ticker added in an earlier round it adds at most now, so only those whose old gain could still win are computed again, the
+    most promising first, from their own columns of p (written once in the order of columns, so that a filter on them skips the rest). One number by ticker, the gains and the
+    coverage so far, is kept between rounds; the coverage goes to the tasks as a broadcast of as many rows.
     """
     spark = p.sparkSession
-    p = materialize(p).cache()
-    picks: list[tuple[int, str, object, object]] = []
-    cover = p.select("i").distinct().select("i", F.lit(0).cast(P_TYPE).alias("c"))
-    total = 0
-    for step in range(1, k + 1):
-        left = p.where(~F.col("j").isin([x[1] for x in picks])) if picks else p
-        gains = left.join(cover, "i").groupBy("j").agg(F.sum(F.greatest(F.lit(0).cast("decimal(38,18)"), (F.col("p") - F.col("c")).cast("decimal(38,18)"))).alias("gain"))
-        best = gains.orderBy(F.desc("gain"), "j").first()
-        if best is None:
-            break
-        total += best["gain"]
-        picks.append((step, best["j"], best["gain"], total))
-        mine = p.where(F.col("j") == best["j"]).select("i", F.col("p").alias("q"))
-        cover = materialize(cover.join(mine, "i").select("i", F.greatest("c", "q").alias("c")))
-    p.unpersist()
+    p = materialize(p.select("i", "j", "p").repartitionByRange("j").sortWithinPartitions("j"))
+    zero = F.lit(0).cast("decimal(38,18)")
+    bounds = {r["j"]: r["gain"] for r in p.groupBy("j").agg(F.sum(F.greatest(zero, F.col("p").cast("decimal(38,18)"))).alias("gain")).collect()}
+    cover: dict[str, Decimal] = {}
+    picks: list[tuple[int, str, Decimal, Decimal]] = []
+    total = Decimal(0)
+    with localcontext() as exact:
+        exact.prec = 60
+        for step in range(1, min(k, len(bounds)) + 1):
+            # the gains of the first round are exact
+            order = sorted(bounds, key=lambda j: (-bounds[j], j))
+            best = order[0] if not cover else None
+            seen: set[str] = set()
+            while cover:
+                ahead = [j for j in order if j not in seen and (best is None or (-bounds[j], j) < (-bounds[best], best))][:LAZY]
+                if not ahead:
+                    break
+                held = F.broadcast(spark.createDataFrame(list(cover.items()), "i string, c decimal(20,18)"))
+                rows = p.where(F.col("j").isin(ahead)).join(held, "i").groupBy("j").agg(F.sum(F.greatest(zero, (F.col("p") - F.col("c")).cast("decimal(38,18)"))).alias("gain"))
+                bounds |= {r["j"]: r["gain"] for r in rows.collect()}
+                seen |= set(ahead)
+                best = min(seen, key=lambda j: (-bounds[j], j))
+            gain = bounds.pop(best)
+            total += gain
+            picks.append((step, best, gain, total))
+            if step < k:
+                column = {r["i"]: r["p"] for r in p.where(F.col("j") == best).select("i", "p").collect()}
+                cover = {i: max(x, cover.get(i, Decimal(0)), Decimal(0)) for i, x in column.items()}
+    discard(p)
     return spark.createDataFrame(picks, "step int, ticker string, gain decimal(38,18), f decimal(38,18)")
 
 

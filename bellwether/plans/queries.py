@@ -700,6 +700,16 @@ def _(s, d):
     return r(ind.long_rsi(_bars(s, d), block=50))
 
 
+@query("long_series_macd", with_(LINE, BARS, WINDOWED, RECURSE) + "SELECT ticker, source, bar_date, round(macd, 6) AS macd, round(macd_signal, 6) AS macd_signal, round(macd_hist, 6) AS macd_hist FROM ind WHERE macd IS NOT NULL")
+def _(s, d):
+    return r(ind.long_macd(_bars(s, d), block=50))
+
+
+@query("long_series_obv", with_(LINE, BARS, WINDOWED, RECURSE) + "SELECT ticker, source, bar_date, round(obv, 4) AS obv FROM ind")
+def _(s, d):
+    return r(ind.long_obv(_bars(s, d), block=50), 4)
+
+
 # ---- board -------------------------------------------------------------------------------------
 
 NEWEST = "newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY bar_date DESC) AS nn FROM ind) WHERE nn = 1), day AS (SELECT max(bar_date) AS session_date FROM bars)"

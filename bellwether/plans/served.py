@@ -458,10 +458,42 @@ def _(s, d):
     b.where("bar_date < date'1998-01-01'").coalesce(1).write.parquet(f"{folder}/part=1")
     b.where("bar_date >= date'1998-01-01'").coalesce(1).write.parquet(f"{folder}/part=2")
     found = s.readStream.schema(b.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
+    return _with_state(s, lambda: r(stream.run_once(stream.streaming_ema(found, 12)).where("ema is not null")))
+
+
+def _with_state(s: SparkSession, job):  # noqa: ANN001, ANN202
+    """Run a job whose kind of state asks for a store of its own; the session's setting comes back."""
     key = "spark.sql.streaming.stateStore.providerClass"
     before = s.conf.get(key)
-    s.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # this kind of state asks for it
+    s.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        return r(stream.run_once(stream.streaming_ema(found, 12)).where("ema is not null"))
+        return job()
     finally:
         s.conf.set(key, before)
+
+
+@query("indicator_stream", with_(LINE, BARS, WINDOWED, RECURSE) + "SELECT ticker, bar_date, " + ", ".join(f"round({c}, {4 if c == 'obv' else 6}) AS {c}" for c in ("ema_12", "ema_26", "macd", "macd_signal", "rsi_14", "atr_14", "obv")) + " FROM ind")
+def _(s, d):
+    """All recursive indicators with their state kept by ticker: a batch a year, in order."""
+    b = _bars(s, d).select("ticker", "bar_date", "high", "low", "close", "volume")
+    folder = f"{shared_folder(s)}/running-{uuid.uuid4().hex}"
+    for year in _years(_index(s, d)):
+        b.where(F.year("bar_date") == year).coalesce(1).write.parquet(f"{folder}/part={year}")
+    found = s.readStream.schema(b.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
+    out = _with_state(s, lambda: stream.run_once(stream.streaming_indicators(found)))
+    return out.select("ticker", "bar_date", *(F.round(c, 4 if c == "obv" else 6).alias(c) for c in out.columns[2:]))
+
+
+@query(
+    "event_bars_late",
+    """SELECT event_type, CAST(ts AS DATE) AS bar_date, round(first(value ORDER BY ts, event_id), 4) AS open, round(max(value), 4) AS high, round(min(value), 4) AS low,
+  round(last(value ORDER BY ts, event_id), 4) AS close, round(sum(value), 4) AS volume, count(*) AS n FROM events GROUP BY 1, 2""",
+)
+def _(s, d):
+    """Events in no order, weeks late: every one counts, and nothing is held between batches."""
+    e = derive.table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    found = s.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(_folder(s, e.repartition(4, "event_id"), 4))
+    base = f"{shared_folder(s)}/bars-{uuid.uuid4().hex}"
+    stream.event_bars_into(found, base).option("checkpointLocation", f"{base}-log").trigger(availableNow=True).start().awaitTermination()
+    bars = merge.read(s, base)
+    return bars.select("event_type", F.to_date("bar_date").alias("bar_date"), *(F.round(c, 4).alias(c) for c in ("open", "high", "low", "close", "volume")), "n")

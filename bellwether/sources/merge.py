@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,8 +67,8 @@ def read(spark: SparkSession, base: str, version: int | None = None, parts: set[
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def merge(base: str, batch: DataFrame, keys: list[str], part: Column, keep: tuple[str, ...] = (), number: int | None = None) -> int:
-    """Upsert ``batch`` into the table in ``base`` and give the version after it.
+def merge(base: str, batch: DataFrame, keys: list[str], part: Column, keep: tuple[str, ...] = (), number: int | None = None, how: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> int:
+    """Upsert ``batch`` into the table in ``base``, or join them by ``how(old, batch)``, and give the version after it.
 
     ``part`` is the partition of a row, a function of its keys (their years, say). Only partitions with rows in ``batch`` are read and written; one line by partition of the batch
     comes to the driver. ``number`` is that of a stream's batch: one that is in already changes nothing, and only batch 0 may come without a table before it.
@@ -87,7 +88,7 @@ def merge(base: str, batch: DataFrame, keys: list[str], part: Column, keep: tupl
     if touched:
         old = read(spark, base, parts=touched) if before else batch.limit(0)
         folder = f"data/{uuid.uuid4().hex}"
-        upsert(old, batch, keys, keep).withColumn(PART, part.cast("string")).write.partitionBy(PART).parquet(f"{base}/{folder}")
+        (upsert(old, batch, keys, keep) if how is None else how(old, batch)).withColumn(PART, part.cast("string")).write.partitionBy(PART).parquet(f"{base}/{folder}")
         parts |= {name: f"{folder}/{PART}={name}" for name in touched}
     elif before and number is None:
         return before["version"]

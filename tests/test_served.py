@@ -304,3 +304,89 @@ def test_trailing_moments(spark, n):
         u, v = x[t - n + 1 : t + 1], y[t - n + 1 : t + 1]
         assert r["m"]["k"] == n and r["m"]["mx"] == pytest.approx(u.mean())
         assert [r["m"]["vx"], r["m"]["vy"], r["m"]["c"]] == pytest.approx([u.var(), v.var(), np.cov(u, v, bias=True)[0, 1]], rel=1e-6, abs=1e-9)
+
+
+def test_running_indicators_over_batches_of_any_size(spark):
+    from bellwether.functions import indicators as ind
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    import pandas as pd
+
+    rng = np.random.default_rng(6)
+    n = 90
+    close = 50 + np.cumsum(rng.normal(size=n)).round(3)
+    close[20:24] = close[20]
+    table = pd.DataFrame({"bar_date": [DAY + datetime.timedelta(k) for k in range(n)], "high": close + rng.uniform(0, 2, n), "low": close - rng.uniform(0, 2, n), "close": close, "volume": rng.integers(1, 9, n) * 100.0})
+    table.loc[70, "volume"] = np.nan
+    running, got = stream.Running(), []
+    running.state = State()
+    for part in (table[0:1], table[1:10], table[10:40].sample(frac=1, random_state=1), table[40:41], table[41:]):
+        for out in running.handleInputRows(("A",), iter([part.iloc[: len(part) // 2], part.iloc[len(part) // 2 :]]), None):
+            got += [tuple(None if x is None or (isinstance(x, float) and np.isnan(x)) else x for x in row) for row in out.itertuples(index=False)]
+    bars = spark.createDataFrame([("A", "s", r.bar_date, r.close, float(r.high), float(r.low), r.close, None if np.isnan(r.volume) else float(r.volume)) for r in table.itertuples()], "ticker string, source string, bar_date date, open double, high double, low double, close double, volume double")
+    names = ("ema_12", "ema_26", "macd", "macd_signal", "rsi_14", "atr_14", "obv")
+    want = ind.indicators(bars).select("ticker", "bar_date", *names).orderBy("bar_date").collect()
+    for mine, theirs in zip(got, want, strict=True):
+        assert mine[:2] == tuple(theirs)[:2]
+        for x, y in zip(mine[2:], tuple(theirs)[2:], strict=True):
+            assert (x is None) == (y is None) and (x is None or x == pytest.approx(y))
+    assert got[69][-1] is not None and got[-1][-1] is None
+    with pytest.raises(ValueError, match="came again"):
+        list(running.handleInputRows(("A",), iter([table.iloc[10:11]]), None))
+    for block in (7, 1000):
+        obv = {r["bar_date"]: r["obv"] for r in ind.long_obv(bars, block).collect()}
+        macd = {r["bar_date"]: (r["macd"], r["macd_signal"]) for r in ind.long_macd(bars, block=block).collect()}
+        for r in want:
+            assert obv[r["bar_date"]] == (None if r["obv"] is None else pytest.approx(r["obv"]))
+            assert (r["bar_date"] in macd) == (r["macd"] is not None)
+            if r["macd_signal"] is not None:
+                assert macd[r["bar_date"]] == pytest.approx((r["macd"], r["macd_signal"]))
+
+
+def test_late_events_count_and_batches_come_again(spark, tmp_path):
+    t0 = datetime.datetime(2020, 1, 1)
+    events = [(k, t0 + datetime.timedelta(hours=(k * 7919) % 2000), "a" if k % 3 else "b", float(k % 17)) for k in range(300)]
+    kind = "event_id long, ts timestamp, event_type string, value double"
+    spark.createDataFrame(events, kind).repartition(5, "event_id").write.parquet(f"{tmp_path}/in")
+    go = lambda log: stream.event_bars_into(spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), f"{tmp_path}/bars").option("checkpointLocation", f"{tmp_path}/{log}").trigger(availableNow=True).start().awaitTermination()
+    go("log")
+    want = {}
+    for k, ts, kind_, v in sorted(events, key=lambda e: (e[1], e[0])):
+        want.setdefault((kind_, ts.date()), []).append(v)
+    want = {key: (v[0], max(v), min(v), v[-1], sum(v), len(v)) for key, v in want.items()}
+    read = lambda: {(r["event_type"], r["bar_date"].date()): tuple(r[c] for c in ("open", "high", "low", "close", "volume", "n")) for r in merge.read(spark, f"{tmp_path}/bars").collect()}
+    assert read() == want
+    go("another log")  # the same batches again, as after a lost checkpoint
+    assert read() == want
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_lazy_greedy_takes_the_same_steps(spark, seed):
+    from decimal import Decimal
+
+    rng = np.random.default_rng(seed)
+    n = 45
+    p = rng.uniform(size=(n, n)).round(1 if seed == 1 else 9)  # many ties at first
+    np.fill_diagonal(p, 0 if seed == 3 else 1)
+    cells = {(i, j): Decimal(repr(float(p[i, j]))) for i in range(n) for j in range(n)}
+    table = spark.createDataFrame([(f"T{i:02d}", f"T{j:02d}", v) for (i, j), v in cells.items()], "i string, j string, p decimal(20,18)")
+    cover, left, want, total = [Decimal(0)] * n, set(range(n)), [], 0
+    for step in range(1, 8):
+        gains = {j: sum(max(Decimal(0), cells[i, j] - cover[i]) for i in range(n)) for j in left}
+        best = min(left, key=lambda j: (-gains[j], j))
+        total += gains[best]
+        want.append((step, f"T{best:02d}", gains[best], total))
+        left.discard(best)
+        cover = [max(cover[i], cells[i, best]) for i in range(n)]
+    assert [tuple(r) for r in model.greedy(table, 7).orderBy("step").collect()] == want
