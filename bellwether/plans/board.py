@@ -107,9 +107,12 @@ def in_billions(thousands: Column) -> Column:
     return thousands / 1_000_000
 
 
-def ticker_history(bars: DataFrame, ind: DataFrame, ticker: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Bars with indicators of one ticker, ascending: the last 252, or up to 2000 of a range."""
-    if not bars.where(F.col("ticker") == ticker).limit(1).count():
+def ticker_history(bars: DataFrame, ind: DataFrame, ticker: str, start: str | None = None, end: str | None = None, stocks: DataFrame | None = None) -> DataFrame:
+    """Bars with indicators of one ticker, ascending: the last 252, or up to 2000 of a range.
+
+    A ticker that is not registered in ``stocks`` (without it: has no bars) is a ``KeyError``; a registered one without bars has no rows (B10).
+    """
+    if not (bars if stocks is None else stocks).where(F.col("ticker") == ticker).limit(1).count():
         raise KeyError(ticker)
     from ..sources.store import between
 

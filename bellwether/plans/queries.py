@@ -542,27 +542,73 @@ def _years(index: DataFrame) -> list[int]:
     return sorted(x["year"] for x in index.select(F.year("bar_date").alias("year")).distinct().collect())
 
 
-@query("anchor_frequency_all")
+#: The model of each calendar year by itself, whichever years there are: everything is kept apart by ``y``.
+YEARLY = """yrets AS (
+  SELECT ticker, year(bar_date) AS y, bar_date, ln(close / prev) AS x FROM (SELECT *, lag(close) OVER (PARTITION BY ticker, year(bar_date) ORDER BY bar_date) AS prev FROM bars WHERE close > 0) WHERE prev IS NOT NULL
+), yidx AS (
+  SELECT year(bar_date) AS y, bar_date, ln(close / prev) AS f FROM (SELECT *, lag(close) OVER (PARTITION BY year(bar_date) ORDER BY bar_date) AS prev FROM idx WHERE close > 0) WHERE prev IS NOT NULL
+), ymatched AS (
+  SELECT ticker, y, bar_date, x, f FROM yrets JOIN yidx USING (y, bar_date)
+), ypanel AS (
+  SELECT ticker, y, bar_date, x, f FROM ymatched JOIN (SELECT y, ticker, count(DISTINCT bar_date) AS n FROM ymatched GROUP BY 1, 2) USING (y, ticker) JOIN (SELECT y, count(DISTINCT bar_date) AS need FROM yidx GROUP BY 1) USING (y) WHERE n = need
+), yfit AS (
+  SELECT y, ticker, avg(x) - covar_pop(x, f) / var_pop(f) * avg(f) AS alpha, covar_pop(x, f) / var_pop(f) AS beta FROM ypanel GROUP BY 1, 2
+), ycentred AS (
+  SELECT y, ticker, bar_date, (e - avg(e) OVER w) / sqrt(var_pop(e) OVER w * count(*) OVER w) AS z FROM (SELECT y, ticker, bar_date, x - alpha - beta * f AS e FROM ypanel JOIN yfit USING (y, ticker)) WINDOW w AS (PARTITION BY y, ticker)
+), ysim AS (
+  SELECT a.y, a.ticker AS i, b.ticker AS j, CAST(CASE WHEN a.ticker = b.ticker THEN 1.0 ELSE least(1, pow(sum(a.z * b.z), 2)) END AS DECIMAL(20,18)) AS p FROM ycentred a JOIN ycentred b USING (y, bar_date) GROUP BY 1, 2, 3
+), yg1 AS (
+  SELECT y, j FROM (SELECT y, j, row_number() OVER (PARTITION BY y ORDER BY sum(p) DESC, j) AS n FROM ysim GROUP BY 1, 2) WHERE n = 1
+), yc1 AS (
+  SELECT y, i, p AS c FROM ysim JOIN yg1 USING (y, j)
+), yg2 AS (
+  SELECT y, j FROM (SELECT y, s.j, row_number() OVER (PARTITION BY y ORDER BY sum(greatest(0, p - c)) DESC, s.j) AS n FROM ysim s JOIN yc1 USING (y, i) JOIN yg1 g USING (y) WHERE s.j <> g.j GROUP BY 1, 2) WHERE n = 1
+), ysteps AS (
+  SELECT y, j AS ticker FROM yg1 UNION ALL SELECT y, j FROM yg2
+)"""
+
+
+@query(
+    "anchor_frequency_all",
+    with_(LINE, BARS, YEARLY)
+    + "SELECT ticker, count(*) AS n_selected, string_agg(CAST(y AS VARCHAR), ',' ORDER BY y) AS years, (SELECT count(DISTINCT y) FROM ysteps) AS n_years, round(count(*) / (SELECT count(DISTINCT y) FROM ysteps), 6) AS share FROM ysteps GROUP BY 1",
+)
 def _(s, d):
-    """``anchor_frequency`` over every year of the data; no SQL, which lists its years."""
+    """``anchor_frequency`` over every year of the data."""
     b, i, st = _bars(s, d), _index(s, d), derive.stocks(s, d)
     return r(_anchor_frequency(b, i, st, _years(i)).withColumn("years", F.array_join(F.col("years").cast("array<string>"), ",")))
 
 
-@query("cross_year_all")
+@query(
+    "cross_year_all",
+    with_(
+        LINE,
+        BARS,
+        YEARLY,
+        """pairs AS (SELECT from_year, to_year FROM (SELECT y AS from_year, lead(y) OVER (ORDER BY y) AS to_year FROM (SELECT DISTINCT year(bar_date) AS y FROM idx)) WHERE to_year IS NOT NULL
+), held AS (
+  SELECT from_year, to_year, chosen, i, CAST(max(p) AS DOUBLE) AS c FROM pairs, (SELECT unnest(['stale', 'direct']) AS chosen)
+    JOIN ysteps a ON a.y = CASE chosen WHEN 'stale' THEN from_year ELSE to_year END JOIN ysim s ON s.y = to_year AND s.j = a.ticker GROUP BY 1, 2, 3, 4
+), means AS (
+  SELECT from_year, to_year, coalesce(sum(c) FILTER (chosen = 'stale'), 0) / any_value(n) AS stale, coalesce(sum(c) FILTER (chosen = 'direct'), 0) / any_value(n) AS direct
+  FROM held JOIN (SELECT y, count(DISTINCT i) AS n FROM ysim GROUP BY 1) k ON k.y = to_year GROUP BY 1, 2
+)""",
+    )
+    + "SELECT CAST(from_year AS INT) AS from_year, CAST(to_year AS INT) AS to_year, round(stale, 6) AS stale, round(direct, 6) AS direct, round(stale / direct, 6) AS ratio FROM means",
+)
 def _(s, d):
-    """``cross_year`` over every pair of consecutive years of the data; no SQL, which lists its years."""
+    """``cross_year`` over every pair of consecutive years of the data."""
     b, i, st = _bars(s, d), _index(s, d), derive.stocks(s, d)
     return r(_cross_years(b, i, st, _years(i)))
 
 
-def _measure_sql() -> str:
+def _measure_sql(unit: str) -> str:
     v = "SELECT x.i, x.j, CAST(CASE WHEN x.i = x.j THEN 1 ELSE least(1, greatest(0, x.g / sqrt(a.g * b.g))) END AS DECIMAL(20,18)) AS p FROM gram x JOIN gram a ON a.i = x.i AND a.j = x.i JOIN gram b ON b.i = x.j AND b.j = x.j"
     u = "SELECT avg(x.g / sqrt(a.g * b.g)) AS mean_u FROM gram x JOIN gram a ON a.i = x.i AND a.j = x.i JOIN gram b ON b.i = x.j AND b.j = x.j WHERE x.i < x.j"
     cover = "(SELECT i, max(p) AS c FROM {sim} WHERE j IN (SELECT ticker FROM {steps}) GROUP BY i)"
     rank = "rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2"
     return (
-        f"WITH sa AS MATERIALIZED ({with_(*MODEL, PAIRS, unit='quarter')} SELECT i, j, CAST(p AS DECIMAL(20,18)) AS p FROM sim), sb AS MATERIALIZED ({with_(*MODEL, DCOR, unit='quarter')} {v}), su AS ({with_(*MODEL, DCOR_U, unit='quarter')} {u}), "
+        f"WITH sa AS MATERIALIZED ({with_(*MODEL, PAIRS, unit=unit)} SELECT i, j, CAST(p AS DECIMAL(20,18)) AS p FROM sim), sb AS MATERIALIZED ({with_(*MODEL, DCOR, unit=unit)} {v}), su AS ({with_(*MODEL, DCOR_U, unit=unit)} {u}), "
         f"ta AS MATERIALIZED {_steps_sql('sa')}, tb AS MATERIALIZED {_steps_sql('sb')}, "
         f"rk AS (SELECT {rank.format(c='x.c')} AS ra, {rank.format(c='y.c')} AS rb FROM {cover.format(sim='sa', steps='ta')} x JOIN {cover.format(sim='sb', steps='tb')} y USING (i)) "
         "SELECT round((SELECT count(*) FROM ta JOIN tb USING (ticker)) / (SELECT count(*) FROM (SELECT ticker FROM ta UNION SELECT ticker FROM tb)), 6) AS jaccard, "
@@ -571,13 +617,20 @@ def _measure_sql() -> str:
     )
 
 
-@query("measure_comparison", _measure_sql())
+@query("measure_comparison", _measure_sql("quarter"))
 def _(s, d):
     panel = _panel(s, d, "quarter")[0]
     e = model.residuals(panel, model.fit(panel))
     return r(model.compare_measures(model.rho2(e), model.dcor2(e, block=8), model.dcor2(e, unbiased=True, block=8), 3))
 
 
+@query("measure_comparison_weekly", _measure_sql("week"))
+def _(s, d):
+    """Over the sessions that the model's other queries take."""
+    e = _resid(s, d)
+    return r(model.compare_measures(model.rho2(e), model.dcor2(e), model.dcor2(e, unbiased=True), 3))
+
+
 @query(
     "zero_diagonal",
     with_(*MODEL, PAIRS, "sz AS (SELECT i, j, CASE WHEN i = j THEN 0 ELSE p END AS p FROM sim)")

@@ -12,7 +12,7 @@ from ..sources import derive, merge, runs, store
 from ..sources.scratch import materialize, shared_folder
 from ..streaming import stream
 from . import board, serving, validate
-from .queries import _MEANS, BARS, BOARD, FAULTS, FIT, FULL, GREEDY, LINE, MODEL, PAIRS, PANEL, RECURSE, RETS, STOCKS, WINDOWED, _bars, _base, _index, _resid, _run, _sim_sql, _steps_sql, _years, query, r, with_
+from .queries import _MEANS, BARS, BOARD, FAULTS, FIT, FULL, GREEDY, LINE, MODEL, PAIRS, PANEL, RECURSE, RETS, STOCKS, WINDOWED, _bars, _base, _ind, _index, _resid, _run, _sim_sql, _steps_sql, _years, query, r, with_
 
 TAU = 0.1
 
@@ -497,3 +497,48 @@ def _(s, d):
     stream.event_bars_into(found, base).option("checkpointLocation", f"{base}-log").trigger(availableNow=True).start().awaitTermination()
     bars = merge.read(s, base)
     return bars.select("event_type", F.to_date("bar_date").alias("bar_date"), *(F.round(c, 4).alias(c) for c in ("open", "high", "low", "close", "volume")), "n")
+
+
+# ---- files, ranges ------------------------------------------------------------------------------
+
+
+@query("sectors_round_trip", with_(STOCKS) + "SELECT ticker, sector, industry, CASE WHEN sector IS NULL THEN 'missing' ELSE 'industry' END AS label_source FROM stocks")
+def _(s, d):
+    """The dimension written to its file and read again."""
+    path = f"{shared_folder(s)}/sectors-{uuid.uuid4().hex}"
+    st = derive.stocks(s, d)
+    label = F.when(F.col("sector").isNull(), "missing").otherwise("industry").alias("label_source")
+    store.write_sectors(st.select("ticker", "sector", "industry", label), path)
+    return store.scan_sectors(s, path)
+
+
+@query("universe_file", with_(STOCKS) + r"SELECT 'BRAND' || regexp_extract(ticker, '(\d+)', 1) AS ticker FROM stocks WHERE CAST(regexp_extract(ticker, '(\d+)', 1) AS INT) % 2 = 1")
+def _(s, d):
+    """A universe read from its file: comments, lower case, repeated lines."""
+    n = F.regexp_extract("ticker", r"(\d+)", 1)
+    line = F.when(n.cast("int") % 2 == 1, F.concat(F.lit(" brand"), n, F.lit("  # note\nBRAND"), n)).otherwise(F.concat(F.lit("# brand"), n))
+    path = f"{shared_folder(s)}/universe-{uuid.uuid4().hex}"
+    derive.stocks(s, d).select(line.alias("value")).coalesce(1).write.text(path)
+    return store.universe(s, path=path)
+
+
+_RANGES = (("1996-03-01", "1998-12-31"), ("1999-01-01", None), (None, "1996-06-30"), (None, None), ("2030-01-01", None))
+
+
+@query(
+    "ticker_history_ranges",
+    with_(LINE, BARS)
+    + "SELECT asked, count(*) AS n, min(bar_date) AS first_day, max(bar_date) AS last_day, round(sum(close), 4) AS total FROM ("
+    + " UNION ALL ".join(
+        f"(SELECT {k} AS asked, bar_date, close FROM bars WHERE ticker = 'Brand#11'{'' if a is None else f" AND bar_date >= DATE '{a}'"}{'' if b is None else f" AND bar_date <= DATE '{b}'"} ORDER BY bar_date DESC LIMIT {252 if a is b is None else 2000})"
+        for k, (a, b) in enumerate(_RANGES)
+    )
+    + ") GROUP BY 1",
+)
+def _(s, d):
+    """History of a registered ticker by range: both bounds, either, none (then the last 252), and one without bars."""
+    bars, ind_, st, out = _bars(s, d), _ind(s, d).drop("close"), derive.stocks(s, d), None
+    for k, (a, b) in enumerate(_RANGES):
+        rows = board.ticker_history(bars, ind_, "Brand#11", a, b, stocks=st).select(F.lit(k).alias("asked"), "bar_date", "close")
+        out = rows if out is None else out.union(rows)
+    return r(out.groupBy("asked").agg(F.count("*").alias("n"), F.min("bar_date").alias("first_day"), F.max("bar_date").alias("last_day"), F.sum("close").alias("total")), 4)

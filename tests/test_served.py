@@ -390,3 +390,12 @@ def test_lazy_greedy_takes_the_same_steps(spark, seed):
         left.discard(best)
         cover = [max(cover[i], cells[i, best]) for i in range(n)]
     assert [tuple(r) for r in model.greedy(table, 7).orderBy("step").collect()] == want
+
+
+def test_unknown_and_empty_tickers(spark):
+    kind = "ticker string, bar_date date, source string, close double"
+    bars, st = spark.createDataFrame([("A", DAY, "s", 1.0)], kind), spark.createDataFrame([("A",), ("B",)], "ticker string")
+    assert board.ticker_history(bars, bars.drop("close"), "B", stocks=st).count() == 0
+    assert board.ticker_history(bars, bars.drop("close"), "A", stocks=st).count() == 1
+    with pytest.raises(KeyError):
+        board.ticker_history(bars, bars.drop("close"), "C", stocks=st)
