@@ -1,114 +1,113 @@
 """Multi-party perspective rotation of dialogues.
 
-For every participant of a conversation (a role that is not the system's), the dialogue is rendered
-with that speaker as the assistant and all others as named users, with a training mask over exactly the
-assistant's words. A conversation may be of any length, so a rendering is a sequence of pages of at most
-``PAGE`` turn numbers each, in order. Every page can be read by itself: it begins with the system messages that the conversation
-opens with and the last ``CONTEXT`` turns before it, outside the mask; each message is trained on in one page only.
+For every participant of a conversation (a role that is not the system's), the whole dialogue is one rendering
+with that speaker as the assistant and all others as named users, and a training mask over exactly the
+assistant's words. It is kept as rows of ``PAGE`` messages: a page has its place in the rendering, masks count from the rendering's beginning, and the pages of a
+rendering, one after the other, are its text. So a dialogue of any length is one rendering, and none needs one task.
 
-Messages meet the participants of their conversation in a join on its id, whose long side Spark's skew
-join splits; pages are grouped by (conversation, participant, page), so no conversation needs one task.
+Messages are numbered within their dialogue over ranges of (dialogue, turn, role and text), equal ones together with their count.
+They meet the participants in a join on the dialogue, whose long side Spark's skew join splits, and are grouped by (dialogue, participant, page). Where a page begins is the sum of the
+lengths before it, over blocks of ``BLOCK`` pages and within each.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import discard, materialize
+
 PAGE = 32
-CONTEXT = 4
+BLOCK = 1024
+#: A dialogue as two columns without nulls.
+DIALOGUE = ["known", "conv"]
+END = "<|end|>\n"
+
+
+def _placed(turns: DataFrame, page: int) -> DataFrame:
+    """``(known, conv, role, text, at, page)``: every message with its number in its dialogue, by turn (none: last), role and text."""
+    turn = F.col("turn").cast("long")
+    rows = turns.select(
+        F.col("conv_id").isNotNull().alias("known"), F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), turn.isNull().alias("late"), F.coalesce(turn, F.lit(0)).alias("turn"),
+        F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+    )
+    fields = [*DIALOGUE, "late", "turn", "role", "text"]
+    sort = F.concat("role", F.lit("\0"), "text")
+    # the beginning of role and text is enough to deal rows out; those that share it lie in one range, in order
+    dealt = rows.groupBy(*fields).agg(F.count("*").alias("copies")).repartitionByRange(*DIALOGUE, "late", "turn", F.substring(sort, 1, 64)).sortWithinPartitions(*DIALOGUE, "late", "turn", sort)
+    dealt = materialize(dealt.select(*DIALOGUE, "role", "text", "copies", F.monotonically_increasing_id().alias("mid"))).withColumn("part", F.shiftright("mid", 33))
+    parts = dealt.groupBy(*DIALOGUE, "part").agg(F.sum("copies").alias("size"))
+    earlier = W.partitionBy(*DIALOGUE).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select(*DIALOGUE, "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"))
+    inside = W.partitionBy(*DIALOGUE, "part").orderBy("mid").rowsBetween(W.unboundedPreceding, -1)
+    first = F.col("base") + F.coalesce(F.sum("copies").over(inside), F.lit(0))
+    out = dealt.join(parts, [*DIALOGUE, "part"]).withColumn("first", first).withColumn("at", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("copies") - 1)))
+    return out.select(*DIALOGUE, "role", "text", "at", F.floor(F.col("at") / page).alias("page"))
 
 
-def _pages(turns: DataFrame, page: int) -> DataFrame:
-    """``(conv_id, turn, role, text, page)`` of every message. Those without a turn number have no order: they are dealt by hash to pages -1, -2 and so on."""
-    said = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    placed = said.where("turn is not null").withColumn("page", F.expr(f"turn div {page} - if(turn % {page} < 0, 1, 0)"))
-    loose = said.where("turn is null")
-    parts = loose.groupBy(F.col("conv_id").alias("of")).agg(F.ceil(F.count("*") / page).alias("parts"))
-    dealt = F.conv(F.substring(F.md5(F.concat_ws(":", "role", "text")), 1, 8), 16, 10).cast("long")
-    loose = loose.join(parts, F.col("conv_id").eqNullSafe(F.col("of"))).select("conv_id", "turn", "role", "text", (-(2**40) - dealt % F.col("parts")).alias("page"))
-    return placed.union(loose)
+def _begins(pages: DataFrame, by: list[str]) -> DataFrame:
+    """``pages(<by>, page, n_chars)`` with ``begin``, the characters of the pages before."""
+    lengths = pages.select(*by, "page", "n_chars", F.floor(F.col("page") / BLOCK).alias("block"))
+    up_to = lambda keys, order: W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    blocks = lengths.groupBy(*by, "block").agg(F.sum("n_chars").alias("all")).withColumn("base", F.coalesce(F.sum("all").over(up_to(by, "block")), F.lit(0))).drop("all")
+    inside = F.coalesce(F.sum("n_chars").over(up_to([*by, "block"], "page")), F.lit(0))
+    return lengths.withColumn("inside", inside).join(blocks, [*by, "block"]).select(*by, "page", (F.col("base") + F.col("inside")).alias("begin"))
 
 
-def rotate(turns: DataFrame, system: str = "system", page: int = PAGE, context: int = CONTEXT) -> DataFrame:
-    """``(conv_id, speaker, page, n_turns, text, mask, n_trained)`` of every page of every perspective.
+def rotate(turns: DataFrame, system: str = "system", page: int = PAGE) -> DataFrame:
+    """``(conv_id, speaker, page, begin, n_turns, text, mask, n_trained)`` of every page of every perspective.
 
-    ``page`` is the turn number divided by ``page``; below ``-2**40`` for messages without one. ``mask`` has the (begin, end) character ranges of ``text`` to train on: what the speaker says on this page, and the
-    end mark after it; ``n_turns`` counts the messages of the page without its opening and context. Null texts are empty messages; a null role is the participant "unknown"; null ids are
-    one conversation. Ties in the turn number are put in order of
+    A rendering is its pages' ``text`` in order; ``begin`` is where the page begins in it, and ``mask`` has the (begin, end) character ranges of the rendering to train on: what the speaker says on this page, and the
+    end mark after it. Null texts are empty messages; a null role is the participant "unknown"; null ids are
+    one conversation. Messages are in order of their turn numbers, those without one last; ties are put in order of
     role and text, repeated rows stay. A conversation of system messages alone has no perspective; an empty
     table gives no rows. Other columns are ignored.
     """
-    said = _pages(turns, page)
-    speakers = said.where(F.col("role") != system).select(F.col("conv_id").alias("of"), F.col("role").alias("speaker")).distinct()
-    pages = said.groupBy(F.col("conv_id").alias("of"), F.col("page").alias("at")).agg(F.count("*").alias("n"))
-    # the first page is the lowest with turn numbers; messages without any come after all others
-    starts = said.groupBy(F.col("conv_id").alias("first_of")).agg(F.min(F.when(F.col("turn").isNotNull(), F.col("page"))).alias("first"))
-    own = said.select("conv_id", "page", F.lit(2).alias("kind"), "turn", "role", "text")
-    fields = ["kind", "turn", "role", "text"]
-    opens = said.where(F.col("role") == system).join(starts, F.col("conv_id").eqNullSafe(F.col("first_of")) & (F.col("page") == F.col("first")))
-    opening = opens.join(pages, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("page") != F.col("at"))).select("conv_id", F.col("at").alias("page"), F.lit(0).alias("kind"), "turn", "role", "text")
-    # the last turns of the page before; what opens the conversation is there already
-    late = said.where(F.col("turn").isNotNull() & (F.pmod("turn", F.lit(page)) >= page - context))
-    late = late.join(starts, F.col("conv_id").eqNullSafe(F.col("first_of"))).where((F.col("role") != system) | (F.col("page") != F.col("first")))
-    before = late.join(pages, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("page") + 1 == F.col("at"))).select("conv_id", F.col("at").alias("page"), F.lit(1).alias("kind"), "turn", "role", "text")
-    both = own.union(opening).union(before).join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+    said = materialize(_placed(turns, page))
+    speakers = said.where(F.col("role") != system).select(*DIALOGUE, F.col("role").alias("speaker")).distinct()
+    both = said.join(speakers, DIALOGUE)
     mine = F.col("role") == F.col("speaker")
     head = F.when(F.col("role") == system, F.lit("<|system|>\n")).when(mine, F.lit("<|assistant|>\n")).otherwise(F.concat(F.lit("<|user name="), F.col("role"), F.lit("|>\n")))
-    message = F.struct(*fields[:-1], F.col("text").alias("body"), head.alias("head"), (mine & (F.col("kind") == 2)).alias("mine"))
-    rendered = both.groupBy("conv_id", "speaker", "page").agg(F.sort_array(F.collect_list(message)).alias("m"))
-    end = "<|end|>\n"
-    rendered = rendered.withColumn("text", F.array_join(F.transform("m", lambda x: F.concat(x["head"], x["body"], F.lit(end))), ""))
+    message = F.struct("at", F.col("text").alias("body"), head.alias("head"), mine.alias("mine"))
+    by = [*DIALOGUE, "speaker"]
+    rendered = both.groupBy(*by, "page").agg(F.sort_array(F.collect_list(message)).alias("m"))  # ``page`` messages at most
+    rendered = rendered.withColumn("text", F.array_join(F.transform("m", lambda x: F.concat(x["head"], x["body"], F.lit(END))), ""))
     # running position: each step appends (begin, end) where the speaker talks
     walk = F.aggregate(
         "m",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<array<int>>").alias("mask")),
+        F.struct(F.lit(0).cast("long").alias("to"), F.array().cast("array<array<bigint>>").alias("mask")),
         lambda s, x: F.struct(
-            (s["at"] + F.length(x["head"]) + F.length(x["body"]) + len(end)).alias("at"),
-            F.when(x["mine"], F.concat(s["mask"], F.array(F.array(s["at"] + F.length(x["head"]), s["at"] + F.length(x["head"]) + F.length(x["body"]) + len(end) - 1)))).otherwise(s["mask"]).alias("mask"),
+            (s["to"] + F.length(x["head"]) + F.length(x["body"]) + len(END)).alias("to"),
+            F.when(x["mine"], F.concat(s["mask"], F.array(F.array(s["to"] + F.length(x["head"]), s["to"] + F.length(x["head"]) + F.length(x["body"]) + len(END) - 1)))).otherwise(s["mask"]).alias("mask"),
         ),
     )
-    trained = F.aggregate("mask", F.lit(0).cast("long"), lambda s, x: s + x[1] - x[0])
-    n = F.size(F.filter("m", lambda x: x["kind"] == 2)).cast("long")
-    return rendered.withColumn("mask", walk["mask"]).select("conv_id", "speaker", "page", n.alias("n_turns"), "text", "mask", trained.alias("n_trained"))
+    trained = F.aggregate("here", F.lit(0).cast("long"), lambda s, x: s + x[1] - x[0])
+    pages = rendered.withColumn("here", walk["mask"]).select(*by, "page", F.size("m").cast("long").alias("n_turns"), "text", "here", trained.alias("n_trained"), F.length("text").cast("long").alias("n_chars"))
+    pages = materialize(pages)
+    discard(said)
+    out = pages.join(_begins(pages, by), [*by, "page"])
+    mask = F.transform("here", lambda x: F.transform(x, lambda at: at + F.col("begin")))
+    conv = F.when(F.col("known"), F.col("conv").cast(turns.schema["conv_id"].dataType))
+    return out.select(conv.alias("conv_id"), "speaker", "page", "begin", "n_turns", "text", mask.alias("mask"), "n_trained")
 
 
 SQL = f"""
-WITH raw AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
-), said AS (
-  SELECT *, CASE WHEN turn IS NOT NULL THEN CAST(floor(turn / {PAGE}) AS BIGINT)
-    ELSE -1099511627776 - CAST('0x' || substr(md5(role || ':' || text), 1, 8) AS BIGINT)
-         % CAST(ceil(count(*) FILTER (turn IS NULL) OVER (PARTITION BY conv_id) / {PAGE}.0) AS BIGINT) END AS page
-  FROM raw
-), marked AS (
-  SELECT *, min(page) FILTER (turn IS NOT NULL) OVER (PARTITION BY conv_id) AS first FROM said
-), pages AS (
-  SELECT DISTINCT conv_id, page FROM said
+WITH said AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS k FROM conversations
 ), speakers AS (
   SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role <> 'system'
-), shown AS (
-  SELECT conv_id, page, 2 AS kind, turn, role, text FROM marked
-  UNION ALL
-  SELECT m.conv_id, p.page, 0, turn, role, text FROM marked m JOIN pages p ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.page <> p.page
-  WHERE role = 'system' AND m.page = first
-  UNION ALL
-  SELECT m.conv_id, p.page, 1, turn, role, text FROM marked m JOIN pages p ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND p.page = m.page + 1
-  WHERE turn - m.page * {PAGE} >= {PAGE - CONTEXT} AND (role <> 'system' OR m.page <> first)
 ), parts AS (
-  SELECT a.*, speaker, role = speaker AND kind = 2 AS mine,
+  SELECT a.*, speaker, k // {PAGE} AS page, role = speaker AS mine,
          CASE WHEN role = 'system' THEN '<|system|>' || chr(10) WHEN role = speaker THEN '<|assistant|>' || chr(10)
               ELSE '<|user name=' || role || '|>' || chr(10) END AS head
-  FROM shown a JOIN speakers b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
+  FROM said a JOIN speakers b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
 ), placed AS (
-  SELECT *, row_number() OVER w AS k,
-         coalesce(sum(length(head) + length(text) + 8) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM parts WINDOW w AS (PARTITION BY conv_id, speaker, page ORDER BY kind, turn, role, text)
+  SELECT *, CAST(coalesce(sum(length(head) + length(text) + 8) OVER (PARTITION BY conv_id, speaker ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM parts
 )
-SELECT conv_id, speaker, page, count(*) FILTER (kind = 2) AS n_turns,
+SELECT conv_id, speaker, page, min(start) AS "begin", count(*) AS n_turns,
        string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY k) AS text,
-       coalesce(string_agg(CASE WHEN mine THEN CAST(CAST(start + length(head) AS BIGINT) AS VARCHAR) || '-' ||
-                CAST(CAST(start + length(head) + length(text) + 7 AS BIGINT) AS VARCHAR) END, ',' ORDER BY k), '') AS mask,
+       coalesce(string_agg(CASE WHEN mine THEN CAST(start + length(head) AS VARCHAR) || '-' || CAST(start + length(head) + length(text) + 7 AS VARCHAR) END, ',' ORDER BY k), '') AS mask,
        CAST(sum(CASE WHEN mine THEN length(text) + 7 ELSE 0 END) AS BIGINT) AS n_trained
 FROM placed GROUP BY conv_id, speaker, page
 """

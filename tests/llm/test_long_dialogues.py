@@ -25,27 +25,21 @@ def dialogues():
     return rows
 
 
-def plain(rows, page=chat_rotation.PAGE, context=chat_rotation.CONTEXT):
+def plain(rows):
+    """Each whole rendering and its mask."""
     by = defaultdict(list)
     for c, t, r, x in rows:
-        by[c].append((t, r or "unknown", x or ""))
-    out = Counter()
+        by[c].append((t is None, t or 0, r or "unknown", x or ""))
+    out = {}
     for conv, said in by.items():
-        ordered = sorted(m for m in said if m[0] is not None)
-        first = ordered[0][0] // page if ordered else None
-        opening = [m for m in ordered if m[1] == "system" and m[0] // page == first]
-        for speaker in {r for _, r, _ in said} - {"system"}:
-            for at in {t // page for t, *_ in ordered}:
-                shown = [(m, False) for m in (opening if at != first else [])]
-                shown += [(m, False) for m in ordered if m[0] // page == at - 1 and m[0] % page >= page - context and m not in opening]
-                shown += [(m, m[1] == speaker) for m in ordered if m[0] // page == at]
-                text, mask = "", []
-                for (_, role, body), trained in shown:
-                    text += "<|system|>\n" if role == "system" else "<|assistant|>\n" if role == speaker else f"<|user name={role}|>\n"
-                    if trained:
-                        mask.append((len(text), len(text) + len(body) + 7))
-                    text += body + "<|end|>\n"
-                out[conv, speaker, at, text, tuple(mask)] += 1
+        for speaker in {m[2] for m in said} - {"system"}:
+            text, mask = "", []
+            for *_, role, body in sorted(said):
+                text += "<|system|>\n" if role == "system" else "<|assistant|>\n" if role == speaker else f"<|user name={role}|>\n"
+                if role == speaker:
+                    mask.append((len(text), len(text) + len(body) + 7))
+                text += body + "<|end|>\n"
+            out[conv, speaker] = (text, mask)
     return out
 
 
@@ -55,13 +49,24 @@ def test_long_dialogues(spark, tmp_path):
     got = queries.op2_chat_rotation(spark, str(tmp_path)).collect()
     db = duckdb.connect()
     db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
-    names = ("conv_id", "speaker", "page", "n_turns", "text", "mask", "n_trained")
-    want = Counter(db.execute(f"SELECT {', '.join(names)} FROM ({chat_rotation.SQL})").fetchall())
+    names = ("conv_id", "speaker", "page", "begin", "n_turns", "text", "mask", "n_trained")
+    want = Counter(db.execute("SELECT " + ", ".join(f'"{n}"' for n in names) + f" FROM ({chat_rotation.SQL})").fetchall())
     assert Counter(tuple(r[n] for n in names) for r in got) == want
-    numbered = Counter((r["conv_id"], r["speaker"], r["page"], r["text"], tuple(tuple(map(int, x.split("-"))) for x in r["mask"].split(",") if x)) for r in got if r["page"] > -(2**40))
-    assert numbered == plain(rows)
-    for speaker in ("q0", "q1", "q2"):
-        loose = [r for r in got if r["conv_id"] == 20 and r["speaker"] == speaker and r["page"] <= -(2**40)]
-        assert sum(r["n_turns"] for r in loose) == 150 and max(r["n_turns"] for r in loose) < 90 and all(r["text"].startswith("<|system|>\nopening") for r in loose)
+    whole = {}
+    for r in sorted(got, key=lambda r: r["page"]):
+        text, mask = whole.get((r["conv_id"], r["speaker"]), ("", []))
+        assert r["begin"] == len(text) and r["n_turns"] <= chat_rotation.PAGE
+        whole[r["conv_id"], r["speaker"]] = (text + r["text"], mask + [tuple(map(int, x.split("-"))) for x in r["mask"].split(",") if x])
+    assert whole == plain(rows)
     # every word of a speaker is trained on once
     assert sum(r["n_trained"] for r in got) == sum(len(x or "") + 7 for _, _, r, x in rows if r != "system")
+
+
+def test_repeated_turn_numbers_and_rows_make_no_long_page(spark):
+    rows = [(1, 7, f"p{k % 2}", f"said {k % 900}") for k in range(3000)] + [(1, 7, "p0", "again")] * 2000
+    out = chat_rotation.rotate(spark.createDataFrame(rows, TURNS).repartition(4)).collect()
+    assert max(r["n_turns"] for r in out) == chat_rotation.PAGE and sum(r["n_turns"] for r in out) == 2 * 5000
+    whole = {s: "".join(r["text"] for r in sorted(out, key=lambda r: r["page"]) if r["speaker"] == s) for s in ("p0", "p1")}
+    assert whole == {s: plain(rows)[1, s][0] for s in whole}
+    for r in out[:50]:
+        assert all(whole[r["speaker"]][a:b].endswith("<|end|>") for a, b in r["mask"])
