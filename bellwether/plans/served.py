@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, model
 from ..sources import derive, merge, runs, store
-from ..sources.scratch import materialize, shared_folder
+from ..sources.scratch import materialize, temporary
 from ..streaming import stream
 from . import board, serving, validate
 from .queries import _MEANS, BARS, BOARD, FAULTS, FIT, FULL, GREEDY, LINE, MODEL, PAIRS, PANEL, RECURSE, RETS, STOCKS, WINDOWED, _bars, _base, _ind, _index, _resid, _run, _sim_sql, _steps_sql, _years, query, r, with_
@@ -157,7 +155,7 @@ def _(s, d):
 
 def _stored_run(s: SparkSession, d: str) -> dict[str, DataFrame]:
     """The weekly run, written with its row and read back."""
-    run, path = _run(s, d), f"{shared_folder(s)}/run-{uuid.uuid4().hex}"
+    run, path = _run(s, d), temporary(s, "run")
     tables = {k: run[k] for k in ("params", "steps", "assigned", "groups", "p")}
     tables["universe"] = run["params"].select("ticker").withColumn("position", F.row_number().over(board.W.orderBy("ticker")) - 1)
     head = model.run_row(run, _index(s, d), "", "week", "rho2", 3, 3, TAU).drop("run_id").join(F.broadcast(validate.fingerprint(tables)))
@@ -212,7 +210,7 @@ def _(s, d):
 @query("bars_round_trip", with_(LINE, BARS) + "SELECT ticker, bar_date, round(close, 6) AS close, volume FROM bars WHERE year(bar_date) IN (1996, 1997) AND ticker IN (SELECT ticker FROM bars WHERE ticker LIKE '%1')")
 def _(s, d):
     """Bars written by year, one year written again, and two years of some tickers read back."""
-    path = f"{shared_folder(s)}/bars-{uuid.uuid4().hex}"
+    path = temporary(s, "bars")
     b = _bars(s, d).select("ticker", "bar_date", "source", "open", "high", "low", "close", "volume")
     full = b.select("*", F.lit(True).alias("is_adjusted"), F.lit("2002-01-01").cast("timestamp").alias("ingested_at"), F.lit("2002-01-01").cast("timestamp").alias("updated_at"))
     store.write_bars(full, path)
@@ -224,7 +222,7 @@ def _(s, d):
 @query("raw_round_trip", with_(LINE, BARS) + "SELECT ticker AS symbol, bar_date, round(close, 6) AS close, CAST(volume AS DOUBLE) AS volume FROM bars WHERE ticker LIKE '%1'")
 def _(s, d):
     """Raw records with one fetch time, written as JSON lines, read back by their span and taken apart again."""
-    path = f"{shared_folder(s)}/raw-{uuid.uuid4().hex}"
+    path = temporary(s, "raw")
     rows = _bars(s, d).where("ticker LIKE '%1'").select("ticker", F.col("bar_date").alias("time"), "open", "high", "low", "close", "volume")
     raw = clean.raw_records(rows, "ticker", "time", "2002-01-01 00:00:00")
     late = raw.withColumn("fetched_at", F.lit("2003-01-01").cast("timestamp"))
@@ -415,7 +413,7 @@ def _folder(s: SparkSession, rows: DataFrame, parts: int = 3) -> str:
 def _(s, d):
     """Raw payloads arrive as a stream of files; good rows are upserted batch by batch."""
     raw = derive.raw_bars(_bars(s, d))
-    path, base = _folder(s, raw), f"{shared_folder(s)}/ingest-{uuid.uuid4().hex}"
+    path, base = _folder(s, raw), temporary(s, "ingest")
     found = s.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
     started = stream.quarantine_into(found, derive.SOURCE, "1996-01-01", "2000-12-31", store.KEYS["bars"], f"{base}/good", f"{base}/bad").option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start()
     started.awaitTermination()
@@ -454,7 +452,7 @@ def _(s, d):
 def _(s, d):
     """EMA with its state kept by ticker: two batches, the earlier years first."""
     b = _bars(s, d).select("ticker", "bar_date", "close")
-    folder = f"{shared_folder(s)}/ema-{uuid.uuid4().hex}"
+    folder = temporary(s, "ema")
     b.where("bar_date < date'1998-01-01'").coalesce(1).write.parquet(f"{folder}/part=1")
     b.where("bar_date >= date'1998-01-01'").coalesce(1).write.parquet(f"{folder}/part=2")
     found = s.readStream.schema(b.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
@@ -476,7 +474,7 @@ def _with_state(s: SparkSession, job):  # noqa: ANN001, ANN202
 def _(s, d):
     """All recursive indicators with their state kept by ticker: a batch a year, in order."""
     b = _bars(s, d).select("ticker", "bar_date", "high", "low", "close", "volume")
-    folder = f"{shared_folder(s)}/running-{uuid.uuid4().hex}"
+    folder = temporary(s, "running")
     for year in _years(_index(s, d)):
         b.where(F.year("bar_date") == year).coalesce(1).write.parquet(f"{folder}/part={year}")
     found = s.readStream.schema(b.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
@@ -493,9 +491,9 @@ def _(s, d):
     """Events in no order, weeks late: every one counts, and nothing is held between batches."""
     e = derive.table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     found = s.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(_folder(s, e.repartition(4, "event_id"), 4))
-    base = f"{shared_folder(s)}/bars-{uuid.uuid4().hex}"
-    stream.event_bars_into(found, base).option("checkpointLocation", f"{base}-log").trigger(availableNow=True).start().awaitTermination()
-    bars = merge.read(s, base)
+    base = temporary(s, "bars")
+    stream.event_bars_into(found, f"{base}/bars").option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start().awaitTermination()
+    bars = merge.read(s, f"{base}/bars")
     return bars.select("event_type", F.to_date("bar_date").alias("bar_date"), *(F.round(c, 4).alias(c) for c in ("open", "high", "low", "close", "volume")), "n")
 
 
@@ -505,7 +503,7 @@ def _(s, d):
 @query("sectors_round_trip", with_(STOCKS) + "SELECT ticker, sector, industry, CASE WHEN sector IS NULL THEN 'missing' ELSE 'industry' END AS label_source FROM stocks")
 def _(s, d):
     """The dimension written to its file and read again."""
-    path = f"{shared_folder(s)}/sectors-{uuid.uuid4().hex}"
+    path = temporary(s, "sectors")
     st = derive.stocks(s, d)
     label = F.when(F.col("sector").isNull(), "missing").otherwise("industry").alias("label_source")
     store.write_sectors(st.select("ticker", "sector", "industry", label), path)
@@ -517,7 +515,7 @@ def _(s, d):
     """A universe read from its file: comments, lower case, repeated lines."""
     n = F.regexp_extract("ticker", r"(\d+)", 1)
     line = F.when(n.cast("int") % 2 == 1, F.concat(F.lit(" brand"), n, F.lit("  # note\nBRAND"), n)).otherwise(F.concat(F.lit("# brand"), n))
-    path = f"{shared_folder(s)}/universe-{uuid.uuid4().hex}"
+    path = temporary(s, "universe")
     derive.stocks(s, d).select(line.alias("value")).coalesce(1).write.text(path)
     return store.universe(s, path=path)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,7 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.clean import normalise, with_reason
 from ..sources.merge import merge
-from ..sources.scratch import shared_folder
+from ..sources.scratch import temporary
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -24,7 +23,7 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 def run_once(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Process all that is there, to Parquet in the shared folder, and give it back as a batch frame."""
     spark = stream.sparkSession
-    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    base = temporary(spark, "stream")
     q = stream.writeStream.format("parquet").outputMode(mode).option("path", f"{base}/out").option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
@@ -182,7 +181,7 @@ def streaming_indicators(stream: DataFrame) -> DataFrame:
 def run_complete(stream: DataFrame) -> DataFrame:
     """Process all that is there and give back the last full result, windows that are still open included."""
     spark = stream.sparkSession
-    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    base = temporary(spark, "stream")
     last: list[int] = []
 
     def step(batch: DataFrame, n: int) -> None:

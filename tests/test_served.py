@@ -399,3 +399,21 @@ def test_unknown_and_empty_tickers(spark):
     assert board.ticker_history(bars, bars.drop("close"), "A", stocks=st).count() == 1
     with pytest.raises(KeyError):
         board.ticker_history(bars, bars.drop("close"), "C", stocks=st)
+
+
+def test_scratch_goes_with_the_application(tmp_path):
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as e
+s = SparkSession.builder.master("local[2]").config("spark.checkpoint.dir", "file://{tmp_path}/shared").config("spark.ui.enabled", "false").config("spark.sql.warehouse.dir", "{tmp_path}/wh").getOrCreate()
+q = e.queries()
+n = q["raw_round_trip"](s, "/root/testdata/sf0.001").count() + q["quarantine_stream"](s, "/root/testdata/sf0.001").count()
+import os
+print(n > 0, len(os.listdir("{tmp_path}/shared")) > 3)
+"""
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert said.stdout.split("\n")[-2] == "True True"
+    # Spark makes a folder of its own there
+    assert [p.name for p in (tmp_path / "shared").iterdir() if any(p.iterdir())] == []
