@@ -8,10 +8,13 @@ Jaccard similarity of 4/5 or more. Candidates come from two sides, and each is v
   any common order of the shingles their first n - ceil(4n/5) + 1 have one in common.
 
 The order puts shingles first that few texts have, by a count of fixed size (``SLOTS``); it decides the cost and not
-the pairs. Equal sets are folded first. Prefixes travel as a few packed rows by hash bucket, 12 bytes a shingle, and
+the pairs. Equal sets are folded first. Prefixes travel as a few packed rows by hash bucket, 16 bytes a shingle, and
 a bucket gives out the distinct lists of sets that share one. Verification goes in rounds: each set with the set it
-shares most with; then the smallest of each list with its members; then all members of a list that are still in
-different components. A set travels to the smallest member of its list, in parts if that has many, and not with each pair.
+shares most with; then the smallest of each list with its members; then those members of a list that are still in
+different components and can be similar at all. In the list of the first shingle that two sets share, what they share lies from there on, so it is
+at most what either has left in the order; a pair is made only where that is enough. As shingles of one text alone come first in the order, sets that differ too much fall out
+by this count, and a list's pairs are found by the range of sizes that each member allows, not by trying all.
+A set travels to the smallest member of its list, in parts if that has many, and not with each pair.
 """
 
 from __future__ import annotations
@@ -97,23 +100,26 @@ def _marked(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
 
 
 def _lists(docs: DataFrame, width: int, order: np.ndarray, buckets: int) -> DataFrame:
-    """``(list, members, weight)``: the distinct lists of two sets or more that share a prefix shingle, and how many shingles each shares."""
+    """``(list, members, rests, weight)``: the distinct lists of two sets or more that share a prefix shingle, and how many shingles each shares.
+
+    ``rests``: of each member, how many of its shingles the order has from the shared one on, the most over the list's shingles (which is that of the first of them, for all members).
+    """
     shared = docs.sparkSession.sparkContext.broadcast(order)
     bits = buckets.bit_length() - 1
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         seen: set[int] = set()
 
         def rows() -> pa.RecordBatch:
-            token, key = (np.concatenate(x) for x in zip(*held, strict=True))
+            token, key, rest = (np.concatenate(x) for x in zip(*held, strict=True))
             at, bound = packed.cut(token, buckets)
             # within a bucket 32 further bits tell shingles apart; a chance meeting is one more pair to verify
-            token, key = (mix(token[at]) >> np.uint64(32 - bits)).astype(np.uint32), key[at]
+            token, key, rest = (mix(token[at]) >> np.uint64(32 - bits)).astype(np.uint32), key[at], rest[at]
             full = [k for k in range(buckets) if bound[k] < bound[k + 1]]
             held.clear()
             return pa.record_batch(
-                [pa.array(full, pa.int32()), *(pa.array([x[bound[k] : bound[k + 1]].tobytes() for k in full], pa.binary()) for x in (token, key))], names=["bucket", "tokens", "keys"]
+                [pa.array(full, pa.int32()), *(pa.array([x[bound[k] : bound[k + 1]].tobytes() for k in full], pa.binary()) for x in (token, key, rest))], names=["bucket", "tokens", "keys", "rests"]
             )
 
         for b in (x for y in batches for x in slices(y)):
@@ -126,34 +132,40 @@ def _lists(docs: DataFrame, width: int, order: np.ndarray, buckets: int) -> Data
             h = h[np.lexsort((h, shared.value[(h % np.uint64(SLOTS)).astype(np.int64)], text))]
             n = np.where(new, _prefix(np.diff(first)), 0)
             at = np.repeat(first[:-1] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            held.append((h[at], np.repeat(key, n)))
-            if sum(len(x) for x, _ in held) > HELD:
+            held.append((h[at], np.repeat(key, n), (np.repeat(first[1:], n) - at).astype(np.uint32)))
+            if sum(len(x) for x, *_ in held) > HELD:
                 yield rows()
-        if held and sum(len(x) for x, _ in held):
+        if held and sum(len(x) for x, *_ in held):
             yield rows()
 
     def meet(t: pa.Table) -> pa.Table:
         token = np.concatenate([np.frombuffer(x, np.uint32) for x in t.column("tokens").to_pylist()])
         key = np.concatenate([np.frombuffer(x, np.int64) for x in t.column("keys").to_pylist()])
-        at = np.lexsort((key, token))
-        token, key = token[at], key[at]
+        rest = np.concatenate([np.frombuffer(x, np.uint32) for x in t.column("rests").to_pylist()]).astype(np.int32)
+        at = np.lexsort((-rest, key, token))
+        token, key, rest = token[at], key[at], rest[at]
         new = np.ones(len(key), dtype=bool)
         new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-        token, key = token[new], key[new]
+        token, key, rest = token[new], key[new], rest[new]
         begin = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         size = np.diff(np.append(begin, len(key)))
         begin, size = begin[size > 1], size[size > 1]
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(key.view(np.uint64) ^ np.uint64(0x115)), dtype=np.uint64)))
         name = mix(total[begin + size] - total[begin] + size.astype(np.uint64)).view(np.int64)
+        # of lists with the same members, that of the shingle which comes first in the order
+        at = np.lexsort((-rest[begin], name))
+        name, begin, size = name[at], begin[at], size[at]
         name, one, weight = np.unique(name, return_index=True, return_counts=True)
         begin, size = begin[one], size[one]
-        flat = key[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-        members = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size)))), pa.array(flat)).cast(pa.list_(pa.int64()))
-        return pa.table({"list": pa.array(name), "members": members, "weight": pa.array(weight.astype(np.int64))})
+        flat = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        bound = pa.array(np.concatenate(([0], np.cumsum(size))))
+        members, rests = (pa.LargeListArray.from_arrays(bound, pa.array(x[flat])).cast(pa.list_(kind)) for x, kind in ((key, pa.int64()), (rest, pa.int32())))
+        return pa.table({"list": pa.array(name), "members": members, "rests": rests, "weight": pa.array(weight.astype(np.int64))})
 
-    sent = docs.select("text").mapInArrow(send, "bucket int, tokens binary, keys binary")
-    met = sent.groupBy("bucket").applyInArrow(meet, "list long, members array<long>, weight long")
-    return materialize(met.groupBy("list").agg(F.any_value("members").alias("members"), F.sum("weight").alias("weight")))
+    sent = docs.select("text").mapInArrow(send, "bucket int, tokens binary, keys binary, rests binary")
+    met = sent.groupBy("bucket").applyInArrow(meet, "list long, members array<long>, rests array<int>, weight long")
+    first = F.max_by(F.struct("members", "rests"), F.col("rests")[0]).alias("x")
+    return materialize(met.groupBy("list").agg(first, F.sum("weight").alias("weight")).select("list", "x.members", "x.rests", "weight"))
 
 
 def _fit(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -210,18 +222,37 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int) -
     return out
 
 
+def _possible(component: np.ndarray, key: np.ndarray, n: np.ndarray, rest: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of members of a list that are in different components and can have a similarity of 4/5, each once, some at a time.
+
+    Sets of x and y shingles share 4/9 (x + y) at least, and no more than what either has from the shared shingle on. So a member of n shingles
+    and ``rest`` of them left allows partners of 4/5 n up to 9/4 rest - n; only the smaller ones, or equal ones before it, are tried, as they lie together in order of size.
+    """
+    order = np.lexsort((key, n))
+    component, key, n, rest = component[order], key[order], n[order].astype(np.int64), rest[order].astype(np.int64)
+    most = 9 * rest // 4 - n
+    low = np.searchsorted(n, -(-4 * n // 5))
+    high = np.minimum(np.searchsorted(n, most, "right"), np.arange(len(n)))
+    size = np.maximum(high - low, 0)
+    total = np.cumsum(size)
+    at = 0
+    while at < len(n):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, "right")))
+        i = np.repeat(np.arange(at, to), size[at:to])
+        j = np.repeat(low[at:to] - (np.cumsum(size[at:to]) - size[at:to]), size[at:to]) + np.arange(len(i))
+        use = (component[i] != component[j]) & (most[j] >= n[i])
+        i, j = key[i[use]], key[j[use]]
+        if len(i):
+            yield np.minimum(i, j), np.maximum(i, j)
+        at = to
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of members of a list that are in different components and of sizes that allow a similarity of 4/5."""
+    """The possible pairs of each list."""
     for b in batches:
         for members in b.column("members"):
-            m = members.values
-            component, key, n = (m.field(k).to_numpy() for k in ("component", "key", "n"))
-            step = max(1, PAIRS // len(n))
-            for at in range(0, len(n), step):
-                i, j = np.nonzero(component[at : at + step, None] != component[None, :])
-                i += at
-                use = (key[i] < key[j]) & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
-                yield pa.record_batch([pa.array(key[i[use]]), pa.array(key[j[use]])], names=["ka", "kb"])
+            for ka, kb in _possible(*(members.values.field(k).to_numpy() for k in ("component", "key", "n", "rest"))):
+                yield pa.record_batch([pa.array(ka), pa.array(kb)], names=["ka", "kb"])
 
 
 def _grouped(docs: DataFrame, width: int, radius: int) -> DataFrame:
@@ -257,10 +288,10 @@ def _grouped(docs: DataFrame, width: int, radius: int) -> DataFrame:
         labels = materialize(components(linked))
         tried = materialize(tried.union(rest))
 
-    member = lists.where("size(members) > 2").select("list", F.explode("members").alias("key")).join(labels.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    member = lists.where("size(members) > 2").select("list", F.explode(F.arrays_zip("members", "rests")).alias("x")).select("list", F.col("x.members").alias("key"), F.col("x.rests").alias("rest")).join(labels.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     several = member.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("list")
     member = member.join(several, "list").join(nodes.select("key", "n"), "key")
-    across = member.groupBy("list").agg(F.collect_list(F.struct("component", "key", "n")).alias("members")).select("members").mapInArrow(_across, "ka long, kb long")
+    across = member.groupBy("list").agg(F.collect_list(F.struct("component", "key", "n", "rest")).alias("members")).select("members").mapInArrow(_across, "ka long, kb long")
     across = materialize(across.distinct().join(tried, ["ka", "kb"], "left_anti"))
     if not across.isEmpty():
         linked = materialize(linked.union(_verified(docs, across, nodes, width)))

@@ -68,3 +68,30 @@ def test_repeated_and_null_ids(spark):
     docs = spark.createDataFrame(rows, DOCS)
     got = sorted((str(r["doc_id"]), str(r["component_id"])) for r in shingle_join.near_duplicates(docs).collect())
     assert got == [("7", "7"), ("7", "7"), ("9", "7"), ("None", "7"), ("None", "None")]
+
+
+def test_possible_pairs_lose_no_similar_one():
+    """Of all pairs of sets, each similar one is possible in the list of the first shingle that both have; few others are."""
+    rng = np.random.default_rng(3)
+    pool = [f"t{x}" for x in range(60)]
+    sets = []
+    for k in range(120):
+        base = list(rng.choice(pool, int(rng.integers(20, 55)), replace=False)) if k % 3 == 0 else list(base)
+        sets.append({*base[: len(base) - int(rng.integers(0, 4))], *(f"own{k}x{x}" for x in range(int(rng.integers(0, 12))))})
+    count = {}
+    for x in sets:
+        for t in x:
+            count[t] = count.get(t, 0) + 1
+    ordered = [sorted(x, key=lambda t: (count[t], t)) for x in sets]
+    lists = {}
+    for k, x in enumerate(ordered):
+        for at, t in enumerate(x[: len(x) - (4 * len(x) + 4) // 5 + 1]):
+            lists.setdefault(t, []).append((k, len(x), len(x) - at))
+    made = set()
+    for members in lists.values():
+        key, n, rest = (np.array(c) for c in zip(*members, strict=True))
+        for ka, kb in shingle_join._possible(key, key, n, rest):
+            assert (ka < kb).all()
+            made |= set(zip(ka.tolist(), kb.tolist(), strict=True))
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if similar(sets[i], sets[j])}
+    assert want <= made and 10 * len(made) < len(sets) * (len(sets) - 1) // 2
