@@ -1,4 +1,8 @@
-"""A training corpus from raw documents: five stages, each written and read again as Parquet."""
+"""A training corpus from raw documents: five stages, each written and read again as Parquet.
+
+All stages take rows as they come: null ids, texts and sources, repeated ids and equal rows, texts of any length, further columns (which stay, also where an
+operator has columns of the same name), empty tables (which stay empty).
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,7 @@ from bellwether.llm.queries import model_bytes
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go. A null text is scored as an empty one; rows of one id are judged by their own texts."""
     return toxicity_ftrl.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -20,14 +24,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data becomes pseudonyms, equal values equal ones. Every row stays; null and empty texts stay as they are."""
     return pii_feistel.pseudonymise(docs).drop("pii")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row as often as it was drawn, none or twice included. Texts without words, null ones too, have size 0 and are never drawn; a null source is a source; rows of a source are ordered by size class, then by a hash of id and text, and equal rows are drawn as often together."""
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each text beside its columns; null and empty texts have none. Equal texts have equal ids."""
     return sp_codec.encode(docs, model_bytes())
 
 
