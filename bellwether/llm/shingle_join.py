@@ -13,7 +13,8 @@ a bucket gives out the distinct lists of sets that share one. Verification goes
 shares most with; then the smallest of each list with its members; then those members of a list that are still in
 different components and can be similar at all. In the list of the first shingle that two sets share, what they share lies from there on, so it is
 at most what either has left in the order; a pair is made only where that is enough. As shingles of one text alone come first in the order, sets that differ too much fall out
-by this count, and a list's pairs are found by the range of sizes that each member allows, not by trying all.
+by this count, and a list's pairs are found by the range of sizes that each member allows, not by trying all. Sketches of ``BITS`` bits then bound what two sets
+share: the bits that both have, and the shingles that stand behind another one's bit.
 A set travels to the smallest member of its list, in parts if that has many, and not with each pair.
 """
 
@@ -36,7 +37,9 @@ SLOTS = 1 << 20  # counters of the order
 PARTS = 16  # rows of counters that each task sends
 WANTED = 1 << 22  # slots of the filter that spares texts no pair asks for
 HELD = 1 << 20  # prefix shingles that a task holds before it sends them
-PAIRS = 1 << 20  # pairs compared at once in a group
+PAIRS = 1 << 20  # pairs looked at at once in a group
+BITS = 4096  # of the sketch of a set
+SOME = 1 << 13  # pairs whose sketches are compared at once
 
 
 def shingles(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,8 +73,8 @@ def _prefix(n: np.ndarray) -> np.ndarray:
 
 
 def _marked(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
-    """``KEY``, ``key``, ``fp`` and ``n`` of every row: hash, fingerprint and size of its set; and how many texts have a shingle of each slot."""
-    kind = "k_id long, k_null boolean, k_text long, k_rest long, key long, fp long, n long, part int, counts binary"
+    """``KEY``, ``key``, ``fp``, ``n`` and ``sketch`` of every row: hash, fingerprint, size and bits of its set; and how many texts have a shingle of each slot."""
+    kind = "k_id long, k_null boolean, k_text long, k_rest long, key long, fp long, n long, sketch binary, part int, counts binary"
     names = [c.split()[0] for c in kind.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,11 +84,14 @@ def _marked(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
             count += np.bincount((h % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS).astype(np.uint32)
             key, first = _keys(text, h, b.num_rows)
             fp = [fingerprint((x.as_buffer().to_pybytes() if x.is_valid else b"").lower().split(), width) for x in b.column("text")]
-            none = pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())
+            bits = np.zeros((b.num_rows, BITS), dtype=bool)
+            bits[text, (mix(h ^ np.uint64(0xB175)) % np.uint64(BITS)).astype(np.int64)] = True
+            sketch = pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())
+            none = sketch, pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())
             yield pa.record_batch([*(b.column(k) for k in KEY), pa.array(key), pa.array(np.array(fp, dtype=np.uint64).view(np.int64), pa.int64()), pa.array(np.diff(first).astype(np.int64)), *none], names=names)
         some = [k for k, x in enumerate(count.reshape(PARTS, -1)) if x.any()]
         if some:
-            rows = [pa.nulls(len(some), t) for t in (pa.int64(), pa.bool_(), *[pa.int64()] * 5)]
+            rows = [pa.nulls(len(some), t) for t in (pa.int64(), pa.bool_(), *[pa.int64()] * 5, pa.binary())]
             yield pa.record_batch([*rows, pa.array(some, pa.int32()), pa.array([count.reshape(PARTS, -1)[k].tobytes() for k in some], pa.binary())], names=names)
 
     def add_up(t: pa.Table) -> pa.Table:
@@ -96,7 +102,7 @@ def _marked(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
     order = np.zeros((PARTS, SLOTS // PARTS), dtype=np.int64)
     for r in both.where("part is not null").select("part", "counts").groupBy("part").applyInArrow(add_up, "part int, counts binary").collect():
         order[r["part"]] = np.frombuffer(r["counts"], np.int64)
-    return both.where("part is null").select(*KEY, "key", "fp", "n"), np.minimum(order.ravel(), 2**32 - 1).astype(np.uint32)
+    return both.where("part is null").select(*KEY, "key", "fp", "n", "sketch"), np.minimum(order.ravel(), 2**32 - 1).astype(np.uint32)
 
 
 def _lists(docs: DataFrame, width: int, order: np.ndarray, buckets: int) -> DataFrame:
@@ -222,14 +228,18 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int) -
     return out
 
 
-def _possible(component: np.ndarray, key: np.ndarray, n: np.ndarray, rest: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _possible(component: np.ndarray, key: np.ndarray, n: np.ndarray, rest: np.ndarray, sketch: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of members of a list that are in different components and can have a similarity of 4/5, each once, some at a time.
 
     Sets of x and y shingles share 4/9 (x + y) at least, and no more than what either has from the shared shingle on. So a member of n shingles
     and ``rest`` of them left allows partners of 4/5 n up to 9/4 rest - n; only the smaller ones, or equal ones before it, are tried, as they lie together in order of size.
+    ``sketch``: the bits of each set as whole words, which bound what two sets share.
     """
     order = np.lexsort((key, n))
     component, key, n, rest = component[order], key[order], n[order].astype(np.int64), rest[order].astype(np.int64)
+    if sketch is not None:
+        bits = sketch[order]
+        hidden = n - np.bitwise_count(bits).sum(axis=1)  # shingles behind another one's bit
     most = 9 * rest // 4 - n
     low = np.searchsorted(n, -(-4 * n // 5))
     high = np.minimum(np.searchsorted(n, most, "right"), np.arange(len(n)))
@@ -241,17 +251,29 @@ def _possible(component: np.ndarray, key: np.ndarray, n: np.ndarray, rest: np.nd
         i = np.repeat(np.arange(at, to), size[at:to])
         j = np.repeat(low[at:to] - (np.cumsum(size[at:to]) - size[at:to]), size[at:to]) + np.arange(len(i))
         use = (component[i] != component[j]) & (most[j] >= n[i])
-        i, j = key[i[use]], key[j[use]]
+        i, j = i[use], j[use]
+        if sketch is not None and len(i):
+            enough = np.concatenate([_enough(n, hidden, bits, i[k : k + SOME], j[k : k + SOME]) for k in range(0, len(i), SOME)])
+            i, j = i[enough], j[enough]
+        i, j = key[i], key[j]
         if len(i):
             yield np.minimum(i, j), np.maximum(i, j)
         at = to
 
 
+def _enough(n: np.ndarray, hidden: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the sketches of these pairs allow what they have to share."""
+    both = np.bitwise_count(bits[i] & bits[j]).sum(axis=1) + np.minimum(hidden[i], hidden[j])
+    return 9 * both >= 4 * (n[i] + n[j])
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The possible pairs of each list."""
     for b in batches:
         for members in b.column("members"):
-            for ka, kb in _possible(*(members.values.field(k).to_numpy() for k in ("component", "key", "n", "rest"))):
+            m = members.values
+            sketch = np.frombuffer(b"".join(m.field("sketch").to_pylist()), np.uint64).reshape(len(m), -1)
+            for ka, kb in _possible(*(m.field(k).to_numpy() for k in ("component", "key", "n", "rest")), sketch):
                 yield pa.record_batch([pa.array(ka), pa.array(kb)], names=["ka", "kb"])
 
 
@@ -259,7 +281,7 @@ def _grouped(docs: DataFrame, width: int, radius: int) -> DataFrame:
     """``KEY`` and ``label`` of every row: rows of one label are linked, directly or over others."""
     lean(docs.sparkSession)
     marked, order = _marked(docs, width)
-    nodes = materialize(marked.groupBy("key").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min(F.xxhash64(*KEY)).alias("row")))
+    nodes = materialize(marked.groupBy("key").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min(F.xxhash64(*KEY)).alias("row"), F.any_value("sketch").alias("sketch")))
 
     # the closest: sets of one fingerprint and fingerprints of one ball
     least = materialize(nodes.groupBy("fp").agg(F.min("key").alias("ka")))
@@ -290,8 +312,8 @@ def _grouped(docs: DataFrame, width: int, radius: int) -> DataFrame:
 
     member = lists.where("size(members) > 2").select("list", F.explode(F.arrays_zip("members", "rests")).alias("x")).select("list", F.col("x.members").alias("key"), F.col("x.rests").alias("rest")).join(labels.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     several = member.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("list")
-    member = member.join(several, "list").join(nodes.select("key", "n"), "key")
-    across = member.groupBy("list").agg(F.collect_list(F.struct("component", "key", "n", "rest")).alias("members")).select("members").mapInArrow(_across, "ka long, kb long")
+    member = member.join(several, "list").join(nodes.select("key", "n", "sketch"), "key")
+    across = member.groupBy("list").agg(F.collect_list(F.struct("component", "key", "n", "rest", "sketch")).alias("members")).select("members").mapInArrow(_across, "ka long, kb long")
     across = materialize(across.distinct().join(tried, ["ka", "kb"], "left_anti"))
     if not across.isEmpty():
         linked = materialize(linked.union(_verified(docs, across, nodes, width)))
