@@ -82,3 +82,20 @@ def test_only_rows_at_both_ends_are_sorted(spark, odd, monkeypatch):
     made = plans(monkeypatch, spark, lambda: derive.bars(spark, str(odd)))
     over = [p for p in made if "lineitem.parquet" in p]
     assert len(over) == 2 and all("LeftSemi" in p for p in over if "SortAggregate" in p) and any("SortAggregate" not in p for p in over)
+
+
+def test_trades_of_many_parts_are_not_sorted_to_meet_them(spark, odd, monkeypatch):
+    """Beyond a broadcast, Spark's own choice is a join that sorts each task's share of the trades, before."""
+    want = sorted(map(tuple, derive.bars(spark, str(odd)).collect()), key=str)
+    monkeypatch.setattr(derive, "MANY", 10, raising=False)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        made = plans(monkeypatch, spark, lambda: derive.bars(spark, str(odd)))
+        level = derive.index_bars(spark, str(odd))._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, derive.bars(spark, str(odd)).collect()), key=str) == want
+    finally:
+        spark.conf.set(key, before)
+    totals = [p for p in made if "lineitem.parquet" in p and "SortAggregate" not in p]
+    assert len(totals) == 1 and all("ShuffledHashJoin" in p and "SortMergeJoin" not in p for p in [*totals, level])
