@@ -99,3 +99,11 @@ def test_trades_of_many_parts_are_not_sorted_to_meet_them(spark, odd, monkeypatc
         spark.conf.set(key, before)
     totals = [p for p in made if "lineitem.parquet" in p and "SortAggregate" not in p]
     assert len(totals) == 1 and all("ShuffledHashJoin" in p and "SortMergeJoin" not in p for p in [*totals, level])
+
+
+def test_parts_of_the_few_rows_at_both_ends_are_not_held(spark, odd, monkeypatch):
+    """The hint for all trades made tasks of the second join hold parts, several partitions put together, before."""
+    monkeypatch.setattr(derive, "MANY", 10)
+    made = plans(monkeypatch, spark, lambda: derive.bars(spark, str(odd)))
+    near = [p for p in made if "lineitem.parquet" in p and "SortAggregate" in p]
+    assert len(near) == 1 and "ShuffledHashJoin" not in near[0]
