@@ -92,6 +92,17 @@ def grow(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Unsigned numbers in as few bytes each as the largest needs; the first byte says how many."""
+    most = int(x.max()) if len(x) else 0
+    size = next(k for k in (1, 2, 4, 8) if most < 1 << 8 * k)
+    return bytes([size]) + x.astype(f"u{size}").tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"u{raw[0]}", offset=1)
+
+
 def merged(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """All keys of a bucket's rows with their sums."""
     keys, counts = [], []
