@@ -160,12 +160,14 @@ def _chunk(sender: int, x: Items, buckets: int, anchors: bool) -> pa.RecordBatch
         anchor_bound = cuts(key[taken])
         # within a bucket 32 further bits tell anchors apart: two taken for one cost a look at their runs
         by_anchor = [key[taken] & np.uint64(WORD), x.second[taken], _unsigned(of_anchor)]
+    # tells chunks of other rows apart, should a task run again and get its rows in another order
+    stamp = mix(mix(x.row.view(np.uint64) + x.start.astype(np.uint64)) + np.arange(len(x.doc), dtype=np.uint64)).sum(keepdims=True)
     begin, end = _groups(x.doc)
     step = np.diff(x.start, prepend=0)
     step[begin] = 0
     full = np.flatnonzero((bound[1:] > bound[:-1]) | (anchor_bound[1:] > anchor_bound[:-1])).tolist()
-    own = [*(_unsigned(getattr(x, k)[begin]) for k in KEY), row[begin], *map(_unsigned, (x.start[begin], end - begin + 1, step, x.runs, x.weight, entry, by_anchor.pop(), np.array([len(full)])))]
-    parts = [[c[bound[k] : bound[k + 1]] for c in columns] + [c[anchor_bound[k] : anchor_bound[k + 1]] for c in by_anchor] + [_unsigned(anchor_bound[k : k + 1])] for k in full] + [own]
+    own = [*(_unsigned(getattr(x, k)[begin]) for k in KEY), row[begin], *map(_unsigned, (x.start[begin], end - begin + 1, step, x.runs, x.weight, entry, by_anchor.pop(), np.array([len(full)]))), stamp]
+    parts = [[c[bound[k] : bound[k + 1]] for c in columns] + [c[anchor_bound[k] : anchor_bound[k + 1]] for c in by_anchor] + [_unsigned(anchor_bound[k : k + 1]), stamp] for k in full] + [own]
     return pa.record_batch(
         [
             pa.array([sender] * len(parts), pa.int64()),
@@ -215,7 +217,7 @@ def _answer(t: pa.Table) -> pa.Table:
     if asked:
         each = [[packed.unpack(p) for p in r["parts"]] for r in asked]
         bound, anchor_bound = (np.cumsum([0, *(len(x[k]) for x in each)]) for k in (0, 7))
-        key, second, weight, row, start, doc, no_id, anchor, block, anchor_base = (np.concatenate(x) for x in zip(*each, strict=True))
+        key, second, weight, row, start, doc, no_id, anchor, block, anchor_base, stamp = (np.concatenate(x) for x in zip(*each, strict=True))
         place = _place(row, start)
         order = np.lexsort((no_id, doc, place, second, key))
         first, last = _groups(key[order], second[order])
@@ -232,7 +234,7 @@ def _answer(t: pa.Table) -> pa.Table:
             i, m = (x[slice(*np.searchsorted(x, bound[k : k + 2]))] for x in (told, mine))
             j = several[slice(*np.searchsorted(several, anchor_bound[k : k + 2]))]
             f, z, base = first[i], last[m], r["base"] - bound[k]
-            columns = [i + base, doc[f], no_id[f], start[f], m + base, place[m].view(np.uint64), doc[z], no_id[z], start[z], j - anchor_bound[k] + int(anchor_base[k])]
+            columns = [i + base, doc[f], no_id[f], start[f], m + base, place[m].view(np.uint64), doc[z], no_id[z], start[z], j - anchor_bound[k] + int(anchor_base[k]), stamp[k : k + 1]]
             parts.append([packed.pack(c) for c in columns])
     return pa.table([pa.array([r["sender"] for r in asked + kept], pa.int64()), pa.array([r["base"] for r in asked + kept], pa.int32()), pa.array(parts + [r["parts"] for r in kept], pa.list_(pa.binary()))], names=["sender", "base", "parts"])
 
@@ -255,11 +257,11 @@ def _gather(t: pa.Table) -> pa.Table:
             own = parts
         else:
             answers.append(parts)
-    if own is None or len(answers) != own[-1][0]:
+    if own is None or len(answers) != own[-2][0] or any(x[-1][0] != own[-1][0] for x in answers):
         raise RuntimeError("a task that was run again sent other rows; write the table before")
     signed = lambda v: v.astype(np.uint64).view(np.int64)
-    no_id, doc_id, text_hash, row, begin, count, step, runs, weight, entry, of_anchor, _ = map(signed, own)
-    at, doc, none, start, own_at, own_place, last_doc, last_none, last_start, several_at = (signed(np.concatenate(x)) for x in zip(*answers, strict=True))
+    no_id, doc_id, text_hash, row, begin, count, step, runs, weight, entry, of_anchor, _, stamp = map(signed, own)
+    at, doc, none, start, own_at, own_place, last_doc, last_none, last_start, several_at, _ = (signed(np.concatenate(x)) for x in zip(*answers, strict=True))
     rows = np.repeat(np.arange(len(count)), count)
     moved = np.cumsum(step)
     place = moved + np.repeat(begin - moved[np.cumsum(count) - count], count)
@@ -299,7 +301,7 @@ def _gather(t: pa.Table) -> pa.Table:
 
 
 def _met(docs: DataFrame, items: Callable[[pa.RecordBatch, int], Items], width: int, buckets: int) -> DataFrame:
-    """Items go to the buckets of their keys, answers back to the chunk that sent them. Rows must come in the same order when a task is run again."""
+    """Items go to the buckets of their keys, answers back to the chunk that sent them. Rows must come in the same order when a task is run again, else the job ends in an error."""
     answers = _sent(docs, items, width, buckets).groupBy("bucket").applyInArrow(_answer, "sender long, base int, parts array<binary>")
     return answers.groupBy("sender").applyInArrow(_gather, "no_id boolean, doc_id long, text_hash long, start int, runs int, source long, source_start int, weight int")
 

@@ -4,6 +4,8 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from bellwether.llm import packed, rlz_dedup
 
@@ -69,3 +71,17 @@ def test_a_frequent_anchor_is_spread():
     assert sorted(len(p[7]) for p in sent)[-2:] == [0, 2]  # its smallest and its largest block
     own = Counter(r["bucket"] for k in range(100) for r in rlz_dedup._chunk(k << 24, items._replace(**{f: v[:9] for f, v in items._asdict().items()}), buckets, True).to_pylist() if r["base"] == rlz_dedup.OWN)
     assert max(own.values()) < 6
+
+
+def test_chunks_of_other_rows_do_not_meet():
+    def answered(seed):
+        rng, one = np.random.default_rng(seed), np.ones(9, np.int64)
+        items = rlz_dedup.Items(np.arange(9), one == 0, np.arange(9), np.arange(9), rng.integers(0, 2**62, 9), one, one, one, np.arange(9).astype(np.uint64), np.arange(9).astype(np.uint64))
+        sent = pa.Table.from_batches([rlz_dedup._chunk(5, items, 512, True)])
+        return [rlz_dedup._answer(sent.slice(k, 1)) for k in range(sent.num_rows)]
+
+    first, again = answered(1), answered(2)
+    assert rlz_dedup._gather(pa.concat_tables(first)).num_rows == 0  # nothing stands twice
+    for mixed in (first[:-1], first[1:], again[:1] + first[1:], first[:-1] + again[-1:]):
+        with pytest.raises(RuntimeError):
+            rlz_dedup._gather(pa.concat_tables(mixed))
